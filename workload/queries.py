@@ -1,0 +1,1294 @@
+"""Every operator as a named query over the test tables, with its SQL twin.
+
+``@run(sql)`` registers a function under its own name. Doubles that come out
+of arithmetic are rounded to 6 digits on both sides.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from candlemill import schema
+from candlemill.functions import candle as C
+from candlemill.operators import clean, features, ordered, quality, report, resample
+from candlemill.plans import layers
+from candlemill.session import new_folder, stage
+from candlemill.sources import archives, klines as raw_files, store
+from workload import oracle as O
+from workload import tables as T
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+BACKFILL = schema.Regimes("2024-01-12 00:00:00", "2024-01-22 00:00:00", False)
+BASE_URL = "https://archive.example/klines"
+
+
+def run(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(query: Query) -> Query:
+        name = query.__name__
+        QUERIES[name] = query
+        if sql is not None:
+            SQL[name] = sql
+        return query
+
+    return register
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """Doubles to 6 digits, for comparison across engines."""
+    return df.select(
+        *[
+            F.round(F.col(f"`{f.name}`"), 6).alias(f.name)
+            if f.dataType.typeName() == "double"
+            else F.col(f"`{f.name}`")
+            for f in df.schema.fields
+        ]
+    )
+
+
+# --- cleaning -------------------------------------------------------------
+
+_NUMBERS = "open_time, open, high, low, close, volume, number_of_trades"
+
+
+@run(
+    O.query(
+        f"""SELECT event_id, {_NUMBERS} FROM (
+              SELECT event_id, open_time, high, low, volume, close_time,
+                CASE WHEN event_id % 211 = 0 THEN NULL ELSE open END AS open,
+                CASE WHEN event_id % 223 = 0 THEN NULL ELSE close END AS close,
+                CASE WHEN event_id % 227 = 0 THEN NULL ELSE number_of_trades END
+                  AS number_of_trades
+              FROM klines)
+            WHERE open_time IS NOT NULL AND close_time IS NOT NULL AND open IS NOT NULL
+              AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL""",
+        ("klines",),
+    )
+)
+def typed_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    rows = T.klines(spark, sf)
+    text = rows.select("event_id", *[F.col(c).cast("string") for c in schema.RAW_COLUMNS])
+
+    def spoil(column: str, every: int, cell: str) -> Column:
+        return F.when(F.col("event_id") % every == 0, F.lit(cell)).otherwise(F.col(column))
+
+    spoiled = text.withColumns(
+        {
+            "open": spoil("open", 211, "x"),
+            "close": spoil("close", 223, "NaN"),
+            "number_of_trades": spoil("number_of_trades", 227, "12.5"),
+        }
+    )
+    return clean.bronze_rows(spoiled).select("event_id", *_NUMBERS.split(", "))
+
+
+@run(O.query("SELECT event_id, open_time, open_ts, close_ts FROM stamped", ("stamped",)))
+def epoch_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    return T.stamped(spark, sf).select("event_id", "open_time", "open_ts", "close_ts")
+
+
+@run(O.query("SELECT event_id, open_ts, close_ts, open, close, volume FROM present", ("present",)))
+def not_null_silver(spark: SparkSession, sf: str) -> DataFrame:
+    return clean.not_null_rows(T.stamped(spark, sf)).select(
+        "event_id", "open_ts", "close_ts", "open", "close", "volume"
+    )
+
+
+@run(
+    O.query("SELECT symbol, open_ts, source_file, event_id, open, close FROM first_rows",
+            ("first_rows",))
+)
+def dedup_first(spark: SparkSession, sf: str) -> DataFrame:
+    present = clean.not_null_rows(T.stamped(spark, sf))
+    return clean.keep_first(present, T.KEYS, T.TIEBREAK).select(
+        "symbol", "open_ts", "source_file", "event_id", "open", "close"
+    )
+
+
+@run(
+    O.query(
+        """SELECT event_id, open, high, low, close, volume FROM klines
+           WHERE high >= open AND high >= close AND high >= low AND low <= open
+             AND low <= close AND volume >= 0""",
+        ("klines",),
+    )
+)
+def ohlc_valid(spark: SparkSession, sf: str) -> DataFrame:
+    return clean.valid_rows(T.klines(spark, sf)).select(
+        "event_id", "open", "high", "low", "close", "volume"
+    )
+
+
+_SILVER = (
+    "symbol, open_ts, close_ts, open, high, low, close, volume, quote_asset_volume, "
+    "number_of_trades, taker_buy_base_volume, taker_buy_quote_volume, source_file, event_id"
+)
+
+
+@run(O.query(f"SELECT {_SILVER} FROM silver", ("silver",)))
+def silver(spark: SparkSession, sf: str) -> DataFrame:
+    return T.silver(spark, sf).select(*_SILVER.split(", "))
+
+
+@run(
+    O.query(
+        """SELECT i.symbol, i.rows_in, i.rows_in - p.n AS dropped_null,
+             p.n - f.n AS dropped_duplicate, f.n - g.rows AS dropped_invalid,
+             g.rows AS rows_out, g.min_ts, g.max_ts, g.gaps, g.largest_gap_seconds
+           FROM (SELECT symbol, count(*) AS rows_in FROM klines GROUP BY symbol) i
+           JOIN (SELECT symbol, count(*) AS n FROM present GROUP BY symbol) p USING (symbol)
+           JOIN (SELECT symbol, count(*) AS n FROM first_rows GROUP BY symbol) f USING (symbol)
+           JOIN gap_rows g USING (symbol)""",
+        ("silver",),
+        gap_rows=O.gaps("silver"),
+    )
+)
+def cleaning_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return clean.cleaning_audit(T.klines(spark, sf), T.KEYS, T.TIEBREAK)
+
+
+@run(
+    O.query(
+        "SELECT event_id, open_time, open_ts, open, close, volume FROM stamped", ("stamped",)
+    )
+)
+def present_only(spark: SparkSession, sf: str) -> DataFrame:
+    """Typing and timestamps on a table without close time and taker columns."""
+    some = T.klines(spark, sf).select("event_id", "open_time", "open", "close", "volume")
+    return clean.with_timestamps(clean.typed(some)).select(
+        "event_id", "open_time", "open_ts", "open", "close", "volume"
+    )
+
+
+@run(
+    O.query(
+        "SELECT m.name AS missing, count(*) AS rows FROM klines, (VALUES "
+        + ", ".join(f"('{c}')" for c in schema.MODEL_REQUIRED if c not in (
+            "open", "high", "low", "close", *schema.SUM_COLUMNS))
+        + ") m(name) GROUP BY m.name",
+        ("klines",),
+    )
+)
+def required_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Model columns that raw candles lack, with the rows concerned."""
+    rows = T.klines(spark, sf)
+    missing = schema.missing_columns(rows, schema.MODEL_REQUIRED)
+    names = F.explode(F.array(*[F.lit(c) for c in missing]))
+    return rows.agg(F.count(F.lit(1)).alias("rows")).select(names.alias("missing"), "rows")
+
+
+# --- bars -----------------------------------------------------------------
+
+_BAR_DOUBLES = (
+    "open high low close volume quote_asset_volume taker_buy_base_volume taker_buy_quote_volume"
+)
+_BARS = (
+    "symbol, open_ts, open, high, low, close, volume, quote_asset_volume, number_of_trades, "
+    "taker_buy_base_volume, taker_buy_quote_volume, rows_in_bar"
+)
+
+
+@run(O.query(f"SELECT {_BARS} FROM bars", ("bars",), _BAR_DOUBLES))
+def bars_1h(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(T.hour_bars(spark, sf).select(*_BARS.split(", ")))
+
+
+@run(
+    O.query(f"SELECT {_BARS}, true AS bar_complete FROM bars WHERE rows_in_bar = 2",
+            ("bars",), _BAR_DOUBLES)
+)
+def bars_complete(spark: SparkSession, sf: str) -> DataFrame:
+    kept = resample.complete_bars(T.hour_bars(spark, sf), 2)
+    return rounded(kept.select(*_BARS.split(", "), "bar_complete"))
+
+
+@run(
+    O.query(
+        """SELECT symbol, count(*) AS bars_total,
+             count(*) FILTER (rows_in_bar = 2) AS bars_complete,
+             count(*) FILTER (rows_in_bar <> 2) AS bars_incomplete
+           FROM bars GROUP BY symbol""",
+        ("bars",),
+    )
+)
+def bar_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return resample.bar_audit(T.hour_bars(spark, sf), 2, T.KEYS)
+
+
+@run(O.query("SELECT symbol, open_ts, open, high, low, close, rows_in_bar FROM days", ("days",)))
+def bars_1d_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return T.order_days(spark, sf)
+
+
+# --- order-dependent ------------------------------------------------------
+
+_ID = ["symbol", "open_ts", "event_id"]
+_RETURNS = "close_diff_1m return_1m log_return_1m log_diff_close_1m"
+_MINUTE_INPUT = ["symbol", "open_ts", "source_file", "event_id", "open", "high", "low",
+                 "close", "volume"]
+
+
+def _bronze_1m(spark: SparkSession, sf: str, more: tuple[str, ...] = ()) -> DataFrame:
+    rows = T.bronze(spark, sf).select(*_MINUTE_INPUT, *more)
+    return features.minute_features(rows, T.KEYS, T.TIEBREAK)
+
+
+def _silver_1m(spark: SparkSession, sf: str, more: tuple[str, ...] = ()) -> DataFrame:
+    rows = T.silver(spark, sf).select(*_MINUTE_INPUT, *more)
+    return features.minute_features(rows, T.KEYS)
+
+
+def _features(spark: SparkSession, sf: str) -> DataFrame:
+    return features.bar_features(T.hour_bars(spark, sf), T.KEYS)
+
+
+@run(
+    O.query(
+        "SELECT symbol, open_ts, event_id, close_diff_1m, return_1m, log_return_1m, "
+        "log_diff_close_1m FROM silver_1m",
+        ("silver_1m",), _RETURNS,
+    )
+)
+def returns(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_silver_1m(spark, sf).select(*_ID, *_RETURNS.split()))
+
+
+@run(
+    O.query(
+        "SELECT symbol, open_ts, event_id, close_diff_1m, return_1m, log_return_1m, "
+        "log_diff_close_1m FROM bronze_1m",
+        ("bronze_1m",), _RETURNS,
+    )
+)
+def returns_with_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_bronze_1m(spark, sf).select(*_ID, *_RETURNS.split()))
+
+
+@run(
+    O.query(
+        "SELECT symbol, open_ts, sma_24h, sma_168h, volume_sma_24h FROM features",
+        ("features",), "sma_24h sma_168h volume_sma_24h",
+    )
+)
+def rolling_mean(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(
+        _features(spark, sf).select("symbol", "open_ts", "sma_24h", "sma_168h", "volume_sma_24h")
+    )
+
+
+@run(
+    O.query(
+        "SELECT symbol, open_ts, volatility_24h FROM features", ("features",), "volatility_24h"
+    )
+)
+def rolling_std(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_features(spark, sf).select("symbol", "open_ts", "volatility_24h"))
+
+
+@run(
+    O.query(
+        "SELECT symbol, open_ts, event_id, abs_log_return_1m, volatility_60 FROM bronze_1m",
+        ("bronze_1m",), "abs_log_return_1m volatility_60",
+    )
+)
+def rolling_noise(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_bronze_1m(spark, sf).select(*_ID, "abs_log_return_1m", "volatility_60"))
+
+
+@run(
+    O.query(
+        """SELECT symbol, open_ts, event_id, row_number() OVER
+             (PARTITION BY symbol ORDER BY open_ts, source_file, event_id) - 1 AS row_index
+           FROM bronze""",
+        ("bronze",),
+    )
+)
+def row_index(spark: SparkSession, sf: str) -> DataFrame:
+    rows = T.bronze(spark, sf).select(*_ID, "source_file")
+    return ordered.with_row_index(rows, T.KEYS, ["open_ts", *T.TIEBREAK]).drop("source_file")
+
+
+@run(
+    O.query(
+        "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS row_index FROM events"
+    )
+)
+def row_index_one_series(spark: SparkSession, sf: str) -> DataFrame:
+    rows = T.table(spark, sf, "events").select("event_id", "ts")
+    return ordered.with_row_index(rows, [], ["ts", "event_id"]).drop("ts")
+
+
+def _halo_sql(mean: str, std: str) -> str:
+    w = "OVER (ORDER BY ts, event_id ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)"
+    return f"""SELECT event_id,
+        CASE WHEN count(value) {w} >= 24 THEN avg(value) {w} END AS {mean},
+        CASE WHEN count(value) {w} >= 24 THEN stddev_samp(value) {w} END AS {std}
+        FROM events"""
+
+
+@run(O.query(_halo_sql("mean_24", "std_24"), (), "mean_24 std_24"))
+def rolling_halo(spark: SparkSession, sf: str) -> DataFrame:
+    """One long series in chunks of 1,000 rows."""
+    rows = T.table(spark, sf, "events").select("event_id", "ts", "value")
+
+    def build(df: DataFrame, w) -> DataFrame:
+        value = F.col("value")
+        return df.withColumns(
+            {
+                "mean_24": C.rolling(F.avg, value, w, 24),
+                "std_24": C.rolling(F.stddev_samp, value, w, 24),
+            }
+        )
+
+    out = ordered.over_rows(rows, [], ["ts", "event_id"], 23, build, chunk_rows=1_000)
+    return rounded(out.select("event_id", "mean_24", "std_24"))
+
+
+@run(
+    O.query(
+        """SELECT symbol, open_ts, epoch_us(open_ts) - lag(epoch_us(open_ts)) OVER
+             (PARTITION BY symbol ORDER BY open_ts) AS delta_micros FROM silver""",
+        ("silver",),
+    )
+)
+def time_deltas(spark: SparkSession, sf: str) -> DataFrame:
+    rows = T.silver(spark, sf).select("symbol", "open_ts")
+
+    def build(df: DataFrame, w) -> DataFrame:
+        return df.withColumn("delta_micros", C.time_delta_micros(F.col("open_ts"), w))
+
+    return ordered.over_rows(rows, T.KEYS, ["open_ts"], 1, build)
+
+
+@run(
+    O.query("SELECT symbol, gaps, largest_gap_seconds FROM g", ("silver",), g=O.gaps("silver"))
+)
+def gap_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return clean.series_audit(T.silver(spark, sf), T.KEYS).select(
+        "symbol", "gaps", "largest_gap_seconds"
+    )
+
+
+@run(
+    O.query(
+        """SELECT symbol, open_ts, event_id, close FROM (
+             SELECT *, row_number() OVER (PARTITION BY symbol
+               ORDER BY open_ts, source_file, event_id) - 1 AS i FROM bronze)
+           WHERE i % 50 = 0""",
+        ("bronze",),
+    )
+)
+def sample_1_in_n(spark: SparkSession, sf: str) -> DataFrame:
+    rows = T.bronze(spark, sf).select(*_ID, "source_file", "close")
+    kept = ordered.every_nth(rows, T.KEYS, ["open_ts", *T.TIEBREAK], 50)
+    return kept.drop("source_file")
+
+
+# --- labels and geometry --------------------------------------------------
+
+
+@run(
+    O.query(
+        f"""SELECT o_orderkey, {O.ORDER_REGIME.replace('open_ts', 'o_orderdate')} AS market_regime,
+          {O.regime('o_orderdate', '1997-03-11 00:00:00', '1999-01-01 00:00:00', False)}
+            AS other_regime
+        FROM orders"""
+    )
+)
+def market_regime(spark: SparkSession, sf: str) -> DataFrame:
+    rows = T.table(spark, sf, "orders")
+    labelled = features.with_regime(rows, T.ORDER_REGIMES, "o_orderdate")
+    other = C.regime_label(F.col("o_orderdate"), T.ORDER_REGIMES_2)
+    return labelled.select("o_orderkey", "market_regime", other.alias("other_regime"))
+
+
+@run(O.query("SELECT symbol, open_ts, close, price_season FROM model", ("model",)))
+def price_season(spark: SparkSession, sf: str) -> DataFrame:
+    bars = stage(T.hour_bars(spark, sf).select("symbol", "open_ts", "close"))
+    return features.with_price_season(bars)
+
+
+@run(
+    O.query(
+        """SELECT symbol, open_ts, close,
+             CASE WHEN close <= max(CASE WHEN i = floor((n - 1) * 0.25 + 0.5) THEN close END)
+                    OVER (PARTITION BY symbol) THEN 'low'
+                  WHEN close >= max(CASE WHEN i = floor((n - 1) * 0.75 + 0.5) THEN close END)
+                    OVER (PARTITION BY symbol) THEN 'high' ELSE 'mid' END AS price_season
+           FROM (SELECT symbol, open_ts, close, count(*) OVER (PARTITION BY symbol) AS n,
+                   row_number() OVER (PARTITION BY symbol ORDER BY close) - 1 AS i FROM bars)""",
+        ("bars",),
+    )
+)
+def price_season_by_symbol(spark: SparkSession, sf: str) -> DataFrame:
+    bars = stage(T.hour_bars(spark, sf).select("symbol", "open_ts", "close"))
+    return features.with_price_season(bars, T.KEYS)
+
+
+@run(
+    O.query(
+        """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year,
+             CAST(month(o_orderdate) AS INTEGER) AS month,
+             CAST(day(o_orderdate) AS INTEGER) AS day,
+             CAST(hour(o_orderdate) AS INTEGER) AS hour,
+             CAST(quarter(o_orderdate) AS INTEGER) AS quarter,
+             concat(CAST(year(o_orderdate) AS VARCHAR), '-Q',
+                    CAST(quarter(o_orderdate) AS VARCHAR)) AS year_quarter
+           FROM orders"""
+    )
+)
+def calendar(spark: SparkSession, sf: str) -> DataFrame:
+    rows = T.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    dated = features.with_calendar(rows, "o_orderdate")
+    return features.with_quarter(dated, "o_orderdate").drop("o_orderdate")
+
+
+_BACKFILL = "range_hl body_oc return_1h log_return_1h volatility_24h"
+
+
+@run(
+    O.query(
+        f"""SELECT symbol, open_ts, market_regime, range_hl, body_oc, return_1h, log_return_1h,
+              {O.rolled('stddev_samp', 'log_return_1h', 24, 2).format(order='open_ts')}
+                AS volatility_24h
+            FROM (SELECT symbol, open_ts, high - low AS range_hl,
+                    abs(close - open) AS body_oc, {O.KLINE_BACKFILL} AS market_regime,
+                    {O.ratio('(PARTITION BY symbol ORDER BY open_ts)')} - 1 AS return_1h,
+                    {O.ln(O.ratio('(PARTITION BY symbol ORDER BY open_ts)'))} AS log_return_1h
+                  FROM bars)""",
+        ("bars",), _BACKFILL,
+    )
+)
+def backfill(spark: SparkSession, sf: str) -> DataFrame:
+    filled = features.backfill(T.hour_bars(spark, sf), T.KEYS, BACKFILL)
+    return rounded(filled.select("symbol", "open_ts", "market_regime", *_BACKFILL.split()))
+
+
+_GEOMETRY = "range_hl body_oc range_hl_pct body_abs body_pct"
+
+
+@run(
+    O.query(
+        """SELECT event_id, high - low AS range_hl, close - open AS body_oc,
+             (high - low) / nullif(close, 0) AS range_hl_pct, abs(close - open) AS body_abs,
+             abs(close - open) / nullif(open, 0) AS body_pct FROM klines""",
+        ("klines",), _GEOMETRY,
+    )
+)
+def candle_geometry(spark: SparkSession, sf: str) -> DataFrame:
+    open_, high, low, close = (F.col(c) for c in ("open", "high", "low", "close"))
+    return rounded(
+        T.klines(spark, sf).select(
+            "event_id",
+            C.range_hl(high, low).alias("range_hl"),
+            C.body_oc(open_, close).alias("body_oc"),
+            C.range_hl_pct(high, low, close).alias("range_hl_pct"),
+            C.body_abs(open_, close).alias("body_abs"),
+            C.body_pct(open_, close).alias("body_pct"),
+        )
+    )
+
+
+# --- quality --------------------------------------------------------------
+
+
+_BRONZE_WIDTH = 17
+_GOLD_WIDTH = 27
+
+
+@run(
+    O.query(
+        O.state("bronze", "bronze_1m", _BRONZE_WIDTH)
+        + " UNION ALL " + O.state("silver", "silver_1m", _BRONZE_WIDTH)
+        + f""" UNION ALL SELECT 'gold_1h', count(*), CAST(12 AS BIGINT), min(open_ts),
+               max(open_ts), NULL, NULL, NULL FROM bars""",
+        ("bars",),
+    )
+)
+def dataset_state(spark: SparkSession, sf: str) -> DataFrame:
+    raw, kept, bars = T.bronze(spark, sf), T.silver(spark, sf), T.hour_bars(spark, sf)
+    return (
+        quality.dataset_state(raw, "bronze_1m", T.KEYS)
+        .unionByName(quality.dataset_state(kept, "silver_1m", T.KEYS))
+        .unionByName(quality.dataset_state(bars, "gold_1h", T.KEYS, step_seconds=None))
+    )
+
+
+@run(
+    O.query(
+        "SELECT symbol, count(*) AS rows, count(*) - count(DISTINCT open_ts) AS duplicates "
+        "FROM bronze GROUP BY symbol",
+        ("bronze",),
+    )
+)
+def dup_count(spark: SparkSession, sf: str) -> DataFrame:
+    return clean.series_audit(T.bronze(spark, sf), T.KEYS).select("symbol", "rows", "duplicates")
+
+
+_NULL_COLUMNS = ["symbol", *schema.RAW_COLUMNS, "source_file", "event_id", "open_ts", "close_ts"]
+
+
+@run(
+    O.query(
+        " UNION ALL ".join(
+            f"SELECT 'raw' AS dataset, '{c}' AS variable, "
+            f"count(*) - count(\"{c}\") AS nulls FROM stamped"
+            for c in _NULL_COLUMNS
+        ),
+        ("stamped",),
+    )
+)
+def null_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.null_counts(T.stamped(spark, sf), "raw")
+
+
+_DESCRIBED = [c for c in schema.MINUTE_DESCRIBE_COLUMNS
+              if c not in ("number_of_trades", "quote_asset_volume")]
+
+
+@run(
+    O.query("SELECT * FROM d", ("silver_1m",), tuple(_DESCRIBED),
+            d=O.describe("silver_1m", _DESCRIBED))
+)
+def describe(spark: SparkSession, sf: str) -> DataFrame:
+    rows = stage(_silver_1m(spark, sf).select(*_DESCRIBED), "described")
+    return rounded(quality.describe(rows, schema.MINUTE_DESCRIBE_COLUMNS))
+
+
+_LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@run(
+    O.query("SELECT * FROM d", (), tuple(_LINE_COLUMNS),
+            d=O.describe("lineitem", _LINE_COLUMNS))
+)
+def describe_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(quality.describe(T.table(spark, sf, "lineitem"), _LINE_COLUMNS))
+
+
+def _noise_sql(source: str, dataset: str) -> str:
+    return f"""SELECT '{dataset}' AS dataset,
+        (SELECT avg(abs_log_return_1m) FROM {source}) AS mean_abs_log_return,
+        (SELECT median(abs_log_return_1m) FROM {source}) AS median_abs_log_return,
+        (SELECT stddev_samp(log_return_1m) FROM {source}) AS std_log_return,
+        {O.nearest(source, 'abs_log_return_1m', 0.99)} AS p99_abs_log_return,
+        {O.nearest(source, 'abs_log_return_1m', 0.999)} AS p999_abs_log_return,
+        (SELECT avg(range_hl_pct) FROM {source}) AS mean_range_hl_pct,
+        {O.nearest(source, 'range_hl_pct', 0.99)} AS p99_range_hl_pct,
+        (SELECT avg(volatility_60) FROM {source}) AS mean_volatility_60"""
+
+
+@run(
+    O.query(
+        _noise_sql("bronze_1m", "bronze_1m") + " UNION ALL " + _noise_sql("silver_1m", "silver_1m"),
+        ("bronze_1m", "silver_1m"),
+        "mean_abs_log_return median_abs_log_return std_log_return p99_abs_log_return "
+        "p999_abs_log_return mean_range_hl_pct p99_range_hl_pct mean_volatility_60",
+    )
+)
+def noise_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    used = ["log_return_1m", "abs_log_return_1m", "range_hl_pct", "volatility_60"]
+    raw = stage(_bronze_1m(spark, sf).select(*used), "noise")
+    kept = stage(_silver_1m(spark, sf).select(*used), "noise")
+    return rounded(
+        quality.noise_metrics(raw, "bronze_1m").unionByName(
+            quality.noise_metrics(kept, "silver_1m")
+        )
+    )
+
+
+_OUTLIER_DOUBLES = "q1 q3 iqr lower_limit upper_limit outlier_pct"
+
+
+@run(
+    O.query(
+        " UNION ALL ".join(
+            O.quartile_line(f"{d}", c, d)
+            for d in ("bronze_1m", "silver_1m") for c in schema.OUTLIER_COLUMNS
+        ),
+        ("bronze_1m", "silver_1m"), _OUTLIER_DOUBLES,
+    )
+)
+def iqr_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    used = schema.OUTLIER_COLUMNS
+    raw = stage(_bronze_1m(spark, sf).select(*used), "outliers")
+    kept = stage(_silver_1m(spark, sf).select(*used), "outliers")
+    return rounded(
+        quality.iqr_outliers(raw, dataset="bronze_1m").unionByName(
+            quality.iqr_outliers(kept, dataset="silver_1m")
+        )
+    )
+
+
+@run(
+    O.query(
+        " UNION ALL ".join(O.quartile_line("bars", c) for c in ("close", "volume")),
+        ("bars",), _OUTLIER_DOUBLES,
+    )
+)
+def outliers_close_volume(spark: SparkSession, sf: str) -> DataFrame:
+    bars = stage(T.hour_bars(spark, sf).select("close", "volume"), "outliers")
+    return rounded(quality.iqr_outliers(bars, ["close", "volume"]))
+
+
+_PROBS = (0.25, 0.75, 0.99, 0.999)
+
+
+@run(
+    O.query(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS variable, CAST({p} AS DOUBLE) AS prob, "
+            f"{O.nearest('lineitem', c, p)} AS value"
+            for c in ("l_extendedprice", "l_quantity") for p in _PROBS
+        )
+    )
+)
+def quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    rows = T.table(spark, sf, "lineitem")
+    probs = [(p, "nearest") for p in _PROBS]
+    out = ordered.quantiles(rows, ["l_extendedprice", "l_quantity"], probs)
+    return out.select("variable", "prob", "value")
+
+
+@run(
+    O.query(
+        """SELECT l_returnflag, 'l_extendedprice' AS variable,
+             median(l_extendedprice) AS median FROM lineitem GROUP BY l_returnflag""",
+        (), "median",
+    )
+)
+def median(spark: SparkSession, sf: str) -> DataFrame:
+    rows = T.table(spark, sf, "lineitem")
+    out = ordered.quantiles(rows, ["l_extendedprice"], [(0.5, "linear")], ["l_returnflag"])
+    return rounded(out.select("l_returnflag", "variable", F.col("value").alias("median")))
+
+
+def _corr_sql(source: str, columns: list[str]) -> str:
+    known = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    lines = []
+    for a in columns:
+        cells = ", ".join(
+            f"covar_pop({a}, {b}) / nullif(stddev_pop({a}) * stddev_pop({b}), 0) AS {b}"
+            for b in columns
+        )
+        lines.append(f"SELECT '{a}' AS variable, {cells} FROM {source} WHERE {known}")
+    return " UNION ALL ".join(lines)
+
+
+@run(O.query(_corr_sql("lineitem", _LINE_COLUMNS), (), tuple(_LINE_COLUMNS)))
+def corr_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(quality.correlation_matrix(T.table(spark, sf, "lineitem"), _LINE_COLUMNS))
+
+
+@run(
+    O.query(_corr_sql("bars", schema.CORRELATION_COLUMNS), ("bars",),
+            tuple(schema.CORRELATION_COLUMNS))
+)
+def corr_matrix_bars(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(
+        quality.correlation_matrix(T.hour_bars(spark, sf), schema.CORRELATION_COLUMNS)
+    )
+
+
+@run(
+    O.query("SELECT event_id, symbol, close FROM klines WHERE close IS NOT NULL", ("klines",))
+)
+def not_null_metric(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.not_null(T.klines(spark, sf), "close").select("event_id", "symbol", "close")
+
+
+@run(
+    O.query("SELECT count(*) AS rows, count(*) > 3000000 AS large_enough FROM klines", ("klines",))
+)
+def min_volume(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.volume_check(T.klines(spark, sf))
+
+
+@run(
+    O.query(
+        "SELECT variable, type, count(*) AS rows FROM silver, (VALUES "
+        "('symbol', 'string'), ('open_time', 'bigint'), ('open', 'double'), "
+        "('high', 'double'), ('low', 'double'), ('close', 'double'), ('volume', 'double'), "
+        "('close_time', 'bigint'), ('quote_asset_volume', 'double'), "
+        "('number_of_trades', 'bigint'), ('taker_buy_base_volume', 'double'), "
+        "('taker_buy_quote_volume', 'double'), ('ignore', 'double'), "
+        "('source_file', 'string'), ('event_id', 'bigint'), "
+        "('open_ts', 'timestamp_ntz'), ('close_ts', 'timestamp_ntz')) t(variable, type) "
+        "GROUP BY variable, type",
+        ("silver",),
+    )
+)
+def schema_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Structure of the silver layer, with its size beside every column."""
+    rows = T.silver(spark, sf)
+    n = rows.agg(F.count(F.lit(1)).alias("rows")).first()["rows"]
+    return quality.schema_table(rows).withColumn("rows", F.lit(n).cast("long"))
+
+
+# --- reports --------------------------------------------------------------
+
+_MONTH_DOUBLES = "mean_close min_close max_close std_close volatility"
+_MONTH_SQL = """SELECT symbol, CAST(date_trunc('month', open_ts) AS TIMESTAMP) AS month_ts,
+    avg(close) AS mean_close, min(close) AS min_close, max(close) AS max_close,
+    stddev_samp(close) AS std_close, count(*) AS rows,
+    stddev_samp(log_return_1h) AS volatility,
+    strftime(date_trunc('month', open_ts), '%Y-%m') AS period
+    FROM day_returns GROUP BY symbol, date_trunc('month', open_ts)"""
+
+
+def _order_months(spark: SparkSession, sf: str) -> DataFrame:
+    days = T.order_days(spark, sf).select("symbol", "open_ts", "close")
+
+    def build(df: DataFrame, w) -> DataFrame:
+        return df.withColumn("log_return_1h", C.log_return(F.col("close"), w))
+
+    return report.monthly_close(ordered.over_rows(days, T.KEYS, ["open_ts"], 1, build), T.KEYS)
+
+
+@run(O.query(_MONTH_SQL, ("day_returns",), _MONTH_DOUBLES))
+def monthly_close(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_order_months(spark, sf))
+
+
+_NOISE_MONTH_SQL = """SELECT symbol, CAST(date_trunc('month', open_ts) AS TIMESTAMP) AS month_ts,
+    avg(close) AS mean_close, stddev_samp(log_return_1m) AS volatility,
+    avg(abs_log_return_1m) AS mean_abs_log_return, avg(range_hl_pct) AS mean_range_hl_pct,
+    avg(volume) AS mean_volume, count(*) AS rows,
+    strftime(date_trunc('month', open_ts), '%Y-%m') AS period
+    FROM bronze_1m GROUP BY symbol, date_trunc('month', open_ts)"""
+
+
+@run(
+    O.query(_NOISE_MONTH_SQL, ("bronze_1m",),
+            "mean_close volatility mean_abs_log_return mean_range_hl_pct mean_volume")
+)
+def monthly_noise(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(report.monthly_noise(_bronze_1m(spark, sf), T.KEYS))
+
+
+def _top_sql(order: str, where: str = "true") -> str:
+    return O.query(
+        f"SELECT * FROM m WHERE {where} ORDER BY {order}, period, symbol LIMIT 10",
+        ("day_returns",), _MONTH_DOUBLES, m=_MONTH_SQL,
+    )
+
+
+_BY_MONTH = ["period", "symbol"]
+
+
+@run(_top_sql("mean_close DESC NULLS FIRST"))
+def top10_max(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(report.top_highest(_order_months(spark, sf), _BY_MONTH))
+
+
+@run(_top_sql("mean_close NULLS FIRST"))
+def top10_min(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(report.top_lowest(_order_months(spark, sf), _BY_MONTH))
+
+
+@run(_top_sql("volatility", "volatility IS NOT NULL"))
+def top10_stable(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(report.top_stable(_order_months(spark, sf), _BY_MONTH))
+
+
+@run(_top_sql("volatility DESC", "volatility IS NOT NULL"))
+def top10_noisy(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(report.top_noisy(_order_months(spark, sf), _BY_MONTH))
+
+
+def _labelled_bars(spark: SparkSession, sf: str) -> DataFrame:
+    close = T.hour_bars(spark, sf).select("symbol", "open_ts", "close")
+
+    def build(df: DataFrame, w) -> DataFrame:
+        return df.withColumn("log_return_1h", C.log_return(F.col("close"), w))
+
+    returns = ordered.over_rows(close, T.KEYS, ["open_ts"], 1, build)
+    return features.with_regime(returns, T.KLINE_REGIMES)
+
+
+@run(
+    O.query(
+        """SELECT market_regime, count(*) AS rows, avg(close) AS mean_close,
+             min(close) AS min_close, max(close) AS max_close, stddev_samp(close) AS std_close,
+             stddev_samp(log_return_1h) AS return_volatility
+           FROM gold GROUP BY market_regime""",
+        ("gold",), "mean_close min_close max_close std_close return_volatility",
+    )
+)
+def regime_table(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(report.regime_table(_labelled_bars(spark, sf)))
+
+
+@run(
+    O.query(
+        f"SELECT {O.ORDER_REGIME} AS market_regime, count(*) AS rows FROM days "
+        "GROUP BY market_regime",
+        ("days",),
+    )
+)
+def regime_counts(spark: SparkSession, sf: str) -> DataFrame:
+    labelled = features.with_regime(T.order_days(spark, sf), T.ORDER_REGIMES)
+    return report.row_counts(labelled, "market_regime")
+
+
+_QUARTER_OF_DAY = O._YEAR_QUARTER
+
+
+@run(
+    O.query(
+        f"SELECT {_QUARTER_OF_DAY} AS year_quarter, count(*) AS rows FROM days "
+        "GROUP BY year_quarter",
+        ("days",),
+    )
+)
+def quarter_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return report.row_counts(features.with_quarter(T.order_days(spark, sf)), "year_quarter")
+
+
+@run(
+    O.query(
+        f"SELECT count(DISTINCT {_QUARTER_OF_DAY}) AS quarters FROM days", ("days",)
+    )
+)
+def quarter_count(spark: SparkSession, sf: str) -> DataFrame:
+    return report.quarter_count(features.with_quarter(T.order_days(spark, sf)))
+
+
+@run(O.query(f"SELECT DISTINCT {_QUARTER_OF_DAY} AS year_quarter FROM days", ("days",)))
+def quarters(spark: SparkSession, sf: str) -> DataFrame:
+    return report.quarters(features.with_quarter(T.order_days(spark, sf)))
+
+
+@run(
+    O.query(
+        f"""SELECT {_QUARTER_OF_DAY} AS year_quarter, count(*) AS rows,
+              min(open_ts) AS min_ts, max(open_ts) AS max_ts FROM days GROUP BY year_quarter""",
+        ("days",),
+    )
+)
+def quarter_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return report.quarter_summary(features.with_quarter(T.order_days(spark, sf)))
+
+
+@run(O.query(O.histogram("bars", "close", 60), ("bars",), "lower upper"))
+def hist_close(spark: SparkSession, sf: str) -> DataFrame:
+    bars = stage(T.hour_bars(spark, sf).select("close"), "histogram")
+    return rounded(report.histogram(bars, "close", 60))
+
+
+@run(O.query(O.histogram("bronze", "volume", 60), ("bronze",), "lower upper"))
+def hist_volume(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(report.histogram(T.bronze(spark, sf), "volume", 60))
+
+
+@run(O.query(O.histogram("bronze_1m", "log_return_1m", 80), ("bronze_1m",), "lower upper"))
+def hist_log_return(spark: SparkSession, sf: str) -> DataFrame:
+    rows = stage(_bronze_1m(spark, sf).select("log_return_1m"), "histogram")
+    return rounded(report.histogram(rows, "log_return_1m", 80))
+
+
+_BOX_DOUBLES = "q1 median q3 whisker_low whisker_high"
+_LABELS = list(T.KLINE_REGIMES.labels)
+
+
+@run(O.query(O.box("gold", "close", "market_regime", _LABELS), ("gold",), _BOX_DOUBLES))
+def box_by_regime(spark: SparkSession, sf: str) -> DataFrame:
+    bars = features.with_regime(T.hour_bars(spark, sf), T.KLINE_REGIMES)
+    rows = stage(bars.select("market_regime", "close"), "box")
+    return rounded(report.box_stats(rows, "close", "market_regime", _LABELS))
+
+
+@run(
+    O.query(O.box("gold", "log_return_1h", "market_regime", _LABELS), ("gold",), _BOX_DOUBLES)
+)
+def box_return_by_regime(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _labelled_bars(spark, sf).select("market_regime", "log_return_1h")
+    return rounded(
+        report.box_stats(stage(rows, "box"), "log_return_1h", "market_regime", _LABELS)
+    )
+
+
+@run(
+    O.query(
+        O.box("priced", "range_hl_pct", "dataset", ["all", "none"]),
+        ("bronze_1m",), _BOX_DOUBLES,
+        priced="SELECT 'all' AS dataset, range_hl_pct FROM bronze_1m",
+    )
+)
+def box_range(spark: SparkSession, sf: str) -> DataFrame:
+    """One group with values and one without."""
+    spread = C.range_hl_pct(F.col("high"), F.col("low"), F.col("close"))
+    rows = T.bronze(spark, sf).select(F.lit("all").alias("dataset"), spread.alias("range_hl_pct"))
+    return rounded(report.box_stats(rows, "range_hl_pct", "dataset", ["all", "none"]))
+
+
+@run(O.query("SELECT symbol, open_ts, close FROM bars", ("bars",)))
+def close_series(spark: SparkSession, sf: str) -> DataFrame:
+    return report.project(T.hour_bars(spark, sf), ["symbol", "open_ts", "close", "absent"])
+
+
+def _sampled(source: str, order: str, n: int) -> str:
+    return (
+        f"(SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY {order}) - 1 AS i "
+        f"FROM {source}) WHERE i % {n} = 0"
+    )
+
+
+_FULL_ORDER = "open_ts, source_file, event_id"
+
+
+@run(
+    O.query(f"SELECT symbol, open_ts, close FROM {_sampled('bronze', _FULL_ORDER, 240)}",
+            ("bronze",))
+)
+def sample_close(spark: SparkSession, sf: str) -> DataFrame:
+    rows = T.bronze(spark, sf).select(*_ID, "source_file", "close")
+    kept = ordered.every_nth(rows, T.KEYS, ["open_ts", *T.TIEBREAK], 240)
+    return kept.select("symbol", "open_ts", "close")
+
+
+@run(
+    O.query(
+        f"SELECT symbol, open_ts, volatility_60 FROM {_sampled('bronze_1m', _FULL_ORDER, 240)} "
+        "AND volatility_60 IS NOT NULL",
+        ("bronze_1m",), "volatility_60",
+    )
+)
+def sample_volatility(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _bronze_1m(spark, sf).select(*_ID, "source_file", "volatility_60")
+    kept = ordered.every_nth(rows, T.KEYS, ["open_ts", *T.TIEBREAK], 240)
+    return rounded(kept.select("symbol", "open_ts", "volatility_60").dropna())
+
+
+@run(
+    O.query(f"SELECT symbol, close, volume FROM {_sampled('bars', 'open_ts', 50)}", ("bars",),
+            "close volume")
+)
+def sample_close_volume(spark: SparkSession, sf: str) -> DataFrame:
+    rows = T.hour_bars(spark, sf).select("symbol", "open_ts", "close", "volume")
+    kept = ordered.every_nth(rows, T.KEYS, ["open_ts"], 50)
+    return rounded(kept.select("symbol", "close", "volume"))
+
+
+@run(
+    O.query(
+        f"SELECT symbol, abs_log_return_1m, volume FROM "
+        f"{_sampled('bronze_1m', _FULL_ORDER, 120)} AND abs_log_return_1m IS NOT NULL "
+        "AND volume IS NOT NULL",
+        ("bronze_1m",), "abs_log_return_1m",
+    )
+)
+def sample_return_volume(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _bronze_1m(spark, sf).select(*_ID, "source_file", "abs_log_return_1m", "volume")
+    kept = ordered.every_nth(rows, T.KEYS, ["open_ts", *T.TIEBREAK], 120)
+    return rounded(kept.select("symbol", "abs_log_return_1m", "volume").dropna())
+
+
+# --- gold and model -------------------------------------------------------
+
+_FEATURES = (
+    "range_hl body_oc return_1h log_return_1h sma_24h sma_168h volatility_24h volume_sma_24h"
+)
+_GOLD = f"{_BARS}, market_regime, year, month, day, hour, " + ", ".join(_FEATURES.split())
+
+
+@run(O.query(f"SELECT {_GOLD} FROM gold", ("gold",), f"{_BAR_DOUBLES} {_FEATURES}"))
+def gold(spark: SparkSession, sf: str) -> DataFrame:
+    rows = layers.gold(T.silver(spark, sf), None, regimes=T.KLINE_REGIMES)
+    return rounded(rows.select(*_GOLD.split(", ")))
+
+
+@run(
+    O.query(
+        f"""SELECT CAST(sum(rows_in_bar) AS BIGINT) AS rows_in, count(*) AS bars_total,
+              count(*) FILTER (rows_in_bar <> 2) AS bars_incomplete,
+              count(*) FILTER (rows_in_bar = 2) AS rows_out,
+              min(open_ts) FILTER (rows_in_bar = 2) AS min_ts,
+              max(open_ts) FILTER (rows_in_bar = 2) AS max_ts,
+              count(*) FILTER (rows_in_bar = 2 AND {O.KLINE_REGIME} = 'pre_covid')
+                AS rows_pre_covid,
+              count(*) FILTER (rows_in_bar = 2 AND {O.KLINE_REGIME} = 'covid') AS rows_covid,
+              count(*) FILTER (rows_in_bar = 2 AND {O.KLINE_REGIME} = 'post_covid')
+                AS rows_post_covid
+            FROM bars""",
+        ("bars",),
+    )
+)
+def gold_audit(spark: SparkSession, sf: str) -> DataFrame:
+    marked = resample.mark_complete(T.hour_bars(spark, sf), 2)
+    label = C.regime_label(F.col("open_ts"), T.KLINE_REGIMES)
+    return report.gold_audit(marked, label, T.KLINE_REGIMES.labels)
+
+
+_MODEL_DOUBLES = f"{_BAR_DOUBLES} {_FEATURES} target_close"
+
+
+def _model(spark: SparkSession, sf: str) -> DataFrame:
+    rows = stage(layers.gold(T.silver(spark, sf), None, regimes=T.KLINE_REGIMES), "gold")
+    return layers.model_input(rows)
+
+
+@run(O.query("SELECT * FROM model", ("model",), _MODEL_DOUBLES))
+def model_input(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_model(spark, sf))
+
+
+@run(O.query("SELECT * FROM model_clean", ("model_clean",), _MODEL_DOUBLES))
+def model_clean(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(features.drop_incomplete_model_rows(_model(spark, sf)))
+
+
+@run(O.query("SELECT * FROM model_clean", ("model_clean",), _MODEL_DOUBLES))
+def quarter_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Written one folder per quarter, then read back."""
+    folder = new_folder(spark, "quarters")
+    kept = features.drop_incomplete_model_rows(_model(spark, sf))
+    store.write_quarters(kept, folder, ["open_ts", *T.KEYS])
+    back = spark.read.schema(kept.schema).parquet(folder)
+    return rounded(back.select(*kept.columns))
+
+
+# --- ingest ---------------------------------------------------------------
+
+
+_MONTHS = """SELECT replace(o_orderpriority, ' ', '') AS symbol,
+      unnest(range(CAST(min(date_trunc('month', o_orderdate)) AS TIMESTAMP),
+        CAST(max(date_trunc('month', o_orderdate)) AS TIMESTAMP) + INTERVAL 1 MONTH,
+        INTERVAL 1 MONTH)) AS m
+    FROM orders GROUP BY 1"""
+
+
+def _periods(spark: SparkSession, sf: str) -> DataFrame:
+    """Months each order priority spans, as if it were a market symbol."""
+    symbol = F.replace(F.col("o_orderpriority"), F.lit(" "), F.lit(""))
+    spans = T.table(spark, sf, "orders").groupBy(symbol.alias("symbol")).agg(
+        F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last")
+    )
+    return archives.month_periods(spans, T.KEYS, "first", "last")
+
+
+@run(
+    O.query(
+        """SELECT symbol, CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month,
+             strftime(m, '%Y-%m') AS period FROM months""",
+        (), months=_MONTHS,
+    )
+)
+def month_periods(spark: SparkSession, sf: str) -> DataFrame:
+    return _periods(spark, sf)
+
+
+_ZIP = "concat(symbol, '-1m-', strftime(m, '%Y-%m'), '.zip')"
+
+
+@run(
+    O.query(
+        f"""SELECT symbol, period, zip_filename, concat(zip_filename, '.CHECKSUM')
+              AS checksum_filename,
+              concat('{BASE_URL}/', symbol, '/1m/', zip_filename) AS zip_url,
+              concat('{BASE_URL}/', symbol, '/1m/', zip_filename, '.CHECKSUM') AS checksum_url
+            FROM (SELECT symbol, strftime(m, '%Y-%m') AS period, {_ZIP} AS zip_filename
+                  FROM months)""",
+        (), months=_MONTHS,
+    )
+)
+def manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return archives.manifest(_periods(spark, sf), BASE_URL).drop("year", "month")
+
+
+# Documents stand for archives: their text is the content, and one in four
+# checksum texts each is right, wrong, blank or absent.
+_DOC_NAME = "concat('doc-', CAST(doc_id AS {text}), '.zip')"
+_DOC_FILES = f"""SELECT {_DOC_NAME.format(text='VARCHAR')} AS zip_filename, doc_id,
+      sha256(text) AS digest, octet_length(encode(text)) AS bytes FROM documents"""
+_DOC_VERIFIED = """SELECT *, bytes > 0 AS download_ok,
+      CASE doc_id % 4 WHEN 0 THEN true WHEN 1 THEN false END AS checksum_ok,
+      CASE doc_id % 4 WHEN 0 THEN digest WHEN 1 THEN repeat('0', 64) END AS expected_hash,
+      CASE WHEN doc_id % 4 < 2 THEN digest END AS actual_hash
+    FROM files"""
+
+
+def _doc_archives(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    docs = T.table(spark, sf, "documents").select("doc_id", "text")
+    name = F.expr(_DOC_NAME.format(text="STRING")).alias("zip_filename")
+    digest = F.sha2("text", 256)
+    listed = docs.select(name, "doc_id")
+    landed = docs.select(
+        name,
+        F.octet_length("text").cast("long").alias("zip_size_bytes"),
+        digest.alias("actual_hash"),
+    )
+    kind = F.col("doc_id") % 4
+    text = (
+        F.when(kind == 0, F.concat(F.lit("\n "), F.upper(digest), F.lit("  "), name))
+        .when(kind == 1, F.concat(F.repeat(F.lit("0"), F.lit(64)), F.lit("\tother.zip")))
+        .otherwise(F.lit(" \n\t"))
+    )
+    checksums = docs.filter(kind < 3).select(name, text.alias("checksum_text"))
+    return listed, landed, checksums
+
+
+def _doc_verified(spark: SparkSession, sf: str) -> DataFrame:
+    return archives.verify_checksums(*_doc_archives(spark, sf))
+
+
+@run(
+    O.query(
+        "SELECT zip_filename, download_ok, checksum_ok, expected_hash, actual_hash FROM verified",
+        (), files=_DOC_FILES, verified=_DOC_VERIFIED,
+    )
+)
+def checksum_verify(spark: SparkSession, sf: str) -> DataFrame:
+    return _doc_verified(spark, sf).select(
+        "zip_filename", "download_ok", "checksum_ok", "expected_hash", "actual_hash"
+    )
+
+
+@run(
+    O.query(
+        "SELECT zip_filename, checksum_ok FROM verified "
+        "WHERE download_ok AND checksum_ok IS DISTINCT FROM false",
+        (), files=_DOC_FILES, verified=_DOC_VERIFIED,
+    )
+)
+def ingest_gate(spark: SparkSession, sf: str) -> DataFrame:
+    return archives.usable(_doc_verified(spark, sf)).select("zip_filename", "checksum_ok")
+
+
+@run(
+    O.query(
+        f"""SELECT 'all' AS period, zip_filename, concat('{BASE_URL}/', zip_filename) AS zip_url,
+              concat('{BASE_URL}/', zip_filename, '.CHECKSUM') AS checksum_url, download_ok,
+              checksum_ok, coalesce(download_ok AND checksum_ok IS DISTINCT FROM false, false)
+                AS extract_ok,
+              CAST(bytes AS BIGINT) AS zip_size_bytes, expected_hash, actual_hash
+            FROM verified""",
+        (), files=_DOC_FILES, verified=_DOC_VERIFIED,
+    )
+)
+def ingest_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit log without its time stamp, appended and read back."""
+    verified = stage(_doc_verified(spark, sf), "verified")
+    named = verified.withColumns(
+        {
+            "period": F.lit("all"),
+            "zip_url": F.concat(F.lit(f"{BASE_URL}/"), F.col("zip_filename")),
+            "checksum_url": F.concat(F.lit(f"{BASE_URL}/"), F.col("zip_filename"),
+                                     F.lit(".CHECKSUM")),
+        }
+    )
+    extracted = archives.usable(verified).select("zip_filename", F.lit(True).alias("extract_ok"))
+    log = archives.ingest_log(named, extracted)
+    folder = new_folder(spark, "ingest-log")
+    archives.append_log(log, folder)
+    return spark.read.schema(log.schema).parquet(folder).drop("timestamp")
+
+
+@run(
+    O.query(
+        f"SELECT {_DOC_NAME.format(text='VARCHAR')} AS zip_filename, doc_id FROM documents "
+        "WHERE doc_id % 3 = 0 OR text IS NULL OR length(text) = 0 OR doc_id % 5 = 0"
+    )
+)
+def pending(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the archives has not landed and a fifth is empty."""
+    listed, landed, _ = _doc_archives(spark, sf)
+    number = F.regexp_extract("zip_filename", r"(\d+)", 1).cast("long")
+    size = F.when(number % 5 == 0, F.lit(0)).otherwise(F.col("zip_size_bytes"))
+    there = landed.filter(number % 3 != 0).withColumn("zip_size_bytes", size)
+    return archives.pending(listed, there)
+
+
+def _csv_folder(spark: SparkSession, sf: str) -> str:
+    """Raw candles as headerless CSV, one folder of parts per monthly file."""
+    folder = new_folder(spark, "csv")
+    rows = T.klines(spark, sf).select(*schema.RAW_COLUMNS, "source_file")
+    rows.write.partitionBy("source_file").option("header", False).csv(folder)
+    return folder
+
+
+_LINEAGE_SQL = """symbol, source_file,
+    concat('2024-', substr(source_file, length(source_file) - 5, 2)) AS file_period,
+    CAST(2024 AS INTEGER) AS file_year,
+    CAST(substr(source_file, length(source_file) - 5, 2) AS INTEGER) AS file_month"""
+
+
+@run(
+    O.query(
+        f"""SELECT {_LINEAGE_SQL}, open_time, open, high, low, close, volume, close_time,
+              quote_asset_volume, number_of_trades, taker_buy_base_volume,
+              taker_buy_quote_volume, "ignore" FROM bronze""",
+        ("bronze",),
+        "open high low close volume quote_asset_volume taker_buy_base_volume "
+        "taker_buy_quote_volume ignore",
+    )
+)
+def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(raw_files.read_bronze(spark, _csv_folder(spark, sf)))
+
+
+@run(
+    O.query(
+        f"SELECT event_id, {_LINEAGE_SQL} FROM klines WHERE event_id % 7 <> 0 UNION ALL "
+        "SELECT event_id, NULL, 'other.csv', NULL, NULL, NULL FROM klines WHERE event_id % 7 = 0",
+        ("klines",),
+    )
+)
+def csv_lineage(spark: SparkSession, sf: str) -> DataFrame:
+    """File names parsed; one row in seven comes from a file named otherwise."""
+    name = F.when(F.col("event_id") % 7 == 0, F.lit("other.csv")).otherwise(F.col("source_file"))
+    rows = T.klines(spark, sf).select("event_id", name.alias("source_file"))
+    return raw_files.with_lineage(rows)
+
+
+@run(
+    O.query(
+        """SELECT source_file, count(*) AS rows FROM bronze GROUP BY source_file
+           UNION ALL SELECT NULL, count(*) FROM bronze""",
+        ("bronze",),
+    )
+)
+def rows_per_file(spark: SparkSession, sf: str) -> DataFrame:
+    return report.rows_per_file(T.bronze(spark, sf))
+
+
+@run(
+    O.query(
+        "SELECT event_id, symbol, open_ts, close, CAST(number_of_trades AS DOUBLE) "
+        "AS number_of_trades FROM stamped",
+        ("stamped",),
+    )
+)
+def union_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-file frames with differing column order and number types, stacked."""
+    rows = T.stamped(spark, sf)
+    columns = ["event_id", "symbol", "open_ts", "close", "number_of_trades"]
+    early = rows.filter(F.col("open_ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
+    late = rows.filter(F.col("open_ts") >= F.lit("2024-01-16").cast("timestamp_ntz"))
+    widened = late.withColumn("number_of_trades", F.col("number_of_trades").cast("double"))
+    return early.select(*columns).unionByName(widened.select(*reversed(columns)))
+
+
+@run(
+    O.query(
+        "SELECT count(*) AS rows_written, count(*) AS rows_read, true AS verified FROM silver",
+        ("silver",),
+    )
+)
+def copy_verify(spark: SparkSession, sf: str) -> DataFrame:
+    source = new_folder(spark, "layer")
+    store.write_layer(T.silver(spark, sf), source)
+    return store.verified_copy(spark, source, new_folder(spark, "copy"))
+
+
+@run()
+def stored_size(spark: SparkSession, sf: str) -> DataFrame:
+    """Size of the stored bar layer; depends on the encoder, so no SQL twin."""
+    folder = new_folder(spark, "layer")
+    store.write_sorted(T.hour_bars(spark, sf), folder, ["symbol", "open_ts"])
+    return store.stored_size(spark, folder)
