@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from candlemill.functions import candle as C
 from candlemill.operators.clean import typed, with_timestamps
-from candlemill.operators.ordered import over_rows, quantile_scalars, quantiles
+from candlemill.operators.order_stats import quantile_scalars, quantiles
+from candlemill.operators.ordered import join_null_safe, over_rows
 from candlemill.schema import (
     BACKFILL_REGIMES,
     GOLD_REGIMES,
@@ -18,6 +19,7 @@ from candlemill.schema import (
     Regimes,
     require_columns,
 )
+from candlemill.session import stage
 
 DAY_BARS = 24
 WEEK_BARS = 168
@@ -166,15 +168,14 @@ def with_price_season(
         )
         return df.withColumn("price_season", label)
     values = quantiles(df, [price], [(0.25, "nearest"), (0.75, "nearest")], by)
-    limits = values.groupBy(*[F.col(b).alias(f"_by_{b}") for b in by]).agg(
+    limits = values.groupBy(*by).agg(
         F.max(F.when(F.col("prob") == 0.25, F.col("value"))).alias("_q1"),
         F.max(F.when(F.col("prob") == 0.75, F.col("value"))).alias("_q3"),
     )
-    same = F.lit(True)
-    for b in by:
-        same = same & F.col(b).eqNullSafe(F.col(f"_by_{b}"))
+    # One row per group. Staged, so that its true size decides the join.
+    joined = join_null_safe(df, stage(limits, "limits"), by, "left")
     label = C.price_season_label(close, F.col("_q1"), F.col("_q3"))
-    return df.join(limits, same, "left").select(*df.columns, label.alias("price_season"))
+    return joined.select(*df.columns, label.alias("price_season"))
 
 
 def select_model_columns(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:

@@ -15,11 +15,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from candlemill.session import stage
+from candlemill.session import small_table, stage
 
 LANE = "_lane"
 POSITION = "_position"
@@ -58,17 +58,17 @@ def sort_into_lanes(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
         (r[LANE], r["n"])
         for r in staged.groupBy(LANE).agg(F.count(F.lit(1)).alias("n")).collect()
     )
-    starts, total = [], 0
+    shifts, total = [], 0
     for lane, n in counts:
-        starts.append((lane, total - (lane << _ROW_BITS)))
+        shifts.append(total - (lane << _ROW_BITS))
         total += n
-    shift_schema = T.StructType(
-        [T.StructField(LANE, T.LongType()), T.StructField("_shift", T.LongType())]
-    )
     # One row per lane: bounded by the number of shuffle partitions.
-    shifts = F.broadcast(df.sparkSession.createDataFrame(starts, shift_schema))
+    by_lane = small_table(
+        df.sparkSession,
+        **{LANE: (pa.int64(), [lane for lane, _ in counts]), "_shift": (pa.int64(), shifts)},
+    )
     rows = (
-        staged.join(shifts, LANE)
+        staged.join(F.broadcast(by_lane), LANE)
         .withColumn(POSITION, F.col(POSITION) + F.col("_shift"))
         .drop("_shift")
     )
@@ -84,21 +84,21 @@ def with_row_index(
         return rows.withColumnRenamed(POSITION, name).drop(LANE)
     # A series contributes one row per lane it touches, so neither the window
     # nor the join sees more rows of one series than there are lanes or than a
-    # lane holds.
+    # lane holds. Staged, its true size decides how Spark joins it.
     segments = rows.groupBy(*keys, LANE).agg(F.min(POSITION).alias("_first"))
     per_key = Window.partitionBy(*keys)
-    segments = segments.withColumn("_first", F.min("_first").over(per_key))
-    renamed = segments.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col(LANE).alias("_seg_lane"),
-        "_first",
-    )
-    same = F.col(LANE) == F.col("_seg_lane")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return rows.join(renamed, same).select(
-        *df.columns, (F.col(POSITION) - F.col("_first")).alias(name)
-    )
+    first = segments.withColumn("_first", F.min("_first").over(per_key))
+    indexed = join_null_safe(rows, stage(first, "segments"), [*keys, LANE])
+    return indexed.select(*df.columns, (F.col(POSITION) - F.col("_first")).alias(name))
+
+
+def join_null_safe(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Equi-join that also matches NULL keys; the keys come from the left."""
+    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on]
+    return left.join(renamed, same, how).drop(*[f"_right_{c}" for c in on])
 
 
 def every_nth(
@@ -142,106 +142,3 @@ def over_rows(
     return build(spread, w).filter(F.col(CHUNK) == own).drop(CHUNK, POSITION)
 
 
-def _distinct_values(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str]
-) -> DataFrame:
-    """Distinct non-null, non-NaN values per (by, variable) with their counts."""
-    wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    long = wide.unpivot([F.col(b) for b in by], list(columns), "variable", "value")
-    known = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    return known.groupBy(*by, "variable", "value").agg(F.count(F.lit(1)).alias("_n"))
-
-
-def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[tuple[float, str]],
-    by: Sequence[str] = (),
-) -> DataFrame:
-    """Exact quantiles, one row per (by, variable, prob, rule), with the count.
-
-    Rules: ``nearest`` takes the value at rank ``floor((n - 1) * p + 0.5)``;
-    ``linear`` interpolates between the two ranks around ``(n - 1) * p`` (the
-    median at 0.5). Nulls and NaN are left out.
-
-    Values are counted before any of them is sorted, so a value shared by many
-    rows costs one row; only lanes that hold a wanted rank are then looked at.
-    """
-    counts = _distinct_values(df, columns, by)
-    lanes = stage(
-        counts.repartitionByRange(*by, "variable", "value").withColumn(
-            LANE, F.spark_partition_id()
-        ),
-        "values",
-    )
-    group = [*by, "variable"]
-    per_lane = lanes.groupBy(*group, LANE).agg(F.sum("_n").alias("_in_lane"))
-    # One row per lane and group from here on.
-    in_order = Window.partitionBy(*group).orderBy(LANE)
-    whole = Window.partitionBy(*group)
-    per_lane = per_lane.withColumns(
-        {
-            "_before": F.sum("_in_lane").over(in_order) - F.col("_in_lane"),
-            "n": F.sum("_in_lane").over(whole),
-        }
-    )
-    wanted = per_lane.withColumn("_want", F.explode(_wanted_ranks(probs))).select(
-        *[F.col(b).alias(f"_by_{b}") for b in by],
-        F.col("variable").alias("_variable"),
-        F.col(LANE).alias("_want_lane"),
-        "_before", "_in_lane", "n", "_want.*",
-    )
-    rank = F.col("rank")
-    wanted = wanted.filter(
-        (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_in_lane"))
-    )
-    if not by:
-        # At most two ranks per column and probability.
-        wanted = F.broadcast(wanted)
-    same = (F.col("variable") == F.col("_variable")) & (F.col(LANE) == F.col("_want_lane"))
-    for b in by:
-        same = same & F.col(b).eqNullSafe(F.col(f"_by_{b}"))
-    want = [*group, "prob", "rule", "rank"]
-    running = F.sum("_n").over(Window.partitionBy(*want).orderBy("value"))
-    picked = (
-        lanes.join(wanted, same)
-        .withColumn("_upto", F.col("_before") + running)
-        .filter((rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("_n")))
-    )
-    return picked.groupBy(*group, "prob", "rule").agg(
-        F.sum(F.col("value") * F.col("weight")).alias("value"),
-        F.max("n").alias("n"),
-    )
-
-
-def _wanted_ranks(probs: Sequence[tuple[float, str]]) -> Column:
-    """Array of (prob, rule, rank, weight), given the count in column ``n``."""
-    entries = []
-    for prob, rule in probs:
-        place = (F.col("n") - 1) * F.lit(float(prob))
-        low = F.floor(place)
-        part = place - low
-        if rule == "nearest":
-            parts = [(F.floor(place + 0.5), F.lit(1.0))]
-        elif rule == "linear":
-            parts = [(low, 1.0 - part), (low + 1, part)]
-        else:
-            raise ValueError(f"unknown quantile rule: {rule}")
-        for rank, weight in parts:
-            entries.append(
-                F.struct(
-                    F.lit(float(prob)).alias("prob"),
-                    F.lit(rule).alias("rule"),
-                    rank.cast("long").alias("rank"),
-                    weight.alias("weight"),
-                )
-            )
-    return F.filter(F.array(*entries), lambda e: e["weight"] > 0)
-
-
-def quantile_scalars(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[tuple[float, str]]
-) -> dict[tuple[str, float, str], float]:
-    """Whole-table quantiles as numbers: one per column, probability and rule."""
-    rows = quantiles(df, columns, probs).collect()
-    return {(r["variable"], r["prob"], r["rule"]): r["value"] for r in rows}

@@ -1,6 +1,6 @@
 """Data-quality tables: state, nulls, descriptives, outliers, noise, correlation.
 
-Each table is one aggregate over its input; quantiles add one counted sort.
+Each table is one aggregate over its input; quantiles add a few more passes.
 Inputs that are expensive to derive should be staged by the caller first.
 """
 
@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.operators.clean import series_audit
-from candlemill.operators.ordered import quantile_scalars
+from candlemill.operators.order_stats import quantile_scalars
 from candlemill.schema import OUTLIER_COLUMNS, present_only
+from candlemill.session import small_table
 
 NEAREST = "nearest"
 QUARTILES = [(0.25, NEAREST), (0.5, NEAREST), (0.75, NEAREST)]
@@ -64,8 +66,12 @@ def dataset_state(
 
 def schema_table(df: DataFrame) -> DataFrame:
     """Column names and types, in column order."""
-    rows = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "variable string, type string")
+    fields = df.schema.fields
+    return small_table(
+        df.sparkSession,
+        variable=(pa.string(), [f.name for f in fields]),
+        type=(pa.string(), [f.dataType.simpleString() for f in fields]),
+    )
 
 
 def null_counts(df: DataFrame, dataset: str | None = None) -> DataFrame:

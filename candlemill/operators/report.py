@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.functions.candle import month_label
-from candlemill.operators.ordered import quantiles
+from candlemill.operators.order_stats import quantile_scalars
 from candlemill.schema import present_only
+from candlemill.session import small_table
 
 QUARTILES = [(0.25, "linear"), (0.5, "linear"), (0.75, "linear")]
 
@@ -196,42 +198,35 @@ def box_stats(
     """Quartiles, whiskers and outlier counts of the listed groups, in order.
 
     Quartiles interpolate. Whiskers are the extreme values within 1.5 box
-    heights of the box. A group without values yields a row of NULLs.
+    heights of the box. A group without values yields a row of NULLs. Each
+    group becomes a column, so a group of any size is only ever aggregated.
     """
     value = F.col(column).cast("double")
-    rows = df.select(F.col(by).alias("_group"), value.alias("_x")).filter(
-        F.col("_group").isin(list(groups)) & F.col("_x").isNotNull() & ~F.isnan("_x")
+    names = [f"g{i}" for i in range(len(groups))]
+    wide = df.select(
+        *[
+            F.when((F.col(by) == g) & ~F.isnan(value), value).alias(name)
+            for g, name in zip(groups, names)
+        ]
     )
-    long = quantiles(rows, ["_x"], QUARTILES, ["_group"])
-    at = {p: F.max(F.when(F.col("prob") == p, F.col("value"))) for p, _ in QUARTILES}
-    boxes = long.groupBy("_group").agg(
-        at[0.25].alias("q1"), at[0.5].alias("median"), at[0.75].alias("q3")
-    )
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    below = F.col("_x") < F.col("q1") - reach
-    above = F.col("_x") > F.col("q3") + reach
-    # As many boxes as listed groups.
-    inside = (
-        rows.join(F.broadcast(boxes), "_group")
-        .groupBy("_group")
-        .agg(
-            F.max("q1").alias("q1"),
-            F.max("median").alias("median"),
-            F.max("q3").alias("q3"),
-            F.min(F.when(~below, F.col("_x"))).alias("_low"),
-            F.max(F.when(~above, F.col("_x"))).alias("_high"),
-            F.count_if(below | above).alias("outliers"),
-            F.count(F.lit(1)).alias("rows"),
+    q = quantile_scalars(wide, names, QUARTILES)
+    lines = []
+    for place, (group, name) in enumerate(zip(groups, names)):
+        q1, q2, q3 = (F.lit(q[name, p, rule]).cast("double") for p, rule in QUARTILES)
+        x, reach = F.col(name), 1.5 * (q3 - q1)
+        below, above = x < q1 - reach, x > q3 + reach
+        none = F.count(name) == 0
+        lines.append(
+            F.struct(
+                F.lit(place).alias("place"),
+                F.lit(group).alias(by),
+                q1.alias("q1"),
+                q2.alias("median"),
+                q3.alias("q3"),
+                F.least(F.min(F.when(~below, x)), q1).alias("whisker_low"),
+                F.greatest(F.max(F.when(~above, x)), q3).alias("whisker_high"),
+                F.when(~none, F.count_if(below | above)).alias("outliers"),
+                F.when(~none, F.count(name)).alias("rows"),
+            )
         )
-    )
-    listed = df.sparkSession.createDataFrame(
-        list(enumerate(groups)), "place int, _group string"
-    )
-    return listed.join(F.broadcast(inside), "_group", "left").select(
-        "place",
-        F.col("_group").alias(by),
-        "q1", "median", "q3",
-        F.least("_low", "q1").alias("whisker_low"),
-        F.greatest("_high", "q3").alias("whisker_high"),
-        "outliers", "rows",
-    )
+    return wide.agg(F.array(*lines).alias("_lines")).select(F.inline("_lines"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Naive timestamps mean UTC everywhere in this package.
@@ -88,3 +90,9 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = new_folder(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_table(spark: SparkSession, **columns: tuple[pa.DataType, Sequence]) -> DataFrame:
+    """A table of driver-side values, kept in the plan: no Python workers."""
+    arrays = {name: pa.array(list(values), kind) for name, (kind, values) in columns.items()}
+    return spark.createDataFrame(pa.table(arrays))

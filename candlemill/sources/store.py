@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from candlemill.session import small_table
+
 
 def write_layer(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
@@ -56,9 +59,7 @@ def copy_layer(spark: SparkSession, source: str, target: str) -> dict[str, int]:
 def verified_copy(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Copy a layer and return it as a table: rows written, read, and equality."""
     counts = copy_layer(spark, source, target)
-    table = spark.createDataFrame(
-        [(counts["rows_written"], counts["rows_read"])], "rows_written bigint, rows_read bigint"
-    )
+    table = small_table(spark, **{name: (pa.int64(), [n]) for name, n in counts.items()})
     return table.withColumn("verified", F.col("rows_written") == F.col("rows_read"))
 
 

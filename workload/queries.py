@@ -8,14 +8,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlemill import schema
 from candlemill.functions import candle as C
-from candlemill.operators import clean, features, ordered, quality, report, resample
+from candlemill.operators import (
+    clean,
+    features,
+    order_stats,
+    ordered,
+    quality,
+    report,
+    resample,
+)
 from candlemill.plans import layers
-from candlemill.session import new_folder, stage
+from candlemill.session import new_folder, small_table, stage
 from candlemill.sources import archives, klines as raw_files, store
 from workload import oracle as O
 from workload import tables as T
@@ -651,8 +660,13 @@ _PROBS = (0.25, 0.75, 0.99, 0.999)
 def quantiles(spark: SparkSession, sf: str) -> DataFrame:
     rows = T.table(spark, sf, "lineitem")
     probs = [(p, "nearest") for p in _PROBS]
-    out = ordered.quantiles(rows, ["l_extendedprice", "l_quantity"], probs)
-    return out.select("variable", "prob", "value")
+    values = order_stats.quantile_scalars(rows, ["l_extendedprice", "l_quantity"], probs)
+    return small_table(
+        spark,
+        variable=(pa.string(), [c for c, _, _ in values]),
+        prob=(pa.float64(), [p for _, p, _ in values]),
+        value=(pa.float64(), list(values.values())),
+    )
 
 
 @run(
@@ -664,7 +678,7 @@ def quantiles(spark: SparkSession, sf: str) -> DataFrame:
 )
 def median(spark: SparkSession, sf: str) -> DataFrame:
     rows = T.table(spark, sf, "lineitem")
-    out = ordered.quantiles(rows, ["l_extendedprice"], [(0.5, "linear")], ["l_returnflag"])
+    out = order_stats.quantiles(rows, ["l_extendedprice"], [(0.5, "linear")], ["l_returnflag"])
     return rounded(out.select("l_returnflag", "variable", F.col("value").alias("median")))
 
 
