@@ -4,36 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.schema import SUM_COLUMNS, present_only
 
 
-def bars(
-    df: DataFrame,
-    every: str = "1 hour",
-    keys: Sequence[str] = ("symbol",),
-    ts: str = "open_ts",
-    tiebreak: Sequence[str] = (),
-) -> DataFrame:
-    """Tumbling left-closed bars labelled by their start; empty bars are absent.
+def bar_values(
+    df: DataFrame, ts: str = "open_ts", tiebreak: Sequence[str] = ()
+) -> list[Column]:
+    """What a bar holds of its candles; all of it combines before the shuffle.
 
-    First and last are taken by time (then ``tiebreak``), not by arrival, and
-    combine before the shuffle. A sum over missing values only is 0.
+    First and last are taken by time (then ``tiebreak``), not by arrival. A
+    sum over missing values only is 0.
     """
     at = F.struct(ts, *tiebreak) if tiebreak else F.col(ts)
-    start = F.window(ts, every)["start"].cast("timestamp_ntz")
     sums = present_only(df, SUM_COLUMNS)
     zero = {c: F.lit(0).cast(df.schema[c].dataType) for c in sums}
-    return df.groupBy(*keys, start.alias("open_ts")).agg(
+    return [
         F.min_by("open", at).alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
         F.max_by("close", at).alias("close"),
         *[F.coalesce(F.sum(c), zero[c]).alias(c) for c in sums],
         F.count(F.lit(1)).alias("rows_in_bar"),
-    )
+    ]
+
+
+def bars(
+    df: DataFrame,
+    every: str = "1 hour",
+    keys: Sequence[str] = ("symbol",),
+    ts: str = "open_ts",
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """Tumbling left-closed bars labelled by their start; empty bars are absent."""
+    start = F.window(ts, every)["start"].cast("timestamp_ntz").alias("open_ts")
+    return df.groupBy(*keys, start).agg(*bar_values(df, ts, tiebreak))
 
 
 def ticks(df: DataFrame, price: str) -> DataFrame:

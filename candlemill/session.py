@@ -76,8 +76,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """Path of a folder nobody has used yet, inside the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """Path of a folder nobody has used yet, inside the shared folder.
+
+    Grouped by application, so that what a finished run left can be removed.
+    """
+    root = shared_folder(spark).rstrip("/")
+    return f"{root}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

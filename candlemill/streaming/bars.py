@@ -21,7 +21,10 @@ def stream_bars(
 
     Watermarks need a zoned timestamp, so ``open_ts`` is read as UTC.
     """
-    timed = candles.withColumn("open_ts", F.col("open_ts").cast("timestamp"))
-    return resample.bars(
-        timed.withWatermark("open_ts", late_by), every, keys, tiebreak=tiebreak
+    timed = candles.withColumn("open_ts", F.col("open_ts").cast("timestamp")).withWatermark(
+        "open_ts", late_by
     )
+    values = resample.bar_values(timed, tiebreak=tiebreak)
+    closed = timed.groupBy(*keys, F.window("open_ts", every).alias("_bar")).agg(*values)
+    start = F.col("_bar.start").cast("timestamp_ntz").alias("open_ts")
+    return closed.select(*keys, start, *[c for c in closed.columns if c not in (*keys, "_bar")])
