@@ -14,6 +14,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ Prob = tuple[float, str]
 _LANE = "_lane"
 
 # Values left around a wanted rank that one task may sort.
-SORT_LIMIT = 1_000_000
+SORT_LIMIT = 100_000
 # percentile_approx is off by at most 1/accuracy of the rows.
 _ACCURACY = 10_000
 
@@ -64,16 +66,26 @@ class _Search:
         return known
 
 
-def _bracket(df: DataFrame, searches: Sequence[_Search]) -> list[tuple[float, float]]:
+def _by_interval(searches: Sequence[_Search]) -> list[list[_Search]]:
+    """Searches that still look at the same values share one pass over them."""
+    groups: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        groups.setdefault((s.column, s.low, s.high), []).append(s)
+    return list(groups.values())
+
+
+def _bracket(df: DataFrame, groups: Sequence[Sequence[_Search]]) -> list[list[float]]:
     """Values a little below and above each wanted rank, by sketch."""
     slack = 2.0 / _ACCURACY
     aggregates = []
-    for i, s in enumerate(searches):
-        prob = (s.rank + 0.5) / s.size
-        pair = [max(0.0, prob - slack), min(1.0, prob + slack)]
-        value = F.when(s.inside(), F.col(s.column))
-        aggregates.append(F.percentile_approx(value, pair, _ACCURACY).alias(f"s{i}"))
-    return [tuple(pair) for pair in df.agg(*aggregates).first()]
+    for i, group in enumerate(groups):
+        probs = []
+        for s in group:
+            prob = (s.rank + 0.5) / s.size
+            probs += [max(0.0, prob - slack), min(1.0, prob + slack)]
+        value = F.when(group[0].inside(), F.col(group[0].column))
+        aggregates.append(F.percentile_approx(value, probs, _ACCURACY).alias(f"s{i}"))
+    return [list(limits) for limits in df.agg(*aggregates).first()]
 
 
 def _narrow(df: DataFrame, searches: Sequence[_Search]) -> None:
@@ -83,7 +95,10 @@ def _narrow(df: DataFrame, searches: Sequence[_Search]) -> None:
     result. Values equal to a limit are counted apart: however many rows share
     one value, it either is the answer or drops out.
     """
-    brackets = _bracket(df, searches)
+    groups = _by_interval(searches)
+    searches = [s for group in groups for s in group]
+    limits = [x for bracket in _bracket(df, groups) for x in bracket]
+    brackets = list(zip(limits[0::2], limits[1::2]))
     aggregates = []
     for i, (s, (a, b)) in enumerate(zip(searches, brackets)):
         x, inside = F.col(s.column), s.inside()
@@ -105,24 +120,24 @@ def _narrow(df: DataFrame, searches: Sequence[_Search]) -> None:
 
 def _pick(df: DataFrame, searches: Sequence[_Search]) -> None:
     """Sort the few values left of each search; equal values count as one."""
-    entries = F.filter(
-        F.array(
-            *[
-                F.struct(F.lit(i).alias("i"), F.when(s.inside(), F.col(s.column)).alias("x"))
-                for i, s in enumerate(searches)
-            ]
-        ),
-        lambda e: e["x"].isNotNull(),
+    groups = _by_interval(searches)
+    inside = [g[0].inside() for g in groups]
+    entries = F.array(
+        *[
+            F.struct(F.lit(i).alias("i"), F.when(here, F.col(g[0].column)).alias("x"))
+            for i, (g, here) in enumerate(zip(groups, inside))
+        ]
     )
-    values = df.select(F.inline(entries)).groupBy("i", "x").agg(F.count(F.lit(1)).alias("n"))
+    left = df.filter(reduce(or_, inside)).select(F.inline(entries)).filter("x IS NOT NULL")
+    values = left.groupBy("i", "x").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy("i").orderBy("x"))
-    ranks = F.array(*[F.lit(s.rank) for s in searches])
-    rank = ranks[F.col("i")]
-    found = values.withColumn("upto", upto).filter(
-        (rank < F.col("upto")) & (rank >= F.col("upto") - F.col("n"))
-    )
-    for row in found.collect():
-        searches[row["i"]].value = row["x"]
+    wanted = F.array(*[F.array(*[F.lit(s.rank) for s in g]) for g in groups])
+    first = F.col("upto") - F.col("n")
+    hit = F.exists(wanted[F.col("i")], lambda r: (r >= first) & (r < F.col("upto")))
+    for row in values.withColumn("upto", upto).filter(hit).collect():
+        for s in groups[row["i"]]:
+            if row["upto"] - row["n"] <= s.rank < row["upto"]:
+                s.value = row["x"]
 
 
 def quantile_scalars(

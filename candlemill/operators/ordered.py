@@ -28,7 +28,7 @@ CHUNK = "_chunk"
 # monotonically_increasing_id: partition number above, row number below this bit.
 _ROW_BITS = 33
 _MIN_CHUNK_ROWS = 8_192
-_MAX_CHUNK_ROWS = 262_144
+_MAX_CHUNK_ROWS = 65_536
 
 
 @dataclass(frozen=True)
@@ -110,7 +110,7 @@ def every_nth(
 
 
 def _chunk_rows(n_rows: int, n_parts: int, lookback: int) -> int:
-    even = n_rows // max(1, 4 * n_parts)
+    even = n_rows // max(1, 16 * n_parts)
     return max(min(max(even, _MIN_CHUNK_ROWS), _MAX_CHUNK_ROWS), 4 * lookback, 1)
 
 

@@ -51,9 +51,9 @@ def manifest(
     )
 
 
-def landed_files(spark: SparkSession, path: str) -> DataFrame:
-    """Names, sizes and SHA-256 digests of the files under ``path``."""
-    files = spark.read.format("binaryFile").load(path)
+def landed_files(spark: SparkSession, folder: str, pattern: str = "*.zip") -> DataFrame:
+    """Names, sizes and SHA-256 digests of the archives in ``folder``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     return files.select(
         F.element_at(F.split("path", "/"), -1).alias("zip_filename"),
         F.col("length").alias("zip_size_bytes"),
@@ -137,13 +137,14 @@ def _members(content: bytes) -> Iterator[tuple[str | None, list[str | None], boo
         yield None, [None], False
 
 
-def archive_lines(spark: SparkSession, path: str) -> DataFrame:
+def archive_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Lines of all archive members; an unreadable archive adds a not-ok row.
 
-    Read twice (lines and verdict), so that lines never wait for the end of
-    their archive; the verdict of an archive is that no row of it is not-ok.
+    A task unpacks the few archives of one scan split and passes lines on in
+    batches, so it never holds a whole unpacked archive.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    paths = path if isinstance(path, str) else list(path)
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
     return files.mapInPandas(
         _unpack, "zip_filename string, member string, line string, ok boolean"
     )

@@ -50,7 +50,19 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """All-text rows from CSV ``line`` values; ``member`` names their file."""
+    cells = F.from_csv("line", RAW_SCHEMA.toDDL(), {"mode": "PERMISSIVE"})
+    return lines.select(cells.alias("_cells"), F.col("member").alias("source_file")).select(
+        *[F.col(f"_cells.{c}") for c in RAW_COLUMNS], "source_file"
+    )
+
+
+def to_bronze(raw: DataFrame) -> DataFrame:
     """Typed rows with lineage; rows without times or prices are left out."""
-    rows = with_lineage(bronze_rows(read_raw(spark, path)))
+    rows = with_lineage(bronze_rows(raw))
     return rows.select("symbol", *RAW_COLUMNS, *LINEAGE_COLUMNS)
+
+
+def read_bronze(spark: SparkSession, path: str) -> DataFrame:
+    return to_bronze(read_raw(spark, path))

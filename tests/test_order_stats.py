@@ -49,7 +49,7 @@ def columns_of(n, seed):
     return rows
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 40, 1])
+@pytest.mark.parametrize("limit", [100_000, 40, 1])
 def test_search_equals_brute_force(frame, limit):
     rows = columns_of(3_000, 11)
     df = frame(rows, "smooth double, tied double, skewed double, constant double")
@@ -65,8 +65,8 @@ def test_search_survives_a_bad_sketch(frame, monkeypatch):
     df = frame(rows, "smooth double, tied double, skewed double, constant double")
     monkeypatch.setattr(
         order_stats, "_bracket",
-        lambda df, searches: [tuple(df.filter(s.inside()).select(s.column).first()) * 2
-                              for s in searches],
+        lambda df, groups: [list(df.filter(g[0].inside()).select(g[0].column).first()) * 2 * len(g)
+                            for g in groups],
     )
     got = quantile_scalars(df, ["smooth"], [(0.25, "nearest")], sort_limit=100)
     assert got["smooth", 0.25, "nearest"] == brute([r[0] for r in rows], 0.25, "nearest")

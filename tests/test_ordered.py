@@ -72,7 +72,7 @@ def test_chunks_must_cover_the_lookback(series):
 
 def test_default_chunks_are_bounded():
     assert ordered._chunk_rows(100, 8, 23) == 8_192
-    assert ordered._chunk_rows(10**13, 1_000, 23) == 262_144
+    assert ordered._chunk_rows(10**13, 1_000, 23) == 65_536
     assert ordered._chunk_rows(10, 1, 100_000) == 400_000
 
 

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from candlemill.session import object_store_conf
+from candlemill.plans import ingest
 from candlemill.sources import archives, klines, store
 
 LINE = "{t},1.0,2.0,0.5,1.5,10,{u},15,3,5,7.5,0"
@@ -85,7 +86,7 @@ def test_archives(spark, landing):
 
 
 def test_checksums_and_gate(spark, frame, landing, tmp_path):
-    files = archives.landed_files(spark, f"{landing}/*.zip")
+    files = archives.landed_files(spark, str(landing))
     digest = hashlib.sha256((landing / "a.zip").read_bytes()).hexdigest()
     assert files.filter("zip_filename = 'a.zip'").first().actual_hash == digest
     names = ["a.zip", "bad.zip", "none.zip", "absent.zip"]
@@ -154,3 +155,50 @@ def test_object_store_settings_come_from_the_environment():
     conf = object_store_conf({"S3A_ENDPOINT": "http://store:9000", "S3A_ACCESS_KEY": "k"})
     assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
     assert "spark.hadoop.fs.s3a.secret.key" not in conf
+
+
+def test_ingest_stage(spark, frame, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    line = LINE.format(t=1704067200000, u=1704067259999)
+    digests = {}
+    for month, content in (("01", f"{line}\n{line},extra\n"), ("02", line), ("03", "")):
+        path = landing / f"ABC-1m-2024-{month}.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            z.writestr(f"ABC-1m-2024-{month}.csv", content)
+        digests[month] = hashlib.sha256(path.read_bytes()).hexdigest()
+    (landing / "ABC-1m-2024-04.zip").write_bytes(b"broken")
+    spans = frame([("ABC", date(2024, 1, 1), date(2024, 5, 31))],
+                  "symbol string, a date, b date")
+    texts = frame([("ABC-1m-2024-01.zip", digests["01"]), ("ABC-1m-2024-02.zip", "0 wrong")],
+                  "zip_filename string, checksum_text string")
+    bronze, log = str(tmp_path / "bronze"), str(tmp_path / "log")
+    left = ingest.ingest(
+        spark, archives.month_periods(spans, ["symbol"], "a", "b"), "https://archive.example",
+        str(landing), texts, bronze, log)
+    assert rows_of(left, "period") == [("2024-05",)]
+    assert rows_of(spark.read.parquet(bronze), "source_file", "open", "close_time") == [
+        ("ABC-1m-2024-01.csv", 1.0, 1704067259999)] * 2
+    assert rows_of(spark.read.parquet(log), "period", "download_ok", "checksum_ok",
+                   "extract_ok") == [
+        ("2024-01", True, True, True), ("2024-02", True, False, False),
+        ("2024-03", True, None, True), ("2024-04", True, None, False),
+        ("2024-05", False, None, False)]
+
+
+def test_everything_is_pending_before_the_first_archive(spark, frame, tmp_path):
+    listed = frame([("a.zip",)], "zip_filename string")
+    assert archives.pending(listed, archives.landed_files(spark, str(tmp_path))).count() == 1
+
+
+def test_ingest_of_nothing(spark, frame, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "ABC-1m-2024-01.zip").write_bytes(b"broken")
+    spans = frame([("ABC", date(2024, 1, 1), date(2024, 1, 31))], "symbol string, a date, b date")
+    texts = frame([("ABC-1m-2024-01.zip", "0")], "zip_filename string, checksum_text string")
+    left = ingest.ingest(
+        spark, archives.month_periods(spans, ["symbol"], "a", "b"), "https://archive.example",
+        str(landing), texts, str(tmp_path / "bronze"), str(tmp_path / "log"))
+    assert left.count() == 0
+    assert spark.read.parquet(str(tmp_path / "log")).first().extract_ok is False

@@ -1115,20 +1115,20 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
     return archives.manifest(_periods(spark, sf), BASE_URL).drop("year", "month")
 
 
-# Documents stand for archives: their text is the content, and one in four
-# checksum texts each is right, wrong, blank or absent.
+# Documents stand for archives: their text is the content. The language says
+# whether the checksum text is right, wrong, blank or absent.
 _DOC_NAME = "concat('doc-', CAST(doc_id AS {text}), '.zip')"
-_DOC_FILES = f"""SELECT {_DOC_NAME.format(text='VARCHAR')} AS zip_filename, doc_id,
+_DOC_FILES = f"""SELECT {_DOC_NAME.format(text='VARCHAR')} AS zip_filename, lang,
       sha256(text) AS digest, octet_length(encode(text)) AS bytes FROM documents"""
 _DOC_VERIFIED = """SELECT *, bytes > 0 AS download_ok,
-      CASE doc_id % 4 WHEN 0 THEN true WHEN 1 THEN false END AS checksum_ok,
-      CASE doc_id % 4 WHEN 0 THEN digest WHEN 1 THEN repeat('0', 64) END AS expected_hash,
-      CASE WHEN doc_id % 4 < 2 THEN digest END AS actual_hash
+      CASE lang WHEN 'en' THEN true WHEN 'de' THEN false END AS checksum_ok,
+      CASE lang WHEN 'en' THEN digest WHEN 'de' THEN repeat('0', 64) END AS expected_hash,
+      CASE WHEN lang IN ('en', 'de') THEN digest END AS actual_hash
     FROM files"""
 
 
 def _doc_archives(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    docs = T.table(spark, sf, "documents").select("doc_id", "text")
+    docs = T.table(spark, sf, "documents").select("doc_id", "text", "lang")
     name = F.expr(_DOC_NAME.format(text="STRING")).alias("zip_filename")
     digest = F.sha2("text", 256)
     listed = docs.select(name, "doc_id")
@@ -1137,14 +1137,14 @@ def _doc_archives(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, D
         F.octet_length("text").cast("long").alias("zip_size_bytes"),
         digest.alias("actual_hash"),
     )
-    kind = F.col("doc_id") % 4
+    lang = F.col("lang")
     text = (
-        F.when(kind == 0, F.concat(F.lit("\n "), F.upper(digest), F.lit("  "), name))
-        .when(kind == 1, F.concat(F.repeat(F.lit("0"), F.lit(64)), F.lit("\tother.zip")))
-        .otherwise(F.lit(" \n\t"))
+        F.when(lang == "en", F.concat(F.lit("\n "), F.upper(digest), F.lit("  "), name))
+        .when(lang == "de", F.concat(F.repeat(F.lit("0"), F.lit(64)), F.lit("\tother.zip")))
+        .when(lang == "fr", F.lit(" \n\t"))
     )
-    checksums = docs.filter(kind < 3).select(name, text.alias("checksum_text"))
-    return listed, landed, checksums
+    checksums = docs.select(name, text.alias("checksum_text"))
+    return listed, landed, checksums.dropna()
 
 
 def _doc_verified(spark: SparkSession, sf: str) -> DataFrame:
@@ -1205,17 +1205,17 @@ def ingest_log(spark: SparkSession, sf: str) -> DataFrame:
 
 @run(
     O.query(
-        f"SELECT {_DOC_NAME.format(text='VARCHAR')} AS zip_filename, doc_id FROM documents "
-        "WHERE doc_id % 3 = 0 OR text IS NULL OR length(text) = 0 OR doc_id % 5 = 0"
+        f"""SELECT {_DOC_NAME.format(text='VARCHAR')} AS zip_filename, doc_id FROM documents
+            WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 0)"""
     )
 )
 def pending(spark: SparkSession, sf: str) -> DataFrame:
-    """A third of the archives has not landed and a fifth is empty."""
-    listed, landed, _ = _doc_archives(spark, sf)
-    number = F.regexp_extract("zip_filename", r"(\d+)", 1).cast("long")
-    size = F.when(number % 5 == 0, F.lit(0)).otherwise(F.col("zip_size_bytes"))
-    there = landed.filter(number % 3 != 0).withColumn("zip_size_bytes", size)
-    return archives.pending(listed, there)
+    """Labelled documents have landed, those labelled toxic as empty files."""
+    name = F.expr(_DOC_NAME.format(text="STRING")).alias("zip_filename")
+    listed = T.table(spark, sf, "documents").select(name, "doc_id")
+    size = F.when(F.col("toxic") == 0, F.lit(1)).otherwise(F.lit(0))
+    landed = T.table(spark, sf, "labels").select(name, size.alias("zip_size_bytes"))
+    return archives.pending(listed, landed)
 
 
 def _csv_folder(spark: SparkSession, sf: str) -> str:
@@ -1248,14 +1248,16 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @run(
     O.query(
-        f"SELECT event_id, {_LINEAGE_SQL} FROM klines WHERE event_id % 7 <> 0 UNION ALL "
-        "SELECT event_id, NULL, 'other.csv', NULL, NULL, NULL FROM klines WHERE event_id % 7 = 0",
+        f"SELECT event_id, {_LINEAGE_SQL} FROM klines WHERE symbol <> 'error' UNION ALL "
+        "SELECT event_id, NULL, 'other.csv', NULL, NULL, NULL FROM klines "
+        "WHERE symbol = 'error'",
         ("klines",),
     )
 )
 def csv_lineage(spark: SparkSession, sf: str) -> DataFrame:
-    """File names parsed; one row in seven comes from a file named otherwise."""
-    name = F.when(F.col("event_id") % 7 == 0, F.lit("other.csv")).otherwise(F.col("source_file"))
+    """File names parsed; the rows of one symbol come from a file named otherwise."""
+    other = F.col("symbol") == "error"
+    name = F.when(other, F.lit("other.csv")).otherwise(F.col("source_file"))
     rows = T.klines(spark, sf).select("event_id", name.alias("source_file"))
     return raw_files.with_lineage(rows)
 
