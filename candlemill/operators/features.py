@@ -27,7 +27,7 @@ MINUTE_WINDOW = 60
 
 
 def bar_features(df: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Signed geometry, returns and rolling statistics of bars.
+    """Signed geometry, returns and rolling statistics of bars, one per time.
 
     Windows count rows, not hours: what was filtered out before leaves no hole.
     """
@@ -49,16 +49,21 @@ def bar_features(df: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
         }
         return rows.withColumns(returns).withColumns(stats)
 
-    return over_rows(df, keys, ["open_ts"], WEEK_BARS - 1, build)
+    return over_rows(df, keys, ["open_ts"], WEEK_BARS - 1, build, unique=True)
 
 
 def minute_features(
-    df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] = (), name: str = "candles"
+    df: DataFrame,
+    keys: Sequence[str],
+    tiebreak: Sequence[str] = (),
+    name: str = "candles",
+    unique: bool = False,
 ) -> DataFrame:
     """Candle rows with 1-row returns, relative geometry and rolling noise.
 
     Types and timestamps are set only for columns that exist. Rows sharing a
-    timestamp are taken in ``tiebreak`` order.
+    timestamp are taken in ``tiebreak`` order; say ``unique`` if that leaves
+    no ties.
     """
     close, open_ = F.col("close"), F.col("open")
     high, low = F.col("high"), F.col("low")
@@ -82,7 +87,8 @@ def minute_features(
         return rows.withColumns(first).withColumns(second)
 
     ready = with_timestamps(typed(df), name)
-    return over_rows(ready, keys, ["open_ts", *tiebreak], MINUTE_WINDOW, build)
+    order = ["open_ts", *tiebreak]
+    return over_rows(ready, keys, order, MINUTE_WINDOW, build, unique=unique)
 
 
 def backfill(
@@ -128,7 +134,7 @@ def backfill(
         rolled = C.rolling(F.stddev_samp, log_return, w, DAY_BARS, min_rows=2)
         return rows.withColumn("volatility_24h", rolled)
 
-    return over_rows(out, keys, ["open_ts"], DAY_BARS, build)
+    return over_rows(out, keys, ["open_ts"], DAY_BARS, build, unique=True)
 
 
 def with_regime(

@@ -6,8 +6,8 @@ size that may split a series anywhere; positions come from the lanes, and
 look-back windows run over fixed-size chunks of positions, each with a copy of
 the rows just before it.
 
-The order columns must identify a row inside its series; rows that tie on all
-of them come out in an unspecified order and share a lane.
+Rows that tie on the order columns are taken by content. Say ``unique`` where
+the order columns identify a row; that saves a local sort.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from candlemill.session import small_table, stage
+from candlemill.session import range_sort, small_table, stage
 
 LANE = "_lane"
 POSITION = "_position"
@@ -40,19 +40,17 @@ class Lanes:
     n_lanes: int
 
 
-def sort_into_lanes(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Lanes:
+def sort_into_lanes(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], unique: bool = False
+) -> Lanes:
     """Range-sort ``df`` on (keys, order) and number the rows from 0.
 
     One range shuffle and one staged write. The only collected values are the
     row counts of the lanes, as many as the shuffle has partitions.
     """
-    by = [*keys, *order]
-    row_id = F.monotonically_increasing_id()
+    in_order = range_sort(df, [*keys, *order], unique)
     staged = stage(
-        df.repartitionByRange(*by)
-        .sortWithinPartitions(*by)
-        .withColumn(POSITION, row_id),
-        "lanes",
+        in_order.withColumn(POSITION, F.monotonically_increasing_id()), "lanes"
     ).withColumn(LANE, F.shiftright(POSITION, _ROW_BITS))
     counts = sorted(
         (r[LANE], r["n"])
@@ -76,10 +74,14 @@ def sort_into_lanes(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def with_row_index(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_index"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str = "row_index",
+    unique: bool = False,
 ) -> DataFrame:
     """0-based row index inside each series."""
-    rows = sort_into_lanes(df, keys, order).rows
+    rows = sort_into_lanes(df, keys, order, unique).rows
     if not keys:
         return rows.withColumnRenamed(POSITION, name).drop(LANE)
     # A series contributes one row per lane it touches, so neither the window
@@ -102,10 +104,10 @@ def join_null_safe(
 
 
 def every_nth(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, unique: bool = False
 ) -> DataFrame:
     """One row in ``n`` of each series in order, the first row included."""
-    indexed = with_row_index(df, keys, order, "_index")
+    indexed = with_row_index(df, keys, order, "_index", unique)
     return indexed.filter(F.col("_index") % n == 0).drop("_index")
 
 
@@ -121,6 +123,7 @@ def over_rows(
     lookback: int,
     build: Callable[[DataFrame, WindowSpec], DataFrame],
     chunk_rows: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Add window columns that look at most ``lookback`` rows back.
 
@@ -128,7 +131,7 @@ def over_rows(
     windows add up their look-back. Equal to windows over whole series, but no
     task gets more than ``chunk_rows + lookback`` rows of one series at a time.
     """
-    lanes = sort_into_lanes(df, keys, order)
+    lanes = sort_into_lanes(df, keys, order, unique)
     if chunk_rows is None:
         chunk_rows = _chunk_rows(lanes.n_rows, lanes.n_lanes, lookback)
     if chunk_rows < lookback:

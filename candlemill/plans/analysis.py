@@ -22,7 +22,7 @@ def result_tables(silver: DataFrame, gold: DataFrame) -> dict[str, DataFrame]:
     monthly = report.monthly_close(gold, KEYS)
     tiebreak = ["period", *KEYS]
     labels = schema.BACKFILL_REGIMES.labels
-    sampled = ordered.every_nth(gold, KEYS, ["open_ts"], 50)
+    sampled = ordered.every_nth(gold, KEYS, ["open_ts"], 50, unique=True)
     return {
         "dataset_state": quality.dataset_state(silver, "silver_1m", KEYS).unionByName(
             quality.dataset_state(gold, "gold_1h", KEYS, step_seconds=None)
@@ -52,7 +52,7 @@ def noise_tables(
 ) -> dict[str, DataFrame]:
     """The same questions about 1-minute noise, before and after cleaning."""
     raw = stage(features.minute_features(bronze, KEYS, tiebreak, "bronze"), "noise-bronze")
-    kept = stage(features.minute_features(silver, KEYS, (), "silver"), "noise-silver")
+    kept = stage(features.minute_features(silver, KEYS, (), "silver", unique=True), "noise-silver")
     named = (("bronze_1m", raw), ("silver_1m", kept))
     monthly = report.monthly_noise(raw, KEYS)
     by_month = ["period", *KEYS]

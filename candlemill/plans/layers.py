@@ -44,7 +44,7 @@ def build_silver(
     """Bronze to clean unique candles; returns the cleaning audit."""
     bronze = spark.read.parquet(bronze_path)
     store.write_sorted(
-        clean.silver(bronze, KEYS, tiebreak), silver_path, [*KEYS, "open_ts"]
+        clean.silver(bronze, KEYS, tiebreak), silver_path, [*KEYS, "open_ts"], unique=True
     )
     return clean.cleaning_audit(bronze, KEYS, tiebreak)
 
@@ -79,7 +79,10 @@ def build_gold(
     """Silver to gold; returns the bar and regime audit."""
     silver = spark.read.parquet(silver_path)
     store.write_sorted(
-        gold(silver, expected_rows, every, regimes), gold_path, [*KEYS, "open_ts"]
+        gold(silver, expected_rows, every, regimes),
+        gold_path,
+        [*KEYS, "open_ts"],
+        unique=True,
     )
     marked = resample.mark_complete(resample.bars(silver, every, KEYS), expected_rows)
     label = regime_label(F.col("open_ts"), regimes)
@@ -99,7 +102,7 @@ def build_model_input(
 ) -> DataFrame:
     """Gold to model input; returns rows per quarter."""
     rows = model_input(spark.read.parquet(gold_path), season_by)
-    store.write_sorted(rows, model_path, [*KEYS, "open_ts"])
+    store.write_sorted(rows, model_path, [*KEYS, "open_ts"], unique=True)
     return report.row_counts(spark.read.parquet(model_path), "year_quarter")
 
 
@@ -113,7 +116,7 @@ def build_quarters(
     """
     rows = spark.read.parquet(model_path)
     written = store.write_quarters(
-        features.drop_incomplete_model_rows(rows), quarters_path, ["open_ts", *KEYS]
+        features.drop_incomplete_model_rows(rows), quarters_path, ["open_ts", *KEYS], True
     )
     summary = report.quarter_summary(spark.read.parquet(quarters_path), quarters_path)
     return summary, rows.count() - written

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Naive timestamps mean UTC everywhere in this package.
 TIME_ZONE = "UTC"
@@ -100,3 +101,26 @@ def small_table(spark: SparkSession, **columns: tuple[pa.DataType, Sequence]) ->
     """A table of driver-side values, kept in the plan: no Python workers."""
     arrays = {name: pa.array(list(values), kind) for name, (kind, values) in columns.items()}
     return spark.createDataFrame(pa.table(arrays))
+
+
+def range_sort(df: DataFrame, by: Sequence[str], unique: bool = False) -> DataFrame:
+    """Rows in ``by`` order over partitions of similar size that follow each other.
+
+    Unless ``by`` is ``unique``, rows that tie on it are ordered by content,
+    and identical ones by their place, so that many copies of a row still
+    spread over partitions. Places are taken after a local sort: a task that
+    runs again numbers its rows as it did before.
+    """
+    if unique:
+        return df.repartitionByRange(*by).sortWithinPartitions(*by)
+    content = [
+        f.name
+        for f in df.schema.fields
+        if f.name not in by and "map<" not in f.dataType.simpleString()
+    ]
+    hashed = df.withColumn("_content", F.xxhash64(*content) if content else F.lit(0))
+    placed = hashed.sortWithinPartitions(*by, "_content").withColumn(
+        "_place", F.monotonically_increasing_id()
+    )
+    full = [*by, "_content", "_place"]
+    return placed.repartitionByRange(*full).sortWithinPartitions(*full).drop(*full[-2:])

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.session import small_table
+from candlemill.session import range_sort, small_table
 
 
 def write_layer(
@@ -28,25 +28,26 @@ def write_layer(
 
 
 def write_sorted(
-    df: DataFrame, path: str, order: Sequence[str], mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    order: Sequence[str],
+    mode: str = "overwrite",
+    unique: bool = False,
 ) -> int:
     """Write a layer whose files follow each other in ``order``."""
-    in_order = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    return write_layer(in_order, path, mode=mode)
+    return write_layer(range_sort(df, order, unique), path, mode=mode)
 
 
 def write_quarters(
-    df: DataFrame, path: str, order: Sequence[str] = ("open_ts",)
+    df: DataFrame, path: str, order: Sequence[str] = ("open_ts",), unique: bool = False
 ) -> int:
     """Write one folder per quarter with time-sorted files.
 
     Range-partitioned by quarter and time, so a large quarter is written by
     several tasks and a small one does not get a task of its own.
     """
-    by = ["year_quarter", *order]
-    return write_layer(
-        df.repartitionByRange(*by).sortWithinPartitions(*by), path, ["year_quarter"]
-    )
+    in_order = range_sort(df, ["year_quarter", *order], unique)
+    return write_layer(in_order, path, ["year_quarter"])
 
 
 def copy_layer(spark: SparkSession, source: str, target: str) -> dict[str, int]:

@@ -88,3 +88,26 @@ def test_empty_table(spark):
     assert ordered.with_row_index(df, ["k"], ["t"]).collect() == []
     out = ordered.over_rows(df, ["k"], ["t"], 1, lambda r, w: r.withColumn("p", F.lag("x").over(w)))
     assert out.columns == ["k", "t", "x", "p"] and out.collect() == []
+
+
+def test_identical_rows_spread_over_lanes(spark):
+    same = spark.range(200_000, numPartitions=8).selectExpr("'k' AS k", "1 AS t", "2.0 AS x")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        lanes = ordered.sort_into_lanes(same, ["k"], ["t"])
+        sizes = [r["count"] for r in lanes.rows.groupBy("_lane").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == lanes.n_rows == 200_000
+    assert len(sizes) == 4 and max(sizes) < 100_000
+
+
+def test_ties_are_taken_by_content_whatever_the_layout(spark):
+    rows = spark.range(500).selectExpr("'k' AS k", "id % 5 AS t", "id % 50 AS x")
+
+    def before(df):
+        got = ordered.over_rows(
+            df, ["k"], ["t"], 1, lambda r, w: r.withColumn("p", F.lag("x").over(w)))
+        return sorted(tuple(r) for r in got.fillna(-1).collect())
+
+    assert before(rows.repartition(7, "x")) == before(rows.coalesce(1))

@@ -244,12 +244,12 @@ _MINUTE_INPUT = ["symbol", "open_ts", "source_file", "event_id", "open", "high",
 
 def _bronze_1m(spark: SparkSession, sf: str, more: tuple[str, ...] = ()) -> DataFrame:
     rows = T.bronze(spark, sf).select(*_MINUTE_INPUT, *more)
-    return features.minute_features(rows, T.KEYS, T.TIEBREAK)
+    return features.minute_features(rows, T.KEYS, T.TIEBREAK, unique=True)
 
 
 def _silver_1m(spark: SparkSession, sf: str, more: tuple[str, ...] = ()) -> DataFrame:
     rows = T.silver(spark, sf).select(*_MINUTE_INPUT, *more)
-    return features.minute_features(rows, T.KEYS)
+    return features.minute_features(rows, T.KEYS, unique=True)
 
 
 def _features(spark: SparkSession, sf: str) -> DataFrame:
@@ -319,7 +319,8 @@ def rolling_noise(spark: SparkSession, sf: str) -> DataFrame:
 )
 def row_index(spark: SparkSession, sf: str) -> DataFrame:
     rows = T.bronze(spark, sf).select(*_ID, "source_file")
-    return ordered.with_row_index(rows, T.KEYS, ["open_ts", *T.TIEBREAK]).drop("source_file")
+    indexed = ordered.with_row_index(rows, T.KEYS, ["open_ts", *T.TIEBREAK], unique=True)
+    return indexed.drop("source_file")
 
 
 @run(
@@ -329,7 +330,7 @@ def row_index(spark: SparkSession, sf: str) -> DataFrame:
 )
 def row_index_one_series(spark: SparkSession, sf: str) -> DataFrame:
     rows = T.table(spark, sf, "events").select("event_id", "ts")
-    return ordered.with_row_index(rows, [], ["ts", "event_id"]).drop("ts")
+    return ordered.with_row_index(rows, [], ["ts", "event_id"], unique=True).drop("ts")
 
 
 def _halo_sql(mean: str, std: str) -> str:
@@ -354,7 +355,7 @@ def rolling_halo(spark: SparkSession, sf: str) -> DataFrame:
             }
         )
 
-    out = ordered.over_rows(rows, [], ["ts", "event_id"], 23, build, chunk_rows=1_000)
+    out = ordered.over_rows(rows, [], ["ts", "event_id"], 23, build, 1_000, unique=True)
     return rounded(out.select("event_id", "mean_24", "std_24"))
 
 
@@ -371,7 +372,7 @@ def time_deltas(spark: SparkSession, sf: str) -> DataFrame:
     def build(df: DataFrame, w) -> DataFrame:
         return df.withColumn("delta_micros", C.time_delta_micros(F.col("open_ts"), w))
 
-    return ordered.over_rows(rows, T.KEYS, ["open_ts"], 1, build)
+    return ordered.over_rows(rows, T.KEYS, ["open_ts"], 1, build, unique=True)
 
 
 @run(
@@ -394,7 +395,7 @@ def gap_audit(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sample_1_in_n(spark: SparkSession, sf: str) -> DataFrame:
     rows = T.bronze(spark, sf).select(*_ID, "source_file", "close")
-    kept = ordered.every_nth(rows, T.KEYS, ["open_ts", *T.TIEBREAK], 50)
+    kept = ordered.every_nth(rows, T.KEYS, ["open_ts", *T.TIEBREAK], 50, True)
     return kept.drop("source_file")
 
 
@@ -761,7 +762,8 @@ def _order_months(spark: SparkSession, sf: str) -> DataFrame:
     def build(df: DataFrame, w) -> DataFrame:
         return df.withColumn("log_return_1h", C.log_return(F.col("close"), w))
 
-    return report.monthly_close(ordered.over_rows(days, T.KEYS, ["open_ts"], 1, build), T.KEYS)
+    returns = ordered.over_rows(days, T.KEYS, ["open_ts"], 1, build, unique=True)
+    return report.monthly_close(returns, T.KEYS)
 
 
 @run(O.query(_MONTH_SQL, ("day_returns",), _MONTH_DOUBLES))
@@ -821,7 +823,7 @@ def _labelled_bars(spark: SparkSession, sf: str) -> DataFrame:
     def build(df: DataFrame, w) -> DataFrame:
         return df.withColumn("log_return_1h", C.log_return(F.col("close"), w))
 
-    returns = ordered.over_rows(close, T.KEYS, ["open_ts"], 1, build)
+    returns = ordered.over_rows(close, T.KEYS, ["open_ts"], 1, build, unique=True)
     return features.with_regime(returns, T.KLINE_REGIMES)
 
 
@@ -962,7 +964,7 @@ _FULL_ORDER = "open_ts, source_file, event_id"
 )
 def sample_close(spark: SparkSession, sf: str) -> DataFrame:
     rows = T.bronze(spark, sf).select(*_ID, "source_file", "close")
-    kept = ordered.every_nth(rows, T.KEYS, ["open_ts", *T.TIEBREAK], 240)
+    kept = ordered.every_nth(rows, T.KEYS, ["open_ts", *T.TIEBREAK], 240, True)
     return kept.select("symbol", "open_ts", "close")
 
 
@@ -975,7 +977,7 @@ def sample_close(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sample_volatility(spark: SparkSession, sf: str) -> DataFrame:
     rows = _bronze_1m(spark, sf).select(*_ID, "source_file", "volatility_60")
-    kept = ordered.every_nth(rows, T.KEYS, ["open_ts", *T.TIEBREAK], 240)
+    kept = ordered.every_nth(rows, T.KEYS, ["open_ts", *T.TIEBREAK], 240, True)
     return rounded(kept.select("symbol", "open_ts", "volatility_60").dropna())
 
 
@@ -985,7 +987,7 @@ def sample_volatility(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sample_close_volume(spark: SparkSession, sf: str) -> DataFrame:
     rows = T.hour_bars(spark, sf).select("symbol", "open_ts", "close", "volume")
-    kept = ordered.every_nth(rows, T.KEYS, ["open_ts"], 50)
+    kept = ordered.every_nth(rows, T.KEYS, ["open_ts"], 50, True)
     return rounded(kept.select("symbol", "close", "volume"))
 
 
@@ -999,7 +1001,7 @@ def sample_close_volume(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sample_return_volume(spark: SparkSession, sf: str) -> DataFrame:
     rows = _bronze_1m(spark, sf).select(*_ID, "source_file", "abs_log_return_1m", "volume")
-    kept = ordered.every_nth(rows, T.KEYS, ["open_ts", *T.TIEBREAK], 120)
+    kept = ordered.every_nth(rows, T.KEYS, ["open_ts", *T.TIEBREAK], 120, True)
     return rounded(kept.select("symbol", "abs_log_return_1m", "volume").dropna())
 
 
@@ -1062,7 +1064,7 @@ def quarter_split(spark: SparkSession, sf: str) -> DataFrame:
     """Written one folder per quarter, then read back."""
     folder = new_folder(spark, "quarters")
     kept = features.drop_incomplete_model_rows(_model(spark, sf))
-    store.write_quarters(kept, folder, ["open_ts", *T.KEYS])
+    store.write_quarters(kept, folder, ["open_ts", *T.KEYS], unique=True)
     back = spark.read.schema(kept.schema).parquet(folder)
     return rounded(back.select(*kept.columns))
 
@@ -1306,5 +1308,5 @@ def copy_verify(spark: SparkSession, sf: str) -> DataFrame:
 def stored_size(spark: SparkSession, sf: str) -> DataFrame:
     """Size of the stored bar layer; depends on the encoder, so no SQL twin."""
     folder = new_folder(spark, "layer")
-    store.write_sorted(T.hour_bars(spark, sf), folder, ["symbol", "open_ts"])
+    store.write_sorted(T.hour_bars(spark, sf), folder, ["symbol", "open_ts"], unique=True)
     return store.stored_size(spark, folder)
