@@ -12,7 +12,6 @@ from candlemill.schema import (
     BRONZE_ESSENTIAL,
     DOUBLE_COLUMNS,
     LONG_COLUMNS,
-    RAW_COLUMNS,
     SILVER_ESSENTIAL,
     present_only,
     require_columns,
@@ -57,20 +56,16 @@ def not_null_rows(df: DataFrame) -> DataFrame:
     return df.dropna(subset=SILVER_ESSENTIAL)
 
 
-def _copy_order(df: DataFrame, tiebreak: Sequence[str]) -> list[str]:
-    """Which copy of a candle comes first: by ``tiebreak``, then by its values."""
-    return [*tiebreak, *[c for c in present_only(df, RAW_COLUMNS) if c not in tiebreak]]
-
-
 def keep_first(
     df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str], ts: str = "open_ts"
 ) -> DataFrame:
     """First row per (series, timestamp) in ``tiebreak`` order.
 
+    ``tiebreak`` should tell copies apart; which of equal ones stays is open.
     Spark limits each group to one row before the shuffle, so many copies of
     one candle do not meet in one task.
     """
-    w = Window.partitionBy(*keys, ts).orderBy(*_copy_order(df, tiebreak))
+    w = Window.partitionBy(*keys, ts).orderBy(*tiebreak)
     ranked = df.withColumn("_rank", F.row_number().over(w))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
@@ -185,7 +180,7 @@ def cleaning_audit(
     rows with a missing essential value share the group without timestamp.
     """
     candles = with_timestamps(typed(df))
-    first = F.struct(*_copy_order(candles, tiebreak))
+    first = F.struct(*tiebreak)
     stamps = (
         candles.withColumn("ts", F.when(essential_present(), F.col("open_ts")))
         .groupBy(*keys, "ts")

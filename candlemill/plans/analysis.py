@@ -21,6 +21,7 @@ def result_tables(silver: DataFrame, gold: DataFrame) -> dict[str, DataFrame]:
     gold = features.backfill(gold, KEYS)
     monthly = report.monthly_close(gold, KEYS)
     tiebreak = ["period", *KEYS]
+    top, change = [*KEYS, "period", "mean_close"], ["volatility", "rows"]
     labels = schema.BACKFILL_REGIMES.labels
     sampled = ordered.every_nth(gold, KEYS, ["open_ts"], 50, unique=True)
     return {
@@ -32,9 +33,13 @@ def result_tables(silver: DataFrame, gold: DataFrame) -> dict[str, DataFrame]:
         "nulls_gold": quality.null_counts(gold),
         "describe_gold": quality.describe(gold, schema.GOLD_DESCRIBE_COLUMNS),
         "monthly_close": monthly,
-        "top_highest": report.top_highest(monthly, tiebreak),
-        "top_lowest": report.top_lowest(monthly, tiebreak),
-        "top_stable": report.top_stable(monthly, tiebreak),
+        "top_highest": report.project(
+            report.top_highest(monthly, tiebreak), [*top, "max_close", *change]
+        ),
+        "top_lowest": report.project(
+            report.top_lowest(monthly, tiebreak), [*top, "min_close", *change]
+        ),
+        "top_stable": report.project(report.top_stable(monthly, tiebreak), [*top, *change]),
         "regimes": report.regime_table(gold),
         "outliers": quality.iqr_outliers(gold, ["close", "volume"]),
         "correlation": quality.correlation_matrix(gold, schema.CORRELATION_COLUMNS),
@@ -48,7 +53,7 @@ def result_tables(silver: DataFrame, gold: DataFrame) -> dict[str, DataFrame]:
 
 
 def noise_tables(
-    bronze: DataFrame, silver: DataFrame, tiebreak: Sequence[str] = ()
+    bronze: DataFrame, silver: DataFrame, tiebreak: Sequence[str] = ("source_file",)
 ) -> dict[str, DataFrame]:
     """The same questions about 1-minute noise, before and after cleaning."""
     raw = stage(features.minute_features(bronze, KEYS, tiebreak, "bronze"), "noise-bronze")
@@ -56,6 +61,10 @@ def noise_tables(
     named = (("bronze_1m", raw), ("silver_1m", kept))
     monthly = report.monthly_noise(raw, KEYS)
     by_month = ["period", *KEYS]
+    top = [
+        *KEYS, "period", "mean_close", "volatility", "mean_abs_log_return",
+        "mean_range_hl_pct", "rows",
+    ]
     boxes = raw.selectExpr("'all' AS dataset", "log_return_1m", "range_hl_pct")
     order = ["open_ts", *tiebreak]
     sparse = stage(ordered.with_row_index(raw, KEYS, order, "_index"), "noise-sample")
@@ -74,8 +83,8 @@ def noise_tables(
             quality.iqr_outliers(kept, dataset="silver_1m")
         ),
         "monthly_noise": monthly,
-        "top_noisy": report.top_noisy(monthly, by_month),
-        "top_stable": report.top_stable(monthly, by_month),
+        "top_noisy": report.project(report.top_noisy(monthly, by_month), top),
+        "top_stable": report.project(report.top_stable(monthly, by_month), top),
         "histogram_close": report.histogram(raw, "close", 60),
         "histogram_volume": report.histogram(raw, "volume", 60),
         "histogram_log_return": report.histogram(raw, "log_return_1m", 80),

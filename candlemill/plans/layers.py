@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from candlemill.functions.candle import regime_label
 from candlemill.operators import clean, features, report, resample
 from candlemill.operators.quality import volume_check
-from candlemill.schema import GOLD_REGIMES, Regimes
+from candlemill.schema import GOLD_REGIMES, RAW_COLUMNS, Regimes
 from candlemill.sources import klines, store
 
 KEYS = ("symbol",)
 EVERY = "1 hour"
 ROWS_PER_BAR = 60
-# What orders the copies of one candle: the file, then the raw values.
-TIEBREAK = ("source_file", "open_time", "close_time", "close")
+# What orders the copies of one candle: the file, then all raw values.
+TIEBREAK = ("source_file", *RAW_COLUMNS)
 
 
 def build_bronze(spark: SparkSession, csv_path: str, bronze_path: str) -> DataFrame:

@@ -91,7 +91,7 @@ def test_analysis(run, tmp_path):
     assert results["dataset_state"].count() == 2
     assert results["correlation"].count() == 9
     assert results["box_close"].count() == 3
-    noise = analysis.noise_tables(read(paths["bronze"]), read(paths["silver"]), layers.TIEBREAK)
+    noise = analysis.noise_tables(read(paths["bronze"]), read(paths["silver"]))
     assert noise["metrics"].count() == 2 and noise["outliers"].count() == 8
     assert noise["describe_silver_1m"].count() == 9
     analysis.write_tables(

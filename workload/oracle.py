@@ -256,7 +256,7 @@ def box(source: str, column: str, by: str, groups: list[str]) -> str:
     return f"""
       SELECT CAST(g.place AS INTEGER) AS place, g.name AS {by}, s.q1, s.median, s.q3,
         least(s.lo, s.q1) AS whisker_low, greatest(s.hi, s.q3) AS whisker_high,
-        s.outliers, s.n AS rows
+        CAST(s.outliers AS DOUBLE) AS outliers, CAST(s.n AS DOUBLE) AS rows
       FROM (VALUES {listed}) g(place, name)
       LEFT JOIN (
         SELECT {by} AS name, max(q1) AS q1, max(median) AS median, max(q3) AS q3,

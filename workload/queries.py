@@ -60,6 +60,17 @@ def rounded(df: DataFrame) -> DataFrame:
     )
 
 
+def plain(df: DataFrame, *columns: str) -> DataFrame:
+    """Nullable whole numbers as doubles and nullable booleans as text.
+
+    Clients differ in how they show a column of them that holds NULLs.
+    """
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    return df.withColumns(
+        {c: F.col(c).cast("string" if kinds[c] == "boolean" else "double") for c in columns}
+    )
+
+
 # --- cleaning -------------------------------------------------------------
 
 _NUMBERS = "open_time, open, high, low, close, volume, number_of_trades"
@@ -71,8 +82,8 @@ _NUMBERS = "open_time, open, high, low, close, volume, number_of_trades"
               SELECT event_id, open_time, high, low, volume, close_time,
                 CASE WHEN event_id % 211 = 0 THEN NULL ELSE open END AS open,
                 CASE WHEN event_id % 223 = 0 THEN NULL ELSE close END AS close,
-                CASE WHEN event_id % 227 = 0 THEN NULL ELSE number_of_trades END
-                  AS number_of_trades
+                CAST(CASE WHEN event_id % 227 = 0 THEN NULL ELSE number_of_trades END
+                  AS DOUBLE) AS number_of_trades
               FROM klines)
             WHERE open_time IS NOT NULL AND close_time IS NOT NULL AND open IS NOT NULL
               AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL""",
@@ -93,7 +104,8 @@ def typed_bronze(spark: SparkSession, sf: str) -> DataFrame:
             "number_of_trades": spoil("number_of_trades", 227, "12.5"),
         }
     )
-    return clean.bronze_rows(spoiled).select("event_id", *_NUMBERS.split(", "))
+    rows = clean.bronze_rows(spoiled).select("event_id", *_NUMBERS.split(", "))
+    return plain(rows, "number_of_trades")
 
 
 @run(O.query("SELECT event_id, open_time, open_ts, close_ts FROM stamped", ("stamped",)))
@@ -361,8 +373,8 @@ def rolling_halo(spark: SparkSession, sf: str) -> DataFrame:
 
 @run(
     O.query(
-        """SELECT symbol, open_ts, epoch_us(open_ts) - lag(epoch_us(open_ts)) OVER
-             (PARTITION BY symbol ORDER BY open_ts) AS delta_micros FROM silver""",
+        """SELECT symbol, open_ts, CAST(epoch_us(open_ts) - lag(epoch_us(open_ts)) OVER
+             (PARTITION BY symbol ORDER BY open_ts) AS DOUBLE) AS delta_micros FROM silver""",
         ("silver",),
     )
 )
@@ -372,7 +384,8 @@ def time_deltas(spark: SparkSession, sf: str) -> DataFrame:
     def build(df: DataFrame, w) -> DataFrame:
         return df.withColumn("delta_micros", C.time_delta_micros(F.col("open_ts"), w))
 
-    return ordered.over_rows(rows, T.KEYS, ["open_ts"], 1, build, unique=True)
+    deltas = ordered.over_rows(rows, T.KEYS, ["open_ts"], 1, build, unique=True)
+    return plain(deltas, "delta_micros")
 
 
 @run(
@@ -507,26 +520,32 @@ def candle_geometry(spark: SparkSession, sf: str) -> DataFrame:
 # --- quality --------------------------------------------------------------
 
 
-_BRONZE_WIDTH = 17
-_GOLD_WIDTH = 27
+_WIDTH = 17
+_STATE_SQL = (
+    O.state("bronze", "bronze_1m", _WIDTH)
+    + " UNION ALL " + O.state("silver", "silver_1m", _WIDTH)
+    + """ UNION ALL SELECT 'gold_1h', count(*), CAST(12 AS BIGINT), min(open_ts),
+          max(open_ts), NULL, NULL, NULL FROM bars"""
+)
 
 
 @run(
     O.query(
-        O.state("bronze", "bronze_1m", _BRONZE_WIDTH)
-        + " UNION ALL " + O.state("silver", "silver_1m", _BRONZE_WIDTH)
-        + f""" UNION ALL SELECT 'gold_1h', count(*), CAST(12 AS BIGINT), min(open_ts),
-               max(open_ts), NULL, NULL, NULL FROM bars""",
+        f"""SELECT * REPLACE (CAST(duplicates AS DOUBLE) AS duplicates,
+              CAST(gaps AS DOUBLE) AS gaps,
+              CAST(largest_gap_seconds AS DOUBLE) AS largest_gap_seconds)
+            FROM ({_STATE_SQL})""",
         ("bars",),
     )
 )
 def dataset_state(spark: SparkSession, sf: str) -> DataFrame:
     raw, kept, bars = T.bronze(spark, sf), T.silver(spark, sf), T.hour_bars(spark, sf)
-    return (
+    state = (
         quality.dataset_state(raw, "bronze_1m", T.KEYS)
         .unionByName(quality.dataset_state(kept, "silver_1m", T.KEYS))
         .unionByName(quality.dataset_state(bars, "gold_1h", T.KEYS, step_seconds=None))
     )
+    return plain(state, "duplicates", "gaps", "largest_gap_seconds")
 
 
 @run(
@@ -916,7 +935,8 @@ _LABELS = list(T.KLINE_REGIMES.labels)
 def box_by_regime(spark: SparkSession, sf: str) -> DataFrame:
     bars = features.with_regime(T.hour_bars(spark, sf), T.KLINE_REGIMES)
     rows = stage(bars.select("market_regime", "close"), "box")
-    return rounded(report.box_stats(rows, "close", "market_regime", _LABELS))
+    boxes = report.box_stats(rows, "close", "market_regime", _LABELS)
+    return rounded(plain(boxes, "outliers", "rows"))
 
 
 @run(
@@ -924,9 +944,8 @@ def box_by_regime(spark: SparkSession, sf: str) -> DataFrame:
 )
 def box_return_by_regime(spark: SparkSession, sf: str) -> DataFrame:
     rows = _labelled_bars(spark, sf).select("market_regime", "log_return_1h")
-    return rounded(
-        report.box_stats(stage(rows, "box"), "log_return_1h", "market_regime", _LABELS)
-    )
+    boxes = report.box_stats(stage(rows, "box"), "log_return_1h", "market_regime", _LABELS)
+    return rounded(plain(boxes, "outliers", "rows"))
 
 
 @run(
@@ -940,7 +959,8 @@ def box_range(spark: SparkSession, sf: str) -> DataFrame:
     """One group with values and one without."""
     spread = C.range_hl_pct(F.col("high"), F.col("low"), F.col("close"))
     rows = T.bronze(spark, sf).select(F.lit("all").alias("dataset"), spread.alias("range_hl_pct"))
-    return rounded(report.box_stats(rows, "range_hl_pct", "dataset", ["all", "none"]))
+    boxes = report.box_stats(rows, "range_hl_pct", "dataset", ["all", "none"])
+    return rounded(plain(boxes, "outliers", "rows"))
 
 
 @run(O.query("SELECT symbol, open_ts, close FROM bars", ("bars",)))
@@ -1155,32 +1175,35 @@ def _doc_verified(spark: SparkSession, sf: str) -> DataFrame:
 
 @run(
     O.query(
-        "SELECT zip_filename, download_ok, checksum_ok, expected_hash, actual_hash FROM verified",
+        "SELECT zip_filename, download_ok, CAST(checksum_ok AS VARCHAR) AS checksum_ok, "
+        "expected_hash, actual_hash FROM verified",
         (), files=_DOC_FILES, verified=_DOC_VERIFIED,
     )
 )
 def checksum_verify(spark: SparkSession, sf: str) -> DataFrame:
-    return _doc_verified(spark, sf).select(
+    verified = _doc_verified(spark, sf).select(
         "zip_filename", "download_ok", "checksum_ok", "expected_hash", "actual_hash"
     )
+    return plain(verified, "checksum_ok")
 
 
 @run(
     O.query(
-        "SELECT zip_filename, checksum_ok FROM verified "
+        "SELECT zip_filename, CAST(checksum_ok AS VARCHAR) AS checksum_ok FROM verified "
         "WHERE download_ok AND checksum_ok IS DISTINCT FROM false",
         (), files=_DOC_FILES, verified=_DOC_VERIFIED,
     )
 )
 def ingest_gate(spark: SparkSession, sf: str) -> DataFrame:
-    return archives.usable(_doc_verified(spark, sf)).select("zip_filename", "checksum_ok")
+    kept = archives.usable(_doc_verified(spark, sf)).select("zip_filename", "checksum_ok")
+    return plain(kept, "checksum_ok")
 
 
 @run(
     O.query(
         f"""SELECT 'all' AS period, zip_filename, concat('{BASE_URL}/', zip_filename) AS zip_url,
               concat('{BASE_URL}/', zip_filename, '.CHECKSUM') AS checksum_url, download_ok,
-              checksum_ok, coalesce(download_ok AND checksum_ok IS DISTINCT FROM false, false)
+              CAST(checksum_ok AS VARCHAR) AS checksum_ok, coalesce(download_ok AND checksum_ok IS DISTINCT FROM false, false)
                 AS extract_ok,
               CAST(bytes AS BIGINT) AS zip_size_bytes, expected_hash, actual_hash
             FROM verified""",
@@ -1202,7 +1225,7 @@ def ingest_log(spark: SparkSession, sf: str) -> DataFrame:
     log = archives.ingest_log(named, extracted)
     folder = new_folder(spark, "ingest-log")
     archives.append_log(log, folder)
-    return spark.read.schema(log.schema).parquet(folder).drop("timestamp")
+    return plain(spark.read.schema(log.schema).parquet(folder).drop("timestamp"), "checksum_ok")
 
 
 @run(
@@ -1250,9 +1273,11 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @run(
     O.query(
-        f"SELECT event_id, {_LINEAGE_SQL} FROM klines WHERE symbol <> 'error' UNION ALL "
-        "SELECT event_id, NULL, 'other.csv', NULL, NULL, NULL FROM klines "
-        "WHERE symbol = 'error'",
+        f"""SELECT * REPLACE (CAST(file_year AS DOUBLE) AS file_year,
+              CAST(file_month AS DOUBLE) AS file_month)
+            FROM (SELECT event_id, {_LINEAGE_SQL} FROM klines WHERE symbol <> 'error' UNION ALL
+                  SELECT event_id, NULL, 'other.csv', NULL, NULL, NULL FROM klines
+                  WHERE symbol = 'error')""",
         ("klines",),
     )
 )
@@ -1261,7 +1286,7 @@ def csv_lineage(spark: SparkSession, sf: str) -> DataFrame:
     other = F.col("symbol") == "error"
     name = F.when(other, F.lit("other.csv")).otherwise(F.col("source_file"))
     rows = T.klines(spark, sf).select("event_id", name.alias("source_file"))
-    return raw_files.with_lineage(rows)
+    return plain(raw_files.with_lineage(rows), "file_year", "file_month")
 
 
 @run(
