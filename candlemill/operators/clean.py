@@ -65,7 +65,8 @@ def keep_first(
     Spark limits each group to one row before the shuffle, so many copies of
     one candle do not meet in one task.
     """
-    w = Window.partitionBy(*keys, ts).orderBy(*tiebreak)
+    # Time first: the sort then goes by a number that differs from row to row.
+    w = Window.partitionBy(ts, *keys).orderBy(*tiebreak)
     ranked = df.withColumn("_rank", F.row_number().over(w))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
@@ -100,7 +101,7 @@ def _audit_timestamps(
     """
     step = step_seconds * 1_000_000
     at = F.when(F.col("counts"), micros(F.col("ts")))
-    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy("ts")
+    in_chunk = Window.partitionBy("_chunk", *keys).orderBy("ts")
     earlier = in_chunk.rowsBetween(Window.unboundedPreceding, -1)
     delta = at - F.last(at, ignorenulls=True).over(earlier)
     chunks = (
@@ -183,7 +184,7 @@ def cleaning_audit(
     first = F.struct(*tiebreak)
     stamps = (
         candles.withColumn("ts", F.when(essential_present(), F.col("open_ts")))
-        .groupBy(*keys, "ts")
+        .groupBy("ts", *keys)
         .agg(
             F.count(F.lit(1)).alias("copies"),
             F.min_by(F.coalesce(ohlc_valid(), F.lit(False)), first).alias("_valid"),

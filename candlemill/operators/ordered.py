@@ -141,7 +141,7 @@ def over_rows(
     in_tail = position % chunk_rows >= chunk_rows - lookback
     chunks = F.when(in_tail, F.array(own, own + 1)).otherwise(F.array(own))
     spread = lanes.rows.drop(LANE).withColumn(CHUNK, F.explode(chunks))
-    w = Window.partitionBy(*keys, CHUNK).orderBy(POSITION)
+    w = Window.partitionBy(CHUNK, *keys).orderBy(POSITION)
     return build(spread, w).filter(F.col(CHUNK) == own).drop(CHUNK, POSITION)
 
 

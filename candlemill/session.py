@@ -113,14 +113,12 @@ def range_sort(df: DataFrame, by: Sequence[str], unique: bool = False) -> DataFr
     """
     if unique:
         return df.repartitionByRange(*by).sortWithinPartitions(*by)
-    content = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in by and "map<" not in f.dataType.simpleString()
-    ]
-    hashed = df.withColumn("_content", F.xxhash64(*content) if content else F.lit(0))
-    placed = hashed.sortWithinPartitions(*by, "_content").withColumn(
-        "_place", F.monotonically_increasing_id()
+    content = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    # The local sort only has to be repeatable; a hash sorts fastest.
+    placed = (
+        df.withColumn("_content", F.xxhash64(*content))
+        .sortWithinPartitions("_content", *by)
+        .withColumn("_place", F.monotonically_increasing_id())
     )
     full = [*by, "_content", "_place"]
     return placed.repartitionByRange(*full).sortWithinPartitions(*full).drop(*full[-2:])

@@ -124,7 +124,7 @@ def test_windows_never_meet_in_one_partition(candles):
         assert "Window" in plan and "SinglePartition" not in plan
     # Feature windows are cut into chunks besides the series key.
     for plan in plans[:2]:
-        assert re.search(r"hashpartitioning\(symbol#\d+, _chunk", plan)
+        assert re.search(r"hashpartitioning\(_chunk#\d+L, symbol", plan)
 
 
 def test_copies_are_cut_before_the_shuffle(candles):
