@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.functions.candle import month_label
 from candlemill.operators.order_stats import quantile_scalars
 from candlemill.schema import present_only
-from candlemill.session import small_table
 
 QUARTILES = [(0.25, "linear"), (0.5, "linear"), (0.75, "linear")]
 
@@ -65,7 +63,9 @@ def _top(table: DataFrame, first: Column, tiebreak: Sequence[str], n: int) -> Da
     return table.orderBy(first, *tiebreak).limit(n)
 
 
-def top_highest(monthly: DataFrame, tiebreak: Sequence[str] = ("period",), n: int = 10) -> DataFrame:
+def top_highest(
+    monthly: DataFrame, tiebreak: Sequence[str] = ("period",), n: int = 10
+) -> DataFrame:
     """Months with the highest mean close; a missing mean ranks first."""
     return _top(monthly, F.desc_nulls_first("mean_close"), tiebreak, n)
 

@@ -140,8 +140,8 @@ def test_bars_combine_before_the_shuffle(candles):
 def test_scan_reads_only_what_is_used(spark):
     events = spark.read.parquet(f"{DATA}/events.parquet")
     ticks = events.select("event_type", "ts", "value", "props").filter(F.col("value") > 3)
-    bars = resample.bars(
-        resample.ticks(ticks.withColumnsRenamed({"event_type": "symbol", "ts": "open_ts"}), "value"))
+    named = ticks.withColumnsRenamed({"event_type": "symbol", "ts": "open_ts"})
+    bars = resample.bars(resample.ticks(named, "value"))
     plan = plan_of(bars.select("symbol", "open_ts", "close"))
     assert re.search(r"ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>", plan)
     assert "GreaterThan(value,3.0)" in plan

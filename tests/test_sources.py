@@ -52,7 +52,8 @@ def test_month_periods(frame):
     months = archives.month_periods(spans, ["symbol"], "a", "b")
     got = rows_of(months, "period")
     assert len(got) == 86 and got[0] == ("2019-01",) and got[-1] == ("2026-02",)
-    backwards = frame([("ABC", date(2024, 3, 1), date(2024, 2, 1))], "symbol string, a date, b date")
+    backwards = frame(
+        [("ABC", date(2024, 3, 1), date(2024, 2, 1))], "symbol string, a date, b date")
     assert archives.month_periods(backwards, ["symbol"], "a", "b").count() == 0
 
 
@@ -90,7 +91,8 @@ def test_checksums_and_gate(spark, frame, landing, tmp_path):
     digest = hashlib.sha256((landing / "a.zip").read_bytes()).hexdigest()
     assert files.filter("zip_filename = 'a.zip'").first().actual_hash == digest
     names = ["a.zip", "bad.zip", "none.zip", "absent.zip"]
-    listed = frame([(n, f"p{i}") for i, n in enumerate(names)], "zip_filename string, period string")
+    listed = frame(
+        [(n, f"p{i}") for i, n in enumerate(names)], "zip_filename string, period string")
     texts = frame(
         [("a.zip", f"\n{digest.upper()}  a.zip"), ("bad.zip", "0000 bad.zip"),
          ("none.zip", " \n "), ("absent.zip", digest)],

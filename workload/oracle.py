@@ -185,7 +185,8 @@ def query(
 ) -> str:
     """``body`` over the named views, with the ``doubles`` rounded to 6 digits."""
     chain = _chain(views, extra)
-    head = "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({sql})" for n, sql in chain) + "\n" if chain else ""
+    parts = [f"{n} AS MATERIALIZED ({sql})" for n, sql in chain]
+    head = "WITH " + ",\n".join(parts) + "\n" if parts else ""
     if not doubles:
         return head + body
     names = doubles.split() if isinstance(doubles, str) else doubles

@@ -836,6 +836,39 @@ def top10_noisy(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(report.top_noisy(_order_months(spark, sf), _BY_MONTH))
 
 
+_NOISE_DOUBLES = (
+    "mean_close volatility mean_abs_log_return mean_range_hl_pct mean_volume"
+)
+
+
+def _top_noise_sql(order: str) -> str:
+    return O.query(
+        f"SELECT * FROM m WHERE volatility IS NOT NULL ORDER BY {order}, period, symbol LIMIT 10",
+        ("bronze_1m",), _NOISE_DOUBLES, m=_NOISE_MONTH_SQL,
+    )
+
+
+@run(_top_noise_sql("volatility DESC"))
+def top10_noisy_1m(spark: SparkSession, sf: str) -> DataFrame:
+    monthly = report.monthly_noise(_bronze_1m(spark, sf), T.KEYS)
+    return rounded(report.top_noisy(monthly, _BY_MONTH))
+
+
+@run(_top_noise_sql("volatility"))
+def top10_stable_1m(spark: SparkSession, sf: str) -> DataFrame:
+    monthly = report.monthly_noise(_bronze_1m(spark, sf), T.KEYS)
+    return rounded(report.top_stable(monthly, _BY_MONTH))
+
+
+@run(O.query(_MONTH_SQL, ("day_returns",), _MONTH_DOUBLES))
+def report_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The monthly table, written as a CSV report and read back."""
+    table = _order_months(spark, sf)
+    folder = new_folder(spark, "report")
+    store.write_report(table, folder, _BY_MONTH)
+    return rounded(spark.read.schema(table.schema).option("header", True).csv(folder))
+
+
 def _labelled_bars(spark: SparkSession, sf: str) -> DataFrame:
     close = T.hour_bars(spark, sf).select("symbol", "open_ts", "close")
 
@@ -1203,8 +1236,8 @@ def ingest_gate(spark: SparkSession, sf: str) -> DataFrame:
     O.query(
         f"""SELECT 'all' AS period, zip_filename, concat('{BASE_URL}/', zip_filename) AS zip_url,
               concat('{BASE_URL}/', zip_filename, '.CHECKSUM') AS checksum_url, download_ok,
-              CAST(checksum_ok AS VARCHAR) AS checksum_ok, coalesce(download_ok AND checksum_ok IS DISTINCT FROM false, false)
-                AS extract_ok,
+              CAST(checksum_ok AS VARCHAR) AS checksum_ok,
+              coalesce(download_ok AND checksum_ok IS DISTINCT FROM false, false) AS extract_ok,
               CAST(bytes AS BIGINT) AS zip_size_bytes, expected_hash, actual_hash
             FROM verified""",
         (), files=_DOC_FILES, verified=_DOC_VERIFIED,
