@@ -33,9 +33,7 @@ def micros(ts: Column) -> Column:
 def lenient(column: Column, type_name: str) -> Column:
     """Typed value, NULL where the text does not parse; NaN counts as NULL."""
     value = column.try_cast(type_name)
-    if type_name == "double":
-        return F.when(~F.isnan(value), value)
-    return value
+    return F.nanvl(value, F.lit(None).cast("double")) if type_name == "double" else value
 
 
 def range_hl(high: Column, low: Column) -> Column:

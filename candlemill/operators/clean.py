@@ -23,9 +23,16 @@ CHUNK_STEPS = 10_080
 
 
 def typed(df: DataFrame) -> DataFrame:
-    """Re-type the candle columns that exist; what does not parse is NULL."""
-    casts = {c: lenient(F.col(c), "bigint") for c in present_only(df, LONG_COLUMNS)}
-    casts |= {c: lenient(F.col(c), "double") for c in present_only(df, DOUBLE_COLUMNS)}
+    """Re-type the candle columns that exist; what does not parse is NULL.
+
+    Columns that have their type already are left alone.
+    """
+    kinds = {c: "bigint" for c in LONG_COLUMNS} | {c: "double" for c in DOUBLE_COLUMNS}
+    casts = {
+        c: lenient(F.col(c), kinds[c])
+        for c in present_only(df, list(kinds))
+        if df.schema[c].dataType.simpleString() != kinds[c]
+    }
     return df.withColumns(casts) if casts else df
 
 
@@ -45,15 +52,20 @@ def bronze_rows(df: DataFrame) -> DataFrame:
     return typed(df).dropna(subset=BRONZE_ESSENTIAL)
 
 
-def essential_present() -> Column:
-    present = F.lit(True)
-    for c in SILVER_ESSENTIAL:
-        present = present & F.col(c).isNotNull()
-    return present
+def not_null_rows(df: DataFrame) -> DataFrame:
+    """Rows with all essential values, timestamps included once they exist.
 
+    A timestamp made from an epoch is missing exactly when the epoch is, so
+    checking before making them asks for less.
+    """
+    return df.dropna(subset=present_only(df, SILVER_ESSENTIAL))
 
-def not_null_rows(df: DataFrame) -> DataFrame:
-    return df.dropna(subset=SILVER_ESSENTIAL)
+
+def _essential_known(df: DataFrame) -> Column:
+    known = F.lit(True)
+    for c in present_only(df, SILVER_ESSENTIAL):
+        known = known & F.col(c).isNotNull()
+    return known
 
 
 def keep_first(
@@ -81,7 +93,7 @@ def silver(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str]) -> DataF
     The first copy is chosen before prices are checked: a minute whose first
     copy is invalid is lost even if a later copy is fine.
     """
-    present = not_null_rows(with_timestamps(typed(df)))
+    present = with_timestamps(not_null_rows(typed(df)))
     return valid_rows(keep_first(present, keys, tiebreak))
 
 
@@ -180,10 +192,11 @@ def cleaning_audit(
     One pass: rows meet per (series, timestamp), combined before the shuffle;
     rows with a missing essential value share the group without timestamp.
     """
-    candles = with_timestamps(typed(df))
+    rows = typed(df)
+    candles = with_timestamps(rows.withColumn("_known", _essential_known(rows)))
     first = F.struct(*tiebreak)
     stamps = (
-        candles.withColumn("ts", F.when(essential_present(), F.col("open_ts")))
+        candles.withColumn("ts", F.when(F.col("_known"), F.col("open_ts")))
         .groupBy("ts", *keys)
         .agg(
             F.count(F.lit(1)).alias("copies"),

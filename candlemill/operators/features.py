@@ -58,12 +58,13 @@ def minute_features(
     tiebreak: Sequence[str] = (),
     name: str = "candles",
     unique: bool = False,
+    index: str | None = None,
 ) -> DataFrame:
     """Candle rows with 1-row returns, relative geometry and rolling noise.
 
     Types and timestamps are set only for columns that exist. Rows sharing a
     timestamp are taken in ``tiebreak`` order; say ``unique`` if that leaves
-    no ties.
+    no ties. ``index`` names a column for the row index, if wanted.
     """
     close, open_ = F.col("close"), F.col("open")
     high, low = F.col("high"), F.col("low")
@@ -88,7 +89,7 @@ def minute_features(
 
     ready = with_timestamps(typed(df), name)
     order = ["open_ts", *tiebreak]
-    return over_rows(ready, keys, order, MINUTE_WINDOW, build, unique=unique)
+    return over_rows(ready, keys, order, MINUTE_WINDOW, build, unique=unique, index=index)
 
 
 def backfill(

@@ -81,9 +81,14 @@ def with_row_index(
     unique: bool = False,
 ) -> DataFrame:
     """0-based row index inside each series."""
-    rows = sort_into_lanes(df, keys, order, unique).rows
+    rows = _index_lanes(sort_into_lanes(df, keys, order, unique).rows, keys, name)
+    return rows.select(*df.columns, name)
+
+
+def _index_lanes(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Add the index inside each series to rows with lanes and positions."""
     if not keys:
-        return rows.withColumnRenamed(POSITION, name).drop(LANE)
+        return rows.withColumn(name, F.col(POSITION))
     # A series contributes one row per lane it touches, so neither the window
     # nor the join sees more rows of one series than there are lanes or than a
     # lane holds. Staged, its true size decides how Spark joins it.
@@ -91,7 +96,7 @@ def with_row_index(
     per_key = Window.partitionBy(*keys)
     first = segments.withColumn("_first", F.min("_first").over(per_key))
     indexed = join_null_safe(rows, stage(first, "segments"), [*keys, LANE])
-    return indexed.select(*df.columns, (F.col(POSITION) - F.col("_first")).alias(name))
+    return indexed.withColumn(name, F.col(POSITION) - F.col("_first")).drop("_first")
 
 
 def join_null_safe(
@@ -124,23 +129,26 @@ def over_rows(
     build: Callable[[DataFrame, WindowSpec], DataFrame],
     chunk_rows: int | None = None,
     unique: bool = False,
+    index: str | None = None,
 ) -> DataFrame:
     """Add window columns that look at most ``lookback`` rows back.
 
     ``build(rows, w)`` adds columns over ``w``, the series in order; stacked
     windows add up their look-back. Equal to windows over whole series, but no
     task gets more than ``chunk_rows + lookback`` rows of one series at a time.
+    ``index`` names a column for the row index inside each series, if wanted.
     """
     lanes = sort_into_lanes(df, keys, order, unique)
     if chunk_rows is None:
         chunk_rows = _chunk_rows(lanes.n_rows, lanes.n_lanes, lookback)
     if chunk_rows < lookback:
         raise ValueError("chunk_rows must be at least lookback")
+    rows = lanes.rows if index is None else _index_lanes(lanes.rows, keys, index)
     position = F.col(POSITION)
     own = F.floor(position / F.lit(chunk_rows)).cast("long")
     in_tail = position % chunk_rows >= chunk_rows - lookback
     chunks = F.when(in_tail, F.array(own, own + 1)).otherwise(F.array(own))
-    spread = lanes.rows.drop(LANE).withColumn(CHUNK, F.explode(chunks))
+    spread = rows.drop(LANE).withColumn(CHUNK, F.explode(chunks))
     w = Window.partitionBy(CHUNK, *keys).orderBy(POSITION)
     return build(spread, w).filter(F.col(CHUNK) == own).drop(CHUNK, POSITION)
 

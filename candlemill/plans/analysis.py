@@ -56,7 +56,9 @@ def noise_tables(
     bronze: DataFrame, silver: DataFrame, tiebreak: Sequence[str] = ("source_file",)
 ) -> dict[str, DataFrame]:
     """The same questions about 1-minute noise, before and after cleaning."""
-    raw = stage(features.minute_features(bronze, KEYS, tiebreak, "bronze"), "noise-bronze")
+    indexed = features.minute_features(bronze, KEYS, tiebreak, "bronze", index="_index")
+    indexed = stage(indexed, "noise-bronze")
+    raw = indexed.drop("_index")
     kept = stage(features.minute_features(silver, KEYS, (), "silver", unique=True), "noise-silver")
     named = (("bronze_1m", raw), ("silver_1m", kept))
     monthly = report.monthly_noise(raw, KEYS)
@@ -66,11 +68,8 @@ def noise_tables(
         "mean_range_hl_pct", "rows",
     ]
     boxes = raw.selectExpr("'all' AS dataset", "log_return_1m", "range_hl_pct")
-    order = ["open_ts", *tiebreak]
-    sparse = stage(ordered.with_row_index(raw, KEYS, order, "_index"), "noise-sample")
-
     def sample(n: int, columns: Sequence[str]) -> DataFrame:
-        return sparse.filter(sparse["_index"] % n == 0).select(*columns)
+        return indexed.filter(indexed["_index"] % n == 0).select(*columns)
 
     tables = {
         "dataset_state": quality.dataset_state(raw, "bronze_1m", KEYS).unionByName(

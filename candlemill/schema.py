@@ -26,7 +26,12 @@ BRONZE_ESSENTIAL = ["open_time", "close_time", "open", "high", "low", "close"]
 SILVER_ESSENTIAL = BRONZE_ESSENTIAL + ["open_ts", "close_ts", "volume"]
 CANDLE_COLUMNS = ["open_ts", "open", "high", "low", "close", "volume"]
 
-RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
+RAW_SCHEMA = T.StructType(
+    [
+        T.StructField(c, T.LongType() if c in LONG_COLUMNS else T.DoubleType())
+        for c in RAW_COLUMNS
+    ]
+)
 
 MODEL_COLUMNS = [
     "open_ts", "year", "month", "day", "hour", "quarter", "year_quarter",

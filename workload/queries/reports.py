@@ -276,8 +276,8 @@ def sample_close(spark: SparkSession, sf: str) -> DataFrame:
     )
 )
 def sample_volatility(spark: SparkSession, sf: str) -> DataFrame:
-    rows = bronze_features(spark, sf).select(*ID_COLUMNS, "source_file", "volatility_60")
-    kept = ordered.every_nth(rows, T.KEYS, ["open_ts", *T.TIEBREAK], 240, True)
+    rows = bronze_features(spark, sf, index="row_index")
+    kept = rows.filter(F.col("row_index") % 240 == 0)
     return rounded(kept.select("symbol", "open_ts", "volatility_60").dropna())
 
 
@@ -300,8 +300,6 @@ def sample_close_volume(spark: SparkSession, sf: str) -> DataFrame:
     )
 )
 def sample_return_volume(spark: SparkSession, sf: str) -> DataFrame:
-    rows = bronze_features(spark, sf).select(
-        *ID_COLUMNS, "source_file", "abs_log_return_1m", "volume"
-    )
-    kept = ordered.every_nth(rows, T.KEYS, ["open_ts", *T.TIEBREAK], 120, True)
+    rows = bronze_features(spark, sf, index="row_index")
+    kept = rows.filter(F.col("row_index") % 120 == 0)
     return rounded(kept.select("symbol", "abs_log_return_1m", "volume").dropna())

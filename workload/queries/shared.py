@@ -62,11 +62,11 @@ _MINUTE_INPUT = ["symbol", "open_ts", "source_file", "event_id", "open", "high",
                  "close", "volume"]
 
 
-def bronze_features(spark: SparkSession, sf: str, more: tuple[str, ...] = ()) -> DataFrame:
-    rows = T.bronze(spark, sf).select(*_MINUTE_INPUT, *more)
-    return features.minute_features(rows, T.KEYS, T.TIEBREAK, unique=True)
+def bronze_features(spark: SparkSession, sf: str, index: str | None = None) -> DataFrame:
+    rows = T.bronze(spark, sf).select(*_MINUTE_INPUT)
+    return features.minute_features(rows, T.KEYS, T.TIEBREAK, unique=True, index=index)
 
 
-def silver_features(spark: SparkSession, sf: str, more: tuple[str, ...] = ()) -> DataFrame:
-    rows = T.silver(spark, sf).select(*_MINUTE_INPUT, *more)
+def silver_features(spark: SparkSession, sf: str) -> DataFrame:
+    rows = T.silver(spark, sf).select(*_MINUTE_INPUT)
     return features.minute_features(rows, T.KEYS, unique=True)

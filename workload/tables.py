@@ -44,19 +44,12 @@ _KLINE_COLUMNS = """
 """
 
 KLINES_SPARK = "SELECT " + _KLINE_COLUMNS.format(
-    ntz="timestamp_ntz",
-    ms="unix_millis(m)",
-    us="unix_micros(m)",
-    text="string",
-    ignore="`ignore`",
-) + " FROM (SELECT *, date_trunc('MINUTE', CAST(ts AS timestamp)) AS m FROM {events})"
+    ntz="timestamp_ntz", ms="(us div 1000)", us="us", text="string", ignore="`ignore`"
+) + """ FROM (SELECT *, t - t % 60000000 AS us FROM
+          (SELECT *, unix_micros(CAST(ts AS timestamp)) AS t FROM {events}))"""
 
 KLINES_DUCKDB = "SELECT " + _KLINE_COLUMNS.format(
-    ntz="timestamp",
-    ms="epoch_ms(m)",
-    us="epoch_us(m)",
-    text="varchar",
-    ignore='"ignore"',
+    ntz="timestamp", ms="epoch_ms(m)", us="epoch_us(m)", text="varchar", ignore='"ignore"'
 ) + " FROM (SELECT *, date_trunc('minute', ts) AS m FROM events)"
 
 
