@@ -365,7 +365,7 @@ def find_secrets(
     texts have an empty list; rows are neither merged nor dropped, and columns
     not in ``keep`` do not matter. A kept column may not be called ``spans``.
     """
-    scanner = df.sparkSession.sparkContext.broadcast(compile_rules(rules))
+    scanner = compile_rules(rules)
     names = [r.kind for r in rules]
     kept = [F.col(f"`{c}`") for c in keep]
     source = df.select(*kept, F.col(f"`{text}`").alias("_scanned"))
@@ -373,7 +373,7 @@ def find_secrets(
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = make_scan(scanner.value)
+        scan = make_scan(scanner)
         for part in slices(batches, "_scanned"):
             kinds, starts, ends, sizes = [], [], [], []
             for value in part.column("_scanned").cast(pa.binary()):
