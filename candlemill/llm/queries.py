@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm import secret_scan
+from candlemill.llm import byte_bpe, merkle, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,3 +92,35 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scan.span_text(base).cast("binary"), 256).alias("base_sha256"),
         secret_scan.span_text("spans").alias("spans"),
     )
+
+
+@register()
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(
+        documents(spark, sf_dir), ["doc_id"], vocab, public_tokenizers.PATTERN
+    )
+    digests = encoded.select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2("packed", 256).alias("ids_sha256"),
+    )
+    kept = ["doc_id", "n_tokens", "ids_sha256"]
+    decoded = byte_bpe.decode(digests, kept, vocab, public_tokenizers.PATTERN)
+    return decoded.select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@register()
+def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare_edits(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
