@@ -144,4 +144,5 @@ def unclashing(taken: Iterable[str], name: str) -> str:
 
 def crc_mod(doc_id: str | Column, modulus: int) -> Column:
     """crc32 of a document's id as text, modulo ``modulus``: the fold of a row."""
-    return F.crc32(F.col(doc_id) if isinstance(doc_id, str) else doc_id) % modulus
+    column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return F.crc32(column.cast("string").cast("binary")) % modulus

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm import byte_bpe, merkle, secret_scan
+from candlemill.llm import byte_bpe, merkle, quality_crf, secret_scan
+from candlemill.llm.common import crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,3 +125,20 @@ def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+# Fixed value: the score from which a document counts as good.
+GOOD_FROM = 0.3
+
+
+@register()
+def op7_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality_crf.fit(docs, labels, learn=crc_mod("doc_id", 5) != 0)
+    return quality_crf.score_documents(docs, model, ["doc_id"]).select(
+        "doc_id",
+        (crc_mod("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"),
+    )
