@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm import byte_bpe, merkle, quality_crf, secret_scan
+from candlemill.llm import byte_bpe, merkle, minhash, quality_crf, secret_scan
 from candlemill.llm.common import crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,3 +142,8 @@ def op7_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"),
     )
+
+
+@register()
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), width=4)
