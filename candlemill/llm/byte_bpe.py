@@ -1,8 +1,10 @@
 """Byte-level BPE encoding and decoding with the tokenizers library.
 
 A rank file lists byte strings by rank; a rank is both the order of merging
-and the id. The library works on characters, so each byte is written as one
-printable character. All ways to put a token together from two others become
+and the id. A pattern cuts a text into matches; the library encodes a
+match that a task has not met yet, and most of a text is matches met before.
+It works on characters, so each byte is written as one printable character.
+All ways to put a token together from two others become
 merges of the token's rank, which is how rank files are meant to be read.
 Decoding reverses the byte table; a character whose bytes are spread over
 tokens belongs to the token that ends it.
@@ -15,12 +17,14 @@ import codecs
 import os
 import re
 from collections.abc import Iterator, Sequence
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from candlemill.llm.common import slices
 
@@ -28,6 +32,8 @@ from candlemill.llm.common import slices
 # pattern has to end a match anyway.
 PIECE_CHARS = 1 << 16
 _ENCODE_BYTES = 1 << 20
+# Matches whose tokens a task remembers, before it starts afresh.
+_REMEMBERED = 300_000
 
 
 def byte_characters() -> list[str]:
@@ -47,8 +53,8 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
 
 
-def build_tokenizer(ranks: dict[bytes, int], pattern: str) -> Tokenizer:
-    """The library's tokenizer for a rank file, one match of ``pattern`` at a time."""
+def build_tokenizer(ranks: dict[bytes, int]) -> Tokenizer:
+    """The library's tokenizer for a rank file; each text it gets is one match."""
     chars = byte_characters()
 
     def written(token: bytes) -> str:
@@ -62,12 +68,7 @@ def build_tokenizer(ranks: dict[bytes, int], pattern: str) -> Tokenizer:
     ]
     vocab = {written(token): rank for token, rank in ranks.items()}
     tokenizer = Tokenizer(models.BPE(vocab=vocab, merges=merges, ignore_merges=True))
-    tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
-        [
-            pre_tokenizers.Split(Regex(pattern), "isolated"),
-            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
-        ]
-    )
+    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     return tokenizer
 
 
@@ -116,7 +117,7 @@ def encode(
     not be called like the new ones. The vocabulary is read on the driver.
     """
     ranks = load_ranks(vocab_path)
-    saved = df.sparkSession.sparkContext.broadcast(build_tokenizer(ranks, pattern).to_str())
+    saved = df.sparkSession.sparkContext.broadcast(build_tokenizer(ranks).to_str())
     source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_encoded"))
     fields = [f for f in source.schema.fields if f.name != "_encoded"]
     names = [f.name for f in fields]
@@ -125,35 +126,44 @@ def encode(
     if offsets:
         schema += ["starts array<int>", "ends array<int>"]
 
-    def ids_of(tokenizer: Tokenizer, texts: list[str]) -> list:
-        parts, owner = [], []
-        for row, value in enumerate(texts):
-            cut = pieces(value) if value else []
-            parts += cut
-            owner += [row] * len(cut)
-        ids = [np.empty(0, np.int32)] * len(texts)
-        spans = [np.empty((0, 2), np.int32)] * len(texts)
-        done = [0] * len(texts)
+    def learn(tokenizer: Tokenizer, memo: dict[str, tuple], matches: set[str]) -> None:
+        new = [m for m in matches if m not in memo]
+        if len(memo) + len(new) > _REMEMBERED:
+            memo.clear()
+            new = list(matches)
         run = tokenizer.encode_batch if offsets else tokenizer.encode_batch_fast
-        for row, part, found in zip(owner, parts, run(parts, add_special_tokens=False)):
-            new = np.array(found.ids, np.int32)
-            ids[row] = np.concatenate([ids[row], new]) if len(ids[row]) else new
-            if offsets:
-                more = np.array(found.offsets, np.int32).reshape(-1, 2) + done[row]
-                spans[row] = np.concatenate([spans[row], more])
-                done[row] += len(part)
-        return [ids, spans]
-
-    def lists(values: list[np.ndarray]) -> pa.Array:
+        for match, found in zip(new, run(new, add_special_tokens=False)):
+            memo[match] = (found.ids, found.offsets if offsets else None)
+
+    def encoded(tokenizer: Tokenizer, memo: dict, cut: regex.Pattern, text_: str) -> tuple:
+        parts, base = [], 0
+        for piece in pieces(text_) or [""]:
+            matches = cut.findall(piece)
+            learn(tokenizer, memo, set(matches))
+            ids = np.fromiter(chain.from_iterable(memo[m][0] for m in matches), np.int32)
+            spans = np.empty((0, 2), np.int32)
+            if offsets and matches:
+                starts = accumulate(map(len, matches[:-1]), initial=base)
+                spans = np.array(
+                    [(a + at, b + at) for at, m in zip(starts, matches) for a, b in memo[m][1]],
+                    np.int32,
+                ).reshape(-1, 2)
+            parts.append((ids, spans))
+            base += len(piece)
+        return tuple(np.concatenate(p) for p in zip(*parts))
+
+    def lists(values: Sequence[np.ndarray]) -> pa.Array:
         ends = np.cumsum([0, *map(len, values)])
         flat = np.concatenate(values) if values else np.empty(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_str(saved.value)
+        tokenizer, memo = Tokenizer.from_str(saved.value), {}
+        cut = regex.compile(pattern)
         for part in slices(batches, "_encoded", _ENCODE_BYTES):
-            ids, spans = ids_of(tokenizer, part.column("_encoded").to_pylist())
+            texts = [t or "" for t in part.column("_encoded").to_pylist()]
+            ids, spans = zip(*(encoded(tokenizer, memo, cut, t) for t in texts))
             columns = [part.column(n) for n in names]
             columns += [lists(ids), pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())]
             if offsets:
@@ -165,16 +175,14 @@ def encode(
     return source.mapInArrow(mapper, ", ".join(schema))
 
 
-def decode(
-    df: DataFrame, keep: Sequence[str], vocab_path: str, pattern: str, ids: str = "ids"
-) -> DataFrame:
+def decode(df: DataFrame, keep: Sequence[str], vocab_path: str, ids: str = "ids") -> DataFrame:
     """``keep`` columns and ``decoded``, the bytes that the ids stand for.
 
     Null or empty ids give no bytes. Ids that the vocabulary lacks, negative
     ones and null ids are an error, as no bytes could stand for them. The bytes
     need not be whole characters: see ``token_texts`` for a readable form.
     """
-    tokenizer = build_tokenizer(load_ranks(vocab_path), pattern)
+    tokenizer = build_tokenizer(load_ranks(vocab_path))
     table = df.sparkSession.sparkContext.broadcast(byte_table(tokenizer))
     source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{ids}`").alias("_ids"))
     fields = [f for f in source.schema.fields if f.name != "_ids"]

@@ -108,7 +108,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("packed", 256).alias("ids_sha256"),
     )
     kept = ["doc_id", "n_tokens", "ids_sha256"]
-    decoded = byte_bpe.decode(digests, kept, vocab, public_tokenizers.PATTERN)
+    decoded = byte_bpe.decode(digests, kept, vocab)
     return decoded.select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
     )
