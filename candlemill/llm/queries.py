@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm import byte_bpe, merkle, minhash, quality_crf, secret_scan
+from candlemill.llm import byte_bpe, merkle, minhash, quality_crf, secret_scan, substring_dedup
 from candlemill.llm.common import crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,3 +147,8 @@ def op7_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), width=4)
+
+
+@register()
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
