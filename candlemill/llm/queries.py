@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm import byte_bpe, merkle, minhash, quality_crf, secret_scan, substring_dedup
+from candlemill.llm import byte_bpe, langid, merkle, minhash, quality_crf, secret_scan, substring_dedup
 from candlemill.llm.common import crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,3 +152,12 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
+@register()
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = crc_mod("doc_id", 4) == 2
+    model = langid.fit(docs, learn=~held_out)
+    found = langid.identify(docs, model, ["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
