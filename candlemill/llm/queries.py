@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm import byte_bpe, langid, merkle, minhash, quality_crf, secret_scan, substring_dedup
+from candlemill.llm import byte_bpe, langid, merkle, minhash, quality_crf, secret_scan, substring_dedup, topk
 from candlemill.llm.common import crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,3 +161,26 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs, learn=~held_out)
     found = langid.identify(docs, model, ["doc_id"])
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@register(
+    """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS double)) AS double)) AS part
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_inner_product(q.part, c.part) AS bigint) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT query_id, vec_id, score, CAST(row_number() OVER (
+    PARTITION BY query_id ORDER BY score DESC, vec_id) AS integer) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+)
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    whole = vectors.select("vec_id", topk.whole_components("embedding").alias("vector"))
+    return topk.top_k(whole, F.col("vec_id") % 20 == 0, k=20)
