@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm import byte_bpe, langid, merkle, minhash, quality_crf, secret_scan, substring_dedup, topk
+from candlemill.llm import byte_bpe, langid, merkle, minhash, pfair_mix, quality_crf, secret_scan, substring_dedup, topk
 from candlemill.llm.common import crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,3 +184,55 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     whole = vectors.select("vec_id", topk.whole_components("embedding").alias("vector"))
     return topk.top_k(whole, F.col("vec_id") % 20 == 0, k=20)
+
+
+# The schedule is simulated slot by slot over a list with the blocks that each
+# source has had; its sources are numbered by name, nulls first.
+_MIX_SQL = """
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, coalesce(length(text), 0) AS size FROM documents),
+totals AS (SELECT source, sum(size) AS total FROM sized GROUP BY source),
+weights AS (
+  SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) AS i,
+         1 + CAST(floor(round(1000 * sqrt(total) / sum(sqrt(total)) OVER (), 6)) AS bigint) AS w
+  FROM totals),
+lists AS (
+  SELECT list(w ORDER BY i) AS w, CAST(sum(w) AS bigint) AS period, count(*) AS n FROM weights),
+turns(slot, pick, had) AS (
+  SELECT CAST(-1 AS bigint), CAST(0 AS bigint), list_transform(w, lambda x: CAST(0 AS bigint))
+  FROM lists
+  UNION ALL
+  SELECT slot, pick, list_transform(range(1, n + 1),
+           lambda j: had[j] + CASE WHEN j = pick THEN 1 ELSE 0 END)
+  FROM (
+    SELECT slot + 1 AS slot, had, n, list_min(list_transform(range(1, n + 1), lambda j:
+             CASE WHEN had[j] < w[j] AND (had[j] * period) // w[j] <= slot + 1
+                  THEN (((had[j] + 1) * period + w[j] - 1) // w[j]) * 100000 + j
+                  ELSE 9000000000000000 END)) % 100000 AS pick
+    FROM turns, lists WHERE slot + 1 < period)),
+period_slots AS (
+  SELECT slot, pick AS i, row_number() OVER (PARTITION BY pick ORDER BY slot) - 1 AS turn
+  FROM turns WHERE slot >= 0),
+started AS (
+  SELECT doc_id, source, CAST(sum(size) OVER (
+           PARTITION BY source ORDER BY md5(CAST(doc_id AS varchar)), doc_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS bigint) AS start
+  FROM sized)
+SELECT doc_id, s.source, w AS weight, start, start // 20000 AS block,
+       ((start // 20000) % w * period) // w + (start // 20000) // w * period AS release,
+       (((start // 20000) % w + 1) * period + w - 1) // w + (start // 20000) // w * period
+         AS deadline,
+       p.slot + (start // 20000) // w * period AS slot
+FROM started s
+JOIN weights ON s.source IS NOT DISTINCT FROM weights.source
+JOIN period_slots p ON p.i = weights.i AND p.turn = (start // 20000) % w
+CROSS JOIN (SELECT period FROM lists)
+"""
+
+
+@register(_MIX_SQL)
+def op1_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select(
+        "doc_id", "source", F.coalesce(F.length("text"), F.lit(0)).alias("chars")
+    )
+    return pfair_mix.mix(docs, F.col("chars"), block_size=20_000).drop("chars")
