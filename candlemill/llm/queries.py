@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm import byte_bpe, langid, merkle, minhash, pfair_mix, quality_crf, secret_scan, substring_dedup, topk
+from candlemill.llm import byte_bpe, langid, licence_scan, merkle, minhash, pfair_mix, quality_crf, secret_scan, substring_dedup, topk
 from candlemill.llm.common import crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -236,3 +236,9 @@ def op1_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", F.coalesce(F.length("text"), F.lit(0)).alias("chars")
     )
     return pfair_mix.mix(docs, F.col("chars"), block_size=20_000).drop("chars")
+
+
+@register()
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return licence_scan.licences(docs, licence_scan.fit(docs))
