@@ -16,6 +16,7 @@ import base64
 import codecs
 import os
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 from itertools import accumulate, chain
 
@@ -33,7 +34,7 @@ from candlemill.llm.common import slices
 PIECE_CHARS = 1 << 16
 _ENCODE_BYTES = 1 << 20
 # Matches whose tokens a task remembers, before it starts afresh.
-_REMEMBERED = 300_000
+_REMEMBERED = 400_000
 
 
 def byte_characters() -> list[str]:
@@ -126,31 +127,31 @@ def encode(
     if offsets:
         schema += ["starts array<int>", "ends array<int>"]
 
-    def learn(tokenizer: Tokenizer, memo: dict[str, tuple], matches: set[str]) -> None:
+    def learn(tokenizer: Tokenizer, memo: dict[str, bytes], spans: dict, matches: set[str]) -> None:
         new = [m for m in matches if m not in memo]
         if len(memo) + len(new) > _REMEMBERED:
             memo.clear()
+            spans.clear()
             new = list(matches)
         run = tokenizer.encode_batch if offsets else tokenizer.encode_batch_fast
         for match, found in zip(new, run(new, add_special_tokens=False)):
-            memo[match] = (found.ids, found.offsets if offsets else None)
+            memo[match] = array("i", found.ids).tobytes()
+            if offsets:
+                spans[match] = array("i", chain.from_iterable(found.offsets)).tobytes()
 
-    def encoded(tokenizer: Tokenizer, memo: dict, cut: regex.Pattern, text_: str) -> tuple:
-        parts, base = [], 0
-        for piece in pieces(text_) or [""]:
+    def encoded(tokenizer: Tokenizer, memo: dict, spans: dict, cut, text_: str) -> tuple:
+        ids, places, base = [], [], 0
+        for piece in pieces(text_):
             matches = cut.findall(piece)
-            learn(tokenizer, memo, set(matches))
-            ids = np.fromiter(chain.from_iterable(memo[m][0] for m in matches), np.int32)
-            spans = np.empty((0, 2), np.int32)
+            learn(tokenizer, memo, spans, set(matches))
+            ids.append(b"".join(map(memo.__getitem__, matches)))
             if offsets and matches:
+                local = [np.frombuffer(spans[m], np.int32) for m in matches]
                 starts = accumulate(map(len, matches[:-1]), initial=base)
-                spans = np.array(
-                    [(a + at, b + at) for at, m in zip(starts, matches) for a, b in memo[m][1]],
-                    np.int32,
-                ).reshape(-1, 2)
-            parts.append((ids, spans))
+                places += [place + at for place, at in zip(local, starts)]
             base += len(piece)
-        return tuple(np.concatenate(p) for p in zip(*parts))
+        flat = np.concatenate(places) if places else np.empty(0, np.int32)
+        return np.frombuffer(b"".join(ids), np.int32), flat.astype(np.int32).reshape(-1, 2)
 
     def lists(values: Sequence[np.ndarray]) -> pa.Array:
         ends = np.cumsum([0, *map(len, values)])
@@ -159,11 +160,11 @@ def encode(
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer, memo = Tokenizer.from_str(saved.value), {}
+        tokenizer, memo, places = Tokenizer.from_str(saved.value), {}, {}
         cut = regex.compile(pattern)
         for part in slices(batches, "_encoded", _ENCODE_BYTES):
             texts = [t or "" for t in part.column("_encoded").to_pylist()]
-            ids, spans = zip(*(encoded(tokenizer, memo, cut, t) for t in texts))
+            ids, spans = zip(*(encoded(tokenizer, memo, places, cut, t) for t in texts))
             columns = [part.column(n) for n in names]
             columns += [lists(ids), pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())]
             if offsets:
