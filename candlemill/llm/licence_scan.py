@@ -34,9 +34,15 @@ _TEMPERATURES = (0.125, 0.25, 0.5, 1.0, 2.0)
 
 
 def _table(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
-    """A small table of literals."""
-    cells = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows]
-    return spark.range(1).select(F.explode(F.array(*cells)).alias("row")).select("row.*")
+    """A small table of text and numbers, as a local relation of the plan."""
+
+    def cell(value: str | float) -> str:
+        if isinstance(value, str):
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"{float(value)!r}D"
+
+    values = ", ".join("(" + ", ".join(map(cell, row)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
 
 
 def words(text: str | Column) -> Column:
@@ -74,19 +80,25 @@ class Model:
     temperature: float
 
 
-def _probabilities(scores: Sequence[Column], temperature: float) -> Column:
-    top = F.greatest(*scores)
-    powers = F.array(*[F.exp((s - top) / temperature) for s in scores])
-    whole = F.aggregate(powers, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(powers, lambda p: p / whole)
+def _with_probabilities(scored: DataFrame, temperature: Column) -> DataFrame:
+    """Add ``p``, the probabilities of the classes, to rows with ``scores``."""
+    top = F.array_max("scores")
+    powers = F.transform("scores", lambda s: F.exp((s - top) / temperature))
+    whole = F.aggregate("powers", F.lit(0.0), lambda a, x: a + x)
+    return (
+        scored.withColumn("powers", powers)
+        .withColumn("whole", whole)
+        .withColumn("p", F.transform("powers", lambda x: x / F.col("whole")))
+        .drop("powers", "whole", "scores")
+    )
 
 
 def _scored(paragraphs: DataFrame, model: Model) -> DataFrame:
-    """Add a score per class, ``s0`` onwards, to distinct ``words`` arrays."""
+    """Add ``scores``, one per class, to distinct ``words`` arrays."""
     k = len(model.classes)
     names = [f"s{i}" for i in range(k)]
     if not model.weights:
-        return paragraphs.withColumns(dict(zip(names, map(F.lit, model.intercepts))))
+        return paragraphs.withColumn("scores", F.array(*map(F.lit, model.intercepts)))
     rows = [(g, *w) for g, w in sorted(model.weights.items())]
     table = _table(paragraphs.sparkSession, rows, ["gram", *names])
     found = (
@@ -95,8 +107,9 @@ def _scored(paragraphs: DataFrame, model: Model) -> DataFrame:
         .groupBy("words")
         .agg(*[F.sum(n).alias(n) for n in names])
     )
-    return paragraphs.join(found, "words", "left").withColumns(
-        {n: F.coalesce(n, F.lit(0.0)) + b for n, b in zip(names, model.intercepts)}
+    sums = [F.coalesce(n, F.lit(0.0)) + b for n, b in zip(names, model.intercepts)]
+    return (
+        paragraphs.join(found, "words", "left").withColumn("scores", F.array(*sums)).drop(*names)
     )
 
 
@@ -152,14 +165,14 @@ def _calibrated(fixed: DataFrame, model: Model) -> float:
     """The temperature with the least log loss on notices that lack every fifth word."""
     kept = F.filter(words("line"), lambda w, i: i % 5 != 3)
     scored = _scored(fixed.select(kept.alias("words"), "label").distinct(), model)
-    scores = [F.col(f"s{i}") for i in range(len(model.classes))]
-
-    def loss(t: float) -> Column:
-        own = F.get(_probabilities(scores, t), F.col("label").cast("int"))
-        return F.avg(-F.log(F.greatest(own, F.lit(1e-12))))
-
-    losses = scored.agg(*[loss(t) for t in _TEMPERATURES]).first()
-    return min(zip(losses, _TEMPERATURES))[1]
+    tried = scored.withColumn("t", F.explode(F.array(*map(F.lit, _TEMPERATURES))))
+    own = F.get("p", F.col("label").cast("int"))
+    losses = (
+        _with_probabilities(tried, F.col("t"))
+        .groupBy("t")
+        .agg(F.avg(-F.log(F.greatest(own, F.lit(1e-12)))).alias("loss"))
+    )
+    return losses.orderBy("loss", "t").first()["t"]
 
 
 def classify(paragraphs: DataFrame, model: Model) -> DataFrame:
@@ -170,9 +183,9 @@ def classify(paragraphs: DataFrame, model: Model) -> DataFrame:
     """
     spark = paragraphs.sparkSession
     names = F.array(*[F.lit(c) for c in model.classes])
-    scores = [F.col(f"s{i}") for i in range(len(model.classes))]
-    scored = _scored(paragraphs.select("words"), model)
-    likely = scored.select("words", _probabilities(scores, model.temperature).alias("p"))
+    likely = _with_probabilities(
+        _scored(paragraphs.select("words"), model), F.lit(model.temperature)
+    )
     best = (F.array_position("p", F.array_max("p")) - 1).cast("int")
     guessed = likely.select(
         "words", F.array_max("p").alias("probability"), F.get(names, best).alias("guess")
