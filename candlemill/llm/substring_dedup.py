@@ -9,9 +9,9 @@ that is one in both, so both have the same anchor there. Only passages around
 anchors that two documents share are then extended to full windows and decided
 by their hashes of 96 bits.
 
-A key that very many documents share is found in a sample beforehand and
-handled by a combining aggregation and a join with a table of bounded size, all
-others by one shuffle; which way a key goes never changes the result.
+A key that very many documents share is found in a sample beforehand, combined
+inside the tasks and looked up in a table of bounded size, all others take one
+shuffle; which way a key goes never changes the result.
 """
 
 from __future__ import annotations
@@ -27,17 +27,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from candlemill.llm.common import slices, span_hashes, text_buffer, word_hashes, word_spans
-from candlemill.session import stage
+from candlemill.session import small_table, stage
 
 WINDOW = 50
 PERIOD = 31
 
 # One document in SAMPLE_EVERY is looked at for hot keys; a key is hot if at
-# least one in HOT_SHARE of those, and HOT_LEAST of them, have it. So there
-# are at most HOT_SHARE times as many hot keys as a document has on average.
+# least one in HOT_SHARE of those, and HOT_LEAST of them, have it. The most
+# frequent HOT_KEYS are handled as hot, all others by the shuffle.
 SAMPLE_EVERY = 32
 HOT_SHARE = 500
 HOT_LEAST = 8
+HOT_KEYS = 100_000
 
 
 def difference_cover(period: int) -> tuple[int, ...]:
@@ -175,30 +176,92 @@ def _cut_mapper(window: int):
     return mapper
 
 
+def _find_hot(batch: pa.RecordBatch, keys: list[str], hot: list[np.ndarray]) -> tuple:
+    """Rows of the batch whose key is hot, and the place of the key in the hot table."""
+    columns = [batch.column(k).to_numpy() for k in keys]
+    at = np.minimum(np.searchsorted(hot[0], columns[0]), len(hot[0]) - 1)
+    same = np.logical_and.reduce([h[at] == c for h, c in zip(hot, columns)])
+    rows = np.flatnonzero(same)
+    return rows, at[rows]
+
+
+def _hot_extremes(keys: list[str], id_: str, hot: list[np.ndarray]):
+    """Smallest and largest id per hot key of each batch."""
+
+    def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            rows, at = _find_hot(part, keys, hot)
+            order = np.argsort(at, kind="stable")
+            place, first = np.unique(at[order], return_index=True)
+            ids = part.column(id_).to_numpy()[rows][order]
+            if len(ids):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(place, pa.int64()),
+                        pa.array(np.minimum.reduceat(ids, first)),
+                        pa.array(np.maximum.reduceat(ids, first)),
+                    ],
+                    names=["place", "least", "most"],
+                )
+
+    return mapper
+
+
+def _hot_rows(keys: list[str], names: list[str], hot: list[np.ndarray], least, most):
+    """The rows with hot keys, with the extremes of their keys."""
+
+    def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            rows, at = _find_hot(part, keys, hot)
+            if len(rows):
+                found = part.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [*[found.column(n) for n in names], pa.array(least[at]), pa.array(most[at])],
+                    names=[*names, "least", "most"],
+                )
+
+    return mapper
+
+
 def with_extremes(rows: DataFrame, keys: list[str], id_: str = "id") -> DataFrame:
     """Add the smallest and largest id among rows of equal ``keys``, as ``least`` and ``most``.
 
-    One shuffle for keys of few documents. Hot keys (see above) are combined
-    before their shuffle and joined back by broadcast, so that their rows stay
-    where they are.
+    One shuffle for keys of few documents. Hot keys (see above), at most
+    HOT_KEYS, are combined inside the tasks and looked up in a broadcast table,
+    so that their rows stay where they are. Keys and ids are longs or ints.
     """
+    spark = rows.sparkSession
     sampled = rows.where(F.pmod(F.xxhash64(id_, F.lit(7)), F.lit(SAMPLE_EVERY)) == 0)
     n_documents = sampled.agg(F.approx_count_distinct(id_)).first()[0]
     enough = max(HOT_LEAST, n_documents // HOT_SHARE)
-    hot = stage(
+    found = (
         sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= enough)
-        .select(*keys),
-        "hot",
+        .orderBy(F.desc("n"), *keys).limit(HOT_KEYS)
+        .dropDuplicates(keys[:1]).orderBy(keys[0])
+        .toArrow()
     )
     group = Window.partitionBy(*keys)
-    cold = rows.join(F.broadcast(hot), keys, "left_anti").withColumns(
-        {"least": F.min(id_).over(group), "most": F.max(id_).over(group)}
+    extremes = {"least": F.min(id_).over(group), "most": F.max(id_).over(group)}
+    if not found.num_rows:
+        return rows.withColumns(extremes)
+    hot = [found[k].to_numpy() for k in keys]
+    table = small_table(spark, **{k: (found[k].type, h) for k, h in zip(keys, hot)})
+    cold = rows.join(F.broadcast(table), keys, "left_anti").withColumns(extremes)
+    kind = rows.schema[id_].dataType.simpleString()
+    ends = (
+        rows.select(*keys, id_)
+        .mapInArrow(_hot_extremes(keys, id_, hot), f"place long, least {kind}, most {kind}")
+        .groupBy("place")
+        .agg(F.min("least").alias("least"), F.max("most").alias("most"))
+        .orderBy("place")
+        .toArrow()
     )
-    hot_rows = rows.join(F.broadcast(hot), keys, "left_semi")
-    extremes = stage(
-        hot_rows.groupBy(*keys).agg(F.min(id_).alias("least"), F.max(id_).alias("most")), "extremes"
+    least, most = ends["least"].to_numpy(), ends["most"].to_numpy()
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    hot_rows = rows.mapInArrow(
+        _hot_rows(keys, rows.columns, hot, least, most), f"{schema}, least {kind}, most {kind}"
     )
-    return cold.unionByName(hot_rows.join(F.broadcast(extremes), keys).select(*cold.columns))
+    return cold.select(*hot_rows.columns).union(hot_rows)
 
 
 def remove_repeats(
@@ -214,7 +277,7 @@ def remove_repeats(
     windows are judged on the input. ``kept`` is what is left, its words joined
     by single spaces, and null where nothing was removed or the whole text was;
     ``kept_sha256`` is the hash of what is left in every case. Null, empty and
-    short texts lose nothing, nor do rows with a null key, which do not count
+    short texts lose nothing, nor do rows with a null key (keys are whole numbers), which do not count
     as earlier documents either. Rows that share a key do not repeat each
     other; if their texts differ, what one loses is lost at that position in
     all. An empty table gives an empty result.
