@@ -6,13 +6,14 @@ own random probes find first (optimal densification). Bands of bins are the
 buckets in which similar documents meet.
 
 Equal sets are one node from the start, so copies cost nothing further. In a
-bucket only stars are compared: one centre with all other members. Centres are
-the members that share most buckets with others, which is what an original
-among its edited copies does. Links are confirmed on full sets. A bucket whose
-members are then not all in one component gets its next centres, twice as many
-each round, until every pair of its members is either connected or compared:
-no candidate is given up, and no bucket emits all its pairs unless they are
-all unalike.
+bucket only stars are compared. A centre is the member that shares most buckets
+with others, which is what an original among its edited copies does. First each
+document meets the best of its centres; links are confirmed on full sets. In
+buckets whose members are then not all in one component, all centres are
+compared. What is still apart there is settled exactly by rarest shingles: two
+sets of the wanted likeness share one of their rarest few, and can have no more
+in common than what is not theirs alone. So no candidate is given up, and no
+bucket emits all its pairs.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -133,6 +134,17 @@ def _set_mapper(width: int):
     return mapper
 
 
+def _member_mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per member of each set."""
+    for part in slices(batches, "members"):
+        values = [np.frombuffer(m.as_buffer(), np.int64) for m in part.column("members")]
+        owner = np.repeat(np.arange(part.num_rows), [len(v) for v in values])
+        yield pa.RecordBatch.from_arrays(
+            [part.column("id").take(pa.array(owner)), pa.array(np.concatenate(values))],
+            names=["id", "shingle"],
+        )
+
+
 def _confirm_mapper(percent: int):
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "left"):
@@ -153,22 +165,86 @@ def _confirm_mapper(percent: int):
 # ---------------------------------------------------------------- on Spark
 
 
-def _candidates(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of a centre and a later member whose set sizes allow the likeness."""
-    c = centres.select(
-        "key",
-        F.col("id").alias("c_id"),
-        F.col("n").alias("c_n"),
-        F.col("rank").alias("c_rank"),
-        F.col("component").alias("c_component"),
+def _fits(percent: int, a: str, b: str, common: Column | None = None) -> Column:
+    """Whether sets of sizes ``a`` and ``b`` can be alike enough, given what they can share."""
+    shared = F.least(a, b) if common is None else common
+    return (100 + percent) * shared >= percent * (F.col(a) + F.col(b))
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b"))
+
+
+def _with_centres(members: DataFrame, percent: int) -> DataFrame:
+    """Members of buckets beside their bucket's centre, where the two can be alike."""
+    centres = members.groupBy("key").agg(
+        F.max(F.struct("degree", (-F.col("id")).alias("back"), "n", "component")).alias("c")
     )
     return (
-        members.join(c, "key")
-        .where("rank > c_rank AND component <> c_component AND id <> c_id")
-        .where(100 * F.least("n", "c_n") >= percent * F.greatest("n", "c_n"))
-        .select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b"))
-        .distinct()
+        members.join(centres, "key")
+        .select(
+            "id", "n", "component", F.col("c.degree").alias("c_degree"),
+            (-F.col("c.back")).alias("c_id"), F.col("c.n").alias("c_n"),
+            F.col("c.component").alias("c_component"),
+        )
+        .where((F.col("component") != F.col("c_component")) & _fits(percent, "n", "c_n"))
+    )
+
+
+def _still_apart(members: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component."""
+    apart = (
+        members.groupBy("key")
+        .agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        .where("x <> y")
+        .select("key")
     )
+    return members.join(apart, "key", "left_semi")
+
+
+def _rare_pairs(apart: DataFrame, sets: DataFrame, percent: int, kind: str) -> DataFrame:
+    """All pairs of different components that can be alike, by their rarest shingles.
+
+    Sets of size n with likeness t share a member among the ``n - ceil(t n) + 1``
+    rarest of each, in any one order; members that only one set has are in no
+    intersection. Of the sets that hold a shingle, those outside the largest
+    component meet the others, so equal components meet nowhere.
+    """
+    nodes = stage(apart.select("id", "n", "component").distinct(), "apart")
+    rows = stage(
+        sets.join(nodes.select("id"), "id", "left_semi").mapInArrow(
+            _member_mapper, f"id {kind}, shingle long"
+        ),
+        "shingles",
+    )
+    shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    ranked = rows.join(shared, "shingle").withColumn(
+        "rank", F.row_number().over(Window.partitionBy("id").orderBy("df", "shingle"))
+    ).withColumn("in_common", F.count(F.lit(1)).over(Window.partitionBy("id")))
+    sizes = nodes.groupBy("component").agg(F.count(F.lit(1)).alias("weight"))
+    known = stage(nodes.join(sizes, "component"), "known")
+    # Members of one set alone are the rarest, so they take the first ranks.
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    rare = stage(
+        ranked.join(known, "id")
+        .where(F.col("rank") + F.col("n") - F.col("in_common") <= prefix)
+        .select("shingle", "id", "n", "in_common", "component", "weight"),
+        "rare",
+    )
+    largest = rare.groupBy("shingle").agg(
+        F.max(F.struct("weight", "component")).alias("top"),
+        F.min("component").alias("x"),
+        F.max("component").alias("y"),
+    ).where("x <> y").select("shingle", F.col("top.component").alias("main"))
+    few = rare.join(largest, "shingle").where("component <> main").select(
+        "shingle", F.col("id").alias("c_id"), F.col("n").alias("c_n"),
+        F.col("in_common").alias("c_common"), F.col("component").alias("c_component"),
+    )
+    met = rare.join(few, "shingle").where(
+        (F.col("component") != F.col("c_component"))
+        & _fits(percent, "n", "c_n", F.least("in_common", "c_common"))
+    )
+    return _pairs(met).distinct()
 
 
 def near_duplicates(
@@ -218,64 +294,41 @@ def near_duplicates(
         ).dropDuplicates(["id"]),
         "sets",
     )
-    links = None
-    tested = None
-    low, high = 1, 1
-    by_degree = Window.partitionBy("key").orderBy(F.desc("degree"), "id")
-    while True:
-        if links is None:
-            now = members.withColumn("component", F.col("id"))
-            # One centre a bucket needs no ranking: the maximum combines early.
-            top = now.groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("back"))).alias("top"))
-            now = now.join(top, "key").withColumn(
-                "rank", F.when(F.col("id") == -F.col("top.back"), 1).otherwise(2)
-            )
-        else:
-            found = components(links)
-            now = members.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn(
-                "component", F.coalesce("component", "id")
-            )
-            open_ = (
-                now.groupBy("key")
-                .agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                .where("x <> y")
-                .select("key")
-            )
-            now = stage(
-                now.join(open_, "key", "left_semi").withColumn(
-                    "rank", F.row_number().over(by_degree)
-                ),
-                "open",
-            )
-        centres = now.where(F.col("rank").between(low, high))
-        pairs = _candidates(now, centres, percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        if not pairs.isEmpty():
-            compared = (
-                pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("left")), "a")
-                .join(sets.select(F.col("id").alias("b"), F.col("members").alias("right")), "b")
-                .select("a", "b", "left", "right")
-                .mapInArrow(_confirm_mapper(percent), f"a {kind}, b {kind}, linked boolean")
-            )
-            compared = stage(compared, "compared")
-            new = compared.where("linked").select("a", "b")
-            links = new if links is None else links.union(new)
-            apart = compared.where("NOT linked").select("a", "b")
-            tested = apart if tested is None else tested.union(apart)
-        elif links is None:
-            break
-        elif now.where(F.col("rank") > high).isEmpty():
-            break
-        low, high = high + 1, 2 * high + 1
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        left = sets.select(F.col("id").alias("a"), F.col("members").alias("left"))
+        right = sets.select(F.col("id").alias("b"), F.col("members").alias("right"))
+        return stage(
+            pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(
+                _confirm_mapper(percent), f"a {kind}, b {kind}, linked boolean"
+            ),
+            "compared",
+        )
+
+    def with_components(links: DataFrame) -> DataFrame:
+        found = components(links).withColumnRenamed("node", "id")
+        own = members.join(found, "id", "left")
+        return own.withColumn("component", F.coalesce("component", "id"))
+
+    # Every document with the best of its centres.
+    alone = members.withColumn("component", F.col("id"))
+    best = F.max(F.struct("c_degree", "c_id")).alias("best")
+    first = _with_centres(alone, percent).groupBy("id").agg(best)
+    compared = confirmed(_pairs(first.select("id", "best.c_id")).distinct())
+    links = compared.where("linked").select("a", "b")
+    # All centres of the buckets that are not settled.
+    apart = _still_apart(with_components(links))
+    second = _pairs(_with_centres(apart, percent)).distinct()
+    compared = compared.union(confirmed(second.join(compared, ["a", "b"], "left_anti")))
+    links = stage(compared.where("linked").select("a", "b"), "links")
+    # The rest, by rarest shingles.
+    apart = _still_apart(with_components(links))
+    third = _rare_pairs(apart, sets, percent, kind)
+    last = confirmed(third.join(compared, ["a", "b"], "left_anti"))
+    links = links.union(last.where("linked").select("a", "b"))
 
     owner = named.join(nodes.select("h1", "h2", "n", F.col("id").alias("node")), ["h1", "h2", "n"])
-    owner = owner.select("id", "n", "node")
-    if links is not None:
-        owner = owner.join(components(links), "node", "left")
-    else:
-        owner = owner.withColumn("component", F.col("node"))
+    owner = owner.select("id", "n", "node").join(components(links), "node", "left")
     rest = sketch.where("n = 0 OR id IS NULL").select(
         "id", "n", F.lit(None).cast(kind).alias("node"), F.col("id").alias("component")
     )
