@@ -24,10 +24,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from candlemill.llm.common import slices
+from candlemill.llm.common import kept_batch, keeping, slices
 
 # Code points of one call to the library; longer texts are cut where the
 # pattern has to end a match anyway.
@@ -114,18 +113,17 @@ def encode(
 
     With ``offsets`` also ``starts`` and ``ends`` of each token in code points;
     tokens that share a character both cover it. A null or empty text has no
-    ids. Special tokens' strings in a text are ordinary text. Kept columns may
-    not be called like the new ones. The vocabulary is read on the driver.
+    ids. Special tokens' strings in a text are ordinary text. New columns that
+    ``keep`` has already get underscores in front. ``pattern`` is in the
+    language of the regex module. The vocabulary is read on the driver.
     """
     ranks = load_ranks(vocab_path)
     saved = df.sparkSession.sparkContext.broadcast(build_tokenizer(ranks).to_str())
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_encoded"))
-    fields = [f for f in source.schema.fields if f.name != "_encoded"]
-    names = [f.name for f in fields]
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
-    schema += ["ids array<int>", "packed binary"]
+    added = [("ids", "array<int>"), ("packed", "binary")]
     if offsets:
-        schema += ["starts array<int>", "ends array<int>"]
+        added += [("starts", "array<int>"), ("ends", "array<int>")]
+    kept = keeping(df, keep, text, added)
+    names, read = kept.names, kept.value
 
     def learn(tokenizer: Tokenizer, memo: dict[str, bytes], spans: dict, matches: set[str]) -> None:
         new = [m for m in matches if m not in memo]
@@ -162,18 +160,15 @@ def encode(
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer, memo, places = Tokenizer.from_str(saved.value), {}, {}
         cut = regex.compile(pattern)
-        for part in slices(batches, "_encoded", _ENCODE_BYTES):
-            texts = [t or "" for t in part.column("_encoded").to_pylist()]
+        for part in slices(batches, read, _ENCODE_BYTES):
+            texts = [t or "" for t in part.column(read).to_pylist()]
             ids, spans = zip(*(encoded(tokenizer, memo, places, cut, t) for t in texts))
-            columns = [part.column(n) for n in names]
-            columns += [lists(ids), pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())]
+            new = [lists(ids), pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())]
             if offsets:
-                columns += [lists([s[:, 0] for s in spans]), lists([s[:, 1] for s in spans])]
-            yield pa.RecordBatch.from_arrays(
-                columns, names=[*names, "ids", "packed", *(["starts", "ends"] if offsets else [])]
-            )
+                new += [lists([s[:, 0] for s in spans]), lists([s[:, 1] for s in spans])]
+            yield kept_batch(part, names, *new)
 
-    return source.mapInArrow(mapper, ", ".join(schema))
+    return kept.source.mapInArrow(mapper, kept.schema)
 
 
 def decode(df: DataFrame, keep: Sequence[str], vocab_path: str, ids: str = "ids") -> DataFrame:
@@ -185,17 +180,15 @@ def decode(df: DataFrame, keep: Sequence[str], vocab_path: str, ids: str = "ids"
     """
     tokenizer = build_tokenizer(load_ranks(vocab_path))
     table = df.sparkSession.sparkContext.broadcast(byte_table(tokenizer))
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{ids}`").alias("_ids"))
-    fields = [f for f in source.schema.fields if f.name != "_ids"]
-    names = [f.name for f in fields]
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
+    kept = keeping(df, keep, ids, [("decoded", "binary")])
+    names, read = kept.names, kept.value
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_id = table.value
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 part = whole.slice(start, 256)
-                column = part.column("_ids")
+                column = part.column(read)
                 flat = column.flatten()
                 if flat.null_count or (len(flat) and flat.to_numpy().min() < 0):
                     raise ValueError("ids must be whole numbers from 0")
@@ -203,12 +196,9 @@ def decode(df: DataFrame, keep: Sequence[str], vocab_path: str, ids: str = "ids"
                     b"".join([by_id[i] for i in row.values.to_pylist()]) if row.is_valid else b""
                     for row in column
                 ]
-                yield pa.RecordBatch.from_arrays(
-                    [*[part.column(n) for n in names], pa.array(decoded, pa.binary())],
-                    names=[*names, "decoded"],
-                )
+                yield kept_batch(part, names, pa.array(decoded, pa.binary()))
 
-    return source.mapInArrow(mapper, ", ".join([*schema, "decoded binary"]))
+    return kept.source.mapInArrow(mapper, kept.schema)
 
 
 def token_texts(tokens: Sequence[bytes]) -> list[str]:

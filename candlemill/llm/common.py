@@ -6,13 +6,15 @@ time, so that a task's memory depends on neither batch nor partition size.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Text bytes that a mapper looks at together; a longer text comes alone.
 SLICE_BYTES = 2 << 20
@@ -117,23 +119,6 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     return mix64((sums[ends] - sums[starts]) * back + lengths * np.uint64(0x9FB21C651E98DF25))
 
 
-def map_batches(
-    df: DataFrame,
-    columns: Sequence[Column | str],
-    schema: str,
-    mapper: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-) -> DataFrame:
-    """``mapper`` over Arrow batches of the named columns alone."""
-    return df.select(*columns).mapInArrow(mapper, schema)
-
-
-def batch(**columns: object) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()],
-        names=list(columns),
-    )
-
-
 def unclashing(taken: Iterable[str], name: str) -> str:
     """``name``, or a longer one that ``taken`` lacks (Spark ignores case)."""
     used = {t.lower() for t in taken}
@@ -142,6 +127,45 @@ def unclashing(taken: Iterable[str], name: str) -> str:
     return name
 
 
+@dataclass(frozen=True)
+class Kept:
+    """Rows for a mapper that keeps columns, reads one and adds others.
+
+    ``source`` has the kept columns and then the one to read, called ``value``;
+    ``new`` maps the wanted names of the added columns to free ones.
+    """
+
+    source: DataFrame
+    value: str
+    new: dict[str, str]
+    schema: T.StructType
+
+    @property
+    def names(self) -> list[str]:
+        return self.schema.fieldNames()
+
+
+def kept_batch(part: pa.RecordBatch, names: Sequence[str], *added: pa.Array) -> pa.RecordBatch:
+    """The columns of ``part`` but the last, and the added ones."""
+    kept = [part.column(i) for i in range(part.num_columns - 1)]
+    return pa.RecordBatch.from_arrays([*kept, *added], names=list(names))
+
+
+def keeping(df: DataFrame, keep: Sequence[str], read: str, added: Sequence[tuple[str, str]]) -> Kept:
+    """``keep`` and ``read`` of ``df``; ``added`` are names and types of new columns.
+
+    New columns that ``keep`` has already get underscores in front.
+    """
+    value = unclashing(keep, "_value")
+    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{read}`").alias(value))
+    fields = [*source.schema.fields[:-1]]
+    new = {}
+    for name, kind in added:
+        new[name] = unclashing([f.name for f in fields], name)
+        fields.append(T.StructField(new[name], T.DataType.fromDDL(kind)))
+    return Kept(source, value, new, T.StructType(fields))
+
+
 def crc_mod(doc_id: str | Column, modulus: int) -> Column:
     """crc32 of a document's id as text, modulo ``modulus``: the fold of a row."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

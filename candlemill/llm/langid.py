@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candlemill.llm.common import mix64, slices, text_buffer, word_spans
+from candlemill.llm.common import kept_batch, keeping, mix64, slices, text_buffer, word_spans
 
 # Training documents per language at most, chosen by a hash of the key.
 TRAIN_DOCUMENTS = 500
@@ -322,19 +322,19 @@ def identify(
     alphabet; it is ``und`` with score 0 for null, empty or letterless texts
     and for a model without languages. ``score`` is the share of letters in
     words of that language. Spans are UTF-8 byte ranges of words of one
-    language, without white space at their ends.
+    language, without white space at their ends. New columns that ``keep`` has
+    already get underscores in front.
     """
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_read"))
-    fields = [f for f in source.schema.fields if f.name != "_read"]
-    names = [f.name for f in fields]
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
-    schema += ["lang_pred string", "score double"]
+    added = [("lang_pred", "string"), ("score", "double")]
+    kept = keeping(df, keep, text, added + ([("spans", SPAN_TYPE)] if spans else []))
+    names, read = kept.names, kept.value
     languages = [*model.languages, UNKNOWN]
     k = len(model.languages)
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_read", 1 << 19):
-            words = read_words(*text_buffer(part.column("_read")))
+        for part in slices(batches, read, 1 << 19):
+            data, offsets = text_buffer(part.column(read))
+            words = read_words(data, offsets)
             sizes = np.diff(words.offsets)
             row = np.repeat(np.arange(part.num_rows), sizes)
             share = np.zeros((part.num_rows, k + 1))
@@ -347,22 +347,12 @@ def identify(
             pred = share.argmax(1)
             score = share[np.arange(len(pred)), pred] / share.sum(1)
             score[pred == k] = 0.0
-            columns = [*[part.column(n) for n in names]]
-            columns += [pa.array([languages[p] for p in pred], pa.string()), pa.array(score)]
+            new = [pa.array([languages[p] for p in pred], pa.string()), pa.array(score)]
             if spans:
-                offsets = _row_offsets(part.column("_read"))
-                columns.append(_spans(words, path, row, offsets, languages))
-            yield pa.RecordBatch.from_arrays(
-                columns, names=[*names, "lang_pred", "score", *(["spans"] if spans else [])]
-            )
-
-    if spans:
-        schema.append(f"spans {SPAN_TYPE}")
-    return source.mapInArrow(mapper, ", ".join(schema))
-
+                new.append(_spans(words, path, row, offsets, languages))
+            yield kept_batch(part, names, *new)
 
-def _row_offsets(column: pa.Array) -> np.ndarray:
-    return text_buffer(column)[1]
+    return kept.source.mapInArrow(mapper, kept.schema)
 
 
 def _spans(

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlemill.llm.common import slices
+from candlemill.llm.common import kept_batch, keeping, slices
 
 # Every code point is in one leaf; no leaf has more than 153 code points.
 _LEAF = re.compile(r"[^.!?\n]{1,32}[.!?]{0,60}[ \t]{0,60}\n?|[.!?]{1,60}[ \t]{0,60}\n?|\n")
@@ -160,22 +160,17 @@ def differences(a: str, b: str) -> list[tuple[int, int, int, int]]:
 def fingerprints(df: DataFrame, keep: Sequence[str], text: str = "text") -> DataFrame:
     """``keep`` columns and ``fingerprint`` of each row; null texts count as empty.
 
-    A kept column may not be called ``fingerprint``.
+    ``fingerprint`` gets underscores in front if ``keep`` has that name.
     """
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_hashed"))
-    fields = [f for f in source.schema.fields if f.name != "_hashed"]
-    names = [f.name for f in fields]
+    kept = keeping(df, keep, text, [("fingerprint", "string")])
+    names, read = kept.names, kept.value
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_hashed"):
-            prints = [fingerprint(t or "") for t in part.column("_hashed").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*[part.column(n) for n in names], pa.array(prints, pa.string())],
-                names=[*names, "fingerprint"],
-            )
-
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
-    return source.mapInArrow(mapper, ", ".join([*schema, "fingerprint string"]))
+        for part in slices(batches, read):
+            prints = [fingerprint(t or "") for t in part.column(read).to_pylist()]
+            yield kept_batch(part, names, pa.array(prints, pa.string()))
+
+    return kept.source.mapInArrow(mapper, kept.schema)
 
 
 # ---------------------------------------------------------------- neighbours

@@ -18,7 +18,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import mix64, slices, span_hashes, text_buffer, word_hashes, word_spans
+from candlemill.llm.common import (
+    kept_batch,
+    keeping,
+    mix64,
+    slices,
+    span_hashes,
+    text_buffer,
+    word_hashes,
+    word_spans,
+)
 
 # Labelled documents that training uses at most, chosen by a hash of the key.
 TRAIN_DOCUMENTS = 4_000
@@ -329,26 +338,21 @@ def score_documents(
     """``keep`` columns and ``score`` (0 to 1); with ``lines`` also ``good``, one value a line.
 
     Lines without words have no value. Null, empty and blank texts score like
-    the average training document. Kept columns may not be called ``score`` or
-    ``good``.
+    the average training document. New columns that ``keep`` has already get
+    underscores in front.
     """
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_scored"))
-    fields = [f for f in source.schema.fields if f.name != "_scored"]
-    names = [f.name for f in fields]
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["score double"]
+    added = [("score", "double")] + ([("good", "array<double>")] if lines else [])
+    kept = keeping(df, keep, text, added)
+    names, read = kept.names, kept.value
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_scored"):
-            found = line_features(*text_buffer(part.column("_scored")))
+        for part in slices(batches, read):
+            found = line_features(*text_buffer(part.column(read)))
             scores, good = score(model, found)
-            columns = [*[part.column(n) for n in names], pa.array(scores)]
+            new = [pa.array(scores)]
             if lines:
                 ends = pa.array(found.offsets, pa.int32())
-                columns.append(pa.ListArray.from_arrays(ends, pa.array(good)))
-            yield pa.RecordBatch.from_arrays(
-                columns, names=[*names, "score", *(["good"] if lines else [])]
-            )
+                new.append(pa.ListArray.from_arrays(ends, pa.array(good)))
+            yield kept_batch(part, names, *new)
 
-    if lines:
-        schema.append("good array<double>")
-    return source.mapInArrow(mapper, ", ".join(schema))
+    return kept.source.mapInArrow(mapper, kept.schema)

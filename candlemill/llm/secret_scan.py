@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import slices
+from candlemill.llm.common import kept_batch, keeping, slices
 
 # ---------------------------------------------------------------- rules
 
@@ -363,20 +363,19 @@ def find_secrets(
 
     Spans are ordered by start, then by the order of ``rules``. Null and empty
     texts have an empty list; rows are neither merged nor dropped, and columns
-    not in ``keep`` do not matter. A kept column may not be called ``spans``.
+    not in ``keep`` do not matter. ``spans`` gets underscores in front if
+    ``keep`` has that name.
     """
     scanner = compile_rules(rules)
     names = [r.kind for r in rules]
-    kept = [F.col(f"`{c}`") for c in keep]
-    source = df.select(*kept, F.col(f"`{text}`").alias("_scanned"))
-    fields = [f for f in source.schema.fields if f.name != "_scanned"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    kept = keeping(df, keep, text, [("spans", SPAN_TYPE)])
+    columns, read = kept.names, kept.value
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = make_scan(scanner)
-        for part in slices(batches, "_scanned"):
+        for part in slices(batches, read):
             kinds, starts, ends, sizes = [], [], [], []
-            for value in part.column("_scanned").cast(pa.binary()):
+            for value in part.column(read).cast(pa.binary()):
                 data = value.as_py() or b""
                 spans = scan(data)
                 sizes.append(len(spans))
@@ -389,11 +388,9 @@ def find_secrets(
                     kinds.append(names[k])
                     starts.append(int(points[a]))
                     ends.append(int(points[b]))
-            columns = [part.column(f.name) for f in fields]
-            columns.append(_arrow_spans(kinds, starts, ends, sizes))
-            yield pa.RecordBatch.from_arrays(columns, names=[*[f.name for f in fields], "spans"])
+            yield kept_batch(part, columns, _arrow_spans(kinds, starts, ends, sizes))
 
-    return source.mapInArrow(mapper, f"{schema}, spans {SPAN_TYPE}")
+    return kept.source.mapInArrow(mapper, kept.schema)
 
 
 def span_text(spans: str = "spans") -> Column:

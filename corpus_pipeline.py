@@ -27,7 +27,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_crf.fit(docs, labels, learn=crc_mod("doc_id", 5) != 0)
     scored = quality_crf.score_documents(docs, model, docs.columns)
-    return scored.where(F.col("score") >= GOOD_FROM).select(*docs.columns)
+    return scored.where(F.col(scored.columns[-1]) >= GOOD_FROM).select(*docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +40,9 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose secrets are masked, with their new lengths."""
     found = secret_scan.find_secrets(docs, docs.columns)
-    clean = found.withColumn("text", secret_scan.redact("text", "spans"))
-    has = F.size("spans") > 0
+    spans = found.columns[-1]
+    clean = found.withColumn("text", secret_scan.redact("text", spans))
+    has = F.size(spans) > 0
     return clean.withColumn(
         "n_chars", F.when(has, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     ).select(*docs.columns)
