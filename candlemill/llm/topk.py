@@ -3,18 +3,19 @@
 The components of all vectors are split into lists, each of which knows only
 its part of every score.
 
-1. Each list gives its k best partial scores per query. The full scores of
-   these few candidates are computed; the k-th best of them is a cutoff that no
-   result can be below.
+1. Each list gives its k best partial scores per query. The k-th best full
+   score of these few candidates is a cutoff that no result can be below.
 2. A candidate whose parts are all below ``cutoff / lists`` is below the
    cutoff. So each list gives the entries at or above that, and no other
    candidate can be a result.
-3. Scores that not every list has reported are computed in full, and the best
-   are ranked.
-
-Equal vectors are one candidate and one query, so a vector with very many
-copies costs no more than another. Queries and candidates meet in the cells of
-a grid, whose side grows with the table so that cells keep their size.
+3. Scores of candidates that not every list has given are completed, and the
+   best are ranked.
+
+Queries and candidates meet in the cells of a grid, whose side grows with the
+table so that cells keep their size. The lists of a cell are in one task, so
+only cutoffs and few candidates per cell travel. Equal vectors are one
+candidate and one query, so a vector with very many copies costs no more than
+another.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ from pyspark.sql.window import Window
 from candlemill.session import stage
 
 LISTS = 2
-CELL_ROWS = 8_000
+CELL_ROWS = 16_000
+# Queries of a cell that are scored together.
+QUERY_ROWS = 256
 
 
 # ---------------------------------------------------------------- inside a cell
@@ -62,76 +65,67 @@ def _width(*tables: pa.Table) -> int:
     return max([s for s in sizes if s is not None], default=0)
 
 
-_ENTRY = pa.schema([("q", pa.int64()), ("c", pa.int64()), ("list", pa.int32()), ("score", pa.int64())])
-ENTRY_DDL = "q long, c long, list int, score long"
+_ENTRY = pa.schema([("q", pa.int64()), ("c", pa.int64()), ("score", pa.int64())])
+ENTRY_DDL = "q long, c long, score long"
 
 
-def _entries(q: np.ndarray, c: np.ndarray, list_: int, score: np.ndarray) -> pa.Table:
-    lists = np.full(len(q), list_, np.int32)
-    return pa.table([pa.array(x) for x in (q, c, lists, score)], schema=_ENTRY)
+def _partial_scores(left: pa.Table, right: pa.Table, lists: int):
+    """Blocks of queries: their rows and each list's partial scores of all candidates."""
+    width = _width(left, right)
+    queries, vectors = _matrix(left["part"], width), _matrix(right["part"], width)
+    cuts = [width * i // lists for i in range(lists + 1)]
+    for start in range(0, len(queries), QUERY_ROWS):
+        rows = slice(start, start + QUERY_ROWS)
+        yield rows, [_products(queries[rows, a:b], vectors[:, a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
-def _best_of_list(k: int):
-    """Phase 1 in a cell of one list: the k largest partial scores per query."""
+def _best(q: np.ndarray, c: np.ndarray, score: np.ndarray, k: int) -> pa.Table:
+    """The k best distinct candidates of each query, ties to the smaller id."""
+    order = np.lexsort((c, -score, q))
+    q, c, score = q[order], c[order], score[order]
+    fresh = np.ones(len(q), bool)
+    fresh[1:] = (q[1:] != q[:-1]) | (c[1:] != c[:-1])
+    q, c, score = q[fresh], c[fresh], score[fresh]
+    first = np.arange(len(q)) - np.searchsorted(q, q, "left") < k
+    return pa.table([pa.array(x[first]) for x in (q, c, score)], schema=_ENTRY)
 
-    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return _ENTRY.empty_table()
-        width = _width(left, right)
-        scores = _products(_matrix(left["part"], width), _matrix(right["part"], width))
-        q, c = left["id"].to_numpy(), right["id"].to_numpy()
-        n = min(k, len(c))
-        top = np.argpartition(-scores, n - 1, axis=1)[:, :n]
-        found = np.take_along_axis(scores, top, 1)
-        return _entries(np.repeat(q, n), c[top].ravel(), left["list"][0].as_py(), found.ravel())
 
-    return cell
-
-
-def _above_cutoff(lists: int):
-    """Phase 2 in a cell of one list: all entries that reach their query's uniform threshold."""
+def _gather(k: int, lists: int):
+    """Phase 1 in a cell: the k best of each list per query, with their full scores."""
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return _ENTRY.empty_table()
-        width = _width(left, right)
-        scores = _products(_matrix(left["part"], width), _matrix(right["part"], width))
-        cut = pc.fill_null(left["cutoff"], np.iinfo(np.int64).min).to_numpy()
-        row, column = np.nonzero(scores * lists >= cut[:, None])
         q, c = left["id"].to_numpy(), right["id"].to_numpy()
-        return _entries(q[row], c[column], left["list"][0].as_py(), scores[row, column])
+        n = min(k, len(c))
+        out = [_ENTRY.empty_table()]
+        for rows, parts in _partial_scores(left, right, lists) if n else ():
+            whole = sum(parts)
+            tops = [np.argpartition(-p, n - 1, axis=1)[:, :n] for p in parts]
+            top = np.concatenate(tops, axis=1)
+            asked = np.repeat(q[rows], top.shape[1])
+            scores = np.take_along_axis(whole, top, 1).ravel()
+            out.append(_best(asked, c[top].ravel(), scores, k))
+        return pa.concat_tables(out)
 
     return cell
 
 
-def _resolve(k: int, lists: int):
-    """Phase 3 in a cell: full scores of reported candidates, the k best per query.
-
-    ``left`` holds query vectors (``part`` set) and reported entries.
-    """
+def _collect(k: int, lists: int):
+    """Phases 2 and 3 in a cell: entries at the threshold of any list, completed and ranked."""
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = left.filter(pc.is_valid(left["part"]))
-        entries = left.filter(pc.is_null(left["part"]))
-        if not entries.num_rows or not right.num_rows:
-            return _ENTRY.empty_table()
-        seen = entries.group_by(["id", "c"]).aggregate([("list", "count"), ("score", "sum")])
-        q, c = seen["id"].to_numpy(), seen["c"].to_numpy()
-        score = seen["score_sum"].to_numpy().copy()
-        width = _width(known, right)
-        queries, vectors = _matrix(known["part"], width), _matrix(right["part"], width)
-        by_q, by_c = np.argsort(known["id"].to_numpy()), np.argsort(right["id"].to_numpy())
-        at_q = by_q[np.searchsorted(known["id"].to_numpy()[by_q], q)]
-        at_c = by_c[np.searchsorted(right["id"].to_numpy()[by_c], c)]
-        open_ = np.flatnonzero(seen["list_count"].to_numpy() < lists)
-        for start in range(0, len(open_), 1 << 16):
-            part = open_[start : start + (1 << 16)]
-            score[part] = np.einsum("ij,ij->i", queries[at_q[part]], vectors[at_c[part]])
-        order = np.lexsort((c, -score, q))
-        q, c, score = q[order], c[order], score[order]
-        first = np.searchsorted(q, q, "left")
-        best = np.arange(len(q)) - first < k
-        return _entries(q[best], c[best], 0, score[best])
+        q, c = left["id"].to_numpy(), right["id"].to_numpy()
+        cutoff = pc.fill_null(left["cutoff"], -(1 << 62)).to_numpy()
+        out = [_ENTRY.empty_table()]
+        for rows, parts in _partial_scores(left, right, lists) if len(c) else ():
+            given = np.zeros(parts[0].shape, bool)
+            for part in parts:
+                given |= part >= -(-cutoff[rows] // lists)[:, None]
+            row, column = np.nonzero(given)
+            scores = sum(part[row, column] for part in parts)
+            enough = scores >= cutoff[rows][row]
+            row, column = row[enough], column[enough]
+            out.append(_best(q[rows][row], c[column], scores[enough], k))
+        return pa.concat_tables(out)
 
     return cell
 
@@ -157,17 +151,6 @@ def _all_cells(name: str, side: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(side - 1))).alias(name)
 
 
-def _in_lists(df: DataFrame, lists: int) -> DataFrame:
-    """One row per vector and list of components."""
-    width = F.ceil(F.size("part") / lists).cast("int")
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.lit(lists - 1)),
-        lambda i: F.slice("part", i * width + 1, F.greatest(width, F.lit(1))),
-    )
-    others = [c for c in df.columns if c != "part"]
-    return df.select(*others, F.posexplode(pieces).alias("list", "part"))
-
-
 def top_k(
     df: DataFrame,
     is_query: Column,
@@ -181,9 +164,8 @@ def top_k(
     ``vector`` is an array of whole numbers; scores are inner products. Ties go
     to the smaller key; queries with fewer other rows get all of them. Rows
     whose key is null or whose vector is null or holds nulls take no part.
-    All vectors must have one length; components that a vector lacks count as
-    0, which needs ``lists = 1``. Rows that share a key count once for each
-    different vector, and none of them is a result of a query of that key. Runs
+    Components that a vector lacks at its end count as 0. Of rows that share a
+    key, the smallest vector counts. An empty table gives an empty result. Runs
     jobs.
     """
     usable = df.select(
@@ -191,11 +173,11 @@ def top_k(
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     ).where(
         F.col("id").isNotNull() & F.col("part").isNotNull() & F.forall("part", lambda x: x.isNotNull())
-    )
+    ).groupBy("id").agg(F.min("part").alias("part"), F.max("asks").alias("asks"))
     # Of equal vectors only the k + 1 smallest keys can be results.
     order = Window.partitionBy("part").orderBy("id")
     members = stage(
-        usable.select("id", "part").distinct()
+        usable.select("id", "part")
         .withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1),
         "members",
     )
@@ -204,7 +186,7 @@ def top_k(
         "vectors",
     )
     asking = stage(
-        usable.where("asks").select(F.col("id").alias("query_id"), "part").distinct()
+        usable.where("asks").select(F.col("id").alias("query_id"), "part")
         .join(vectors.select("part", "id"), "part"),
         "asking",
     )
@@ -212,54 +194,26 @@ def top_k(
     n = vectors.count()
     side = max(1, -(-n // CELL_ROWS))
     candidates = vectors.select("id", "part")
-    everywhere = candidates.select(
-        "id", "part", _cell("gc", "id", side), _all_cells("gq", side)
-    )
     best = k + 1
     cells = ["gq", "gc"]
+    dealt = candidates.select("id", "part", _cell("gc", "id", side), _all_cells("gq", side))
 
     def meet(asked: DataFrame, cell) -> DataFrame:
-        left = _in_lists(
-            asked.select("*", _cell("gq", "id", side)).select("*", _all_cells("gc", side)), lists
-        )
-        right = _in_lists(everywhere, lists)
-        by = ["list", *cells]
-        return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(cell, ENTRY_DDL)
-
-    def resolve(entries: DataFrame) -> DataFrame:
-        reported = entries.select(
-            F.col("q").alias("id"), "c", "list", "score", F.lit(None).cast("array<long>").alias("part"),
-            _cell("gq", "q", side), _cell("gc", "c", side),
-        )
-        asked = queries.select(
-            "id", F.lit(None).cast("long").alias("c"), F.lit(None).cast("int").alias("list"),
-            F.lit(None).cast("long").alias("score"), "part",
-            _cell("gq", "id", side), _all_cells("gc", side),
-        )
-        left = reported.union(asked).groupBy(*cells)
-        return left.cogroup(everywhere.groupBy(*cells)).applyInArrow(
-            _resolve(best, lists), ENTRY_DDL
-        )
-
-    def ranked(rows: DataFrame, by: list[str]) -> DataFrame:
-        order = Window.partitionBy(*by).orderBy(F.desc("score"), "c")
-        return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
-
-    # Phase 1. Entries of one list alone, so that their scores are computed in full.
-    local = ranked(meet(queries, _best_of_list(best)), ["q", "list"])
-    pairs = local.select("q", "c", "list", "score")
-    cutoffs = ranked(resolve(pairs), ["q"]).where(F.col("rank") == best)
-    cutoffs = stage(cutoffs.select(F.col("q").alias("id"), F.col("score").alias("cutoff")), "cutoffs")
-    # Phases 2 and 3.
-    entries = stage(meet(queries.join(cutoffs, "id", "left"), _above_cutoff(lists)), "entries")
-    found = stage(ranked(resolve(entries), ["q"]).select("q", "c", "score"), "found")
+        left = asked.select("*", _cell("gq", "id", side)).select("*", _all_cells("gc", side))
+        found = left.groupBy(*cells).cogroup(dealt.groupBy(*cells)).applyInArrow(cell, ENTRY_DDL)
+        order = Window.partitionBy("q").orderBy(F.desc("score"), "c")
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
+
+    gathered = meet(queries, _gather(best, lists)).where(F.col("rank") == best)
+    cutoffs = stage(gathered.select(F.col("q").alias("id"), F.col("score").alias("cutoff")), "cutoffs")
+    with_cutoffs = queries.join(cutoffs, "id", "left")
+    found = stage(meet(with_cutoffs, _collect(best, lists)).select("q", "c", "score"), "found")
 
     results = (
         asking.select("query_id", F.col("id").alias("q"))
         .join(found, "q")
         .join(vectors.select(F.col("id").alias("c"), F.explode("ids").alias("vec")), "c")
         .where("vec <> query_id")
-        .dropDuplicates(["query_id", "q", "c", "vec"])
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec")
     return (
