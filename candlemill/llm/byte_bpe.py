@@ -22,6 +22,7 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, models, pre_tokenizers
@@ -32,8 +33,9 @@ from candlemill.llm.common import kept_batch, keeping, slices
 # pattern has to end a match anyway.
 PIECE_CHARS = 1 << 16
 _ENCODE_BYTES = 1 << 20
+_DECODE_IDS = 1 << 20
 # Matches whose tokens a task remembers, before it starts afresh.
-_REMEMBERED = 400_000
+_REMEMBERED = 200_000
 
 
 def byte_characters() -> list[str]:
@@ -126,30 +128,47 @@ def encode(
     names, read = kept.names, kept.value
 
     def learn(tokenizer: Tokenizer, memo: dict[str, bytes], spans: dict, matches: set[str]) -> None:
-        new = [m for m in matches if m not in memo]
+        new = [*matches.difference(memo)]
         if len(memo) + len(new) > _REMEMBERED:
             memo.clear()
             spans.clear()
-            new = list(matches)
+            new = [*matches]
         run = tokenizer.encode_batch if offsets else tokenizer.encode_batch_fast
         for match, found in zip(new, run(new, add_special_tokens=False)):
             memo[match] = array("i", found.ids).tobytes()
             if offsets:
                 spans[match] = array("i", chain.from_iterable(found.offsets)).tobytes()
 
-    def encoded(tokenizer: Tokenizer, memo: dict, spans: dict, cut, text_: str) -> tuple:
-        ids, places, base = [], [], 0
-        for piece in pieces(text_):
-            matches = cut.findall(piece)
-            learn(tokenizer, memo, spans, set(matches))
-            ids.append(b"".join(map(memo.__getitem__, matches)))
-            if offsets and matches:
-                local = [np.frombuffer(spans[m], np.int32) for m in matches]
-                starts = accumulate(map(len, matches[:-1]), initial=base)
-                places += [place + at for place, at in zip(local, starts)]
-            base += len(piece)
-        flat = np.concatenate(places) if places else np.empty(0, np.int32)
-        return np.frombuffer(b"".join(ids), np.int32), flat.astype(np.int32).reshape(-1, 2)
+    def encoded(tokenizer: Tokenizer, memo: dict, spans: dict, cut, texts: list[str]) -> list:
+        """Ids, and places if wanted, of each text; all their new matches in one call."""
+        matches = [cut.findall(t) for t in texts]
+        learn(tokenizer, memo, spans, set().union(*matches))
+        out = []
+        for own in matches:
+            ids = np.frombuffer(b"".join(map(memo.__getitem__, own)), np.int32)
+            places = np.empty((0, 2), np.int32)
+            if offsets and own:
+                starts = accumulate(map(len, own[:-1]), initial=0)
+                local = [np.frombuffer(spans[m], np.int32) + at for m, at in zip(own, starts)]
+                places = np.concatenate(local).astype(np.int32).reshape(-1, 2)
+            out.append((ids, places))
+        return out
+
+    def all_encoded(tokenizer: Tokenizer, memo: dict, spans: dict, cut, texts: list[str]) -> list:
+        """The same for texts of any length, the longest piece by piece."""
+        short = [t if len(t) <= PIECE_CHARS else "" for t in texts]
+        out = encoded(tokenizer, memo, spans, cut, short)
+        for row, text_ in enumerate(texts):
+            if len(text_) > PIECE_CHARS:
+                cuts = pieces(text_)
+                found = [encoded(tokenizer, memo, spans, cut, [p])[0] for p in cuts]
+                starts = accumulate(map(len, cuts[:-1]), initial=0)
+                places = [place + at for (_, place), at in zip(found, starts)]
+                out[row] = (
+                    np.concatenate([ids for ids, _ in found]),
+                    np.concatenate(places).astype(np.int32),
+                )
+        return out
 
     def lists(values: Sequence[np.ndarray]) -> pa.Array:
         ends = np.cumsum([0, *map(len, values)])
@@ -162,7 +181,7 @@ def encode(
         cut = regex.compile(pattern)
         for part in slices(batches, read, _ENCODE_BYTES):
             texts = [t or "" for t in part.column(read).to_pylist()]
-            ids, spans = zip(*(encoded(tokenizer, memo, places, cut, t) for t in texts))
+            ids, spans = zip(*all_encoded(tokenizer, memo, places, cut, texts))
             new = [lists(ids), pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())]
             if offsets:
                 new += [lists([s[:, 0] for s in spans]), lists([s[:, 1] for s in spans])]
@@ -184,18 +203,31 @@ def decode(df: DataFrame, keep: Sequence[str], vocab_path: str, ids: str = "ids"
     names, read = kept.names, kept.value
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_id = table.value
+        tokens = table.value
+        sizes = np.array([len(t) for t in tokens], np.int64)
+        begins = np.cumsum(sizes) - sizes
+        letters = np.frombuffer(b"".join(tokens), np.uint8)
+
+        def bytes_of(some: np.ndarray) -> bytes:
+            parts = []
+            for start in range(0, len(some), _DECODE_IDS):
+                i = some[start : start + _DECODE_IDS]
+                ends = np.cumsum(sizes[i])
+                shift = np.repeat(begins[i] - (ends - sizes[i]), sizes[i])
+                parts.append(letters[shift + np.arange(len(shift))].tobytes())
+            return b"".join(parts)
+
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 part = whole.slice(start, 256)
                 column = part.column(read)
                 flat = column.flatten()
-                if flat.null_count or (len(flat) and flat.to_numpy().min() < 0):
+                values = flat.to_numpy(zero_copy_only=False)
+                if flat.null_count or (values < 0).any():
                     raise ValueError("ids must be whole numbers from 0")
-                decoded = [
-                    b"".join([by_id[i] for i in row.values.to_pylist()]) if row.is_valid else b""
-                    for row in column
-                ]
+                lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+                ends = np.cumsum(lengths)
+                decoded = [bytes_of(values[b - n : b]) for n, b in zip(lengths, ends)]
                 yield kept_batch(part, names, pa.array(decoded, pa.binary()))
 
     return kept.source.mapInArrow(mapper, kept.schema)

@@ -27,7 +27,7 @@ MAX_SOURCES = 10_000
 # Shares of a source are rounded to this before each gets one part more.
 RESOLUTION = 1_000
 # Rows of one source that a task sorts together, about.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 
 
 def schedule(weights: Sequence[int]) -> list[tuple[int, int, int, int]]:
