@@ -125,11 +125,13 @@ def fit(
     classes = (UNKNOWN_CLASS, *sorted(TEMPLATES))
     notices = [(t, float(classes.index(f))) for f, texts in TEMPLATES.items() for t in texts]
     fixed = _table(spark, notices + [(t, 0.0) for t in UNKNOWN], ["line", "label"])
+    texts = df.where(F.col(text).isNotNull()).select(
+        F.col(key).alias("key"), F.col(text).alias("text")
+    )
+    # Keys alone are ordered; at most ``limit`` of them go to the scan of the texts.
+    chosen = texts.select("key").orderBy(F.xxhash64("key"), "key").limit(limit).distinct()
     sample = (
-        df.where(F.col(text).isNotNull())
-        .select(F.col(key).alias("key"), F.col(text).alias("text"))
-        .orderBy(F.xxhash64("key"), "key")
-        .limit(limit)
+        texts.join(F.broadcast(chosen), "key")
         .select(F.explode(F.split("text", "\n")).alias("line"))
         .where(~has_cue(F.col("line")))
         .distinct()
