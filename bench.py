@@ -19,17 +19,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from candlemill.session import get_session  # noqa: E402
 from workload.queries import QUERIES  # noqa: E402
 
-HEADLINE = [
-    "typed_bronze", "dedup_first", "silver", "cleaning_audit", "bars_1h", "bars_1d_orders",
-    "returns", "returns_with_duplicates", "rolling_mean", "rolling_noise", "row_index",
-    "rolling_halo", "gap_audit", "sample_1_in_n", "market_regime", "price_season",
-    "price_season_by_symbol", "backfill", "dataset_state", "null_counts", "describe",
-    "describe_lineitem", "noise_metrics", "iqr_outliers", "quantiles", "median", "corr_matrix",
-    "corr_matrix_bars", "monthly_close", "monthly_noise", "top10_max", "regime_table",
-    "quarter_summary", "hist_close", "hist_log_return", "box_by_regime", "sample_volatility",
-    "gold", "model_clean", "quarter_split", "manifest", "checksum_verify", "pending",
-    "csv_scan", "copy_verify",
-]
+# All queries but those of the training-data operators, which have a tool of their own.
+HEADLINE = sorted(QUERIES)
 
 
 def main() -> None:

@@ -5,9 +5,9 @@ Division by zero and logarithms of non-positive numbers give NULL.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from candlemill.schema import PRICE_SEASONS, Regimes
@@ -36,6 +36,16 @@ def lenient(column: Column, type_name: str) -> Column:
     return F.nanvl(value, F.lit(None).cast("double")) if type_name == "double" else value
 
 
+def all_known(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Whether no column is NULL or NaN, as single tests that a scan can take over."""
+    known = F.lit(True)
+    for c in columns:
+        known = known & F.col(c).isNotNull()
+        if df.schema[c].dataType.typeName() in ("double", "float"):
+            known = known & ~F.isnan(c)
+    return known
+
+
 def range_hl(high: Column, low: Column) -> Column:
     return high - low
 

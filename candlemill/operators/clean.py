@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlemill.functions.candle import epoch_to_ts, lenient, micros, ohlc_valid
+from candlemill.functions.candle import all_known, epoch_to_ts, lenient, micros, ohlc_valid
 from candlemill.schema import (
     BRONZE_ESSENTIAL,
     DOUBLE_COLUMNS,
@@ -49,7 +49,8 @@ def with_timestamps(df: DataFrame, name: str = "candles") -> DataFrame:
 
 def bronze_rows(df: DataFrame) -> DataFrame:
     """Typed rows whose open and close time and four prices are present."""
-    return typed(df).dropna(subset=BRONZE_ESSENTIAL)
+    rows = typed(df)
+    return rows.where(all_known(rows, BRONZE_ESSENTIAL))
 
 
 def not_null_rows(df: DataFrame) -> DataFrame:
@@ -58,14 +59,7 @@ def not_null_rows(df: DataFrame) -> DataFrame:
     A timestamp made from an epoch is missing exactly when the epoch is, so
     checking before making them asks for less.
     """
-    return df.dropna(subset=present_only(df, SILVER_ESSENTIAL))
-
-
-def _essential_known(df: DataFrame) -> Column:
-    known = F.lit(True)
-    for c in present_only(df, SILVER_ESSENTIAL):
-        known = known & F.col(c).isNotNull()
-    return known
+    return df.where(all_known(df, present_only(df, SILVER_ESSENTIAL)))
 
 
 def keep_first(
@@ -193,7 +187,7 @@ def cleaning_audit(
     rows with a missing essential value share the group without timestamp.
     """
     rows = typed(df)
-    candles = with_timestamps(rows.withColumn("_known", _essential_known(rows)))
+    candles = with_timestamps(rows.withColumn("_known", all_known(rows, present_only(rows, SILVER_ESSENTIAL))))
     first = F.struct(*tiebreak)
     stamps = (
         candles.withColumn("ts", F.when(F.col("_known"), F.col("open_ts")))

@@ -194,4 +194,4 @@ def select_model_columns(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
 def drop_incomplete_model_rows(df: DataFrame) -> DataFrame:
     """Keep rows with every required value; long windows cost the first rows."""
     require_columns(df, MODEL_REQUIRED, "model input")
-    return df.dropna(subset=MODEL_REQUIRED)
+    return df.where(C.all_known(df, MODEL_REQUIRED))

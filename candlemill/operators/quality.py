@@ -30,6 +30,15 @@ def _number(value: float | None) -> Column:
     return F.lit(value).cast("double")
 
 
+def _known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns, NaN as NULL."""
+    floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    none = F.lit(None)
+    return df.select(
+        *[F.nanvl(F.col(c), none).alias(c) if c in floats else F.col(c) for c in columns]
+    )
+
+
 def dataset_state(
     df: DataFrame,
     dataset: str,
@@ -86,11 +95,12 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, nulls, mean, deviation, extremes and nearest quartiles.
 
     One row per statistic, one column per variable; listed columns that do
-    not exist are left out.
+    not exist are left out, and NaN counts as missing.
     """
     columns = present_only(df, columns)
     if not columns:
         raise ValueError("none of the columns to describe exists")
+    df = _known(df, columns)
     q = quantile_scalars(df, columns, QUARTILES)
     aggregates = {}
     for c in columns:
@@ -158,8 +168,9 @@ def iqr_outliers(
 ) -> DataFrame:
     """Quartile fences and how many values lie strictly outside of them.
 
-    The share is over all rows, also those without a value.
+    The share is over all rows, also those without a value; NaN is none.
     """
+    df = _known(df, columns)
     q = quantile_scalars(df, columns, [(0.25, NEAREST), (0.75, NEAREST)])
     total = F.count(F.lit(1))
     lines = []

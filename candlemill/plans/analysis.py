@@ -18,8 +18,8 @@ def result_tables(silver: DataFrame, gold: DataFrame) -> dict[str, DataFrame]:
     """State, structure, nulls, descriptives, months, regimes, outliers, charts."""
     schema.require_columns(silver, schema.CANDLE_COLUMNS, "silver")
     schema.require_columns(gold, schema.CANDLE_COLUMNS, "gold")
-    gold = features.backfill(gold, KEYS)
-    monthly = report.monthly_close(gold, KEYS)
+    gold = stage(features.backfill(gold, KEYS), "results-gold")
+    monthly = stage(report.monthly_close(gold, KEYS), "results-monthly")
     tiebreak = ["period", *KEYS]
     top, change = [*KEYS, "period", "mean_close"], ["volatility", "rows"]
     labels = schema.BACKFILL_REGIMES.labels
@@ -61,7 +61,7 @@ def noise_tables(
     raw = indexed.drop("_index")
     kept = stage(features.minute_features(silver, KEYS, (), "silver", unique=True), "noise-silver")
     named = (("bronze_1m", raw), ("silver_1m", kept))
-    monthly = report.monthly_noise(raw, KEYS)
+    monthly = stage(report.monthly_noise(raw, KEYS), "noise-monthly")
     by_month = ["period", *KEYS]
     top = [
         *KEYS, "period", "mean_close", "volatility", "mean_abs_log_return",
@@ -99,7 +99,25 @@ def noise_tables(
     return tables
 
 
+# Row order of the tables that have one, and tables that grow with the data.
+TABLE_ORDER = {
+    "monthly_close": [*KEYS, "month_ts"],
+    "monthly_noise": [*KEYS, "month_ts"],
+    "regimes": ["market_regime"],
+    "series_close": [*KEYS, "open_ts"],
+    "series_volatility": [*KEYS, "open_ts"],
+    "histogram_close": ["bin"],
+    "histogram_volume": ["bin"],
+    "histogram_log_return": ["bin"],
+    "box_close": ["place"],
+    "box_log_return": ["place"],
+    "box_range_hl_pct": ["place"],
+}
+GROWING = ("series_close", "series_volatility", "scatter_close_volume", "scatter_return_volume")
+
+
 def write_tables(tables: dict[str, DataFrame], folder: str) -> None:
-    """One CSV folder per table; meant for the small ones."""
+    """One CSV folder per table: one file in key order, several for growing tables."""
     for name, table in tables.items():
-        write_report(table, f"{folder.rstrip('/')}/{name}")
+        path = f"{folder.rstrip('/')}/{name}"
+        write_report(table, path, TABLE_ORDER.get(name, ()), single=name not in GROWING)

@@ -6,9 +6,14 @@
 from __future__ import annotations
 
 import argparse
+import sys
+from pathlib import Path
 
-from candlemill.session import get_session, object_store_conf
-from candlemill.sources.store import copy_layer
+if not __package__:  # started as a script: the package lies two folders up
+    sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+from candlemill.session import get_session, object_store_conf  # noqa: E402
+from candlemill.sources.store import copy_layer  # noqa: E402
 
 
 def main(argv: list[str] | None = None) -> dict[str, int]:

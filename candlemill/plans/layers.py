@@ -1,7 +1,8 @@
-"""Bronze, silver, gold, model input and quarters, each read and written once.
+"""Bronze, silver, gold, model input and quarters.
 
 A stage writes its layer as zstd Parquet, range-sorted on its series and time,
-and returns an audit table computed from stored layers.
+and returns an audit table. Audits of dropped rows read the layer before once
+more, when the table is used.
 """
 
 from __future__ import annotations

@@ -44,6 +44,7 @@ MODEL_COLUMNS = [
 MODEL_NOT_REQUIRED = ["year", "month", "day", "hour", "quarter"]
 MODEL_REQUIRED = [c for c in MODEL_COLUMNS if c not in MODEL_NOT_REQUIRED]
 
+# The columns of the result tables.
 CORRELATION_COLUMNS = [
     "open", "high", "low", "close", "volume", "number_of_trades",
     "quote_asset_volume", "taker_buy_base_volume", "taker_buy_quote_volume",

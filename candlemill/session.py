@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -63,7 +65,8 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one in ``spark.checkpoint.dir``.
 
     Only a local-mode session may go without that setting; it then gets a
-    temporary folder, which no other machine has to see.
+    temporary folder, which no other machine has to see and which goes with
+    the process.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -73,6 +76,7 @@ def shared_folder(spark: SparkSession) -> str:
     global _local_folder
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="candlemill-")
+        atexit.register(shutil.rmtree, _local_folder, ignore_errors=True)
     return _local_folder
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -17,6 +18,8 @@ LOG_COLUMNS = [
 ]
 
 _LINES_PER_BATCH = 20_000
+# What a damaged archive raises; anything else is a fault of its own.
+_DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
 
 
 def month_periods(
@@ -133,22 +136,33 @@ def _members(content: bytes) -> Iterator[tuple[str | None, list[str | None], boo
                             lines = []
                 if lines:
                     yield name, lines, True
-    except Exception:
+    except _DAMAGE:
         yield None, [None], False
 
 
-def archive_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Lines of all archive members; an unreadable archive adds a not-ok row.
+def unpack(files: DataFrame) -> DataFrame:
+    """Lines of all members of archives given by ``path`` and ``content``.
 
-    A task unpacks the few archives of one scan split and passes lines on in
+    A damaged archive adds a row that is not ``ok`` to what could be read of
+    it; ``whole_lines`` leaves such archives out. A task passes lines on in
     batches, so it never holds a whole unpacked archive.
     """
-    paths = path if isinstance(path, str) else list(path)
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return files.mapInPandas(
+    return files.select("path", "content").mapInPandas(
         _unpack, "zip_filename string, member string, line string, ok boolean"
     )
 
 
+def archive_lines(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
+    """Lines of the archives in a folder."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    return unpack(files)
+
+
 def extraction_status(lines: DataFrame) -> DataFrame:
     return lines.groupBy("zip_filename").agg(F.min("ok").alias("extract_ok"))
+
+
+def whole_lines(lines: DataFrame, status: DataFrame) -> DataFrame:
+    """Lines of archives that unpacked to their end; ``lines`` should be staged."""
+    good = status.where("extract_ok").select("zip_filename")
+    return lines.where("ok").join(good, "zip_filename", "left_semi")

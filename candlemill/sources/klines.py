@@ -46,8 +46,16 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """Rows of every CSV file under ``path`` with their source file.
 
     A folder named like a monthly file counts as that file, so a month may be
-    split into parts.
+    split into parts. A folder without any CSV file is an error.
     """
+    found = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.csv")
+        .load(path)
+    )
+    if found.select("path").isEmpty():
+        raise FileNotFoundError(f"no CSV file in {path}")
     raw = (
         spark.read.schema(RAW_SCHEMA)
         .options(**CSV_OPTIONS)

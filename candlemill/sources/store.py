@@ -78,7 +78,18 @@ def stored_size(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_report(table: DataFrame, path: str, order: Sequence[str] = ()) -> None:
-    """Write a small report table as one CSV file with a header."""
-    out = table.orderBy(*order) if order else table
-    out.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_report(
+    table: DataFrame, path: str, order: Sequence[str] = (), single: bool = True
+) -> None:
+    """Write a report table as CSV with a header, in ``order``.
+
+    A small table becomes one file: only its rows move there, not the work
+    above. With ``single`` off, files follow each other in ``order`` and are as
+    many as the table needs.
+    """
+    if single:
+        out = table.repartition(1)
+        out = out.sortWithinPartitions(*order) if order else out
+    else:
+        out = range_sort(table, order) if order else table
+    out.write.mode("overwrite").option("header", True).csv(path)

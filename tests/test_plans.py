@@ -1,7 +1,11 @@
 """Whole stages end to end, and the shape of physical plans."""
 
+import os
 import re
+import subprocess
+import sys
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from helpers import CANDLE_DDL, candle, epoch_ms
@@ -105,6 +109,14 @@ def test_copy_command(run, tmp_path):
     assert counts == {"rows_written": 431, "rows_read": 431}
 
 
+def test_copy_command_starts_anywhere(tmp_path):
+    script = Path(copy_layer.__file__).resolve()
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, str(script), "--help"], cwd=tmp_path, env=env, capture_output=True)
+    assert done.returncode == 0 and b"--source-path" in done.stdout
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -145,3 +157,13 @@ def test_scan_reads_only_what_is_used(spark):
     plan = plan_of(bars.select("symbol", "open_ts", "close"))
     assert re.search(r"ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>", plan)
     assert "GreaterThan(value,3.0)" in plan
+
+
+def test_null_filters_reach_the_scan(spark):
+    orders = spark.read.parquet(f"{DATA}/orders.parquet").withColumnsRenamed(
+        {"o_orderkey": "open_time", "o_custkey": "close_time", "o_totalprice": "close"})
+    for c in ("open", "high", "low"):
+        orders = orders.withColumn(c, F.col("close"))
+    plan = plan_of(clean.bronze_rows(orders.select(*schema.BRONZE_ESSENTIAL)))
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "IsNotNull(o_totalprice)" in pushed and "IsNotNull(o_custkey)" in pushed

@@ -72,3 +72,12 @@ def test_state_of_an_empty_layer(frame):
     df = frame([], "symbol string, open_ts timestamp_ntz")
     row = quality.dataset_state(df, "silver").first()
     assert (row.rows, row.columns, row.gaps, row.largest_gap_seconds) == (0, 2, 0, None)
+
+
+def test_nan_counts_as_missing(frame):
+    nan = float("nan")
+    df = frame([(v,) for v in (1.0, 2.0, 3.0, 4.0, nan, None)], "x double")
+    got = {r.statistic: r.x for r in quality.describe(df, ["x"]).collect()}
+    assert (got["count"], got["null_count"], got["mean"], got["max"]) == (4, 2, 2.5, 4)
+    row = quality.iqr_outliers(df, ["x"]).first()
+    assert row.outliers == 0 and row.outlier_pct == 0

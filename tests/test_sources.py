@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from candlemill.session import object_store_conf
-from candlemill.plans import ingest
+from candlemill.plans import ingest, layers
 from candlemill.sources import archives, klines, store
 
 LINE = "{t},1.0,2.0,0.5,1.5,10,{u},15,3,5,7.5,0"
@@ -79,7 +79,7 @@ def landing(tmp_path):
 
 
 def test_archives(spark, landing):
-    lines = archives.archive_lines(spark, f"{landing}/*.zip")
+    lines = archives.archive_lines(spark, str(landing))
     assert rows_of(lines.filter("ok"), "zip_filename", "member", "line") == [
         ("a.zip", "a1.csv", "1"), ("a.zip", "a1.csv", "2"), ("a.zip", "a2.csv", "3")]
     assert rows_of(archives.extraction_status(lines), "zip_filename", "extract_ok") == [
@@ -188,6 +188,46 @@ def test_ingest_stage(spark, frame, tmp_path):
         ("2024-05", False, None, False)]
 
 
+def test_a_damaged_archive_gives_no_rows(spark, frame, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    line = LINE.format(t=1704067200000, u=1704067259999)
+    for month, n in (("01", 3), ("02", 44_640)):
+        path = landing / f"ABC-1m-2024-{month}.zip"
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr(f"ABC-1m-2024-{month}.csv", f"{line}\n" * n)
+    content = bytearray(path.read_bytes())
+    content[content.index(b"PK\x01\x02") + 16] ^= 1  # the stored checksum
+    path.write_bytes(bytes(content))
+    spans = frame([("ABC", date(2024, 1, 1), date(2024, 2, 28))], "symbol string, a date, b date")
+    texts = frame([], "zip_filename string, checksum_text string")
+    bronze, log = str(tmp_path / "bronze"), str(tmp_path / "log")
+    ingest.ingest(
+        spark, archives.month_periods(spans, ["symbol"], "a", "b"), "https://archive.example",
+        str(landing), texts, bronze, log)
+    rows = spark.read.parquet(bronze)
+    assert {r.source_file for r in rows.collect()} == {"ABC-1m-2024-01.csv"} and rows.count() == 3
+    assert rows_of(spark.read.parquet(log), "period", "extract_ok") == [
+        ("2024-01", True), ("2024-02", False)]
+
+
+def test_an_empty_folder_raises_and_leaves_the_layer(spark, frame, tmp_path):
+    bronze, empty = str(tmp_path / "bronze"), tmp_path / "csv"
+    empty.mkdir()
+    store.write_layer(frame([(1,)], "a int"), bronze)
+    with pytest.raises(FileNotFoundError, match="csv"):
+        layers.build_bronze(spark, str(empty), bronze)
+    assert spark.read.parquet(bronze).count() == 1
+
+
+def test_growing_reports_follow_their_order(frame, tmp_path):
+    table = frame([(i % 7, i) for i in range(400)], "k int, n int").repartition(3)
+    store.write_report(table, str(tmp_path / "t"), ["k", "n"], single=False)
+    files = sorted((tmp_path / "t").glob("*.csv"))
+    rows = [tuple(map(int, x.split(","))) for f in files for x in f.read_text().split("\n")[1:] if x]
+    assert rows == sorted((i % 7, i) for i in range(400))
+
+
 def test_everything_is_pending_before_the_first_archive(spark, frame, tmp_path):
     listed = frame([("a.zip",)], "zip_filename string")
     assert archives.pending(listed, archives.landed_files(spark, str(tmp_path))).count() == 1

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -252,9 +257,95 @@ def copy_verify(spark: SparkSession, sf: str) -> DataFrame:
     return store.verified_copy(spark, source, new_folder(spark, "copy"))
 
 
-@run()
+@run(
+    O.query(
+        "SELECT count(*) AS rows, true AS has_files, true AS has_size FROM bars", ("bars",)
+    )
+)
 def stored_size(spark: SparkSession, sf: str) -> DataFrame:
-    """Size of the stored bar layer; depends on the encoder, so no SQL twin."""
+    """The stored bar layer has files and a size, which depend on the encoder, and all rows."""
     folder = new_folder(spark, "layer")
     store.write_sorted(T.hour_bars(spark, sf), folder, ["symbol", "open_ts"], unique=True)
-    return store.stored_size(spark, folder)
+    n = spark.read.parquet(folder).count()
+    return store.stored_size(spark, folder).select(
+        F.lit(n).cast("long").alias("rows"),
+        (F.col("files") > 0).alias("has_files"),
+        (F.col("megabytes") > 0).alias("has_size"),
+    )
+
+
+# Each document is an archive of its text; every 7th loses its end.
+_SPOILED = "doc_id % 7 = 3"
+
+
+def _zipped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        contents = []
+        for text, spoiled in zip(batch["text"], batch["spoiled"]):
+            out = io.BytesIO()
+            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("member.csv", text)
+            content = bytearray(out.getvalue())
+            if spoiled:
+                # A wrong byte of the stored checksum, met at the member's end.
+                content[content.index(b"PK\x01\x02") + 16] ^= 0xFF
+            contents.append(bytes(content))
+        yield pd.DataFrame({"path": "file:/in/" + batch["name"], "content": contents})
+
+
+@run(
+    O.query(
+        f"""SELECT zip_filename, extract_ok,
+              CASE WHEN extract_ok THEN len(lines) ELSE 0 END AS lines,
+              CASE WHEN extract_ok THEN CAST(coalesce(list_sum(list_transform(lines,
+                lambda x: length(x))), 0) AS BIGINT) ELSE 0 END AS chars
+            FROM (SELECT {_DOC_NAME.format(text='VARCHAR')} AS zip_filename,
+                    NOT ({_SPOILED}) AS extract_ok,
+                    CASE WHEN text = '' THEN [] ELSE
+                      string_split(regexp_replace(text, chr(10) || '$', ''), chr(10)) END AS lines
+                  FROM documents)"""
+    )
+)
+def archive_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives made in Spark and unpacked; damaged ones give no line."""
+    docs = T.table(spark, sf, "documents").select(
+        F.expr(_DOC_NAME.format(text="STRING")).alias("name"), "text",
+        F.expr(_SPOILED).alias("spoiled"),
+    )
+    files = stage(docs.mapInPandas(_zipped, "path string, content binary"), "archives")
+    lines = stage(archives.unpack(files), "lines")
+    status = archives.extraction_status(lines)
+    counted = (
+        archives.whole_lines(lines, status)
+        .groupBy("zip_filename")
+        .agg(F.count("line").alias("lines"), F.sum(F.length("line")).alias("chars"))
+    )
+    return (
+        docs.select(F.col("name").alias("zip_filename"))
+        .join(status, "zip_filename", "left")
+        .join(counted, "zip_filename", "left")
+        .select(
+            "zip_filename",
+            F.coalesce("extract_ok", F.lit(True)).alias("extract_ok"),
+            F.coalesce("lines", F.lit(0)).alias("lines"),
+            F.coalesce("chars", F.lit(0)).cast("long").alias("chars"),
+        )
+    )
+
+
+@run(
+    O.query(
+        """SELECT CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes, true AS digests,
+             true AS all_landed FROM documents"""
+    )
+)
+def landed_digests(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes and SHA-256 digests of stored files, read as bytes."""
+    folder = new_folder(spark, "landed")
+    T.table(spark, sf, "documents").select("text").write.text(folder)
+    landed = archives.landed_files(spark, folder, "*.txt")
+    return landed.agg(
+        F.sum("zip_size_bytes").alias("bytes"),
+        F.every(F.col("actual_hash").rlike("^[0-9a-f]{64}$")).alias("digests"),
+        (F.count("zip_filename") > 0).alias("all_landed"),
+    )

@@ -26,6 +26,22 @@ def gold(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(rows.select(*_GOLD.split(", ")))
 
 
+_COMPLETE = O._features("(SELECT * FROM bars WHERE rows_in_bar = 2)")
+
+
+@run(
+    O.query(
+        f"SELECT {BAR_COLUMNS}, {', '.join(_FEATURES.split())}, true AS bar_complete FROM complete",
+        ("bars",), f"{BAR_DOUBLES} {_FEATURES}", complete=_COMPLETE,
+    )
+)
+def gold_complete(spark: SparkSession, sf: str) -> DataFrame:
+    """Incomplete bars go before the windows run."""
+    rows = layers.gold(T.silver(spark, sf), 2, regimes=T.KLINE_REGIMES)
+    names = [*BAR_COLUMNS.split(", "), *_FEATURES.split(), "bar_complete"]
+    return rounded(rows.select(*names))
+
+
 @run(
     O.query(
         f"""SELECT CAST(sum(rows_in_bar) AS BIGINT) AS rows_in, count(*) AS bars_total,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from candlemill import schema
 from candlemill.operators import clean, order_stats, quality
+from candlemill.plans import layers
 from candlemill.session import small_table, stage
 from workload import oracle as O
 from workload import tables as T
@@ -69,8 +70,7 @@ def null_counts(spark: SparkSession, sf: str) -> DataFrame:
     return quality.null_counts(T.stamped(spark, sf), "raw")
 
 
-_DESCRIBED = [c for c in schema.MINUTE_DESCRIBE_COLUMNS
-              if c not in ("number_of_trades", "quote_asset_volume")]
+_DESCRIBED = schema.MINUTE_DESCRIBE_COLUMNS
 
 
 @run(
@@ -79,7 +79,51 @@ _DESCRIBED = [c for c in schema.MINUTE_DESCRIBE_COLUMNS
 )
 def describe(spark: SparkSession, sf: str) -> DataFrame:
     rows = stage(silver_features(spark, sf).select(*_DESCRIBED), "described")
-    return rounded(quality.describe(rows, schema.MINUTE_DESCRIBE_COLUMNS))
+    return rounded(quality.describe(rows, _DESCRIBED))
+
+
+_GOLD_DESCRIBED = schema.GOLD_DESCRIBE_COLUMNS
+
+
+@run(
+    O.query("SELECT * FROM d", ("gold",), tuple(_GOLD_DESCRIBED),
+            d=O.describe("gold", _GOLD_DESCRIBED))
+)
+def describe_gold(spark: SparkSession, sf: str) -> DataFrame:
+    rows = layers.gold(T.silver(spark, sf), None, regimes=T.KLINE_REGIMES)
+    rows = stage(rows.select(*_GOLD_DESCRIBED), "described")
+    return rounded(quality.describe(rows, _GOLD_DESCRIBED))
+
+
+# Every 13th value is not a number, which counts as missing.
+_NAN_SQL = """SELECT CASE WHEN event_id % 13 <> 0 THEN value END AS value,
+    CAST(user_id AS DOUBLE) AS user_id FROM events"""
+
+
+def _with_nan(spark: SparkSession, sf: str) -> DataFrame:
+    nan = F.lit(float("nan"))
+    value = F.when(F.col("event_id") % 13 == 0, nan).otherwise(F.col("value"))
+    return T.table(spark, sf, "events").select(
+        value.alias("value"), F.col("user_id").cast("double").alias("user_id")
+    )
+
+
+@run(
+    O.query("SELECT * FROM d", (), ("value", "user_id"), holed=_NAN_SQL,
+            d=O.describe("holed", ["value", "user_id"]))
+)
+def describe_nan(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(quality.describe(_with_nan(spark, sf), ["value", "user_id"]))
+
+
+@run(
+    O.query(
+        " UNION ALL ".join(O.quartile_line("holed", c) for c in ("value", "user_id")),
+        (), "q1 q3 iqr lower_limit upper_limit outlier_pct", holed=_NAN_SQL,
+    )
+)
+def outliers_nan(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(quality.iqr_outliers(_with_nan(spark, sf), ["value", "user_id"]))
 
 
 _LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -238,20 +282,17 @@ def min_volume(spark: SparkSession, sf: str) -> DataFrame:
 
 @run(
     O.query(
-        "SELECT variable, type, count(*) AS rows FROM silver, (VALUES "
+        "SELECT variable, type, n.rows FROM (SELECT count(*) AS rows FROM events) n, (VALUES "
         "('symbol', 'string'), ('open_time', 'bigint'), ('open', 'double'), "
         "('high', 'double'), ('low', 'double'), ('close', 'double'), ('volume', 'double'), "
         "('close_time', 'bigint'), ('quote_asset_volume', 'double'), "
         "('number_of_trades', 'bigint'), ('taker_buy_base_volume', 'double'), "
         "('taker_buy_quote_volume', 'double'), ('ignore', 'double'), "
         "('source_file', 'string'), ('event_id', 'bigint'), "
-        "('open_ts', 'timestamp_ntz'), ('close_ts', 'timestamp_ntz')) t(variable, type) "
-        "GROUP BY variable, type",
-        ("silver",),
+        "('open_ts', 'timestamp_ntz'), ('close_ts', 'timestamp_ntz')) t(variable, type)",
     )
 )
 def schema_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Structure of the silver layer, with its size beside every column."""
-    rows = T.silver(spark, sf)
-    n = rows.agg(F.count(F.lit(1)).alias("rows")).first()["rows"]
-    return quality.schema_table(rows).withColumn("rows", F.lit(n).cast("long"))
+    """Structure of the silver layer, beside the number of events it is made from."""
+    n = T.table(spark, sf, "events").count()
+    return quality.schema_table(T.silver(spark, sf)).withColumn("rows", F.lit(n).cast("long"))

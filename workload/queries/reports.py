@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candlemill.functions import candle as C
 from candlemill.operators import features, ordered, report
+from candlemill.plans import analysis
 from candlemill.session import new_folder, stage
 from candlemill.sources import store
 from workload import oracle as O
@@ -116,6 +117,66 @@ def report_csv(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(spark.read.schema(table.schema).option("header", True).csv(folder))
 
 
+@run(
+    O.query(
+        "SELECT symbol, period, row_number() OVER (ORDER BY symbol, month_ts) AS place "
+        "FROM (SELECT DISTINCT symbol, CAST(date_trunc('month', open_ts) AS TIMESTAMP) AS month_ts, "
+        "strftime(date_trunc('month', open_ts), '%Y-%m') AS period FROM day_returns)",
+        ("day_returns",),
+    )
+)
+def report_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Place of each row in the report file: one file, so row numbers follow it."""
+    folder = new_folder(spark, "reports")
+    analysis.write_tables({"monthly_close": _order_months(spark, sf)}, folder)
+    rows = spark.read.option("header", True).csv(f"{folder}/monthly_close")
+    return rows.select("symbol", "period", (F.monotonically_increasing_id() + 1).alias("place"))
+
+
+@run(
+    O.query(
+        "SELECT symbol, open_ts, close, row_number() OVER (ORDER BY symbol, open_ts) AS place "
+        "FROM bars", ("bars",), "close",
+    )
+)
+def sorted_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a layer in the order of its files: names, then places inside them."""
+    folder = new_folder(spark, "sorted")
+    bars = T.hour_bars(spark, sf).select("symbol", "open_ts", "close")
+    store.write_sorted(bars, folder, ["symbol", "open_ts"], unique=True)
+    rows = spark.read.parquet(folder).select(
+        "*", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")
+    )
+    placed = ordered.with_row_index(rows, [], ["file", "row"], "place", unique=True)
+    return rounded(placed.select("symbol", "open_ts", "close", (F.col("place") + 1).alias("place")))
+
+
+@run(
+    O.query(
+        """SELECT symbol, CAST(date_trunc('month', open_ts) AS TIMESTAMP) AS month_ts,
+             avg(close) AS mean_close, count(*) AS rows, CAST(NULL AS DOUBLE) AS volatility
+           FROM bars GROUP BY symbol, date_trunc('month', open_ts)""",
+        ("bars",), "mean_close",
+    )
+)
+def monthly_without_returns(spark: SparkSession, sf: str) -> DataFrame:
+    """A metric whose column is missing is NULL."""
+    monthly = report.monthly_close(T.hour_bars(spark, sf).select("symbol", "open_ts", "close"))
+    return rounded(monthly.select("symbol", "month_ts", "mean_close", "rows", "volatility"))
+
+
+@run(
+    O.query(
+        "SELECT count(*) AS bars, CAST(0 AS BIGINT) AS regimes FROM bars", ("bars",)
+    )
+)
+def regime_table_without_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars without a label column give an empty regime table."""
+    bars = T.hour_bars(spark, sf).select("open_ts", "close")
+    n = report.regime_table(bars).count()
+    return bars.agg(F.count(F.lit(1)).alias("bars"), F.lit(n).cast("long").alias("regimes"))
+
+
 def _labelled_bars(spark: SparkSession, sf: str) -> DataFrame:
     close = T.hour_bars(spark, sf).select("symbol", "open_ts", "close")
 
@@ -190,6 +251,19 @@ def quarter_summary(spark: SparkSession, sf: str) -> DataFrame:
     return report.quarter_summary(features.with_quarter(T.order_days(spark, sf)))
 
 
+@run(
+    O.query(
+        f"""SELECT {_QUARTER_OF_DAY} AS year_quarter, count(*) AS rows,
+              concat('/out/year_quarter=', {_QUARTER_OF_DAY}) AS path FROM days
+            GROUP BY year_quarter""",
+        ("days",),
+    )
+)
+def quarter_paths(spark: SparkSession, sf: str) -> DataFrame:
+    table = report.quarter_summary(features.with_quarter(T.order_days(spark, sf)), "/out/")
+    return table.select("year_quarter", "rows", "path")
+
+
 @run(O.query(O.histogram("bars", "close", 60), ("bars",), "lower upper"))
 def hist_close(spark: SparkSession, sf: str) -> DataFrame:
     bars = stage(T.hour_bars(spark, sf).select("close"), "histogram")

@@ -59,7 +59,7 @@ BAR_COLUMNS = (
 
 ID_COLUMNS = ["symbol", "open_ts", "event_id"]
 _MINUTE_INPUT = ["symbol", "open_ts", "source_file", "event_id", "open", "high", "low",
-                 "close", "volume"]
+                 "close", "volume", "quote_asset_volume", "number_of_trades"]
 
 
 def bronze_features(spark: SparkSession, sf: str, index: str | None = None) -> DataFrame:
