@@ -11,8 +11,8 @@ with others, which is what an original among its edited copies does. First each
 document meets the best of its centres; links are confirmed on full sets. In
 buckets whose members are then not all in one component, all centres are
 compared. What is still apart there is settled exactly by rarest shingles: two
-sets of the wanted likeness share one of their rarest few, and can have no more
-in common than what is not theirs alone. So no candidate is given up, and no
+sets of the wanted likeness share one of their rarest few, and a bit map of each
+set bounds what the two can have in common. So no candidate is given up, and no
 bucket emits all its pairs.
 """
 
@@ -34,6 +34,8 @@ BANDS = 32
 BAND_ROWS = 4
 SHINGLE_WORDS = 5
 PERCENT = 80
+# 64-bit words of the bit map that bounds what two sets have in common.
+MAP_WORDS = 16
 
 
 # ---------------------------------------------------------------- sets and sketches
@@ -221,14 +223,22 @@ def _rare_pairs(apart: DataFrame, sets: DataFrame, percent: int, kind: str) -> D
     ranked = rows.join(shared, "shingle").withColumn(
         "rank", F.row_number().over(Window.partitionBy("id").orderBy("df", "shingle"))
     ).withColumn("in_common", F.count(F.lit(1)).over(Window.partitionBy("id")))
+    # Of members that other sets have too, one bit each at its hash: a bit that
+    # the other set lacks is a member that it lacks.
+    word = F.pmod(F.col("shingle"), F.lit(MAP_WORDS))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(shingle div {MAP_WORDS}, 64) as int))")
+    maps = [f"m{i}" for i in range(MAP_WORDS)]
+    bits = rows.join(shared, "shingle").groupBy("id").agg(
+        *[F.bit_or(F.when(word == i, bit).otherwise(F.lit(0))).alias(m) for i, m in enumerate(maps)]
+    )
     sizes = nodes.groupBy("component").agg(F.count(F.lit(1)).alias("weight"))
-    known = stage(nodes.join(sizes, "component"), "known")
+    known = stage(nodes.join(sizes, "component").join(bits, "id"), "known")
     # Members of one set alone are the rarest, so they take the first ranks.
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     rare = stage(
         ranked.join(known, "id")
         .where(F.col("rank") + F.col("n") - F.col("in_common") <= prefix)
-        .select("shingle", "id", "n", "in_common", "component", "weight"),
+        .select("shingle", "id", "n", "in_common", "component", "weight", *maps),
         "rare",
     )
     largest = rare.groupBy("shingle").agg(
@@ -239,10 +249,17 @@ def _rare_pairs(apart: DataFrame, sets: DataFrame, percent: int, kind: str) -> D
     few = rare.join(largest, "shingle").where("component <> main").select(
         "shingle", F.col("id").alias("c_id"), F.col("n").alias("c_n"),
         F.col("in_common").alias("c_common"), F.col("component").alias("c_component"),
+        *[F.col(m).alias(f"c_{m}") for m in maps],
+    )
+
+    def lacking(a: str, b: str) -> Column:
+        return F.expr(" + ".join(f"bit_count({a}{m} & ~{b}{m})" for m in maps))
+
+    common = F.least(
+        F.col("in_common") - lacking("", "c_"), F.col("c_common") - lacking("c_", "")
     )
     met = rare.join(few, "shingle").where(
-        (F.col("component") != F.col("c_component"))
-        & _fits(percent, "n", "c_n", F.least("in_common", "c_common"))
+        (F.col("component") != F.col("c_component")) & _fits(percent, "n", "c_n", common)
     )
     return _pairs(met).distinct()
 
