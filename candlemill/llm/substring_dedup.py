@@ -22,7 +22,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -108,6 +108,16 @@ def _anchor_mapper(window: int, period: int, cover: tuple[int, ...]):
     return mapper
 
 
+def _covered(ranges: pa.Scalar, n: int, more: int = 0) -> np.ndarray:
+    """Which of ``n`` places lie in ranges, each ``more`` places longer than stated."""
+    pairs = ranges.values
+    first, last = (pairs.field(f).to_numpy() for f in ("first", "last"))
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, np.minimum(first, n), 1)
+    np.add.at(edge, np.minimum(last + more + 1, n), -1)
+    return np.cumsum(edge)[:n] > 0
+
+
 def _window_mapper(window: int, period: int, cover: tuple[int, ...]):
     """Full windows around the shared anchors of each document."""
 
@@ -119,8 +129,7 @@ def _window_mapper(window: int, period: int, cover: tuple[int, ...]):
                 wanted = np.zeros(max(n - window + 1, 0) + 1, np.int64)
                 starts = anchor_starts(n, window, period, cover)
                 # A window holds the anchors that start in its first `period` words.
-                picked = hits.values.to_numpy()
-                q = starts[picked[picked < len(starts)]]
+                q = starts[_covered(hits, len(starts))]
                 low = np.clip(q - period + 1, 0, len(wanted) - 1)
                 high = np.clip(q + 1, 0, len(wanted) - 1)
                 np.add.at(wanted, low, 1)
@@ -148,7 +157,7 @@ def _window_mapper(window: int, period: int, cover: tuple[int, ...]):
 
 
 def _cut_mapper(window: int):
-    """What is left of texts without the words that the windows at ``starts`` cover."""
+    """What is left of texts without the words that windows cover, given by ranges of starts."""
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -156,12 +165,7 @@ def _cut_mapper(window: int):
             texts = part.column("text").cast(pa.binary())
             for text, starts in zip(texts, part.column("starts")):
                 words = text.as_py().split()
-                edge = np.zeros(len(words) + window + 1, np.int64)
-                at = starts.values.to_numpy()
-                at = at[at + window <= len(words)]
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + window, -1)
-                keep = np.cumsum(edge)[: len(words)] == 0
+                keep = ~_covered(starts, len(words), window - 1)
                 kept_texts.append(b" ".join([w for w, k in zip(words, keep.tolist()) if k]))
                 removed.append(int((~keep).sum()))
             yield pa.RecordBatch.from_arrays(
@@ -207,32 +211,39 @@ def _hot_extremes(keys: list[str], id_: str, hot: list[np.ndarray]):
     return mapper
 
 
-def _hot_rows(keys: list[str], names: list[str], hot: list[np.ndarray], least, most):
-    """The rows with hot keys, with the extremes of their keys."""
+def _hot_ranges(keys: list[str], earlier: bool, hot: list[np.ndarray], least, most):
+    """Ranges of neighbouring rows whose hot keys are shared."""
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            rows, at = _find_hot(part, keys, hot)
-            if len(rows):
-                found = part.take(pa.array(rows))
+            rows, place = _find_hot(part, keys, hot)
+            ids, at = (part.column(c).to_numpy()[rows] for c in ("id", "at"))
+            shared = least[place] < (ids if earlier else most[place])
+            ids, at = ids[shared], at[shared]
+            if len(ids):
+                opens = np.ones(len(ids), bool)
+                opens[1:] = (ids[1:] != ids[:-1]) | (at[1:] != at[:-1] + 1)
+                head = np.flatnonzero(opens)
+                tail = np.append(head[1:], len(ids)) - 1
                 yield pa.RecordBatch.from_arrays(
-                    [*[found.column(n) for n in names], pa.array(least[at]), pa.array(most[at])],
-                    names=[*names, "least", "most"],
+                    [pa.array(ids[head]), pa.array(at[head]), pa.array(at[tail])],
+                    names=["id", "first", "last"],
                 )
 
     return mapper
 
 
-def with_extremes(rows: DataFrame, keys: list[str], id_: str = "id") -> DataFrame:
-    """Add the smallest and largest id among rows of equal ``keys``, as ``least`` and ``most``.
+def shared_ranges(rows: DataFrame, keys: list[str], earlier: bool) -> DataFrame:
+    """Ranges ``first`` to ``last`` of ``at`` whose keys another id has, per ``id``.
 
-    One shuffle for keys of few documents. Hot keys (see above), at most
-    HOT_KEYS, are combined inside the tasks and looked up in a broadcast table,
-    so that their rows stay where they are. Keys and ids are longs or ints.
+    With ``earlier`` only those that a smaller id has. One shuffle for keys of
+    few documents. Hot keys (see above), at most HOT_KEYS, are combined inside
+    the tasks and looked up in a broadcast table, so that their rows stay where
+    they are. Keys and ids are longs or ints.
     """
     spark = rows.sparkSession
-    sampled = rows.where(F.pmod(F.xxhash64(id_, F.lit(7)), F.lit(SAMPLE_EVERY)) == 0)
-    n_documents = sampled.agg(F.approx_count_distinct(id_)).first()[0]
+    sampled = rows.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(SAMPLE_EVERY)) == 0)
+    n_documents = sampled.agg(F.approx_count_distinct("id")).first()[0]
     enough = max(HOT_LEAST, n_documents // HOT_SHARE)
     found = (
         sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= enough)
@@ -240,28 +251,38 @@ def with_extremes(rows: DataFrame, keys: list[str], id_: str = "id") -> DataFram
         .dropDuplicates(keys[:1]).orderBy(keys[0])
         .toArrow()
     )
+    hot = [found[k].to_numpy() for k in keys]
+    cold = rows
+    if found.num_rows:
+        table = small_table(spark, **{k: (found[k].type, h) for k, h in zip(keys, hot)})
+        cold = rows.join(F.broadcast(table), keys, "left_anti")
     group = Window.partitionBy(*keys)
-    extremes = {"least": F.min(id_).over(group), "most": F.max(id_).over(group)}
+    ranges = (
+        cold.withColumns({"least": F.min("id").over(group), "most": F.max("id").over(group)})
+        .where(F.col("least") < F.col("id" if earlier else "most"))
+        .select("id", F.col("at").alias("first"), F.col("at").alias("last"))
+    )
     if not found.num_rows:
-        return rows.withColumns(extremes)
-    hot = [found[k].to_numpy() for k in keys]
-    table = small_table(spark, **{k: (found[k].type, h) for k, h in zip(keys, hot)})
-    cold = rows.join(F.broadcast(table), keys, "left_anti").withColumns(extremes)
-    kind = rows.schema[id_].dataType.simpleString()
+        return ranges
+    kind = rows.schema["id"].dataType.simpleString()
     ends = (
-        rows.select(*keys, id_)
-        .mapInArrow(_hot_extremes(keys, id_, hot), f"place long, least {kind}, most {kind}")
+        rows.select(*keys, "id")
+        .mapInArrow(_hot_extremes(keys, "id", hot), f"place long, least {kind}, most {kind}")
         .groupBy("place")
         .agg(F.min("least").alias("least"), F.max("most").alias("most"))
         .orderBy("place")
         .toArrow()
     )
     least, most = ends["least"].to_numpy(), ends["most"].to_numpy()
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    hot_rows = rows.mapInArrow(
-        _hot_rows(keys, rows.columns, hot, least, most), f"{schema}, least {kind}, most {kind}"
+    return ranges.union(
+        rows.select("id", "at", *keys).mapInArrow(
+            _hot_ranges(keys, earlier, hot, least, most), f"id {kind}, first int, last int"
+        )
     )
-    return cold.select(*hot_rows.columns).union(hot_rows)
+
+
+def _ranges(name: str) -> Column:
+    return F.collect_list(F.struct("first", "last")).alias(name)
 
 
 def remove_repeats(
@@ -309,10 +330,9 @@ def remove_repeats(
         "id", F.posexplode("anchors").alias("at", "anchor")
     )
     hits = (
-        with_extremes(anchors, ["anchor"])
-        .where("least < most")
+        shared_ranges(anchors, ["anchor"], earlier=False)
         .groupBy("id")
-        .agg(F.collect_set("at").alias("hits"))
+        .agg(_ranges("hits"))
         .join(copies, "id", "left_anti")
     )
     near = stage(docs.join(hits, "id"), "near")
@@ -323,10 +343,9 @@ def remove_repeats(
         "windows",
     )
     repeated = (
-        with_extremes(windows, ["full", "check"])
-        .where("least < id")
+        shared_ranges(windows, ["full", "check"], earlier=True)
         .groupBy("id")
-        .agg(F.collect_set("at").alias("starts"))
+        .agg(_ranges("starts"))
     )
     cut = near.select("id", "text").join(repeated, "id").mapInArrow(
         _cut_mapper(window), f"id {kind}, n_removed long, kept string"
