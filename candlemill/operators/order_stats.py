@@ -30,6 +30,7 @@ _LANE = "_lane"
 SORT_LIMIT = 100_000
 # percentile_approx is off by at most 1/accuracy of the rows.
 _ACCURACY = 10_000
+_SLACK = 2.0 / _ACCURACY
 
 
 def rank_weights(n: int, prob: float, rule: str) -> list[tuple[int, float]]:
@@ -76,13 +77,12 @@ def _by_interval(searches: Sequence[_Search]) -> list[list[_Search]]:
 
 def _bracket(df: DataFrame, groups: Sequence[Sequence[_Search]]) -> list[list[float]]:
     """Values a little below and above each wanted rank, by sketch."""
-    slack = 2.0 / _ACCURACY
     aggregates = []
     for i, group in enumerate(groups):
         probs = []
         for s in group:
             prob = (s.rank + 0.5) / s.size
-            probs += [max(0.0, prob - slack), min(1.0, prob + slack)]
+            probs += [max(0.0, prob - _SLACK), min(1.0, prob + _SLACK)]
         value = F.when(group[0].inside(), F.col(group[0].column))
         aggregates.append(F.percentile_approx(value, probs, _ACCURACY).alias(f"s{i}"))
     return [list(limits) for limits in df.agg(*aggregates).first()]
@@ -214,47 +214,106 @@ def quantiles(
 ) -> DataFrame:
     """Quantiles per group: one row per (by, variable, prob, rule), with the count.
 
-    For any number of groups of any size. Values are counted before any of
-    them is sorted, so a value shared by many rows costs one row; the sorted
-    values lie in lanes that may split a group, and only lanes that hold a
-    wanted rank are looked into.
+    For any number of groups of any size. A sketch per group gives an interval
+    around each probability, an exact count tells whether it holds the wanted
+    ranks, and only values inside intervals move; groups whose interval missed
+    move all their values. Values are counted before any of them is sorted, so
+    a value shared by many rows costs one row. Reads ``df`` a few times, so
+    expensive input should be staged.
     """
     group = [*by, "variable"]
     wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
     long = wide.unpivot([F.col(b) for b in by], list(columns), "variable", "value")
     known = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = known.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("_n"))
+    lows = [min(max(0.0, p - _SLACK), 1.0) for p, _ in probs]
+    highs = [max(min(1.0, p + _SLACK), 0.0) for p, _ in probs]
+    sketch = known.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("value", lows + highs, _ACCURACY).alias("_s"),
+    )
+    k = len(probs)
+    limits = stage(
+        sketch.select(
+            *group, "n",
+            *[F.col("_s")[i].alias(f"_a{i}") for i in range(k)],
+            *[F.col("_s")[k + i].alias(f"_b{i}") for i in range(k)],
+        ),
+        "limits",
+    )
+    # Staged, so that its true size decides how Spark joins it.
+    value = F.col("value")
+    near = join_null_safe(known, limits, group)
+    counted = near.groupBy(*group, "n").agg(
+        *[F.count_if(value < F.col(f"_a{i}")).alias(f"_under{i}") for i in range(k)],
+        *[F.count_if(value <= F.col(f"_b{i}")).alias(f"_upto{i}") for i in range(k)],
+    )
+    wants = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("i"),
+                F.col(f"_under{i}").alias("under"),
+                F.col(f"_upto{i}").alias("upto"),
+                _wanted_ranks([p]).alias("want"),
+            )
+            for i, p in enumerate(probs)
+        ]
+    )
+    wanted = counted.select(*group, "n", F.inline(wants)).withColumn(
+        "_held",
+        F.forall("want", lambda w: (w["rank"] >= F.col("under")) & (w["rank"] < F.col("upto"))),
+    )
+    wanted = stage(wanted, "ranks")
+    inside = F.array(
+        *[
+            F.when(value.between(F.col(f"_a{i}"), F.col(f"_b{i}")), F.lit(i)) for i in range(k)
+        ]
+    )
+    moved = near.select(*group, "value", F.explode(F.array_compact(inside)).alias("i"))
+    counts = moved.groupBy(*group, "i", "value").agg(F.count(F.lit(1)).alias("_n"))
+    held = _at_ranks(
+        counts, wanted.where("_held").withColumn("_shift", F.col("under")), [*group, "i"]
+    )
+    missed = wanted.where("NOT _held").withColumn("_shift", F.lit(0).cast("long"))
+    if missed.isEmpty():
+        found = held
+    else:
+        groups = missed.select(*group, "i")
+        all_values = join_null_safe(known, groups, group)
+        counts = all_values.groupBy(*group, "i", "value").agg(F.count(F.lit(1)).alias("_n"))
+        found = held.unionByName(_at_ranks(counts, missed, [*group, "i"]))
+    return found.groupBy(*group, "prob", "rule").agg(
+        F.sum(F.col("value") * F.col("weight")).alias("value"), F.max("n").alias("n")
+    )
+
+
+def _at_ranks(counts: DataFrame, wanted: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Values at wanted ranks, from values with counts ``_n`` that may be many per group.
+
+    ``wanted`` has per group the array ``want`` and ``_shift``, the rank of the
+    first value. Sorted values lie in lanes that may split a group, and only
+    lanes that hold a wanted rank are looked into.
+    """
     lanes = stage(
         counts.repartitionByRange(*group, "value").withColumn(_LANE, F.spark_partition_id()),
         "values",
     )
     # One row per lane and group, up to the wanted ranks.
     in_order = Window.partitionBy(*group).orderBy(_LANE)
-    whole = Window.partitionBy(*group)
-    per_lane = (
-        lanes.groupBy(*group, _LANE)
-        .agg(F.sum("_n").alias("_in_lane"))
-        .withColumns(
-            {
-                "_before": F.sum("_in_lane").over(in_order) - F.col("_in_lane"),
-                "n": F.sum("_in_lane").over(whole),
-            }
-        )
+    per_lane = lanes.groupBy(*group, _LANE).agg(F.sum("_n").alias("_in_lane")).withColumn(
+        "_before", F.sum("_in_lane").over(in_order) - F.col("_in_lane")
     )
-    rank = F.col("rank")
-    wanted = (
-        per_lane.withColumn("_want", F.explode(_wanted_ranks(probs)))
-        .select(*group, _LANE, "_before", "_in_lane", "n", "_want.*")
-        .filter((rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_in_lane")))
+    place = F.col("rank") - F.col("_shift")
+    ranks = (
+        join_null_safe(per_lane, wanted.select(*group, "n", "_shift", "want"), group)
+        .select(*group, _LANE, "_before", "_in_lane", "n", "_shift", F.inline("want"))
+        .withColumn("_place", place)
+        .filter("_place >= _before AND _place < _before + _in_lane")
     )
     # Staged, so that its true size decides how Spark joins it.
-    candidates = join_null_safe(lanes, stage(wanted, "ranks"), [*group, _LANE])
+    candidates = join_null_safe(lanes, stage(ranks, "lane-ranks"), [*group, _LANE])
     running = F.sum("_n").over(
         Window.partitionBy(*group, "prob", "rule", "rank").orderBy("value")
     )
-    picked = candidates.withColumn("_upto", F.col("_before") + running).filter(
-        (rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("_n"))
-    )
-    return picked.groupBy(*group, "prob", "rule").agg(
-        F.sum(F.col("value") * F.col("weight")).alias("value"), F.max("n").alias("n")
+    return candidates.withColumn("_upto", F.col("_before") + running).filter(
+        (F.col("_place") < F.col("_upto")) & (F.col("_place") >= F.col("_upto") - F.col("_n"))
     )

@@ -77,7 +77,10 @@ def test_no_values(frame):
     assert quantile_scalars(df, ["x"], [(0.5, "linear")]) == {("x", 0.5, "linear"): None}
 
 
-def test_groups_equal_brute_force(frame):
+@pytest.mark.parametrize("slack", [0.0002, -0.2])
+def test_groups_equal_brute_force(frame, monkeypatch, slack):
+    """With a negative slack every interval misses its rank."""
+    monkeypatch.setattr(order_stats, "_SLACK", slack)
     rng = random.Random(5)
     rows = [(rng.choice(["hot", "hot", "hot", "b", None]), float(rng.randrange(40)),
              rng.gauss(0, 1)) for _ in range(2_000)]
