@@ -189,11 +189,11 @@ def in_neighbour_order(df: DataFrame, key: str) -> DataFrame:
 
     Adds ``range`` and ``copy`` (0: the row itself, 1: a copy that only serves
     as a neighbour). The lowest range is followed by the first row of all. One
-    shuffle of the rows; the driver sees one key per range, and there are twice
-    as many ranges as shuffle partitions. Ties go by all other columns.
+    shuffle of the rows; the driver sees one key per range, and there are four
+    times as many ranges as shuffle partitions. Ties go by all other columns.
     """
     spark = df.sparkSession
-    n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = df.stat.approxQuantile(key, [i / n for i in range(1, n)], 0.25 / n)
     ranged = df.withColumn("range", _range_number(key, sorted({int(b) for b in found})))
     tops = sorted(
