@@ -30,6 +30,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_WORDS_SQL = (
+    "list_filter(regexp_split_to_array(coalesce({text}, ''), '[\\x20\\x09-\\x0D]+'), "
+    "lambda w: w <> '')"
+)
+
 # A match between two marks, so that splitting at the first mark tells where
 # matches begin; the marks are private-use characters.
 _SECRET_PIECES = """
@@ -144,12 +149,62 @@ def op7_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register()
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_NEAR_SQL = f"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, {_WORDS_SQL.format(text=f"translate(text, '{_UPPER}', '{_UPPER.lower()}')")} AS words
+  FROM documents),
+members AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(words) = 0 THEN []
+    WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))
+    END) AS shingle FROM worded),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM members GROUP BY doc_id),
+linked AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+    FROM members x JOIN members y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+    GROUP BY x.doc_id, y.doc_id)
+  JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+  WHERE 100 * common >= 80 * (s.n + t.n - common)),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reach.a, linked.b FROM reach JOIN linked ON linked.a = reach.b),
+found AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN found USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+
+@register(_NEAR_SQL)
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), width=4)
 
 
-@register()
+_REPEATS_SQL = f"""
+WITH worded AS MATERIALIZED (
+  SELECT doc_id, {_WORDS_SQL.format(text="text")} AS words FROM documents),
+windows AS MATERIALIZED (
+  SELECT doc_id, first, md5(array_to_string(words[first:first + 49], ' ')) AS key
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS first FROM worded)),
+owners AS (SELECT key, min(doc_id) AS owner FROM windows GROUP BY key),
+covered AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(range(first, first + 50)) AS place
+  FROM windows JOIN owners USING (key) WHERE doc_id > owner),
+placed AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM worded),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n
+  FROM placed ANTI JOIN covered USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS bigint) AS n_words,
+       CAST(len(words) - coalesce(n, 0) AS bigint) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM worded LEFT JOIN kept USING (doc_id)
+"""
+
+
+@register(_REPEATS_SQL)
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
 
