@@ -93,86 +93,72 @@ def mix(
     reads ``df`` more than once.
     """
     spark = df.sparkSession
-    names = {n: unclashing(df.columns, n) for n in
-             ("weight", "start", "block", "release", "deadline", "slot")}
-    tag, length, place, bucket = (
-        unclashing(df.columns, n) for n in ("_tag", "_size", "_place", "_bucket")
-    )
-    own = [F.col(f"`{c}`") for c in df.columns]
+    # Inside, columns of ``df`` go by their place, so that no name can clash.
+    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)]
     placed = df.select(
         *own,
-        _tag(source).alias(tag),
-        F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)).cast("long").alias(length),
-        F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")).alias(place),
+        F.col(f"`{key}`").alias("key"),
+        _tag(source).alias("tag"),
+        F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)).cast("long").alias("size"),
+        F.md5(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).cast("binary")).alias("place"),
     )
     totals = (
-        placed.groupBy(tag)
-        .agg(F.sum(length).alias("size"), F.count(F.lit(1)).alias("n"))
-        .orderBy(tag)
+        placed.groupBy("tag")
+        .agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+        .orderBy("tag")
         .limit(MAX_SOURCES + 1)
         .collect()
     )
     if len(totals) > MAX_SOURCES:
         raise ValueError(f"a mix has at most {MAX_SOURCES} sources")
+    tags = [r["tag"] for r in totals]
     if weights is None:
-        parts = tempered_weights([(r[tag], r["size"]) for r in totals])
+        parts = tempered_weights([(r["tag"], r["size"]) for r in totals])
     else:
         given = {"0" if s is None else "1" + s: int(w) for s, w in weights.items()}
-        parts = [max(given.get(r[tag], 1), 1) for r in totals]
+        parts = [max(given.get(tag, 1), 1) for tag in tags]
     slots = schedule(parts)
     table = small_table(
         spark,
-        **{
-            tag: (pa.string(), [totals[s][tag] for s, *_ in slots]),
-            "_turn": (pa.int64(), [block for _, block, *_ in slots]),
-            "_weight": (pa.int64(), [parts[s] for s, *_ in slots]),
-            "_release": (pa.int64(), [r for *_, r, _ in slots]),
-            "_deadline": (pa.int64(), [d for *_, d in slots]),
-            "_slot": (pa.int64(), list(range(len(slots)))),
-        },
-    )
-    by_tag = small_table(
-        spark,
-        **{tag: (pa.string(), [r[tag] for r in totals]), "_weight": (pa.int64(), parts)},
+        tag=(pa.string(), [tags[s] for s, *_ in slots]),
+        turn=(pa.int64(), [block for _, block, *_ in slots]),
+        first_release=(pa.int64(), [r for *_, r, _ in slots]),
+        first_deadline=(pa.int64(), [d for *_, d in slots]),
+        first_slot=(pa.int64(), list(range(len(slots)))),
     )
+    by_tag = small_table(spark, tag=(pa.string(), tags), weight=(pa.int64(), parts))
     # A source is cut into stretches of the MD5 order, which are summed first,
     # so that no task needs more of a source than one stretch.
-    n_buckets = max(1, -(-sum(r["n"] for r in totals) // BUCKET_ROWS))
-    stretch = F.floor(F.conv(F.substring(place, 1, 8), 16, 10).cast("long") * n_buckets / 2**32)
-    dealt = placed.withColumn(bucket, stretch.cast("long"))
-    before = Window.partitionBy(tag).orderBy(bucket).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    n_stretches = max(1, -(-sum(r["n"] for r in totals) // BUCKET_ROWS))
+    head = F.conv(F.substring("place", 1, 8), 16, 10).cast("long")
+    dealt = placed.withColumn("stretch", F.floor(head * n_stretches / 2**32).cast("long"))
+    before = Window.partitionBy("tag").orderBy("stretch")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
     offsets = stage(
-        dealt.groupBy(tag, bucket).agg(F.sum(length).alias("_sum"))
-        .withColumn("_offset", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum"),
+        dealt.groupBy("tag", "stretch").agg(F.sum("size").alias("sum"))
+        .withColumn("offset", F.coalesce(F.sum("sum").over(before), F.lit(0))).drop("sum"),
         "offsets",
     )
-    inside = (
-        Window.partitionBy(tag, bucket)
-        .orderBy(place, F.col(f"`{key}`").asc_nulls_first(), length)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("tag", "stretch").orderBy(
+        "place", F.col("key").asc_nulls_first(), "size"
     )
+    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
     started = (
-        dealt.withColumn("_inner", F.coalesce(F.sum(length).over(inside), F.lit(0)))
-        .join(offsets, [tag, bucket])
-        .withColumn(names["start"], F.col("_offset") + F.col("_inner"))
-        .withColumn(names["block"], F.expr(f"`{names['start']}` div {int(block_size)}"))
+        dealt.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+        .join(offsets, ["tag", "stretch"])
+        .withColumn("start", F.col("offset") + F.col("inner"))
+        .withColumn("block", F.expr(f"start div {int(block_size)}"))
     )
     # Both tables have a bounded size: a row per source, and one per slot of a period.
-    period = F.lit(len(slots)).cast("long")
     joined = (
-        started.join(F.broadcast(by_tag), tag)
-        .withColumn("_turn", F.col(names["block"]) % F.col("_weight"))
-        .withColumn("_round", F.expr(f"`{names['block']}` div _weight"))
-        .drop("_weight")
-        .join(F.broadcast(table), [tag, "_turn"])
+        started.join(F.broadcast(by_tag), "tag")
+        .withColumn("turn", F.col("block") % F.col("weight"))
+        .withColumn("shift", F.expr(f"(block div weight) * {len(slots)}L"))
+        .join(F.broadcast(table), ["tag", "turn"])
     )
-    shift = F.col("_round") * period
+    new = {n: F.col(n) for n in ("weight", "start", "block")}
+    new |= {n: F.col(f"first_{n}") + F.col("shift") for n in ("release", "deadline", "slot")}
     return joined.select(
-        *own,
-        F.col("_weight").alias(names["weight"]),
-        F.col(names["start"]),
-        F.col(names["block"]),
-        *[(F.col(f"_{n}") + shift).alias(names[n]) for n in ("release", "deadline", "slot")],
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)],
+        *[column.alias(unclashing(df.columns, n)) for n, column in new.items()],
     )

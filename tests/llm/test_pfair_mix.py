@@ -52,6 +52,7 @@ def test_mix_places_every_row(spark, monkeypatch):
 def test_given_weights_decide_the_shares(spark):
     rows = [(i, "a" if i % 2 else "b", 10) for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, source string, slot long")
+    df = df.withColumns({n: F.lit(0) for n in ("tag", "size", "offset", "c0", "key")})
     mixed = P.mix(df, F.col("slot"), weights={"a": 3, "b": 1}, block_size=10)
     assert mixed.columns[-1] == "_slot"
     first = mixed.orderBy("_slot").limit(100).groupBy("source").count().collect()
