@@ -77,7 +77,7 @@ def _code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(a >= 0xF0, four, points), lead
 
 
-def letter_tables(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def lower_letters(points: np.ndarray) -> np.ndarray:
     """For each code point: its lower-case letter, or 0 if it is no letter."""
     distinct, back = np.unique(points, return_inverse=True)
     lower = np.zeros(len(distinct), np.uint32)
@@ -85,13 +85,13 @@ def letter_tables(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         char = chr(point)
         if unicodedata.category(char)[0] == "L":
             lower[i] = ord(char.lower()[0])
-    return lower[back.reshape(-1)], lower
+    return lower[back.reshape(-1)]
 
 
 def read_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     """Words of rows given as UTF-8 bytes; characters that are no letters separate trigrams."""
     points, lead = _code_points(data)
-    letters, _ = letter_tables(points)
+    letters = lower_letters(points)
     starts, ends, _ = word_spans(data, offsets)
     first = np.searchsorted(lead, starts)
     past = np.searchsorted(lead, ends)

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm import byte_bpe, langid, licence_scan, merkle, minhash, pfair_mix, quality_crf, secret_scan, substring_dedup, topk
+from candlemill.llm import (
+    byte_bpe,
+    langid,
+    licence_scan,
+    merkle,
+    minhash,
+    pfair_mix,
+    quality_crf,
+    secret_scan,
+    substring_dedup,
+    topk,
+)
 from candlemill.llm.common import crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
