@@ -18,7 +18,7 @@ from candlemill.schema import (
 )
 
 # A time chunk spans this many steps, so it holds at most that many candles of
-# one series.
+# one series on the grid of the step; windows over denser series spill.
 CHUNK_STEPS = 10_080
 
 
@@ -187,7 +187,8 @@ def cleaning_audit(
     rows with a missing essential value share the group without timestamp.
     """
     rows = typed(df)
-    candles = with_timestamps(rows.withColumn("_known", all_known(rows, present_only(rows, SILVER_ESSENTIAL))))
+    essential = present_only(rows, SILVER_ESSENTIAL)
+    candles = with_timestamps(rows.withColumn("_known", all_known(rows, essential)))
     first = F.struct(*tiebreak)
     stamps = (
         candles.withColumn("ts", F.when(F.col("_known"), F.col("open_ts")))
