@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Text bytes that a mapper looks at together; a longer text comes alone.
-SLICE_BYTES = 2 << 20
+# Text bytes that a mapper looks at together; a longer text comes alone. Word
+# hashes and their kin take some fifty times as much memory meanwhile.
+SLICE_BYTES = 512 << 10
 
 # Bytes that separate words, as in [^\x20\x09-\x0D]+.
 WORD_BREAK_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -131,8 +132,9 @@ def unclashing(taken: Iterable[str], name: str) -> str:
 class Kept:
     """Rows for a mapper that keeps columns, reads one and adds others.
 
-    ``source`` has the kept columns and then the one to read, called ``value``;
-    ``new`` maps the wanted names of the added columns to free ones.
+    ``source`` has the kept columns and, unless it is one of them, the one to
+    read at the end; it is called ``value``. ``new`` maps the wanted names of
+    the added columns to free ones.
     """
 
     source: DataFrame
@@ -146,8 +148,8 @@ class Kept:
 
 
 def kept_batch(part: pa.RecordBatch, names: Sequence[str], *added: pa.Array) -> pa.RecordBatch:
-    """The columns of ``part`` but the last, and the added ones."""
-    kept = [part.column(i) for i in range(part.num_columns - 1)]
+    """The kept columns of ``part`` and the added ones."""
+    kept = [part.column(i) for i in range(len(names) - len(added))]
     return pa.RecordBatch.from_arrays([*kept, *added], names=list(names))
 
 
@@ -156,9 +158,12 @@ def keeping(df: DataFrame, keep: Sequence[str], read: str, added: Sequence[tuple
 
     New columns that ``keep`` has already get underscores in front.
     """
-    value = unclashing(keep, "_value")
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{read}`").alias(value))
-    fields = [*source.schema.fields[:-1]]
+    kept = df.select(*[F.col(f"`{c}`") for c in keep])
+    value, source = read, kept
+    if read not in keep:
+        value = unclashing(keep, "_value")
+        source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{read}`").alias(value))
+    fields = [*kept.schema.fields]
     new = {}
     for name, kind in added:
         new[name] = unclashing([f.name for f in fields], name)
