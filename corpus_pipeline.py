@@ -3,18 +3,22 @@
 Each stage takes the documents its predecessor left and all but the last give
 documents with the same columns: good ones, one of each group of near
 duplicates, without secrets, in the order of a weighted mix of sources, and
-at last as token ids.
+at last as token ids with their place in that order.
 """
 
 from __future__ import annotations
 
+import re
+
 import public_tokenizers
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlemill.llm import byte_bpe, minhash, pfair_mix, quality_crf, secret_scan
 from candlemill.llm.common import crc_mod, unclashing
-from candlemill.session import stage
+from candlemill.session import small_table, stage
 
 # Documents that score less go.
 GOOD_FROM = 0.3
@@ -59,23 +63,55 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+def _part(path: str) -> tuple[int, str]:
+    """What orders the files of a table: the number of the part, then the name."""
+    number = re.match(r"part-(\d+)", path.rpartition("/")[2])
+    return int(number[1]) if number else -1, path
+
+
+def with_place(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of a stored table and ``place``, the row's number in it from 0.
+
+    A scan does not keep the order of files, so the place comes from the file
+    and the row's index inside it. Other tables are stored first. The driver
+    sees a number per file.
+    """
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        docs = stage(docs, "placed")
+    hidden = docs.metadataColumn("_metadata")
+    path = hidden["file_path"].alias("_path")
+    indices = docs.select(path, hidden["row_index"].alias("_row")).groupBy("_path")
+    sizes = {r["_path"]: r["n"] for r in indices.agg((F.max("_row") + 1).alias("n")).collect()}
+    files, offsets, before = sorted(sizes, key=_part), [], 0
+    for file in files:
+        offsets.append(before)
+        before += sizes[file]
+    table = small_table(
+        docs.sparkSession, _path=(pa.string(), files), _offset=(pa.int64(), offsets)
+    )
+    return (
+        docs.select(*columns, path, hidden["row_index"].alias("_row"))
+        .join(F.broadcast(table), "_path")
+        .select(*columns, (F.col("_offset") + F.col("_row")).alias("place"))
+    )
+
+
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and whether decoding them gives its text again."""
+    """Token ids of each document, its place, and whether decoding gives its text again."""
     vocab = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    named = docs.select(
-        "doc_id",
-        "lang",
-        "source",
-        "text",
-        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha"),
+    named = with_place(docs, ["doc_id", "lang", "source", "text"]).withColumn(
+        "sha", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     )
-    kept = ["doc_id", "lang", "source", "sha"]
+    kept = ["doc_id", "lang", "source", "place", "sha"]
     encoded = byte_bpe.encode(named, kept, vocab, public_tokenizers.PATTERN)
     decoded = byte_bpe.decode(encoded, [*kept, "ids"], vocab)
     return decoded.select(
         "doc_id",
         "lang",
         "source",
+        "place",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
         (F.sha2("decoded", 256) == F.col("sha")).alias("round_trip"),
@@ -95,7 +131,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The token ids of the documents in ``sf_dir`` after all stages."""
+    """The token ids of the documents in ``sf_dir`` after all stages; ``place`` orders the mix."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (_, apply) in enumerate(STAGES):
         docs = apply(spark, docs, sf_dir)

@@ -67,6 +67,27 @@ def test_run_equals_the_stages(spark, steps):
     assert sorted(map(repr, C.run(spark, FOLDER).collect())) == sorted(map(repr, steps[5].collect()))
 
 
+def test_run_has_the_order_of_the_mix(spark, steps):
+    placed = C.pfair_mix.mix(steps[3], F.length("text"), block_size=C.MIX_BLOCK).collect()
+    wanted = [r["doc_id"] for r in sorted(placed, key=lambda r: (r["slot"], r["start"], r["doc_id"]))]
+    got = sorted(C.run(spark, FOLDER).collect(), key=lambda r: r["place"])
+    assert [r["place"] for r in got] == list(range(len(wanted)))
+    assert [r["doc_id"] for r in got] == wanted != sorted(wanted)
+
+
+def test_place_follows_parts_not_the_scan(spark, tmp_path):
+    # Later parts are larger, so a scan reads them first.
+    rows = spark.range(1000).withColumn("part", F.floor(F.sqrt("id") / 4))
+    path = str(tmp_path / "t")
+    ordered = rows.repartitionByRange(8, "id").sortWithinPartitions("id")
+    ordered.select("id", F.repeat(F.lit("x"), F.col("part").cast("int")).alias("text")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert len(stored.inputFiles()) > 1
+    for df in (stored, ordered):
+        assert all(r["id"] == r["place"] for r in C.with_place(df, ["id"]).collect())
+    assert C.with_place(stored.limit(0), ["id"]).count() == 0
+
+
 def test_odd_rows_in_every_stage(spark):
     docs = documents(spark, odd_texts() + ["password=abcdef12345 x"])
     docs = docs.withColumn("doc_id", F.when(F.col("doc_id") != 3, F.col("doc_id")))
