@@ -1,7 +1,9 @@
 """Licence families of documents, by a paragraph classifier and template comparison.
 
-A paragraph is a line. Its features are the word n-grams (one to three words)
-that occur in licence notices; a sparse multinomial logistic regression, fitted
+Paragraphs are separated by lines without letters and digits, so that comment
+marks count as blank; wrapped notices are whole in them. Their lines are looked
+at alone too, for notices inside other text. Features are the word n-grams (one
+to three words) that occur in licence notices; a sparse multinomial logistic regression, fitted
 on notices, on texts that only talk about licences, and on ordinary lines,
 gives each family and the unknown class a probability, whose sharpness is
 calibrated on notices with missing words. A predicted family stands only if the
@@ -30,6 +32,11 @@ UNKNOWN_CLASS = "unknown"
 TRAIN_DOCUMENTS = 300
 LEAST_PROBABILITY = 0.5
 LEAST_SHARED = 0.6
+_WORD = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+# From the end of a line over lines without letters and digits.
+_BREAK = r"\n[^\p{L}\p{N}]*\n"
+# Marks of comments that look like words.
+_MARKS = r"(?m)^[ \t]*(?:@?REM|@?rem|dnl|C)[ \t]"
 _TEMPERATURES = (0.125, 0.25, 0.5, 1.0, 2.0)
 
 
@@ -48,7 +55,7 @@ def _table(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) ->
 def words(text: str | Column) -> Column:
     """Lower-case words; dots and hyphens inside a word belong to it."""
     column = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(F.lower(column), F.lit(r"[a-z0-9]+(?:[.-][a-z0-9]+)*"), F.lit(0))
+    return F.regexp_extract_all(F.lower(column), F.lit(_WORD), F.lit(0))
 
 
 def ngrams(words_: Column, least: int = 1, most: int = 3) -> Column:
@@ -62,12 +69,21 @@ def ngrams(words_: Column, least: int = 1, most: int = 3) -> Column:
     return F.array_distinct(F.flatten(F.array(*[of(k) for k in range(least, most + 1)])))
 
 
-def has_cue(text: Column, cues: Sequence[str] = CUES) -> Column:
-    low = F.lower(text)
-    found = F.lit(False)
-    for cue in cues:
-        found = found | F.contains(low, F.lit(cue))
-    return F.coalesce(found, F.lit(False))
+def has_cue(text: str | Column, cues: Sequence[str] = CUES) -> Column:
+    """Whether ``text`` holds one of ``cues``; it is lower-cased once."""
+
+    def any_of(low: Column) -> Column:
+        found = F.lit(False)
+        for cue in cues:
+            found = found | F.contains(low, F.lit(cue))
+        return found
+
+    return F.coalesce(F.exists(F.array(F.lower(text)), any_of), F.lit(False))
+
+
+def named(paragraphs: DataFrame) -> DataFrame:
+    """Add ``id``, a hash of ``words`` that goes through joins instead of them."""
+    return paragraphs.withColumn("id", F.md5(F.array_join("words", " ").cast("binary")))
 
 
 @dataclass(frozen=True)
@@ -94,22 +110,27 @@ def _with_probabilities(scored: DataFrame, temperature: Column) -> DataFrame:
 
 
 def _scored(paragraphs: DataFrame, model: Model) -> DataFrame:
-    """Add ``scores``, one per class, to distinct ``words`` arrays."""
+    """Add ``scores``, one per class, to rows with distinct ``id``; drops ``words``."""
     k = len(model.classes)
     names = [f"s{i}" for i in range(k)]
     if not model.weights:
-        return paragraphs.withColumn("scores", F.array(*map(F.lit, model.intercepts)))
+        return paragraphs.drop("words").withColumn(
+            "scores", F.array(*map(F.lit, model.intercepts))
+        )
     rows = [(g, *w) for g, w in sorted(model.weights.items())]
     table = _table(paragraphs.sparkSession, rows, ["gram", *names])
     found = (
-        paragraphs.select("words", F.explode(ngrams(F.col("words"))).alias("gram"))
+        paragraphs.select("id", F.explode(ngrams(F.col("words"))).alias("gram"))
         .join(F.broadcast(table), "gram")
-        .groupBy("words")
+        .groupBy("id")
         .agg(*[F.sum(n).alias(n) for n in names])
     )
     sums = [F.coalesce(n, F.lit(0.0)) + b for n, b in zip(names, model.intercepts)]
     return (
-        paragraphs.join(found, "words", "left").withColumn("scores", F.array(*sums)).drop(*names)
+        paragraphs.drop("words")
+        .join(found, "id", "left")
+        .withColumn("scores", F.array(*sums))
+        .drop(*names)
     )
 
 
@@ -166,7 +187,7 @@ def fit(
 def _calibrated(fixed: DataFrame, model: Model) -> float:
     """The temperature with the least log loss on notices that lack every fifth word."""
     kept = F.filter(words("line"), lambda w, i: i % 5 != 3)
-    scored = _scored(fixed.select(kept.alias("words"), "label").distinct(), model)
+    scored = _scored(named(fixed.select(kept.alias("words"), "label").distinct()), model)
     tried = scored.withColumn("t", F.explode(F.array(*map(F.lit, _TEMPERATURES))))
     own = F.get("p", F.col("label").cast("int"))
     losses = (
@@ -178,19 +199,19 @@ def _calibrated(fixed: DataFrame, model: Model) -> float:
 
 
 def classify(paragraphs: DataFrame, model: Model) -> DataFrame:
-    """``words``, family, probability and shared (with the family's closest notice) per row.
+    """``id``, family, probability and shared (with the family's closest notice) per row.
 
-    ``paragraphs`` has distinct ``words`` arrays. A paragraph whose family is
+    ``paragraphs`` has ``words`` and their distinct ``id``. A paragraph whose family is
     not likely enough, or that no notice of it confirms, is ``unknown``.
     """
     spark = paragraphs.sparkSession
     names = F.array(*[F.lit(c) for c in model.classes])
     likely = _with_probabilities(
-        _scored(paragraphs.select("words"), model), F.lit(model.temperature)
+        _scored(paragraphs.select("id", "words"), model), F.lit(model.temperature)
     )
     best = (F.array_position("p", F.array_max("p")) - 1).cast("int")
     guessed = likely.select(
-        "words", F.array_max("p").alias("probability"), F.get(names, best).alias("guess")
+        "id", F.array_max("p").alias("probability"), F.get(names, best).alias("guess")
     )
     notices = _table(
         spark,
@@ -203,20 +224,21 @@ def classify(paragraphs: DataFrame, model: Model) -> DataFrame:
     sizes = pairs.groupBy("notice").agg(F.count(F.lit(1)).alias("size"))
     shared = (
         guessed.where(F.col("guess") != UNKNOWN_CLASS)
-        .select("words", "guess", F.explode(ngrams(F.col("words"), 2, 2)).alias("gram"))
+        .join(paragraphs, "id")
+        .select("id", "guess", F.explode(ngrams(F.col("words"), 2, 2)).alias("gram"))
         .join(F.broadcast(pairs), ["guess", "gram"])
-        .groupBy("words", "notice")
+        .groupBy("id", "notice")
         .agg(F.count(F.lit(1)).alias("common"))
         .join(F.broadcast(sizes), "notice")
-        .groupBy("words")
+        .groupBy("id")
         .agg(F.max(F.col("common") / F.col("size")).alias("shared"))
     )
     sure = (F.col("probability") >= LEAST_PROBABILITY) & (F.col("shared") >= LEAST_SHARED)
     return (
-        guessed.join(shared, "words", "left")
+        guessed.join(shared, "id", "left")
         .withColumn("shared", F.coalesce("shared", F.lit(0.0)))
         .select(
-            "words",
+            "id",
             F.when(sure, F.col("guess")).otherwise(UNKNOWN_CLASS).alias("family"),
             "probability",
             "shared",
@@ -225,45 +247,69 @@ def classify(paragraphs: DataFrame, model: Model) -> DataFrame:
 
 
 def scan(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Paragraphs with a cue: key, paragraph (from 0), line, family, probability, shared.
+    """Paragraphs that may hold a notice, and their lines: key, row, paragraph (from 0),
+    line, cue, family, probability, shared.
 
-    Null and empty texts have no paragraphs; a paragraph of any length is read
-    whole. Rows that share a key each give their paragraphs. An empty table
-    gives an empty result.
+    ``line`` is a whole paragraph or, in one of several lines, a line of it;
+    ``row`` tells rows with equal keys apart; ``cue`` says whether the line has
+    one of ``CUES``. Null and empty texts have no paragraphs; a paragraph of any
+    length is read whole. An empty table gives an empty result.
     """
-    body = F.col(f"`{text}`")
-    lines = (
-        df.where(has_cue(body))
-        .select(F.col(f"`{key}`").alias("key"), F.posexplode(F.split(body, "\n")).alias("at", "line"))
-        .where(has_cue(F.col("line")))
-        .select("key", "at", "line", words("line").alias("words"))
+    body = F.regexp_replace(F.col(f"`{text}`"), r"\r\n?", "\n")
+    lines = F.split("body", "\n")
+    both = F.concat(F.array("body"), F.filter(lines, lambda x: has_cue(x, CUES)))
+    units = (
+        df.where(has_cue(F.col(f"`{text}`"), CUES))
+        .select(
+            F.col(f"`{key}`").alias("key"),
+            F.monotonically_increasing_id().alias("row"),
+            F.posexplode(F.split(body, _BREAK)).alias("at", "body"),
+        )
+        .where(has_cue("body", CUES))
+        .select(
+            "key",
+            "row",
+            "at",
+            F.explode(F.when(F.size(lines) > 1, both).otherwise(F.array("body"))).alias("line"),
+        )
+        .select("*", has_cue("line").alias("cue"))
+        .withColumn("words", words(F.regexp_replace("line", _MARKS, " ")))
     )
-    lines = stage(lines, "licence-lines")
+    units = stage(named(units), "licence-lines")
     # Distinct texts are few; each is scored once.
-    families = stage(classify(lines.select("words").distinct(), model), "licence-families")
-    return lines.join(families, "words").select(
-        F.col("key").alias(key), F.col("at").alias("paragraph"), "line", "family", "probability",
-        "shared",
+    families = stage(
+        classify(units.select("id", "words").dropDuplicates(["id"]), model), "licence-families"
+    )
+    return units.join(families, "id").select(
+        F.col("key").alias(key), "row", F.col("at").alias("paragraph"), "line", "cue", "family",
+        "probability", "shared",
     )
 
 
 def licences(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per key: n_cues, n_unknown, licences (sorted, comma-joined), probability.
 
-    ``n_cues`` counts paragraphs with a cue, ``n_unknown`` those of no known
-    family; ``probability`` is the highest of a confirmed paragraph, 0 without
-    one. Null keys are one key.
+    ``n_cues`` counts paragraphs with a cue or a known family, ``n_unknown``
+    those of no known family; ``probability`` is the highest of a confirmed
+    paragraph or line, 0 without one. Null keys are one key.
     """
     known = F.col("family") != UNKNOWN_CLASS
-    found = (
+    paragraphs = (
         scan(df, model, key, text)
-        .groupBy(F.col(key).alias("_key"))
+        .groupBy(F.col(key).alias("_key"), "row", "paragraph")
         .agg(
-            F.count(F.lit(1)).alias("n_cues"),
-            F.count_if(~known).alias("n_unknown"),
+            F.max("cue").alias("cue"),
             F.array_join(F.sort_array(F.collect_set(F.when(known, F.col("family")))), ",").alias("l"),
             F.max(F.when(known, F.col("probability"))).alias("probability"),
         )
+        .where(F.col("cue") | (F.col("l") != ""))
+    )
+    names = F.split(F.array_join(F.collect_set(F.when(F.col("l") != "", F.col("l"))), ","), ",")
+    found = paragraphs.groupBy("_key").agg(
+        F.count(F.lit(1)).alias("n_cues"),
+        F.count_if(F.col("l") == "").alias("n_unknown"),
+        F.array_join(F.sort_array(F.array_distinct(names)), ",").alias("l"),
+        F.max("probability").alias("probability"),
     )
     return (
         df.select(F.col(f"`{key}`").alias(key))

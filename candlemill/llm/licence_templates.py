@@ -78,6 +78,7 @@ TEMPLATES = {
     "MIT": (
         "Released under the MIT License.",
         "Licensed under the MIT license.",
+        "The MIT License (MIT) Copyright",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
         'software and associated documentation files (the "Software"), to deal in the Software '
         "without restriction, including without limitation the rights to use, copy, modify, merge, "

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from llm_data import documents, odd_texts
 from pyspark.sql import functions as F
@@ -74,3 +76,74 @@ def test_no_python_touches_rows(spark, model):
     plan = L.licences(spark.read.parquet(f"{FOLDER}/documents.parquet"), model)
     text = plan._jdf.queryExecution().toString()
     assert not any(word in text for word in ("Python", "Pandas", "Arrow"))
+
+
+GPL = """/*
+ * frobnicate.c - a tool
+ *
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+ */
+int main() { return 0; }"""
+MIT = """The MIT License (MIT)
+
+Copyright (c) 2015 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD = """# Copyright (c) 2011, Some One
+# All rights reserved.
+#
+# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:
+# 1. Redistributions of source code must retain the above copyright notice,
+#    this list of conditions and the following disclaimer.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+
+
+def test_wrapped_notices(spark, model):
+    given = [
+        (GPL, "GPL-3.0"),
+        (MIT, "MIT"),
+        (MIT.split("\n\n", 1)[1], "MIT"),
+        ("The MIT License (MIT)", "MIT"),
+        (BSD, "BSD"),
+        (ISC, "ISC"),
+        (ISC.replace("\n", "\r\n"), "ISC"),
+        (ISC.replace("\n", "\r"), "ISC"),
+        (re.sub("(?m)^", "rem ", BSD), "BSD"),
+        (GPL + "\n\n" + ISC, "GPL-3.0,ISC"),
+        ("They like the MIT license\nless than others.", ""),
+    ]
+    got = families(spark, model, [t for t, _ in given])
+    assert [got[i] for i in range(len(given))] == [f for _, f in given]
+
+
+def test_paragraphs_are_counted_once(spark, model):
+    rows = L.licences(documents(spark, [ISC + "\n \n * \n" + ISC + "\n\nSome licence.\n\nx"]), model)
+    (row,) = rows.collect()
+    assert (row["n_cues"], row["n_unknown"], row["licences"]) == (3, 1, "ISC")
+
+
+def test_a_long_paragraph_is_scored_in_linear_space(spark, model):
+    body = "\n".join(f"word{i} " * 5 for i in range(20_000))
+    assert families(spark, model, [body + "\n" + ISC]) == {0: "ISC"}
