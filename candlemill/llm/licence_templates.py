@@ -43,7 +43,7 @@ TEMPLATES = {
         "SPDX-License-Identifier: CC-BY-SA-4.0",
     ),
     "CC0-1.0": (
-        "Released into the public domain under CC0 1.0, without any license conditions.",
+        "Released into the public domain under CC0 1.0.",
         "This work is dedicated to the public domain under the Creative Commons CC0 1.0 Universal "
         "license.",
         "SPDX-License-Identifier: CC0-1.0",
@@ -92,7 +92,7 @@ TEMPLATES = {
     ),
     "Unlicense": (
         "Released under the Unlicense.",
-        "This is free and unencumbered software released into the public domain without a license.",
+        "This is free and unencumbered software released into the public domain.",
         "SPDX-License-Identifier: Unlicense",
     ),
 }
@@ -117,6 +117,9 @@ UNKNOWN = (
     "This software is provided under a commercial license.",
 )
 
-# Every notice above holds one of these, and only paragraphs
-# that do are looked at.
-CUES = ("licen", "redistribut", "permission", "copyright")
+# Words of paragraphs about licences, which are counted even if
+# they hold no notice. Every notice above holds one of them.
+CUES = (
+    "licen", "redistribut", "permission", "copyright", "public domain", "unencumbered", "spdx",
+    "cc0", "cc by", "cc-by",
+)

@@ -147,3 +147,23 @@ def test_paragraphs_are_counted_once(spark, model):
 def test_a_long_paragraph_is_scored_in_linear_space(spark, model):
     body = "\n".join(f"word{i} " * 5 for i in range(20_000))
     assert families(spark, model, [body + "\n" + ISC]) == {0: "ISC"}
+
+
+def test_notices_without_the_word_licence(spark, model):
+    given = [
+        ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+        ("This is free and unencumbered software released into the\npublic domain.", "Unlicense"),
+        ("Released into the public domain under CC0 1.0", "CC0-1.0"),
+        ("Available under CC BY-NC 4.0", "CC-BY-NC-4.0"),
+        ("Available under CC\nBY 4.0", "CC-BY-4.0"),
+        ("The house is open to the public; its domain is the sea, by 4.0 miles.", ""),
+    ]
+    got = families(spark, model, [t for t, _ in given])
+    assert [got[i] for i in range(len(given))] == [f for _, f in given]
+
+
+def test_no_text_without_covering_words_can_be_confirmed():
+    for notice in (t for texts in TEMPLATES.values() for t in texts):
+        pairs = L.pairs_of(notice)
+        free = [p for p in pairs if not any(c in w for c in L.COVER for w in p)]
+        assert len(free) < L.LEAST_SHARED * len(pairs), notice
