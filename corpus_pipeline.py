@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from candlemill.llm import byte_bpe, minhash, pfair_mix, quality_crf, secret_scan
 from candlemill.llm.common import crc_mod, unclashing
-from candlemill.session import small_table, stage
+from candlemill.session import range_sort, small_table, stage
 
 # Documents that score less go.
 GOOD_FROM = 0.3
@@ -26,43 +26,6 @@ GOOD_FROM = 0.3
 MIX_BLOCK = 20_000
 
 
-def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = quality_crf.fit(docs, labels, learn=crc_mod("doc_id", 5) != 0)
-    scored = quality_crf.score_documents(docs, model, docs.columns)
-    return scored.where(F.col(scored.columns[-1]) >= GOOD_FROM).select(*docs.columns)
-
-
-def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    found = minhash.near_duplicates(docs)
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-
-
-def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose secrets are masked, with their new lengths."""
-    found = secret_scan.find_secrets(docs, docs.columns)
-    spans = found.columns[-1]
-    clean = found.withColumn("text", secret_scan.redact("text", spans))
-    has = F.size(spans) > 0
-    return clean.withColumn(
-        "n_chars", F.when(has, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    ).select(*docs.columns)
-
-
-def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of a mix with tempered source weights."""
-    slot, start = (unclashing(docs.columns, n) for n in ("slot", "start"))
-    placed = pfair_mix.mix(docs, F.length("text"), block_size=MIX_BLOCK)
-    return (
-        placed.repartitionByRange(slot, start)
-        .sortWithinPartitions(slot, start, "doc_id")
-        .select(*docs.columns)
-    )
-
-
 def _part(path: str) -> tuple[int, str]:
     """What orders the files of a table: the number of the part, then the name."""
     number = re.match(r"part-(\d+)", path.rpartition("/")[2])
@@ -98,6 +61,55 @@ def with_place(docs: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality_crf.fit(docs, labels, learn=crc_mod("doc_id", 5) != 0)
+    scored = quality_crf.score_documents(docs, model, docs.columns)
+    return scored.where(F.col(scored.columns[-1]) >= GOOD_FROM).select(*docs.columns)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The row with the smallest id of each group of near duplicates.
+
+    Each row is decided by its own text. Where rows share an id, they are
+    numbered in the order of ids and then of content, and the first of a group
+    stays. Rows with null ids stay.
+    """
+    key, rows = "doc_id", docs
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    if not repeated.isEmpty():
+        key = unclashing(docs.columns, "row")
+        numbered = with_place(stage(range_sort(docs, ["doc_id"]), "by-id"), docs.columns)
+        place = F.when(F.col("doc_id").isNotNull(), F.col("place"))
+        rows = stage(numbered.select(*docs.columns, place.alias(key)), "numbered")
+    found = minhash.near_duplicates(rows, key)
+    gone = found.where(~F.col("kept")).select(key).distinct()
+    return rows.join(gone, key, "left_anti").select(*docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose secrets are masked, with their new lengths."""
+    found = secret_scan.find_secrets(docs, docs.columns)
+    spans = found.columns[-1]
+    clean = found.withColumn("text", secret_scan.redact("text", spans))
+    has = F.size(spans) > 0
+    return clean.withColumn(
+        "n_chars", F.when(has, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    ).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in the order of a mix with tempered source weights."""
+    slot, start = (unclashing(docs.columns, n) for n in ("slot", "start"))
+    placed = pfair_mix.mix(docs, F.length("text"), block_size=MIX_BLOCK)
+    return (
+        placed.repartitionByRange(slot, start)
+        .sortWithinPartitions(slot, start, "doc_id")
+        .select(*docs.columns)
+    )
+
+
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, its place, and whether decoding gives its text again."""
     vocab = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")

@@ -88,6 +88,15 @@ def test_place_follows_parts_not_the_scan(spark, tmp_path):
     assert C.with_place(stored.limit(0), ["id"]).count() == 0
 
 
+def test_near_duplicates_are_decided_by_row(spark):
+    one, two = ("".join(f"{w}{i} " for i in range(60)) for w in ("alpha", "beta"))
+    rows = [(1, one), (2, one + "end"), (2, two), (3, two), (3, two), (4, "other " * 9), (4, "other " * 9)]
+    docs = spark.createDataFrame(rows + [(None, one)] * 2, "doc_id long, text string")
+    got = C.without_near_duplicates(spark, docs, FOLDER).collect()
+    wanted = [(1, one), (2, two), (4, "other " * 9), (None, one), (None, one)]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, wanted))
+
+
 def test_odd_rows_in_every_stage(spark):
     docs = documents(spark, odd_texts() + ["password=abcdef12345 x"])
     docs = docs.withColumn("doc_id", F.when(F.col("doc_id") != 3, F.col("doc_id")))
