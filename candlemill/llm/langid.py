@@ -178,7 +178,7 @@ def best_languages(scores: np.ndarray, offsets: np.ndarray, penalty: float) -> n
     starts, lengths = offsets[:-1][order], sizes[order]
     deepest = int(lengths[0])
     active = np.searchsorted(-lengths, -np.arange(deepest), "left")
-    back = np.zeros((n, k), np.int8)
+    back = np.zeros((n, k), np.min_scalar_type(k))
     best = scores[starts].copy()
     for t in range(1, deepest):
         m = active[t]

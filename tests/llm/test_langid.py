@@ -28,6 +28,13 @@ def test_viterbi_equals_brute_force():
             assert value(s, tuple(path[a:b])) == pytest.approx(best)
 
 
+def test_viterbi_with_many_languages():
+    scores = np.full((6, 200), -9.0)
+    path = [199, 199, 150, 150, 130, 130]
+    scores[np.arange(6), path] = 0.0
+    assert L.best_languages(scores, np.array([0, 6]), 2.0).tolist() == path
+
+
 def test_words_and_trigrams():
     words = L.read_words(*text_buffer(pa.array(["Été 12 l'an", None, "я"])))
     assert words.lengths.tolist() == [3, 3, 1]
