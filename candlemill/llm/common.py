@@ -57,10 +57,15 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[first:last], offsets - first
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of each word, and the first word of each row (one more at the end)."""
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, breaks: Sequence[int] = WORD_BREAK_BYTES
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of each word, and the first word of each row (one more at the end).
+
+    ``breaks`` are the bytes that belong to no word.
+    """
     is_break = np.zeros(256, bool)
-    is_break[list(WORD_BREAK_BYTES)] = True
+    is_break[list(breaks)] = True
     inside = ~is_break[data]
     n = len(data)
     edge = np.zeros(n + 1, bool)

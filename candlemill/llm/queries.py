@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from candlemill.llm import (
     byte_bpe,
+    collocations,
     langid,
     licence_scan,
+    line_rules,
     merkle,
     minhash,
     pfair_mix,
@@ -19,6 +21,7 @@ from candlemill.llm import (
     secret_scan,
     substring_dedup,
     topk,
+    vector_codes,
 )
 from candlemill.llm.common import crc_mod
 
@@ -308,3 +311,153 @@ def op1_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return licence_scan.licences(docs, licence_scan.fit(docs))
+
+
+_LINES_SQL = rf"""
+WITH worded AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS text,
+         {_WORDS_SQL.format(text="text")} AS words FROM documents),
+windows AS MATERIALIZED (
+  SELECT row, first, count(*) OVER (PARTITION BY row, key) AS times
+  FROM (SELECT row, first, words[first:first + 7] AS key
+        FROM (SELECT row, words, unnest(range(1, len(words) - 6)) AS first FROM worded))),
+repeated AS (
+  SELECT row, count(DISTINCT place) AS n FROM (
+    SELECT row, unnest(range(first, first + 8)) AS place FROM windows WHERE times > 1) GROUP BY row),
+lines AS MATERIALIZED (
+  SELECT row, source, md5(text) AS copy, raw, len(parts) AS words,
+         regexp_replace(translate(array_to_string(parts, ' '), '{_UPPER}', '{_UPPER.lower()}'),
+                        '[0-9]', '0', 'g') AS line
+  FROM (SELECT row, source, text, raw, {_WORDS_SQL.format(text="raw")} AS parts
+        FROM (SELECT row, source, text, unnest(string_split(text, chr(10))) AS raw FROM worded))
+  WHERE len(parts) > 0),
+copied AS (SELECT row, count(*) - count(DISTINCT raw) AS n FROM lines GROUP BY row),
+hosts AS (SELECT source, count(DISTINCT md5(text)) AS n FROM worded GROUP BY source),
+common AS MATERIALIZED (
+  SELECT c.source, c.line FROM (
+    SELECT source, line, count(DISTINCT copy) AS n FROM lines GROUP BY source, line) c
+  JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source
+  WHERE c.n >= 10 AND 100 * c.n > 10 * h.n),
+lost AS (
+  SELECT row, count(DISTINCT l.line) AS n_lines, sum(words) AS n_words
+  FROM lines l JOIN common c ON l.line = c.line AND l.source IS NOT DISTINCT FROM c.source
+  GROUP BY row),
+measured AS (
+  SELECT doc_id, CAST(len(words) AS bigint) AS n_words,
+         CAST(length(array_to_string(words, '')) AS bigint) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS bigint) AS n_symbols,
+         coalesce(copied.n, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words,
+         coalesce(lost.n_lines, 0) AS n_common_lines,
+         CAST(coalesce(lost.n_words, 0) AS bigint) AS n_common_words
+  FROM worded LEFT JOIN copied USING (row) LEFT JOIN repeated USING (row) LEFT JOIN lost USING (row)),
+judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         n_words - n_common_words AS n_left FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       n_common_lines, n_common_words,
+       NOT base_failed AND n_left >= 20 AND 100 * n_left >= 30 * n_words AS kept
+FROM judged
+"""
+
+
+@register(_LINES_SQL)
+def op11_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judge(documents(spark, sf_dir))
+
+
+def _codes_sql() -> str:
+    """Assignment and averaging, written out for each round."""
+    nearest = """
+a{n} AS MATERIALIZED (
+  SELECT vec_id, part, v, entry, distance FROM (
+    SELECT x.vec_id, x.part, x.v, b.entry,
+           list_inner_product(x.v, x.v) - 2 * list_inner_product(x.v, b.v)
+             + list_inner_product(b.v, b.v) AS distance,
+           row_number() OVER (PARTITION BY x.vec_id, x.part ORDER BY
+             list_inner_product(b.v, b.v) - 2 * list_inner_product(x.v, b.v), b.entry) AS place
+    FROM parts x JOIN b{n} b ON x.part = b.part) WHERE place = 1)"""
+    averaged = """
+b{m} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.v, b.v) AS v
+  FROM b{n} b LEFT JOIN (
+    SELECT part, entry, list(floor(total / n) ORDER BY place) AS v FROM (
+      SELECT part, entry, place, sum(x) AS total, count(*) AS n FROM (
+        SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS place FROM a{n})
+      GROUP BY part, entry, place) GROUP BY part, entry) m
+  ON b.part = m.part AND b.entry = m.entry)"""
+    rounds = [
+        step for n in range(4) for step in (nearest.format(n=n), averaged.format(n=n, m=n + 1))
+    ]
+    return """
+WITH whole AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS entry,
+         list_transform(embedding, lambda x: floor(1024 * CAST(x AS double))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, label, entry, part, v[part * len(v) // 4 + 1:(part + 1) * len(v) // 4] AS v
+  FROM whole, range(4) r(part)),
+b0 AS MATERIALIZED (SELECT part, entry, v FROM parts WHERE entry < 256),""" + ",".join(
+        [*rounds, nearest.format(n=4)]
+    ) + """,
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code,
+         CAST(sum(distance) AS bigint) AS error FROM a4 GROUP BY vec_id),
+books AS (
+  SELECT sha256(string_agg(text, ',' ORDER BY part, entry)) AS digest FROM (
+    SELECT part, entry, array_to_string(list_transform(v, lambda x: CAST(x AS bigint)), ',') AS text
+    FROM b4))
+SELECT vec_id, code, error,
+       CAST(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error,
+       digest AS codebooks_sha256
+FROM coded JOIN whole USING (vec_id), books
+"""
+
+
+@register(_codes_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+_PHRASES_SQL = rf"""
+WITH pieces AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+          '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+totals AS (SELECT lang, CAST(sum(len(words)) AS bigint) AS n FROM pieces GROUP BY lang),
+found AS MATERIALIZED (
+  SELECT lang, array_to_string(words[first:first + size - 1], ' ') AS phrase, size, count(*) AS f
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS first
+        FROM pieces, range(1, 4) s(size))
+  GROUP BY ALL HAVING f >= 10),
+cuts AS (
+  SELECT lang, phrase, size, f AS a, k, array_to_string(words[:k], ' ') AS head,
+         array_to_string(words[k + 1:], ' ') AS tail
+  FROM (SELECT *, string_split(phrase, ' ') AS words, unnest(range(1, size)) AS k
+        FROM found WHERE size > 1)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r,
+         CAST(CAST(1000000 AS hugeint) * c.a * c.a // (CAST(l.f AS hugeint) * r.f) AS bigint) AS score
+  FROM cuts c JOIN found l ON l.lang = c.lang AND l.phrase = head
+  JOIN found r ON r.lang = c.lang AND r.phrase = tail),
+best AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, unnest([words[:2], words[2:]]) AS words, f
+  FROM (SELECT lang, string_split(phrase, ' ') AS words, f FROM found WHERE size = 3)),
+inside AS (
+  SELECT lang, array_to_string(words, ' ') AS phrase, max(f) AS f FROM longer GROUP BY ALL),
+ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+  WHERE i.f IS NULL OR 100 * i.f < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@register(_PHRASES_SQL)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
