@@ -39,9 +39,9 @@ MAP_BITS = 1 << 24
 SHORT_CODES = 1 << 16
 # Bits in one row of Spark's bitmap aggregate.
 _CHUNK_BITS = 32_768
-_PIECE_BYTES = 1 << 20
+_PIECE_BYTES = 512 << 10
 # Windows a task combines before it hands them on.
-_COMBINED = 1 << 20
+_COMBINED = 1 << 19
 _BATCH_ROWS = 1 << 16
 # Hashes have this bit, small numbers do not.
 _HASH_BIT = np.uint64(1 << 62)
@@ -215,24 +215,24 @@ def frequent_phrases(windows: DataFrame, width: int, least: int) -> DataFrame:
     """
     columns = [f"w{i}" for i in range(width)]
     counted = windows.groupBy(*columns).agg(F.sum("n").alias("a"))
-    full = F.filter(F.array(*columns), lambda w: w.isNotNull())
     # A condition on counts stays above the aggregate, so both uses share one shuffle.
     whole = F.when(F.col(columns[-1]).isNotNull(), F.col("a"))
     found = counted.where(whole >= least).select(F.array(*columns).alias("words"), "a")
     if width == 1:
         return found
+    # The first column is never summed away, as its total would be of no phrase.
     # Padding is null as well as what a sum leaves out; the level tells them apart.
-    left_out = F.bit_count(F.grouping_id())
-    sums = counted.rollup(*columns[:-1]).agg(F.sum("a").alias("a"), left_out.alias("left_out"))
-    shorter = (
-        sums.where(F.col("a") >= least)
-        .withColumn(columns[-1], F.lit(None).cast("long"))
-        .withColumn("words", full)
-        .where(
-            (F.size("words") == F.lit(width - 1) - F.col("left_out")) & (F.size("words") > 0)
-        )
+    groups = ", ".join([columns[0], *([f"ROLLUP({', '.join(columns[1:-1])})"] if width > 2 else [])])
+    left_out = "bit_count(grouping_id())" if width > 2 else "0"
+    sums = counted.sparkSession.sql(
+        f"SELECT {', '.join(columns[:-1])}, {left_out} AS left_out, sum(a) AS a "
+        f"FROM {{counted}} GROUP BY {groups} HAVING sum(a) >= {int(least)}",
+        counted=counted,
     )
-    return found.union(shorter.select("words", "a"))
+    size = sum(F.col(c).isNotNull().cast("int") for c in columns[:-1])
+    words = F.filter(F.array(*columns[:-1]), lambda w: w.isNotNull())
+    shorter = sums.where(size + F.col("left_out") == width - 1).select(words.alias("words"), "a")
+    return found.union(shorter)
 
 
 def _scored(phrases: DataFrame, shortest: int) -> DataFrame:
