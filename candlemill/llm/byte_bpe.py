@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import codecs
+import hashlib
 import os
 import re
 from array import array
@@ -27,15 +28,17 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from candlemill.llm.common import kept_batch, keeping, slices
+from candlemill.llm.common import kept_batch, keeping, release_memory, slices
 
 # Code points of one call to the library; longer texts are cut where the
 # pattern has to end a match anyway.
 PIECE_CHARS = 1 << 16
 _ENCODE_BYTES = 1 << 20
 _DECODE_IDS = 1 << 20
-# Matches whose tokens a task remembers, before it starts afresh.
-_REMEMBERED = 200_000
+# What a task may remember of matches and their tokens, before it starts afresh,
+# and what one of them takes besides its bytes.
+_REMEMBERED_BYTES = 32 << 20
+_ENTRY_BYTES = 200
 
 
 def byte_characters() -> list[str]:
@@ -84,6 +87,29 @@ def byte_table(tokenizer: Tokenizer) -> list[bytes]:
     return table
 
 
+class Letters:
+    """Bytes of all tokens in one array, to decode many ids at once."""
+
+    def __init__(self, letters: np.ndarray, sizes: np.ndarray):
+        self.letters, self.sizes = letters, sizes
+        self.begins = np.cumsum(sizes) - sizes
+
+    @staticmethod
+    def arrays(tokens: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.array([len(t) for t in tokens], np.int64)
+        return np.frombuffer(b"".join(tokens), np.uint8), sizes
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        parts = []
+        for start in range(0, len(ids), _DECODE_IDS):
+            i = ids[start : start + _DECODE_IDS]
+            sizes = self.sizes[i]
+            ends = np.cumsum(sizes)
+            shift = np.repeat(self.begins[i] - (ends - sizes), sizes)
+            parts.append(self.letters[shift + np.arange(len(shift))].tobytes())
+        return b"".join(parts)
+
+
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 
 
@@ -103,6 +129,16 @@ def pieces(text: str, limit: int = PIECE_CHARS) -> list[str]:
     return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)])]
 
 
+# Types of the columns that encoding can add.
+_OUTPUTS = {
+    "ids": "array<int>",
+    "packed": "binary",
+    "n_tokens": "long",
+    "ids_sha256": "string",
+    "decoded_sha256": "string",
+}
+
+
 def encode(
     df: DataFrame,
     keep: Sequence[str],
@@ -110,18 +146,23 @@ def encode(
     pattern: str,
     text: str = "text",
     offsets: bool = False,
+    outputs: Sequence[str] = ("ids", "packed"),
 ) -> DataFrame:
-    """``keep`` columns, ``ids`` and ``packed`` (ids as little-endian uint32).
-
-    With ``offsets`` also ``starts`` and ``ends`` of each token in code points;
-    tokens that share a character both cover it. A null or empty text has no
-    ids. Special tokens' strings in a text are ordinary text. New columns that
-    ``keep`` has already get underscores in front. ``pattern`` is in the
-    language of the regex module. The vocabulary is read on the driver.
+    """``keep`` columns and ``outputs``, by default ``ids`` and ``packed``.
+
+    ``packed`` has the ids as little-endian uint32, ``n_tokens`` their number,
+    ``ids_sha256`` the digest of ``packed``, ``decoded_sha256`` that of the bytes
+    which the ids decode to, found in the same task. With ``offsets`` also
+    ``starts`` and ``ends`` of each token in code points; tokens that share a
+    character both cover it. A null or empty text has no ids. Special tokens'
+    strings in a text are ordinary text. New columns that ``keep`` has already
+    get underscores in front. ``pattern`` is in the language of the regex
+    module. The vocabulary is read on the driver. A task gives back what it
+    remembered when it ends.
     """
     ranks = load_ranks(vocab_path)
     saved = df.sparkSession.sparkContext.broadcast(build_tokenizer(ranks).to_str())
-    added = [("ids", "array<int>"), ("packed", "binary")]
+    added = [(name, _OUTPUTS[name]) for name in outputs]
     if offsets:
         added += [("starts", "array<int>"), ("ends", "array<int>")]
     kept = keeping(df, keep, text, added)
@@ -129,7 +170,7 @@ def encode(
 
     def learn(tokenizer: Tokenizer, memo: dict[str, bytes], spans: dict, matches: set[str]) -> None:
         new = [*matches.difference(memo)]
-        if len(memo) + len(new) > _REMEMBERED:
+        if memo.get("", 0) > _REMEMBERED_BYTES:  # no match is empty
             memo.clear()
             spans.clear()
             new = [*matches]
@@ -138,6 +179,8 @@ def encode(
             memo[match] = array("i", found.ids).tobytes()
             if offsets:
                 spans[match] = array("i", chain.from_iterable(found.offsets)).tobytes()
+        grown = sum(len(m) + (3 if offsets else 1) * len(memo[m]) for m in new)
+        memo[""] = memo.get("", 0) + grown + _ENTRY_BYTES * len(new)
 
     def encoded(tokenizer: Tokenizer, memo: dict, spans: dict, cut, texts: list[str]) -> list:
         """Ids, and places if wanted, of each text; all their new matches in one call."""
@@ -175,17 +218,35 @@ def encode(
         flat = np.concatenate(values) if values else np.empty(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
 
+    def column(name: str, ids: Sequence[np.ndarray], letters: Letters | None) -> pa.Array:
+        if name == "ids":
+            return lists(ids)
+        if name == "n_tokens":
+            return pa.array([len(i) for i in ids], pa.int64())
+        if name == "packed":
+            return pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())
+        raw = (letters.decode(i) if name == "decoded_sha256" else i.astype("<u4").tobytes() for i in ids)
+        return pa.array([hashlib.sha256(r).hexdigest() for r in raw], pa.string())
+
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer, memo, places = Tokenizer.from_str(saved.value), {}, {}
+        decodes = "decoded_sha256" in outputs
+        letters = Letters(*Letters.arrays(byte_table(tokenizer))) if decodes else None
         cut = regex.compile(pattern)
-        for part in slices(batches, read, _ENCODE_BYTES):
-            texts = [t or "" for t in part.column(read).to_pylist()]
-            ids, spans = zip(*all_encoded(tokenizer, memo, places, cut, texts))
-            new = [lists(ids), pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())]
-            if offsets:
-                new += [lists([s[:, 0] for s in spans]), lists([s[:, 1] for s in spans])]
-            yield kept_batch(part, names, *new)
+        try:
+            for part in slices(batches, read, _ENCODE_BYTES):
+                texts = [t or "" for t in part.column(read).to_pylist()]
+                ids, spans = zip(*all_encoded(tokenizer, memo, places, cut, texts))
+                new = [column(name, ids, letters) for name in outputs]
+                if offsets:
+                    new += [lists([s[:, 0] for s in spans]), lists([s[:, 1] for s in spans])]
+                yield kept_batch(part, names, *new)
+        finally:
+            del tokenizer, letters
+            memo.clear()
+            places.clear()
+            release_memory()
 
     return kept.source.mapInArrow(mapper, kept.schema)
 
@@ -198,25 +259,12 @@ def decode(df: DataFrame, keep: Sequence[str], vocab_path: str, ids: str = "ids"
     need not be whole characters: see ``token_texts`` for a readable form.
     """
     tokenizer = build_tokenizer(load_ranks(vocab_path))
-    table = df.sparkSession.sparkContext.broadcast(byte_table(tokenizer))
+    saved = df.sparkSession.sparkContext.broadcast(Letters.arrays(byte_table(tokenizer)))
     kept = keeping(df, keep, ids, [("decoded", "binary")])
     names, read = kept.names, kept.value
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = table.value
-        sizes = np.array([len(t) for t in tokens], np.int64)
-        begins = np.cumsum(sizes) - sizes
-        letters = np.frombuffer(b"".join(tokens), np.uint8)
-
-        def bytes_of(some: np.ndarray) -> bytes:
-            parts = []
-            for start in range(0, len(some), _DECODE_IDS):
-                i = some[start : start + _DECODE_IDS]
-                ends = np.cumsum(sizes[i])
-                shift = np.repeat(begins[i] - (ends - sizes[i]), sizes[i])
-                parts.append(letters[shift + np.arange(len(shift))].tobytes())
-            return b"".join(parts)
-
+        letters = Letters(*saved.value)
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 part = whole.slice(start, 256)
@@ -227,7 +275,7 @@ def decode(df: DataFrame, keep: Sequence[str], vocab_path: str, ids: str = "ids"
                     raise ValueError("ids must be whole numbers from 0")
                 lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
                 ends = np.cumsum(lengths)
-                decoded = [bytes_of(values[b - n : b]) for n, b in zip(lengths, ends)]
+                decoded = [letters.decode(values[b - n : b]) for n, b in zip(lengths, ends)]
                 yield kept_batch(part, names, pa.array(decoded, pa.binary()))
 
     return kept.source.mapInArrow(mapper, kept.schema)

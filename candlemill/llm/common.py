@@ -6,6 +6,8 @@ time, so that a task's memory depends on neither batch nor partition size.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -125,6 +127,15 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     return mix64((sums[ends] - sums[starts]) * back + lengths * np.uint64(0x9FB21C651E98DF25))
 
 
+def release_memory() -> None:
+    """Give memory that is free by now back to the machine, as workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def unclashing(taken: Iterable[str], name: str) -> str:
     """``name``, or a longer one that ``taken`` lacks (Spark ignores case)."""
     used = {t.lower() for t in taken}

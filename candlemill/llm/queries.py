@@ -117,19 +117,12 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = byte_bpe.encode(
-        documents(spark, sf_dir), ["doc_id"], vocab, public_tokenizers.PATTERN
-    )
-    digests = encoded.select(
-        "doc_id",
-        "ids",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2("packed", 256).alias("ids_sha256"),
-    )
-    kept = ["doc_id", "n_tokens", "ids_sha256"]
-    decoded = byte_bpe.decode(digests, kept, vocab)
-    return decoded.select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    return byte_bpe.encode(
+        documents(spark, sf_dir),
+        ["doc_id"],
+        vocab,
+        public_tokenizers.PATTERN,
+        outputs=["n_tokens", "ids_sha256", "decoded_sha256"],
     )
 
 

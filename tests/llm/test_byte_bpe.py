@@ -91,3 +91,37 @@ def test_digest_of_the_query(spark, reference):
         assert got["n_tokens"] == len(ids)
         assert got["ids_sha256"] == hashlib.sha256(packed).hexdigest()
         assert got["decoded_sha256"] == hashlib.sha256((doc["text"] or "").encode()).hexdigest()
+
+
+def test_outputs_are_digests_of_what_they_name(spark, reference, monkeypatch):
+    monkeypatch.setattr(B, "_REMEMBERED_BYTES", 20_000)
+    monkeypatch.setattr(B, "_ENCODE_BYTES", 500)
+    given = texts()
+    new = ["decoded_sha256", "n_tokens", "ids_sha256", "ids"]
+    found = B.encode(documents(spark, given), ["doc_id"], VOCAB, PATTERN, outputs=new)
+    assert found.columns == ["doc_id", *new]
+    for r in found.collect():
+        text = given[r["doc_id"]] or ""
+        ids = reference.encode_ordinary(text)
+        assert list(r["ids"]) == ids and r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_a_task_gives_back_its_memory():
+    import os
+
+    import numpy as np
+
+    from candlemill.llm.common import release_memory
+
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * os.sysconf("SC_PAGE_SIZE") >> 20
+
+    before = resident()
+    held = [bytes(1000) for _ in range(200_000)] + [np.ones(1000)]
+    assert resident() > before + 150
+    del held
+    release_memory()
+    assert resident() < before + 60
