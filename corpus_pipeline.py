@@ -117,17 +117,10 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "sha", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     )
     kept = ["doc_id", "lang", "source", "place", "sha"]
-    encoded = byte_bpe.encode(named, kept, vocab, public_tokenizers.PATTERN)
-    decoded = byte_bpe.decode(encoded, [*kept, "ids"], vocab)
-    return decoded.select(
-        "doc_id",
-        "lang",
-        "source",
-        "place",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids",
-        (F.sha2("decoded", 256) == F.col("sha")).alias("round_trip"),
-    )
+    new = ["n_tokens", "ids", "decoded_sha256"]
+    encoded = byte_bpe.encode(named, kept, vocab, public_tokenizers.PATTERN, outputs=new)
+    same = F.col("decoded_sha256") == F.col("sha")
+    return encoded.select(*kept[:-1], *new[:2], same.alias("round_trip"))
 
 
 STAGES = [
