@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.operators import resample
+from candlemill.streaming.clean import timed_by
 
 
 def stream_bars(
@@ -19,11 +20,9 @@ def stream_bars(
 ) -> DataFrame:
     """Bars that can no longer change; candles later than ``late_by`` are dropped.
 
-    Watermarks need a zoned timestamp, so ``open_ts`` is read as UTC.
+    ``open_ts`` is read as UTC; a watermark that it has already stays.
     """
-    timed = candles.withColumn("open_ts", F.col("open_ts").cast("timestamp")).withWatermark(
-        "open_ts", late_by
-    )
+    timed = timed_by(candles, "open_ts", late_by)
     values = resample.bar_values(timed, tiebreak=tiebreak)
     closed = timed.groupBy(*keys, F.window("open_ts", every).alias("_bar")).agg(*values)
     start = F.col("_bar.start").cast("timestamp_ntz").alias("open_ts")

@@ -13,6 +13,7 @@ from workload.queries import (  # noqa: F401
     ordering,
     quality_tables,
     reports,
+    streams,
 )
 from workload.queries.shared import QUERIES, SQL
 
