@@ -4,9 +4,15 @@ Rules: ``nearest`` takes the value at rank ``floor((n - 1) * p + 0.5)``;
 ``linear`` interpolates between the two ranks around ``(n - 1) * p`` (the
 median at 0.5). Nulls and NaN are left out.
 
-Whole-table quantiles narrow an interval around each wanted rank with
-aggregates over the table, which move no rows; quantiles of many groups sort
-the distinct values once.
+A wanted rank is narrowed digit by digit. A digit is a number that never falls
+as the value grows, so counting values by digit in one hash aggregate tells in
+which digit a rank lies, for all columns, ranks and groups at once. The first
+digit is the sign and an eighth of an octave; each further one cuts what the
+rank's values still span, from the least to the greatest found, into equal
+steps. A digit whose least and greatest value agree is the answer, so many rows
+that share a value end the search. An eighth of an octave has 2^49 doubles and
+a digit 2^14 steps: four further digits at most, mostly two. No values are
+sorted, and only counts move.
 """
 
 from __future__ import annotations
@@ -14,23 +20,21 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlemill.operators.ordered import join_null_safe
-from candlemill.session import stage
+from candlemill.session import small_table, stage
 
 Prob = tuple[float, str]
-_LANE = "_lane"
 
-# Values left around a wanted rank that one task may sort.
-SORT_LIMIT = 100_000
-# percentile_approx is off by at most 1/accuracy of the rows.
-_ACCURACY = 10_000
-_SLACK = 2.0 / _ACCURACY
+# Steps of a digit after the first one.
+DIGIT_STEPS = 1 << 14
+# The first digit: steps per octave, and what makes it positive.
+_PER_OCTAVE = 8
+_OFFSET = 1 << 14
 
 
 def rank_weights(n: int, prob: float, rule: str) -> list[tuple[int, float]]:
@@ -45,143 +49,127 @@ def rank_weights(n: int, prob: float, rule: str) -> list[tuple[int, float]]:
     return [(low, 1.0 - part)] + ([(low + 1, part)] if part > 0 else [])
 
 
+def first_digit(x: Column) -> Column:
+    """Sign and eighth of an octave of a double: between -2^15 and 2^15."""
+    size = F.abs(x)
+    scaled = F.floor(F.log2(size) * _PER_OCTAVE) + _OFFSET
+    digit = F.when(size == float("inf"), F.lit(2 * _OFFSET)).when(size > 0, scaled).otherwise(0)
+    return F.when(x < 0, -digit).otherwise(digit).cast("int")
+
+
+def next_digit(x: Column, low: Column, high: Column, steps: int) -> Column:
+    """Step of ``x`` between ``low`` and ``high``, which differ but little after the first digit."""
+    return F.floor((x - low) / (high - low) * steps).cast("int")
+
+
+def _counted(rows: DataFrame, *by: Column | str) -> DataFrame:
+    """How many values each digit has, the least and the greatest."""
+    return rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("size"), F.min("x").alias("low"), F.max("x").alias("high")
+    )
+
+
 @dataclass
 class _Search:
-    """Where the value of one rank of one column still may be."""
+    """Where the value of one rank of one column still may be: ``rank`` counts from ``low``."""
 
     column: str
     rank: int
-    size: int
-    low: float | None = None
-    high: float | None = None
-    value: float | None = None
-
-    def inside(self) -> Column:
-        """Values strictly between the limits; ``rank`` counts among them."""
-        x = F.col(self.column)
-        known = x.isNotNull() & ~F.isnan(x)
-        if self.low is not None:
-            known = known & (x > F.lit(self.low))
-        if self.high is not None:
-            known = known & (x < F.lit(self.high))
-        return known
-
-
-def _by_interval(searches: Sequence[_Search]) -> list[list[_Search]]:
-    """Searches that still look at the same values share one pass over them."""
-    groups: dict[tuple, list[_Search]] = {}
-    for s in searches:
-        groups.setdefault((s.column, s.low, s.high), []).append(s)
-    return list(groups.values())
+    low: float = -math.inf
+    high: float = math.inf
 
+    @property
+    def found(self) -> bool:
+        return self.low == self.high
 
-def _bracket(df: DataFrame, groups: Sequence[Sequence[_Search]]) -> list[list[float]]:
-    """Values a little below and above each wanted rank, by sketch."""
-    aggregates = []
-    for i, group in enumerate(groups):
-        probs = []
-        for s in group:
-            prob = (s.rank + 0.5) / s.size
-            probs += [max(0.0, prob - _SLACK), min(1.0, prob + _SLACK)]
-        value = F.when(group[0].inside(), F.col(group[0].column))
-        aggregates.append(F.percentile_approx(value, probs, _ACCURACY).alias(f"s{i}"))
-    return [list(limits) for limits in df.agg(*aggregates).first()]
 
+def _long(rows: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``by``, variable and x: one row per known value of each column."""
+    long = rows.unpivot([F.col(b) for b in by], list(columns), "variable", "x")
+    return long.where(F.col("x").isNotNull() & ~F.isnan("x"))
 
-def _narrow(df: DataFrame, searches: Sequence[_Search]) -> None:
-    """Count around the bracket of each search and keep the part with its rank.
 
-    The counts are exact, so a bracket that misses costs a round, not the
-    result. Values equal to a limit are counted apart: however many rows share
-    one value, it either is the answer or drops out.
-    """
-    groups = _by_interval(searches)
-    searches = [s for group in groups for s in group]
-    limits = [x for bracket in _bracket(df, groups) for x in bracket]
-    brackets = list(zip(limits[0::2], limits[1::2]))
-    aggregates = []
-    for i, (s, (a, b)) in enumerate(zip(searches, brackets)):
-        x, inside = F.col(s.column), s.inside()
-        parts = (x < a, x == a, (x > a) & (x < b), (x == b) & F.lit(b > a))
-        aggregates += [F.count_if(inside & p).alias(f"c{i}_{j}") for j, p in enumerate(parts)]
-    counts = df.agg(*aggregates).first()
-    for i, (s, (a, b)) in enumerate(zip(searches, brackets)):
-        below, at_a, between, at_b = (counts[f"c{i}_{j}"] for j in range(4))
-        ends = ((below, None, s.low, a), (at_a, a, None, None), (between, None, a, b),
-                (at_b, b, None, None))
-        for n, answer, low, high in ends:
-            if s.rank < n:
-                s.value, s.low, s.high, s.size = answer, low, high, n
-                break
-            s.rank -= n
-        else:
-            s.low, s.size = b, s.size - below - at_a - between - at_b
-
-
-def _pick(df: DataFrame, searches: Sequence[_Search]) -> None:
-    """Sort the few values left of each search; equal values count as one."""
-    groups = _by_interval(searches)
-    inside = [g[0].inside() for g in groups]
-    entries = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), F.when(here, F.col(g[0].column)).alias("x"))
-            for i, (g, here) in enumerate(zip(groups, inside))
-        ]
+def _first_counts(known: DataFrame) -> dict[str, list[tuple[int, int, float, float]]]:
+    """Counts by first digit, in order, of each column: at most 2^15 of them have values."""
+    out: dict[str, list] = {}
+    for row in _counted(known, "variable", first_digit(F.col("x")).alias("digit")).collect():
+        found = out.setdefault(row["variable"], [])
+        found.append((row["digit"], row["size"], row["low"], row["high"]))
+    return {c: sorted(counts) for c, counts in out.items()}
+
+
+def _narrow(known: DataFrame, searches: Sequence[_Search], steps: int) -> None:
+    """One more digit of each search; those that look at the same values share the count."""
+    groups: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        groups.setdefault((s.column, s.low, s.high), []).append(s)
+    names, lows, highs = zip(*groups)
+    # One row per span that still is open: a few per column.
+    spans = small_table(
+        known.sparkSession,
+        span=(pa.int32(), range(len(groups))),
+        name=(pa.string(), names),
+        _low=(pa.float64(), lows),
+        _high=(pa.float64(), highs),
     )
-    left = df.filter(reduce(or_, inside)).select(F.inline(entries)).filter("x IS NOT NULL")
-    values = left.groupBy("i", "x").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("i").orderBy("x"))
-    wanted = F.array(*[F.array(*[F.lit(s.rank) for s in g]) for g in groups])
-    first = F.col("upto") - F.col("n")
-    hit = F.exists(wanted[F.col("i")], lambda r: (r >= first) & (r < F.col("upto")))
-    for row in values.withColumn("upto", upto).filter(hit).collect():
-        for s in groups[row["i"]]:
-            if row["upto"] - row["n"] <= s.rank < row["upto"]:
-                s.value = row["x"]
+    inside = F.col("x").between(F.col("_low"), F.col("_high"))
+    held = known.join(F.broadcast(spans), (F.col("variable") == F.col("name")) & inside)
+    digit = next_digit(F.col("x"), F.col("_low"), F.col("_high"), steps).alias("digit")
+    counts = _counted(held, "span", digit)
+    # A window over the digits of a span: bounded by the steps.
+    upto = F.sum("size").over(Window.partitionBy("span").orderBy("digit"))
+    before = F.col("upto") - F.col("size")
+    members = list(groups.values())
+    ranks = F.array(*[F.array(*[F.lit(s.rank) for s in g]) for g in members])[F.col("span")]
+    hit = F.exists(ranks, lambda r: (r >= before) & (r < F.col("upto")))
+    found = counts.withColumn("upto", upto).where(hit).collect()
+    moved = [
+        (s, row)
+        for row in found
+        for s in members[row["span"]]
+        if row["upto"] - row["size"] <= s.rank < row["upto"]
+    ]
+    for s, row in moved:
+        s.rank -= row["upto"] - row["size"]
+        s.low, s.high = row["low"], row["high"]
 
 
 def quantile_scalars(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[Prob],
-    sort_limit: int = SORT_LIMIT,
+    steps: int = DIGIT_STEPS,
 ) -> dict[tuple[str, float, str], float | None]:
     """Whole-table quantiles by (column, probability, rule); None without values.
 
-    Reads the table a few times, so expensive input should be staged. Two
-    passes suffice up to ``sort_limit`` values; beyond, each further pair of
-    passes narrows every search to a few thousandths of the rows it had.
+    Reads the table once for the first digit and once for each further one, so
+    expensive input should be staged. The driver gets the counts of the first
+    digit, at most 2^15 a column, and one row per wanted rank after that.
     """
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    known = rows.agg(
-        *[F.count(F.when(~F.isnan(c), F.col(c))).alias(c) for c in columns]
-    ).first()
-    plan = {
-        (c, p, rule): [
-            (_Search(c, rank, known[c]), weight)
-            for rank, weight in rank_weights(known[c], p, rule)
-        ]
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in dict.fromkeys(columns)])
+    known = _long(rows, [], rows.columns)
+    counts = _first_counts(known)
+    total = {c: sum(size for _, size, _, _ in counts.get(c, ())) for c in columns}
+    plan: dict[tuple[str, float, str], list[tuple[int, float]]] = {
+        (c, p, rule): rank_weights(total[c], p, rule) if total[c] else []
         for c in columns
         for p, rule in probs
-        if known[c]
     }
-    unique = {(s.column, s.rank): s for parts in plan.values() for s, _ in parts}
-    # Ranks change while searching: tie each quantile to its shared search now.
-    plan = {
-        key: [(unique[s.column, s.rank], weight) for s, weight in parts]
-        for key, parts in plan.items()
+    searches: dict[tuple[str, int], _Search] = {}
+    for (c, _, _), parts in plan.items():
+        for wanted, _ in parts:
+            rank = wanted
+            for _, size, low, high in counts[c]:
+                if rank < size:
+                    searches[c, wanted] = _Search(c, rank, low, high)
+                    break
+                rank -= size
+    while open_ := [s for s in searches.values() if not s.found]:
+        _narrow(known, open_, steps)
+    return {
+        (c, p, rule): sum(searches[c, rank].low * w for rank, w in parts) if parts else None
+        for (c, p, rule), parts in plan.items()
     }
-    searches = list(unique.values())
-    while large := [s for s in searches if s.value is None and s.size > sort_limit]:
-        _narrow(rows, large)
-    if open_ := [s for s in searches if s.value is None]:
-        _pick(rows, open_)
-    out: dict[tuple[str, float, str], float | None] = {
-        (c, p, rule): None for c in columns for p, rule in probs
-    }
-    for key, parts in plan.items():
-        out[key] = sum(s.value * weight for s, weight in parts)
-    return out
 
 
 def _wanted_ranks(probs: Sequence[Prob]) -> Column:
@@ -210,110 +198,46 @@ def _wanted_ranks(probs: Sequence[Prob]) -> Column:
 
 
 def quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[Prob], by: Sequence[str]
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[Prob],
+    by: Sequence[str],
+    steps: int = DIGIT_STEPS,
 ) -> DataFrame:
     """Quantiles per group: one row per (by, variable, prob, rule), with the count.
 
-    For any number of groups of any size. A sketch per group gives an interval
-    around each probability, an exact count tells whether it holds the wanted
-    ranks, and only values inside intervals move; groups whose interval missed
-    move all their values. Values are counted before any of them is sorted, so
-    a value shared by many rows costs one row. Reads ``df`` a few times, so
-    expensive input should be staged.
+    For any number of groups of any size: each digit is one hash aggregate over
+    all groups, and windows see the digits of a group, at most 2^15. Reads
+    ``df`` once for each digit, so expensive input should be staged.
     """
     group = [*by, "variable"]
     wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    long = wide.unpivot([F.col(b) for b in by], list(columns), "variable", "value")
-    known = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    lows = [min(max(0.0, p - _SLACK), 1.0) for p, _ in probs]
-    highs = [max(min(1.0, p + _SLACK), 0.0) for p, _ in probs]
-    sketch = known.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("value", lows + highs, _ACCURACY).alias("_s"),
-    )
-    k = len(probs)
-    limits = stage(
-        sketch.select(
-            *group, "n",
-            *[F.col("_s")[i].alias(f"_a{i}") for i in range(k)],
-            *[F.col("_s")[k + i].alias(f"_b{i}") for i in range(k)],
-        ),
-        "limits",
-    )
-    # Staged, so that its true size decides how Spark joins it.
-    value = F.col("value")
-    near = join_null_safe(known, limits, group)
-    counted = near.groupBy(*group, "n").agg(
-        *[F.count_if(value < F.col(f"_a{i}")).alias(f"_under{i}") for i in range(k)],
-        *[F.count_if(value <= F.col(f"_b{i}")).alias(f"_upto{i}") for i in range(k)],
-    )
-    wants = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.col(f"_under{i}").alias("under"),
-                F.col(f"_upto{i}").alias("upto"),
-                _wanted_ranks([p]).alias("want"),
-            )
-            for i, p in enumerate(probs)
-        ]
-    )
-    wanted = counted.select(*group, "n", F.inline(wants)).withColumn(
-        "_held",
-        F.forall("want", lambda w: (w["rank"] >= F.col("under")) & (w["rank"] < F.col("upto"))),
-    )
-    wanted = stage(wanted, "ranks")
-    inside = F.array(
-        *[
-            F.when(value.between(F.col(f"_a{i}"), F.col(f"_b{i}")), F.lit(i)) for i in range(k)
-        ]
-    )
-    moved = near.select(*group, "value", F.explode(F.array_compact(inside)).alias("i"))
-    counts = moved.groupBy(*group, "i", "value").agg(F.count(F.lit(1)).alias("_n"))
-    held = _at_ranks(
-        counts, wanted.where("_held").withColumn("_shift", F.col("under")), [*group, "i"]
+    known = _long(wide, by, columns)
+    wanted = ["prob", "rule", "weight", "rank"]
+    whole = Window.partitionBy(*group)
+    upto = F.sum("size").over(whole.orderBy("digit"))
+    first = _counted(known, *group, first_digit(F.col("x")).alias("digit")).withColumns(
+        {"n": F.sum("size").over(whole), "_before": upto - F.col("size")}
     )
-    missed = wanted.where("NOT _held").withColumn("_shift", F.lit(0).cast("long"))
-    if missed.isEmpty():
-        found = held
-    else:
-        groups = missed.select(*group, "i")
-        all_values = join_null_safe(known, groups, group)
-        counts = all_values.groupBy(*group, "i", "value").agg(F.count(F.lit(1)).alias("_n"))
-        found = held.unionByName(_at_ranks(counts, missed, [*group, "i"]))
+    held = (F.col("rank") >= F.col("_before")) & (F.col("rank") < F.col("_before") + F.col("size"))
+    place = (F.col("rank") - F.col("_before")).alias("rank")
+    spans = first.select(*group, "n", "size", "low", "high", "_before", F.inline(_wanted_ranks(probs)))
+    found = stage(spans.where(held).select(*group, "n", *wanted[:3], place, "low", "high"), "ranks")
+    while not (open_ := found.where("low < high")).isEmpty():
+        span = [*group, "_low", "_high"]
+        # Named apart from the least and greatest value of the next digit.
+        open_ = open_.withColumnsRenamed({"low": "_low", "high": "_high"})
+        near = join_null_safe(known, open_.select(*span).distinct(), group).where(
+            F.col("x").between(F.col("_low"), F.col("_high"))
+        )
+        digit = next_digit(F.col("x"), F.col("_low"), F.col("_high"), steps).alias("digit")
+        in_span = Window.partitionBy(*span).orderBy("digit")
+        counts = _counted(near, *span, digit).withColumn(
+            "_before", F.sum("size").over(in_span) - F.col("size")
+        )
+        closer = join_null_safe(counts, open_, span).where(held)
+        closer = closer.select(*group, "n", *wanted[:3], place, "low", "high")
+        found = stage(found.where("low = high").unionByName(closer), "ranks")
     return found.groupBy(*group, "prob", "rule").agg(
-        F.sum(F.col("value") * F.col("weight")).alias("value"), F.max("n").alias("n")
-    )
-
-
-def _at_ranks(counts: DataFrame, wanted: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Values at wanted ranks, from values with counts ``_n`` that may be many per group.
-
-    ``wanted`` has per group the array ``want`` and ``_shift``, the rank of the
-    first value. Sorted values lie in lanes that may split a group, and only
-    lanes that hold a wanted rank are looked into.
-    """
-    lanes = stage(
-        counts.repartitionByRange(*group, "value").withColumn(_LANE, F.spark_partition_id()),
-        "values",
-    )
-    # One row per lane and group, up to the wanted ranks.
-    in_order = Window.partitionBy(*group).orderBy(_LANE)
-    per_lane = lanes.groupBy(*group, _LANE).agg(F.sum("_n").alias("_in_lane")).withColumn(
-        "_before", F.sum("_in_lane").over(in_order) - F.col("_in_lane")
-    )
-    place = F.col("rank") - F.col("_shift")
-    ranks = (
-        join_null_safe(per_lane, wanted.select(*group, "n", "_shift", "want"), group)
-        .select(*group, _LANE, "_before", "_in_lane", "n", "_shift", F.inline("want"))
-        .withColumn("_place", place)
-        .filter("_place >= _before AND _place < _before + _in_lane")
-    )
-    # Staged, so that its true size decides how Spark joins it.
-    candidates = join_null_safe(lanes, stage(ranks, "lane-ranks"), [*group, _LANE])
-    running = F.sum("_n").over(
-        Window.partitionBy(*group, "prob", "rule", "rank").orderBy("value")
-    )
-    return candidates.withColumn("_upto", F.col("_before") + running).filter(
-        (F.col("_place") < F.col("_upto")) & (F.col("_place") >= F.col("_upto") - F.col("_n"))
+        F.sum(F.col("low") * F.col("weight")).alias("value"), F.max("n").alias("n")
     )

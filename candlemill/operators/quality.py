@@ -137,7 +137,9 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def noise_metrics(df: DataFrame, dataset: str) -> DataFrame:
-    """Level and tails of 1-minute noise, one row."""
+    """Level and tails of 1-minute noise, one row; NaN is no value."""
+    used = ["abs_log_return_1m", "range_hl_pct", "log_return_1m", "volatility_60"]
+    df = _known(df, used)
     q = quantile_scalars(
         df,
         ["abs_log_return_1m", "range_hl_pct"],

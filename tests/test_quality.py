@@ -81,3 +81,13 @@ def test_nan_counts_as_missing(frame):
     assert (got["count"], got["null_count"], got["mean"], got["max"]) == (4, 2, 2.5, 4)
     row = quality.iqr_outliers(df, ["x"]).first()
     assert row.outliers == 0 and row.outlier_pct == 0
+
+
+def test_noise_counts_nan_as_missing(frame):
+    ddl = "abs_log_return_1m double, range_hl_pct double, log_return_1m double, volatility_60 double"
+    known = [(0.1, 0.2, -0.1, 0.3), (0.3, 0.4, 0.3, 0.1), (0.2, 0.1, 0.2, 0.2)]
+    nan = float("nan")
+    holes = [(nan, None, nan, nan), (None, nan, None, nan)]
+    plain = quality.noise_metrics(frame(known, ddl), "x").first()
+    assert quality.noise_metrics(frame(known + holes, ddl), "x").first() == plain
+    assert plain["mean_abs_log_return"] == pytest.approx(0.2)
