@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from candlemill.functions import candle as C
 from candlemill.operators.clean import typed, with_timestamps
 from candlemill.operators.order_stats import quantile_scalars, quantiles
-from candlemill.operators.ordered import join_null_safe, over_rows
+from candlemill.operators.ordered import CHUNK, POSITION, join_null_safe, over_rows
+from candlemill.operators.rolling import Rolling, add_rolling
 from candlemill.schema import (
     BACKFILL_REGIMES,
     GOLD_REGIMES,
@@ -40,14 +41,13 @@ def bar_features(df: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
             "return_1h": C.simple_return(close, w),
             "log_return_1h": C.log_return(close, w),
         }
-        log_return, volume = F.col("log_return_1h"), F.col("volume")
-        stats = {
-            "sma_24h": C.rolling(F.avg, close, w, DAY_BARS),
-            "sma_168h": C.rolling(F.avg, close, w, WEEK_BARS),
-            "volatility_24h": C.rolling(F.stddev_samp, log_return, w, DAY_BARS),
-            "volume_sma_24h": C.rolling(F.avg, volume, w, DAY_BARS),
-        }
-        return rows.withColumns(returns).withColumns(stats)
+        stats = [
+            Rolling("sma_24h", "mean", "close", DAY_BARS),
+            Rolling("sma_168h", "mean", "close", WEEK_BARS),
+            Rolling("volatility_24h", "std", "log_return_1h", DAY_BARS),
+            Rolling("volume_sma_24h", "mean", "volume", DAY_BARS),
+        ]
+        return add_rolling(rows.withColumns(returns), [CHUNK, *keys], POSITION, stats)
 
     return over_rows(df, keys, ["open_ts"], WEEK_BARS - 1, build, unique=True)
 
@@ -80,12 +80,9 @@ def minute_features(
             "body_abs": C.body_abs(open_, close),
             "body_pct": C.body_pct(open_, close),
         }
-        log_return = F.col("log_return_1m")
-        second = {
-            "abs_log_return_1m": F.abs(log_return),
-            "volatility_60": C.rolling(F.stddev_samp, log_return, w, MINUTE_WINDOW),
-        }
-        return rows.withColumns(first).withColumns(second)
+        out = rows.withColumns(first).withColumn("abs_log_return_1m", F.abs("log_return_1m"))
+        noise = Rolling("volatility_60", "std", "log_return_1m", MINUTE_WINDOW)
+        return add_rolling(out, [CHUNK, *keys], POSITION, [noise])
 
     ready = with_timestamps(typed(df), name)
     order = ["open_ts", *tiebreak]
@@ -131,9 +128,8 @@ def backfill(
         rows = rows.withColumns(new) if new else rows
         if not volatile:
             return rows
-        log_return = F.col("log_return_1h")
-        rolled = C.rolling(F.stddev_samp, log_return, w, DAY_BARS, min_rows=2)
-        return rows.withColumn("volatility_24h", rolled)
+        volatility = Rolling("volatility_24h", "std", "log_return_1h", DAY_BARS, min_rows=2)
+        return add_rolling(rows, [CHUNK, *keys], POSITION, [volatility])
 
     return over_rows(out, keys, ["open_ts"], DAY_BARS, build, unique=True)
 

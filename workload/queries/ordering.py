@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candlemill.functions import candle as C
 from candlemill.operators import clean, features, ordered
+from candlemill.operators.rolling import Rolling, add_rolling
 from workload import oracle as O
 from workload import tables as T
 from workload.queries.shared import (
@@ -117,13 +118,8 @@ def rolling_halo(spark: SparkSession, sf: str) -> DataFrame:
     rows = T.table(spark, sf, "events").select("event_id", "ts", "value")
 
     def build(df: DataFrame, w: WindowSpec) -> DataFrame:
-        value = F.col("value")
-        return df.withColumns(
-            {
-                "mean_24": C.rolling(F.avg, value, w, 24),
-                "std_24": C.rolling(F.stddev_samp, value, w, 24),
-            }
-        )
+        specs = [Rolling("mean_24", "mean", "value", 24), Rolling("std_24", "std", "value", 24)]
+        return add_rolling(df, [ordered.CHUNK], ordered.POSITION, specs)
 
     out = ordered.over_rows(rows, [], ["ts", "event_id"], 23, build, 1_000, unique=True)
     return rounded(out.select("event_id", "mean_24", "std_24"))
