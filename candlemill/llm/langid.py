@@ -88,13 +88,44 @@ def lower_letters(points: np.ndarray) -> np.ndarray:
     return lower[back.reshape(-1)]
 
 
+def script_numbers(points: np.ndarray, letters: np.ndarray) -> np.ndarray | None:
+    """Number of the script of each code point; None if all letters are Latin by their range."""
+    if not len(points) or points[letters > 0].max(initial=0) < SCRIPT_RANGES[1][0]:
+        return None
+    edges = np.array([r for r, _ in SCRIPT_RANGES])
+    numbers = np.array([SCRIPTS.index(name) for _, name in SCRIPT_RANGES])
+    return numbers[np.searchsorted(edges, points, "right") - 1]
+
+
+def _script_changes(
+    scripts: np.ndarray, letters: np.ndarray, first: np.ndarray, past: np.ndarray
+) -> np.ndarray:
+    """Letters whose script differs from that of the letter before them in the word."""
+    lettered = np.flatnonzero(letters > 0)
+    word = np.searchsorted(first, lettered, "right") - 1
+    inside = (word >= 0) & (lettered < past[np.maximum(word, 0)]) if len(first) else lettered < 0
+    lettered, word = lettered[inside], word[inside]
+    same_word = word[1:] == word[:-1]
+    return lettered[1:][same_word & (scripts[lettered[1:]] != scripts[lettered[:-1]])]
+
+
 def read_words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words of rows given as UTF-8 bytes; characters that are no letters separate trigrams."""
+    """Words of rows given as UTF-8 bytes; characters that are no letters separate trigrams.
+
+    A word ends where the script of its letters changes, as some scripts have
+    no space between words, or next to other scripts.
+    """
     points, lead = _code_points(data)
     letters = lower_letters(points)
     starts, ends, _ = word_spans(data, offsets)
     first = np.searchsorted(lead, starts)
     past = np.searchsorted(lead, ends)
+    script_of = script_numbers(points, letters)
+    if script_of is not None:
+        cuts = _script_changes(script_of, letters, first, past)
+        first, past = np.sort(np.append(first, cuts)), np.sort(np.append(past, cuts))
+        lead_ends = np.append(lead, len(data))
+        starts, ends = lead_ends[first], lead_ends[past]
     has = np.concatenate([[0], np.cumsum(letters > 0)])
     n_letters = has[past] - has[first]
     first, past, starts, ends = (x[n_letters > 0] for x in (first, past, starts, ends))
@@ -114,12 +145,11 @@ def read_words(data: np.ndarray, offsets: np.ndarray) -> Words:
 
     code = (near(-2) << np.uint64(42)) | (near(-1) << np.uint64(21)) | near(0)
     slots = (mix64(code) >> np.uint64(64 - _BITS)).astype(np.int64)
-    # A word's script is that of its first letter.
-    lettered = np.flatnonzero(letters > 0)
-    head = lettered[np.searchsorted(lettered, first)] if len(first) else lettered[:0]
-    edges = np.array([r for r, _ in SCRIPT_RANGES])
-    numbers = np.array([SCRIPTS.index(name) for _, name in SCRIPT_RANGES])
-    scripts = numbers[np.searchsorted(edges, points[head], "right") - 1]
+    # All letters of a word have one script.
+    scripts = np.full(len(first), SCRIPTS.index("Latin"))
+    if script_of is not None and len(first):
+        lettered = np.flatnonzero(letters > 0)
+        scripts = script_of[lettered[np.searchsorted(lettered, first)]]
     return Words(slots, slot_ends, scripts, lengths, starts, ends,
                  np.searchsorted(starts, offsets))
 
@@ -338,15 +368,14 @@ def identify(
             sizes = np.diff(words.offsets)
             row = np.repeat(np.arange(part.num_rows), sizes)
             share = np.zeros((part.num_rows, k + 1))
-            share[:, k] = 1e-9
             path = np.full(len(row), k)
             if k:
                 scores = word_scores(model, words)
                 path = best_languages(scores, words.offsets, model.penalty)
                 np.add.at(share, (row, path), words.lengths)
-            pred = share.argmax(1)
-            score = share[np.arange(len(pred)), pred] / share.sum(1)
-            score[pred == k] = 0.0
+            whole = share.sum(1)
+            pred = np.where(whole > 0, share.argmax(1), k)
+            score = share[np.arange(len(pred)), pred] / np.maximum(whole, 1)
             new = [pa.array([languages[p] for p in pred], pa.string()), pa.array(score)]
             if spans:
                 new.append(_spans(words, path, row, offsets, languages))

@@ -68,8 +68,31 @@ _NAMES = "|".join(
     for name in ("password", "passwd", "secret", "token", "api_?key")
 )
 _ASSIGN_SQL = rf"""((?:{_NAMES})["'']?\x20*[:=]\x20*["'']?)([A-Za-z0-9+/_.=-]+)"""
+_MORE_SECRETS = (
+    ("private",
+     r"-----BEGIN\x20[A-Z\x20]*PRIVATE\x20KEY-----"
+     r"(?:[A-Za-z0-9+/=\x09\x0A\x0D\x20]*-----END\x20[A-Z\x20]*PRIVATE\x20KEY-----)?", ""),
+    ("github", "gh[oprsu]_[A-Za-z0-9]+", "{36,}"),
+    ("slack", "xox[abeoprs]-[A-Za-z0-9-]+", "{10,}"),
+    ("jwt", "eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]+[.][A-Za-z0-9_-]+", "{8,}"),
+    ("bearer", r"[Bb][Ee][Aa][Rr][Ee][Rr]\x20+[A-Za-z0-9._~+/=-]+", "{20,}"),
+)
+
+
+def _more_secrets() -> str:
+    """The further kinds; a match is dropped if its parts are shorter than the least length."""
+    return " UNION ALL ".join(
+        _SECRET_PIECES.format(
+            order=k, kind=kind, pattern=pattern,
+            least="regexp_matches(left(piece, strpos(piece, chr(57345))), '^"
+            + (pattern.replace("]+", "]" + least) if least else pattern) + "' || chr(57345))",
+        )
+        for k, (kind, pattern, least) in enumerate(_MORE_SECRETS, 3)
+    )
+
+
 _SECRET_SQL = """
-WITH found AS ({assign} UNION ALL {access} UNION ALL {hex}),
+WITH found AS ({assign} UNION ALL {access} UNION ALL {hex} UNION ALL {more}),
 spans AS (
   SELECT doc_id, kind, kind_order, CAST(first AS bigint) AS s, CAST(first + n AS bigint) AS e
   FROM found WHERE ok),
@@ -78,10 +101,12 @@ joined AS (
          count(*) FILTER (kind = 'assign') AS n_assign,
          count(*) FILTER (kind = 'access') AS n_access,
          count(*) FILTER (kind = 'hex') AS n_hex,
-         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, kind_order) AS spans
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, kind_order) AS spans,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, kind_order)
+           FILTER (kind_order < 3) AS base
   FROM spans GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
-       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
        coalesce(spans, '') AS spans
 FROM documents LEFT JOIN joined USING (doc_id)
 """.format(
@@ -95,6 +120,7 @@ FROM documents LEFT JOIN joined USING (doc_id)
     hex=_SECRET_PIECES.format(
         order=2, kind="hex", pattern="[0-9a-f]{24,}", least="true",
     ),
+    more=_more_secrets(),
 )
 
 

@@ -10,7 +10,6 @@ the search goes on after it: leftmost, longest, non-overlapping spans per rule.
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -51,6 +50,28 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
+# Further kinds. Lengths are checked afterwards here too, as counts
+# of several rules at once would multiply the automaton's states.
+_KEY_NAME = r"[A-Z\x20]*PRIVATE\x20KEY\-\-\-\-\-"
+MORE_RULES = (
+    Rule(
+        "private",
+        r"\-\-\-\-\-BEGIN\x20" + _KEY_NAME
+        + r"([A-Za-z0-9+/=\x09\x0A\x0D\x20]*\-\-\-\-\-END\x20" + _KEY_NAME + ")?",
+    ),
+    Rule("github", r"gh[oprsu]_[A-Za-z0-9]+", confirm=r"gh[oprsu]_[A-Za-z0-9]{36,}"),
+    Rule("slack", r"xox[abeoprs]\-[A-Za-z0-9\-]+", confirm=r"xox[abeoprs]\-[A-Za-z0-9\-]{10,}"),
+    Rule(
+        "jwt",
+        r"eyJ[A-Za-z0-9_\-]+[.][A-Za-z0-9_\-]+[.][A-Za-z0-9_\-]+",
+        confirm=r"eyJ[A-Za-z0-9_\-]{8,}[.][A-Za-z0-9_\-]{8,}[.][A-Za-z0-9_\-]{8,}",
+    ),
+    Rule(
+        "bearer", r"bearer\x20+[A-Za-z0-9._~+/=\-]+", any_case=True,
+        confirm=r"bearer\x20+[A-Za-z0-9._~+/=\-]{20,}",
+    ),
+)
+ALL_RULES = RULES + MORE_RULES
 
 # ---------------------------------------------------------------- regex to automaton
 
@@ -321,23 +342,29 @@ def make_scan(scanner: Scanner):
 
     def scan(data: bytes) -> list[tuple[int, int, int]]:
         row, n = root, len(data)
-        found: list[list[int]] = [[] for _ in scanner.rules]
+        # Runs of neighbouring starts, each as [last, first], from the back.
+        found: list[list[list[int]]] = [[] for _ in scanner.rules]
         for back, byte in enumerate(reversed(data), 1):
             row = row[byte]
             if row[256] > 0:
-                for k, starts in enumerate(found):
+                at = n - back
+                for k, runs in enumerate(found):
                     if row[256] >> k & 1:
-                        starts.append(n - back)
+                        if runs and runs[-1][1] == at + 1:
+                            runs[-1][1] = at
+                        else:
+                            runs.append([at, at])
         spans = []
-        for k, starts in enumerate(found):
+        for k, runs in enumerate(found):
             confirm = scanner.confirm[k]
-            starts.reverse()
-            i = 0
-            while i < len(starts):
-                end = longest_end(k, data, starts[i])
-                if confirm is None or confirm.whole(data[starts[i] : end]):
-                    spans.append((k, starts[i], end))
-                i = bisect_left(starts, end, i + 1)
+            at = 0
+            for last, first in reversed(runs):
+                at = max(at, first)
+                while at <= last:
+                    end = longest_end(k, data, at)
+                    if confirm is None or confirm.whole(data[at:end]):
+                        spans.append((k, at, end))
+                    at = max(end, at + 1)
         return sorted(spans, key=lambda s: (s[1], s[0]))
 
     return scan
@@ -357,7 +384,7 @@ def _arrow_spans(kinds: list, starts: list, ends: list, sizes: list) -> pa.Array
 
 
 def find_secrets(
-    df: DataFrame, keep: Sequence[str], text: str = "text", rules: Sequence[Rule] = RULES
+    df: DataFrame, keep: Sequence[str], text: str = "text", rules: Sequence[Rule] = ALL_RULES
 ) -> DataFrame:
     """``keep`` columns and ``spans``: kind, start and end (code points, end exclusive).
 

@@ -80,7 +80,7 @@ def _sha(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _anchor_mapper(window: int, period: int, cover: tuple[int, ...]):
+def _anchor_mapper(window: int, period: int, cover: tuple[int, ...], by: list[str]):
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             hashes, first = _words(part.column("text"))
@@ -95,14 +95,14 @@ def _anchor_mapper(window: int, period: int, cover: tuple[int, ...]):
             texts = part.column("text").cast(pa.binary()).to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("id"),
+                    *[part.column(c) for c in by],
                     pa.array(counts, pa.int64()),
                     pa.array(whole[0]),
                     pa.array(whole[1]),
                     pa.array([_sha((t or b"").split()) for t in texts], pa.string()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(anchors)),
                 ],
-                names=["id", "n_words", "h1", "h2", "sha", "anchors"],
+                names=[*by, "n_words", "h1", "h2", "sha", "anchors"],
             )
 
     return mapper
@@ -118,7 +118,7 @@ def _covered(ranges: pa.Scalar, n: int, more: int = 0) -> np.ndarray:
     return np.cumsum(edge)[:n] > 0
 
 
-def _window_mapper(window: int, period: int, cover: tuple[int, ...]):
+def _window_mapper(window: int, period: int, cover: tuple[int, ...], by: list[str]):
     """Full windows around the shared anchors of each document."""
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,18 +145,18 @@ def _window_mapper(window: int, period: int, cover: tuple[int, ...]):
                 cut = slice(a, a + (1 << 16))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("id").take(pa.array(owner[cut])),
+                        *[part.column(c).take(pa.array(owner[cut])) for c in by],
                         pa.array((begin - first[owner])[cut], pa.int32()),
                         pa.array(full[cut]),
                         pa.array(check[cut].view(np.int32)),
                     ],
-                    names=["id", "at", "full", "check"],
+                    names=[*by, "at", "full", "check"],
                 )
 
     return mapper
 
 
-def _cut_mapper(window: int):
+def _cut_mapper(window: int, by: list[str]):
     """What is left of texts without the words that windows cover, given by ranges of starts."""
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,11 +170,11 @@ def _cut_mapper(window: int):
                 removed.append(int((~keep).sum()))
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("id"),
+                    *[part.column(c) for c in by],
                     pa.array(removed, pa.int64()),
                     pa.array(kept_texts, pa.binary()).cast(pa.string()),
                 ],
-                names=["id", "n_removed", "kept"],
+                names=[*by, "n_removed", "kept"],
             )
 
     return mapper
@@ -211,30 +211,36 @@ def _hot_extremes(keys: list[str], id_: str, hot: list[np.ndarray]):
     return mapper
 
 
-def _hot_ranges(keys: list[str], earlier: bool, hot: list[np.ndarray], least, most):
+def _hot_ranges(
+    keys: list[str], by: list[str], earlier: bool, hot: list[np.ndarray], least, most
+):
     """Ranges of neighbouring rows whose hot keys are shared."""
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             rows, place = _find_hot(part, keys, hot)
-            ids, at = (part.column(c).to_numpy()[rows] for c in ("id", "at"))
-            shared = least[place] < (ids if earlier else most[place])
-            ids, at = ids[shared], at[shared]
-            if len(ids):
-                opens = np.ones(len(ids), bool)
-                opens[1:] = (ids[1:] != ids[:-1]) | (at[1:] != at[:-1] + 1)
+            *who, at = (part.column(c).to_numpy()[rows] for c in (*by, "at"))
+            shared = least[place] < (who[0] if earlier else most[place])
+            *who, at = (x[shared] for x in (*who, at))
+            if len(at):
+                opens = np.ones(len(at), bool)
+                opens[1:] = at[1:] != at[:-1] + 1
+                for x in who:
+                    opens[1:] |= x[1:] != x[:-1]
                 head = np.flatnonzero(opens)
-                tail = np.append(head[1:], len(ids)) - 1
+                tail = np.append(head[1:], len(at)) - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[head]), pa.array(at[head]), pa.array(at[tail])],
-                    names=["id", "first", "last"],
+                    [*[pa.array(x[head]) for x in who], pa.array(at[head]), pa.array(at[tail])],
+                    names=[*by, "first", "last"],
                 )
 
     return mapper
 
 
-def shared_ranges(rows: DataFrame, keys: list[str], earlier: bool) -> DataFrame:
-    """Ranges ``first`` to ``last`` of ``at`` whose keys another id has, per ``id``.
+def shared_ranges(rows: DataFrame, keys: list[str], by: list[str], earlier: bool) -> DataFrame:
+    """Ranges ``first`` to ``last`` of ``at`` whose keys another id has, per row of ``by``.
+
+    ``by`` names the id and what else tells rows apart.
 
     With ``earlier`` only those that a smaller id has. One shuffle for keys of
     few documents. Hot keys (see above), at most HOT_KEYS, are combined inside
@@ -260,7 +266,7 @@ def shared_ranges(rows: DataFrame, keys: list[str], earlier: bool) -> DataFrame:
     ranges = (
         cold.withColumns({"least": F.min("id").over(group), "most": F.max("id").over(group)})
         .where(F.col("least") < F.col("id" if earlier else "most"))
-        .select("id", F.col("at").alias("first"), F.col("at").alias("last"))
+        .select(*by, F.col("at").alias("first"), F.col("at").alias("last"))
     )
     if not found.num_rows:
         return ranges
@@ -275,12 +281,17 @@ def shared_ranges(rows: DataFrame, keys: list[str], earlier: bool) -> DataFrame:
     )
     least, most = ends["least"].to_numpy(), ends["most"].to_numpy()
     return ranges.union(
-        rows.select("id", "at", *keys).mapInArrow(
-            _hot_ranges(keys, earlier, hot, least, most), f"id {kind}, first int, last int"
+        rows.select(*by, "at", *keys).mapInArrow(
+            _hot_ranges(keys, by, earlier, hot, least, most),
+            f"{_typed(rows, by)}, first int, last int",
         )
     )
 
 
+def _typed(df: DataFrame, by: list[str]) -> str:
+    return ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in by)
+
+
 def _ranges(name: str) -> Column:
     return F.collect_list(F.struct("first", "last")).alias(name)
 
@@ -298,23 +309,29 @@ def remove_repeats(
     windows are judged on the input. ``kept`` is what is left, its words joined
     by single spaces, and null where nothing was removed or the whole text was;
     ``kept_sha256`` is the hash of what is left in every case. Null, empty and
-    short texts lose nothing, nor do rows with a null key (keys are whole numbers), which do not count
-    as earlier documents either. Rows that share a key do not repeat each
-    other; if their texts differ, what one loses is lost at that position in
-    all. An empty table gives an empty result.
+    short texts lose nothing, nor do rows with a null key (keys are whole numbers),
+    which do not count as earlier documents either. Rows that share a key do not
+    repeat each other; each loses what its own text repeats of smaller keys. An
+    empty table gives an empty result.
     """
     cover = difference_cover(period)
-    kind = df.schema[key].dataType.simpleString()
     docs = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    by = ["id"]
+    repeated = docs.where("id IS NOT NULL").groupBy("id").count().where("count > 1")
+    if not repeated.isEmpty():
+        # A hash of the text tells rows of one key apart; equal rows fare equally.
+        by = ["id", "row"]
+        docs = docs.withColumn("row", F.xxhash64("text"))
+    who = _typed(docs, by)
     sketch = stage(
         docs.mapInArrow(
-            _anchor_mapper(window, period, cover),
-            f"id {kind}, n_words long, h1 long, h2 long, sha string, anchors array<long>",
+            _anchor_mapper(window, period, cover, by),
+            f"{who}, n_words long, h1 long, h2 long, sha string, anchors array<long>",
         ),
         "anchors",
     )
     # Whole copies of an earlier text need no windows.
-    narrow = sketch.select("id", "n_words", "h1", "h2").where(
+    narrow = sketch.select(*by, "n_words", "h1", "h2").where(
         F.col("id").isNotNull() & (F.col("n_words") >= window)
     )
     same = ["h1", "h2", "n_words"]
@@ -322,40 +339,40 @@ def remove_repeats(
     copies = stage(
         narrow.join(owners.where("owner < last").drop("last"), same)
         .where("id > owner")
-        .select("id")
+        .select(*by)
         .distinct(),
         "copies",
     )
     anchors = sketch.where(F.col("id").isNotNull()).select(
-        "id", F.posexplode("anchors").alias("at", "anchor")
+        *by, F.posexplode("anchors").alias("at", "anchor")
     )
     hits = (
-        shared_ranges(anchors, ["anchor"], earlier=False)
-        .groupBy("id")
+        shared_ranges(anchors, ["anchor"], by, earlier=False)
+        .groupBy(*by)
         .agg(_ranges("hits"))
-        .join(copies, "id", "left_anti")
+        .join(copies, by, "left_anti")
     )
-    near = stage(docs.join(hits, "id"), "near")
+    near = stage(docs.join(hits, by), "near")
     windows = stage(
         near.mapInArrow(
-            _window_mapper(window, period, cover), f"id {kind}, at int, full long, check int"
+            _window_mapper(window, period, cover, by), f"{who}, at int, full long, check int"
         ),
         "windows",
     )
     repeated = (
-        shared_ranges(windows, ["full", "check"], earlier=True)
-        .groupBy("id")
+        shared_ranges(windows, ["full", "check"], by, earlier=True)
+        .groupBy(*by)
         .agg(_ranges("starts"))
     )
-    cut = near.select("id", "text").join(repeated, "id").mapInArrow(
-        _cut_mapper(window), f"id {kind}, n_removed long, kept string"
+    cut = near.select(*by, "text").join(repeated, by).mapInArrow(
+        _cut_mapper(window, by), f"{who}, n_removed long, kept string"
     )
     gone = copies.select(
-        "id", F.lit(True).alias("copy"), F.lit(None).cast("long").alias("n_removed"),
+        *by, F.lit(True).alias("copy"), F.lit(None).cast("long").alias("n_removed"),
         F.lit(None).cast("string").alias("kept"),
     )
-    changed = cut.select("id", F.lit(False).alias("copy"), "n_removed", "kept").union(gone)
-    joined = sketch.select("id", "n_words", "sha").join(changed.dropDuplicates(["id"]), "id", "left")
+    changed = cut.select(*by, F.lit(False).alias("copy"), "n_removed", "kept").union(gone)
+    joined = sketch.select(*by, "n_words", "sha").join(changed.dropDuplicates(by), by, "left")
     left = (
         F.when(F.col("copy"), F.sha2(F.lit("").cast("binary"), 256))
         .when(F.col("kept").isNotNull(), F.sha2(F.col("kept").cast("binary"), 256))

@@ -90,3 +90,27 @@ def test_nothing_learnt_clashing_names_and_empty_table(spark):
     assert found.columns == ["doc_id", "score", "lang_pred", "_score"]
     assert found.first()["lang_pred"] == "und"
     assert L.identify(df.limit(0), none, ["doc_id"]).count() == 0
+
+
+def test_words_end_where_the_script_changes(spark):
+    texts = {
+        "en": "the dog went out into the green garden and then it came back to the house again",
+        "zh": "今天天气很好我们去公园散步然后回家吃饭看书学习中文",
+        "ru": "сегодня хорошая погода мы идём гулять в парк а потом домой",
+    }
+    rows = [(i, t, lang, "s", 1) for i, (lang, t) in enumerate(list(texts.items()) * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    model = L.fit(docs, learn=F.lit(True), penalty=4.0)
+    given = ["the dog今天天气很好我们去公园散步", "dogсегодня", "今天, the dog went!", "él 3x", "12 ?"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(given)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in L.identify(df, model, ["doc_id"], spans=True).collect()}
+    cut = {
+        i: [(s["lang"], given[i].encode()[s["start"] : s["end"]].decode()) for s in r["spans"]]
+        for i, r in found.items()
+    }
+    assert cut[0] == [("en", "the dog"), ("zh", "今天天气很好我们去公园散步")]
+    assert found[0]["lang_pred"] == "zh" and found[0]["score"] == pytest.approx(13 / 19)
+    assert [lang for lang, _ in cut[1]] == ["en", "ru"]
+    assert [lang for lang, _ in cut[2]] == ["zh", "en"]
+    assert len(cut[3]) <= 1 and found[3]["score"] == 1.0
+    assert found[4]["lang_pred"] == "und" and found[4]["score"] == 0.0

@@ -73,3 +73,43 @@ def test_null_keys_repeated_keys_and_empty_table(spark):
     rows = [(r["doc_id"], r["n_removed"]) for r in S.remove_repeats(df).collect()]
     assert sorted(rows, key=str) == [(4, 0), (4, 0), (None, 0)]
     assert S.remove_repeats(df.limit(0)).count() == 0
+
+
+def brute_rows(rows, window):
+    first, out = {}, []
+    for i, t in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        for a in range(len(words) - window + 1):
+            key = tuple(words[a : a + window])
+            if i is not None:
+                first[key] = min(first.get(key, i), i)
+    for i, t in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        gone = [False] * len(words)
+        for a in range(len(words) - window + 1):
+            if i is not None and first[tuple(words[a : a + window])] < i:
+                gone[a : a + window] = [True] * window
+        left = " ".join(w for w, g in zip(words, gone) if not g)
+        out.append((i, len(words), sum(gone), hashlib.sha256(left.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("hot", [1, 10**6])
+def test_rows_that_share_a_key_are_judged_by_their_own_texts(spark, hot, monkeypatch):
+    monkeypatch.setattr(S, "HOT_LEAST", hot)
+    monkeypatch.setattr(S, "SAMPLE_EVERY", 1)
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(400)]
+    common = prose(rng, 30, words)
+    rows = []
+    for i in range(200):
+        text = prose(rng, rng.randint(0, 40), words) + " " + (common if i % 3 else "")
+        rows.append((rng.choice([None, *range(40)]), text + " " + prose(rng, rng.randint(0, 20), words)))
+    rows += rows[:20] + [(3, rows[50][1]), (60, rows[50][1] + " tail"), (60, common), (60, common)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], DDL)
+    got = [
+        (r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"])
+        for r in S.remove_repeats(df, window=12, period=7).collect()
+    ]
+    assert sorted(got, key=repr) == brute_rows(rows, 12)
+    assert all(removed <= n for _, n, removed, _ in got)
