@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlemill.functions.candle import all_known, epoch_to_ts, lenient, micros, ohlc_valid
+from candlemill.operators.ordered import join_null_safe
 from candlemill.schema import (
     BRONZE_ESSENTIAL,
     DOUBLE_COLUMNS,
@@ -81,14 +82,18 @@ def valid_rows(df: DataFrame) -> DataFrame:
     return df.filter(ohlc_valid())
 
 
+def first_rows(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str]) -> DataFrame:
+    """One candle with all essential values per (series, minute), valid or not."""
+    return keep_first(with_timestamps(not_null_rows(typed(df))), keys, tiebreak)
+
+
 def silver(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str]) -> DataFrame:
     """Clean candles, one per (series, minute).
 
     The first copy is chosen before prices are checked: a minute whose first
     copy is invalid is lost even if a later copy is fine.
     """
-    present = with_timestamps(not_null_rows(typed(df)))
-    return valid_rows(keep_first(present, keys, tiebreak))
+    return valid_rows(first_rows(df, keys, tiebreak))
 
 
 def _chunk_of(ts: Column, step_seconds: int) -> Column:
@@ -214,3 +219,37 @@ def cleaning_audit(
         *keys, *sums, F.col("distinct_ts").alias("rows_out"), "min_ts", "max_ts",
         "gaps", "largest_gap_seconds",
     )
+
+
+def audit_of_first(
+    df: DataFrame, first: DataFrame, keys: Sequence[str], step_seconds: int = 60
+) -> DataFrame:
+    """What ``cleaning_audit`` says, from rows and their ``first_rows``, stored before.
+
+    No copies are compared again: rows are counted per series, and gaps need
+    the timestamps of valid first rows only.
+    """
+    rows = typed(df)
+    known = all_known(rows, present_only(rows, SILVER_ESSENTIAL))
+    counted = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows_in"), F.count_if(known).alias("_known")
+    )
+    valid = F.coalesce(ohlc_valid(), F.lit(False))
+    firsts = first.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_first"), F.count_if(valid).alias("_valid")
+    )
+    gaps = series_audit(valid_rows(first), keys, step_seconds).drop("rows", "duplicates")
+    joined = join_null_safe(join_null_safe(counted, firsts, keys, "left"), gaps, keys, "left")
+    n_first, n_valid = (F.coalesce(c, F.lit(0)) for c in ("_first", "_valid"))
+    return joined.select(
+        *keys,
+        "rows_in",
+        (F.col("rows_in") - F.col("_known")).alias("dropped_null"),
+        (F.col("_known") - n_first).alias("dropped_duplicate"),
+        (n_first - n_valid).alias("dropped_invalid"),
+        n_valid.alias("rows_out"),
+        "min_ts",
+        "max_ts",
+        F.coalesce("gaps", F.lit(0)).alias("gaps"),
+        "largest_gap_seconds",
+    )

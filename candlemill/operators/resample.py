@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlemill.functions.order_key import packed_order
 from candlemill.schema import SUM_COLUMNS, present_only
 
 
@@ -18,7 +19,11 @@ def bar_values(
     First and last are taken by time (then ``tiebreak``), not by arrival. A
     sum over missing values only is 0.
     """
-    at = F.struct(ts, *tiebreak) if tiebreak else F.col(ts)
+    at = F.col(ts)
+    if tiebreak:
+        # A number where it can be, so that a hash aggregate holds it.
+        packed = packed_order(df, [ts, *tiebreak])
+        at = F.struct(ts, *tiebreak) if packed is None else packed
     sums = present_only(df, SUM_COLUMNS)
     zero = {c: F.lit(0).cast(df.schema[c].dataType) for c in sums}
     return [

@@ -1,8 +1,9 @@
 """Bronze, silver, gold, model input and quarters.
 
 A stage writes its layer as zstd Parquet, range-sorted on its series and time,
-and returns an audit table. Audits of dropped rows read the layer before once
-more, when the table is used.
+and returns an audit table. What is dear to make, parsed rows, first copies and
+bars, is stored once; the layer, the sample that range sorting takes, and the
+audit all read it from there.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from candlemill.functions.candle import regime_label
 from candlemill.operators import clean, features, report, resample
 from candlemill.operators.quality import volume_check
 from candlemill.schema import GOLD_REGIMES, RAW_COLUMNS, Regimes
+from candlemill.session import stage
 from candlemill.sources import klines, store
 
 KEYS = ("symbol",)
@@ -27,7 +29,8 @@ TIEBREAK = ("source_file", *RAW_COLUMNS)
 
 def build_bronze(spark: SparkSession, csv_path: str, bronze_path: str) -> DataFrame:
     """Raw CSV files to typed rows; returns rows per source file and in total."""
-    rows = klines.read_bronze(spark, csv_path)
+    # Parsed once: the sample for the range sort then reads columns of Parquet.
+    rows = stage(klines.read_bronze(spark, csv_path), "parsed")
     store.write_sorted(rows, bronze_path, [*KEYS, "open_time", "source_file"])
     return report.rows_per_file(spark.read.parquet(bronze_path))
 
@@ -44,10 +47,9 @@ def build_silver(
 ) -> DataFrame:
     """Bronze to clean unique candles; returns the cleaning audit."""
     bronze = spark.read.parquet(bronze_path)
-    store.write_sorted(
-        clean.silver(bronze, KEYS, tiebreak), silver_path, [*KEYS, "open_ts"], unique=True
-    )
-    return clean.cleaning_audit(bronze, KEYS, tiebreak)
+    first = stage(clean.first_rows(bronze, KEYS, tiebreak), "first-rows")
+    store.write_sorted(clean.valid_rows(first), silver_path, [*KEYS, "open_ts"], unique=True)
+    return clean.audit_of_first(bronze, first, KEYS)
 
 
 def gold(
@@ -60,11 +62,16 @@ def gold(
 
     ``expected_rows`` None keeps all bars (and their completeness unknown).
     """
-    made = resample.bars(silver, every, KEYS)
+    return gold_of_bars(resample.bars(silver, every, KEYS), expected_rows, regimes)
+
+
+def gold_of_bars(
+    bars: DataFrame, expected_rows: int | None = ROWS_PER_BAR, regimes: Regimes = GOLD_REGIMES
+) -> DataFrame:
     if expected_rows is not None:
-        made = resample.complete_bars(made, expected_rows)
+        made = resample.complete_bars(bars, expected_rows)
     else:
-        made = made.withColumn("bar_complete", F.lit(None).cast("boolean"))
+        made = bars.withColumn("bar_complete", F.lit(None).cast("boolean"))
     rows = features.bar_features(made, KEYS)
     return features.with_calendar(features.with_regime(rows, regimes))
 
@@ -78,14 +85,10 @@ def build_gold(
     regimes: Regimes = GOLD_REGIMES,
 ) -> DataFrame:
     """Silver to gold; returns the bar and regime audit."""
-    silver = spark.read.parquet(silver_path)
-    store.write_sorted(
-        gold(silver, expected_rows, every, regimes),
-        gold_path,
-        [*KEYS, "open_ts"],
-        unique=True,
-    )
-    marked = resample.mark_complete(resample.bars(silver, every, KEYS), expected_rows)
+    bars = stage(resample.bars(spark.read.parquet(silver_path), every, KEYS), "bars")
+    rows = gold_of_bars(bars, expected_rows, regimes)
+    store.write_sorted(rows, gold_path, [*KEYS, "open_ts"], unique=True)
+    marked = resample.mark_complete(bars, expected_rows)
     label = regime_label(F.col("open_ts"), regimes)
     return report.gold_audit(marked, label, regimes.labels)
 

@@ -33,6 +33,7 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 
+# The columns of the model table.
 MODEL_COLUMNS = [
     "open_ts", "year", "month", "day", "hour", "quarter", "year_quarter",
     "market_regime", "price_season", "open", "high", "low", "close", "volume",

@@ -126,3 +126,18 @@ def test_required_columns(frame):
     assert missing_columns(df, ["open", "close"]) == ["close"]
     with pytest.raises(ValueError, match="close"):
         require_columns(df, ["open", "close"], "gold")
+
+
+def test_audit_of_stored_first_rows_equals_the_audit(frame):
+    from helpers import candle
+
+    rows = [candle(i, symbol=s) for s in ("A", None) for i in (*range(40), *range(45, 90), 5, 5, 60)]
+    rows += [candle(i, symbol="B", close=None) for i in range(5)]  # nothing left
+    rows += [candle(i, symbol="C", high=1.0) for i in range(3)]  # nothing valid
+    rows += [candle(7, symbol="A", volume=-1.0, file="0"), candle(200, symbol="A", volume=-1.0)]
+    df = frame(rows, CANDLE_DDL)
+    first = clean.first_rows(df, KEYS, TIEBREAK)
+    got = clean.audit_of_first(df, first, KEYS)
+    wanted = clean.cleaning_audit(df, KEYS, TIEBREAK)
+    assert got.columns == wanted.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, wanted.collect()))

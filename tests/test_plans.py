@@ -167,3 +167,17 @@ def test_null_filters_reach_the_scan(spark):
     plan = plan_of(clean.bronze_rows(orders.select(*schema.BRONZE_ESSENTIAL)))
     pushed = plan[plan.index("PushedFilters"):]
     assert "IsNotNull(o_totalprice)" in pushed and "IsNotNull(o_custkey)" in pushed
+
+
+def test_bars_with_ties_use_a_hash_aggregate(spark):
+    from workload.tables import order_days
+
+    plan = plan_of(order_days(spark, DATA))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_layers_read_their_stored_step(run):
+    _, _, audits = run
+    # Audits start from stored tables: no candle is chosen or parsed again.
+    for name, dear in (("silver", "row_number"), ("gold", "partial_min_by")):
+        assert dear not in plan_of(audits[name])

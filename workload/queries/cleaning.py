@@ -124,18 +124,31 @@ def present_only(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_MODEL_HAS = [c for c in schema.MODEL_REQUIRED if c in (
+    "open", "high", "low", "close", *schema.SUM_COLUMNS)]
+_MODEL_LACKS = [c for c in schema.MODEL_REQUIRED if c not in _MODEL_HAS]
+
+
 @run(
     O.query(
-        "SELECT m.name AS missing, count(*) AS rows FROM klines, (VALUES "
-        + ", ".join(f"('{c}')" for c in schema.MODEL_REQUIRED if c not in (
-            "open", "high", "low", "close", *schema.SUM_COLUMNS))
-        + ") m(name) GROUP BY m.name",
+        " UNION ALL ".join(
+            [f"SELECT '{c}' AS variable, 'true' AS present, count({c}) AS known FROM klines"
+             for c in _MODEL_HAS]
+            + [f"SELECT '{c}' AS variable, 'false' AS present, 0 AS known" for c in _MODEL_LACKS]
+        ),
         ("klines",),
     )
 )
 def required_columns(spark: SparkSession, sf: str) -> DataFrame:
-    """Model columns that raw candles lack, with the rows concerned."""
+    """What the model table requires and raw candles have, with the rows that have a value."""
     rows = T.klines(spark, sf)
     missing = schema.missing_columns(rows, schema.MODEL_REQUIRED)
-    names = F.explode(F.array(*[F.lit(c) for c in missing]))
-    return rows.agg(F.count(F.lit(1)).alias("rows")).select(names.alias("missing"), "rows")
+    known = [
+        F.struct(
+            F.lit(c).alias("variable"),
+            F.lit("false" if c in missing else "true").alias("present"),
+            (F.lit(0).cast("long") if c in missing else F.count(F.col(c))).alias("known"),
+        )
+        for c in schema.MODEL_REQUIRED
+    ]
+    return rows.agg(F.array(*known).alias("lines")).select(F.inline("lines"))

@@ -280,19 +280,28 @@ def min_volume(spark: SparkSession, sf: str) -> DataFrame:
     return quality.volume_check(T.klines(spark, sf))
 
 
+_SILVER_TYPES = {
+    "symbol": "string", "open_time": "bigint", "open": "double", "high": "double",
+    "low": "double", "close": "double", "volume": "double", "close_time": "bigint",
+    "quote_asset_volume": "double", "number_of_trades": "bigint",
+    "taker_buy_base_volume": "double", "taker_buy_quote_volume": "double", "ignore": "double",
+    "source_file": "string", "event_id": "bigint", "open_ts": "timestamp_ntz",
+    "close_ts": "timestamp_ntz",
+}
+
+
 @run(
     O.query(
-        "SELECT variable, type, n.rows FROM (SELECT count(*) AS rows FROM events) n, (VALUES "
-        "('symbol', 'string'), ('open_time', 'bigint'), ('open', 'double'), "
-        "('high', 'double'), ('low', 'double'), ('close', 'double'), ('volume', 'double'), "
-        "('close_time', 'bigint'), ('quote_asset_volume', 'double'), "
-        "('number_of_trades', 'bigint'), ('taker_buy_base_volume', 'double'), "
-        "('taker_buy_quote_volume', 'double'), ('ignore', 'double'), "
-        "('source_file', 'string'), ('event_id', 'bigint'), "
-        "('open_ts', 'timestamp_ntz'), ('close_ts', 'timestamp_ntz')) t(variable, type)",
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS variable, '{kind}' AS type, count(\"{c}\") AS known FROM silver"
+            for c, kind in _SILVER_TYPES.items()
+        ),
+        ("silver",),
     )
 )
 def schema_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Structure of the silver layer, beside the number of events it is made from."""
-    n = T.table(spark, sf, "events").count()
-    return quality.schema_table(T.silver(spark, sf)).withColumn("rows", F.lit(n).cast("long"))
+    """Structure of the silver layer: columns, types, and how many values each has."""
+    rows = T.silver(spark, sf)
+    known = rows.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in rows.columns])
+    counts = known.unpivot([], rows.columns, "variable", "known")
+    return quality.schema_table(rows).join(counts, "variable")
