@@ -18,6 +18,7 @@ bucket emits all its pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,8 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 # 64-bit words of the bit map that bounds what two sets have in common.
 MAP_WORDS = 16
+# Sizes within this factor of each other are one band.
+_BAND_FACTOR = 1.06
 
 
 # ---------------------------------------------------------------- sets and sketches
@@ -204,6 +207,10 @@ def _still_apart(members: DataFrame) -> DataFrame:
     return members.join(apart, "key", "left_semi")
 
 
+def _band(size: Column) -> Column:
+    return F.floor(F.ln(size) / F.lit(math.log(_BAND_FACTOR))).cast("int")
+
+
 def _rare_pairs(apart: DataFrame, sets: DataFrame, percent: int, kind: str) -> DataFrame:
     """All pairs of different components that can be alike, by their rarest shingles.
 
@@ -211,6 +218,11 @@ def _rare_pairs(apart: DataFrame, sets: DataFrame, percent: int, kind: str) -> D
     rarest of each, in any one order; members that only one set has are in no
     intersection. Of the sets that hold a shingle, those outside the largest
     component meet the others, so equal components meet nowhere.
+
+    Two sets need to meet only at the first shingle they share. All before it
+    is not shared, which bounds the size that the other set may have, so a set
+    goes only to bands of fitting sizes: pages of one template whose own parts
+    are too long meet at none of its shingles.
     """
     nodes = stage(apart.select("id", "n", "component").distinct(), "apart")
     rows = stage(
@@ -235,10 +247,17 @@ def _rare_pairs(apart: DataFrame, sets: DataFrame, percent: int, kind: str) -> D
     known = stage(nodes.join(sizes, "component").join(bits, "id"), "known")
     # Members of one set alone are the rarest, so they take the first ranks.
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    # What is left of a set from a shingle on; at the first shared one, no more is shared.
+    left = F.col("in_common") - F.col("rank") + 1
     rare = stage(
         ranked.join(known, "id")
         .where(F.col("rank") + F.col("n") - F.col("in_common") <= prefix)
-        .select("shingle", "id", "n", "in_common", "component", "weight", *maps),
+        .select(
+            "shingle", "id", "n", "in_common", "component", "weight", *maps,
+            _band(F.col("n")).alias("band"),
+            F.ceil(F.col("n") * percent / 100).cast("long").alias("least"),
+            (F.floor(left * (100 + percent) / percent) - F.col("n")).cast("long").alias("most"),
+        ),
         "rare",
     )
     largest = rare.groupBy("shingle").agg(
@@ -246,8 +265,10 @@ def _rare_pairs(apart: DataFrame, sets: DataFrame, percent: int, kind: str) -> D
         F.min("component").alias("x"),
         F.max("component").alias("y"),
     ).where("x <> y").select("shingle", F.col("top.component").alias("main"))
-    few = rare.join(largest, "shingle").where("component <> main").select(
-        "shingle", F.col("id").alias("c_id"), F.col("n").alias("c_n"),
+    bands = F.sequence(_band(F.col("least")), _band(F.col("most")))
+    few = rare.join(largest, "shingle").where("component <> main AND most >= least").select(
+        "shingle", F.explode(bands).alias("band"), F.col("id").alias("c_id"),
+        F.col("n").alias("c_n"), F.col("most").alias("c_most"),
         F.col("in_common").alias("c_common"), F.col("component").alias("c_component"),
         *[F.col(m).alias(f"c_{m}") for m in maps],
     )
@@ -258,8 +279,11 @@ def _rare_pairs(apart: DataFrame, sets: DataFrame, percent: int, kind: str) -> D
     common = F.least(
         F.col("in_common") - lacking("", "c_"), F.col("c_common") - lacking("c_", "")
     )
-    met = rare.join(few, "shingle").where(
-        (F.col("component") != F.col("c_component")) & _fits(percent, "n", "c_n", common)
+    sizes_fit = (F.col("c_n") <= F.col("most")) & (F.col("n") <= F.col("c_most"))
+    met = rare.join(few, ["shingle", "band"]).where(
+        (F.col("component") != F.col("c_component"))
+        & sizes_fit
+        & _fits(percent, "n", "c_n", common)
     )
     return _pairs(met).distinct()
 

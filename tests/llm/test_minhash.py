@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 from llm_data import documents, odd_texts
+from pyspark.sql import functions as F
 
 from candlemill.llm import minhash as M
 from candlemill.llm.graph import components
@@ -111,3 +112,50 @@ def test_components(spark, n):
     df = spark.createDataFrame(links, "a long, b long")
     got = {r["node"]: r["component"] for r in components(df).collect()}
     assert got == {x: min(g) for x, g in owner.items()}
+
+
+def templated(rng, n, shared, own):
+    """Pages of one template, each with words of its own in one piece."""
+    template = [f"t{i}" for i in range(shared)]
+    pages = []
+    for i in range(n):
+        k = rng.choice(own)
+        pages.append(" ".join([*template[: shared // 2], *(f"p{i}x{j}" for j in range(k)), *template[shared // 2 :]]))
+    return pages
+
+
+def test_templated_pages_do_not_meet_in_pairs(spark):
+    rng = random.Random(4)
+    pages = templated(rng, 300, 200, [70, 80, 90])  # too much of their own for any link
+    docs = spark.createDataFrame(list(enumerate(pages)), "id long, text string")
+    sets = docs.mapInArrow(M._set_mapper(5), "id long, members binary")
+    apart = sets.select("id", (F.length("members") / 8).cast("long").alias("n"), F.col("id").alias("component"))
+    assert M._rare_pairs(apart, sets, 80, "long").count() == 0
+
+
+@pytest.mark.parametrize("width", [1, 4])
+def test_templated_pages_of_all_sizes_equal_brute_force(spark, width):
+    rng = random.Random(width)
+    pages = templated(rng, 120, 60, [0, 3, 7, 8, 9, 14, 15, 16, 30]) + templated(rng, 30, 12, [1, 2, 3])
+    rows = list(enumerate(pages))
+    assert found(spark, rows, width) == brute(rows, width)
+
+
+@pytest.mark.parametrize("percent", [80, 55])
+def test_rarest_shingles_find_every_link(spark, percent):
+    rng = random.Random(percent)
+    pages = templated(rng, 80, 40, [0, 2, 5, 8, 12, 20])
+    words = [f"w{i}" for i in range(30)]  # few words, so that most are in many sets
+    pages += [" ".join(rng.sample(words, rng.randint(3, 28))) for _ in range(120)]
+    docs = spark.createDataFrame(list(enumerate(pages)), "id long, text string")
+    sets = docs.mapInArrow(M._set_mapper(1), "id long, members binary")
+    apart = sets.select("id", (F.length("members") / 8).cast("long").alias("n"), F.col("id").alias("component"))
+    got = {(r["a"], r["b"]) for r in M._rare_pairs(apart, sets, percent, "long").collect()}
+    members = [shingles(p, 1) for p in pages]
+    wanted = {
+        (a, b)
+        for b in range(len(pages))
+        for a in range(b)
+        if 100 * len(members[a] & members[b]) >= percent * len(members[a] | members[b])
+    }
+    assert len(wanted) > 50 and wanted <= got and len(got) < 20 * len(wanted)
