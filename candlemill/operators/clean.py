@@ -17,10 +17,13 @@ from candlemill.schema import (
     present_only,
     require_columns,
 )
+from candlemill.session import stage
 
 # A time chunk spans this many steps, so it holds at most that many candles of
-# one series on the grid of the step; windows over denser series spill.
+# one series on the grid of the step.
 CHUNK_STEPS = 10_080
+# Denser series are cut into cells with about this many timestamps or cells in them at most.
+CELL_PARTS = 65_536
 
 
 def typed(df: DataFrame) -> DataFrame:
@@ -96,8 +99,32 @@ def silver(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str]) -> DataF
     return valid_rows(first_rows(df, keys, tiebreak))
 
 
-def _chunk_of(ts: Column, step_seconds: int) -> Column:
-    return F.floor(micros(ts) / F.lit(step_seconds * 1_000_000 * CHUNK_STEPS))
+def _joined(
+    parts: DataFrame, keys: Sequence[str], cell: Column, step: int, sums: Sequence[str]
+) -> DataFrame:
+    """Gap figures of cells from those of their parts, which follow each other in time.
+
+    A part knows its first and last timestamp, its gaps and the largest; what
+    lies between it and the part before is one more delta.
+    """
+    in_cell = Window.partitionBy("_cell", *keys).orderBy("_start")
+    earlier = in_cell.rowsBetween(Window.unboundedPreceding, -1)
+    border = F.col("_first") - F.max("_last").over(earlier)
+    is_gap = F.col("_border") != step
+    return (
+        parts.withColumn("_cell", cell)
+        .withColumn("_border", border)
+        .groupBy(*keys, "_cell")
+        .agg(
+            *[F.sum(c).alias(c) for c in sums],
+            (F.sum("_gaps") + F.count_if(is_gap)).alias("_gaps"),
+            F.max(F.greatest("_largest", F.when(is_gap, F.col("_border")))).alias("_largest"),
+            F.min("_first").alias("_first"),
+            F.max("_last").alias("_last"),
+            F.min("_start").alias("_start"),
+        )
+        .drop("_cell")
+    )
 
 
 def _audit_timestamps(
@@ -106,54 +133,55 @@ def _audit_timestamps(
     """Gap figures per series from distinct timestamps.
 
     ``stamps`` has one row per (series, ts), ``copies`` rows behind it and a
-    flag ``counts`` for those that belong to the audited series. Deltas inside
-    a time chunk and across chunk borders are taken separately, so no window
-    covers a whole series of timestamps.
+    flag ``counts`` for those that belong to the audited series. Figures merge
+    from time cells to wider ones, so no window covers a whole series. A chunk
+    of time has at most ``CHUNK_STEPS`` timestamps on the grid of steps; where
+    any chunk has many more, narrower cells come first, each with about
+    ``CELL_PARTS`` parts at most, whatever the timestamps are. Runs jobs.
     """
     step = step_seconds * 1_000_000
     at = F.when(F.col("counts"), micros(F.col("ts")))
-    in_chunk = Window.partitionBy("_chunk", *keys).orderBy("ts")
-    earlier = in_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    delta = at - F.last(at, ignorenulls=True).over(earlier)
-    chunks = (
-        stamps.withColumn("_chunk", _chunk_of(F.col("ts"), step_seconds))
-        .withColumns({"_at": at, "_delta": delta})
-        .groupBy(*keys, "_chunk")
-        .agg(
-            *[F.sum(c).alias(c) for c in sums],
-            F.sum(F.when(F.col("counts"), F.col("copies"))).alias("rows"),
-            F.count("_at").alias("distinct_ts"),
+    again = F.when(at.isNotNull(), F.col("copies") - 1)
+    parts = stage(
+        stamps.select(
+            *keys,
+            *sums,
+            F.when(F.col("counts"), F.col("copies")).alias("rows"),
+            at.isNotNull().cast("long").alias("distinct_ts"),
             # Every further copy of a timestamp is a delta of zero, a gap too.
-            F.sum(F.when(F.col("_at").isNotNull(), F.col("copies") - 1)).alias("_zero"),
-            F.count_if(F.col("_delta") != step).alias("_gaps"),
-            F.max(F.when(F.col("_delta") != step, F.col("_delta"))).alias("_largest"),
-            F.min("_at").alias("_first"),
-            F.max("_at").alias("_last"),
-        )
-    )
-    # One row per series and chunk from here on.
-    across = Window.partitionBy(*keys).orderBy("_chunk")
-    before = across.rowsBetween(Window.unboundedPreceding, -1)
-    border = F.col("_first") - F.last("_last", ignorenulls=True).over(before)
-    zero = F.coalesce(F.col("_zero"), F.lit(0))
-    joined = chunks.withColumn("_border", border)
-    is_gap = F.col("_border") != step
-    largest = F.max(
-        F.greatest(
-            F.col("_largest"),
-            F.when(is_gap, F.col("_border")),
-            F.when(zero > 0, F.lit(0)),
-        )
+            F.coalesce(again, F.lit(0)).alias("_gaps"),
+            F.when(again > 0, F.lit(0).cast("long")).alias("_largest"),
+            at.alias("_first"),
+            at.alias("_last"),
+            micros(F.col("ts")).alias("_start"),
+        ),
+        "stamps",
     )
+    chunk = step * CHUNK_STEPS
+    cell = lambda width: F.expr(f"_start div {width}L")
+
+    def crowded(width: int) -> bool:
+        sizes = parts.groupBy(*keys, cell(width).alias("_cell")).count()
+        return not sizes.where(F.col("count") > CELL_PARTS).isEmpty()
+
+    # Distinct timestamps are a microsecond apart at least, so this ends soon.
+    widths = [chunk]
+    while crowded(widths[0]):
+        widths.insert(0, -(-widths[0] // CELL_PARTS))
+    sums = [*sums, "rows", "distinct_ts"]
+    for width in widths:
+        parts = _joined(parts, keys, cell(width), step, sums)
+    whole = _joined(parts, keys, F.lit(0), step, sums)
     to_ts = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
-    return joined.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in sums],
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.sum("distinct_ts").alias("distinct_ts"),
-        to_ts(F.min("_first")).alias("min_ts"),
-        to_ts(F.max("_last")).alias("max_ts"),
-        (F.sum("_gaps") + F.count_if(is_gap) + F.sum(zero)).alias("gaps"),
-        F.floor(largest / 1_000_000).cast("long").alias("largest_gap_seconds"),
+    return whole.select(
+        *keys,
+        *sums[:-2],
+        F.coalesce("rows", F.lit(0)).alias("rows"),
+        "distinct_ts",
+        to_ts("_first").alias("min_ts"),
+        to_ts("_last").alias("max_ts"),
+        F.col("_gaps").alias("gaps"),
+        F.floor(F.col("_largest") / 1_000_000).cast("long").alias("largest_gap_seconds"),
     )
 
 

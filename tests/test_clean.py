@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -121,6 +122,37 @@ def test_gaps_across_many_chunks_match_brute_force(frame):
     assert audit.largest_gap_seconds == 60 * max(deltas)
 
 
+@pytest.mark.parametrize("cell_parts", [3, 50, 65_536])
+def test_gaps_of_series_off_the_grid_match_brute_force(spark, monkeypatch, cell_parts):
+    monkeypatch.setattr(clean, "CELL_PARTS", cell_parts)
+    rng = random.Random(cell_parts)
+    at = [rng.randint(-(10**9), 10**9) for _ in range(300)] + [0, 0, 60_000_000, 60_000_000, 7]
+    at += [i * 1_000 for i in range(300)]
+    rows = [("A", x) for x in at] + [("B", 5), ("A", None), (None, 1), (None, 60_000_001)]
+    df = spark.createDataFrame(rows, "symbol string, us long").select(
+        "symbol", F.timestamp_micros("us").cast("timestamp_ntz").alias("open_ts")
+    )
+    got = {r.symbol: r for r in clean.series_audit(df, KEYS).collect()}
+    deltas = [b - a for a, b in zip(sorted(at), sorted(at)[1:])]
+    assert got["A"].gaps == sum(d != 60_000_000 for d in deltas)
+    assert got["A"].largest_gap_seconds == max(d for d in deltas if d != 60_000_000) // 1_000_000
+    assert got["A"].rows == len(at) + 1 and got["A"].duplicates == len(at) - len(set(at))
+    assert (got["B"].gaps, got["B"].largest_gap_seconds, got[None].gaps) == (0, None, 0)
+
+
+def test_crowded_chunks_are_split(spark):
+    n = 200_000
+    df = spark.range(n).select(
+        F.lit("A").alias("symbol"),
+        F.timestamp_micros(F.col("id") * 1_000).cast("timestamp_ntz").alias("open_ts"),
+    )
+    audit = clean.series_audit(df, KEYS)
+    (row,) = audit.collect()
+    assert (row.rows, row.gaps, row.largest_gap_seconds) == (n, n - 1, 0)
+    plan = audit._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 3
+
+
 def test_required_columns(frame):
     df = frame([(1,)], "open int")
     assert missing_columns(df, ["open", "close"]) == ["close"]
