@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import zipfile
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from typing import BinaryIO
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlemill.session import stage
+
 LOG_COLUMNS = [
     "timestamp", "period", "zip_filename", "zip_url", "checksum_url",
     "download_ok", "checksum_ok", "extract_ok", "zip_size_bytes",
@@ -18,6 +23,10 @@ LOG_COLUMNS = [
 ]
 
 _LINES_PER_BATCH = 20_000
+# Larger files are read in pieces for their digest, as no row can hold them.
+ROW_BYTES = 256 << 20
+# Tasks that members of archives are dealt to at most; further members share them.
+MEMBER_TASKS = 10_000
 # What a damaged archive raises; anything else is a fault of its own.
 _DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
 
@@ -54,13 +63,50 @@ def manifest(
     )
 
 
-def landed_files(spark: SparkSession, folder: str, pattern: str = "*.zip") -> DataFrame:
-    """Names, sizes and SHA-256 digests of the archives in ``folder``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return files.select(
+def open_file(path: str) -> BinaryIO:
+    """Open a file for reading at any place, by the path that Spark gives it.
+
+    Knows local paths and what Arrow's file systems know; pass another function
+    where a store needs settings of its own.
+    """
+    scheme, _, rest = path.partition(":")
+    if scheme == "file" or not rest:
+        return open("/" + rest.lstrip("/") if rest else path, "rb")
+    store, inside = fs.FileSystem.from_uri("s3:" + rest if scheme in ("s3a", "s3n") else path)
+    return store.open_input_file(inside)
+
+
+def _listed(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """``path``, ``length`` and, if asked for, ``content`` of the files that are not empty."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+
+
+def landed_files(
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*.zip",
+    opener: Callable[[str], BinaryIO] = open_file,
+) -> DataFrame:
+    """Names, sizes and SHA-256 digests of the archives in ``folder``, of any size."""
+    files = _listed(spark, folder, pattern)
+
+    def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                with opener(path) as file:
+                    found.append(hashlib.file_digest(file, "sha256").hexdigest())
+            yield batch.assign(actual_hash=found)
+
+    whole = files.where(F.col("length") <= ROW_BYTES).select(
+        "path", "length", F.sha2("content", 256).alias("actual_hash")
+    )
+    large = files.where(F.col("length") > ROW_BYTES).select("path", "length")
+    both = whole.union(large.mapInPandas(digests, "path string, length long, actual_hash string"))
+    return both.select(
         F.element_at(F.split("path", "/"), -1).alias("zip_filename"),
         F.col("length").alias("zip_size_bytes"),
-        F.sha2("content", 256).alias("actual_hash"),
+        "actual_hash",
     )
 
 
@@ -112,32 +158,37 @@ def append_log(log: DataFrame, path: str) -> None:
     log.write.mode("append").option("compression", "zstd").parquet(path)
 
 
+_LINES = "zip_filename string, member string, line string, ok boolean"
+
+
+def _lines(path: str, member: str | None, lines: list[str | None], ok: bool) -> pd.DataFrame:
+    name = path.rsplit("/", 1)[-1]
+    return pd.DataFrame({"zip_filename": name, "member": member, "line": lines, "ok": ok})
+
+
+def _member_lines(archive: zipfile.ZipFile, name: str) -> Iterator[list[str]]:
+    """Lines of a member in bounded batches."""
+    lines: list[str] = []
+    with archive.open(name) as member:
+        for line in io.TextIOWrapper(member, "utf-8", errors="replace"):
+            lines.append(line.rstrip("\r\n"))
+            if len(lines) == _LINES_PER_BATCH:
+                yield lines
+                lines = []
+    if lines:
+        yield lines
+
+
 def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
-            archive = path.rsplit("/", 1)[-1]
-            for member, lines, ok in _members(content):
-                yield pd.DataFrame(
-                    {"zip_filename": archive, "member": member, "line": lines, "ok": ok}
-                )
-
-
-def _members(content: bytes) -> Iterator[tuple[str | None, list[str | None], bool]]:
-    """Lines of each member in bounded batches; one failure row for a bad archive."""
-    try:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            for name in archive.namelist():
-                lines: list[str | None] = []
-                with archive.open(name) as member:
-                    for line in io.TextIOWrapper(member, "utf-8", errors="replace"):
-                        lines.append(line.rstrip("\r\n"))
-                        if len(lines) == _LINES_PER_BATCH:
-                            yield name, lines, True
-                            lines = []
-                if lines:
-                    yield name, lines, True
-    except _DAMAGE:
-        yield None, [None], False
+            try:
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    for name in archive.namelist():
+                        for lines in _member_lines(archive, name):
+                            yield _lines(path, name, lines, True)
+            except _DAMAGE:
+                yield _lines(path, None, [None], False)
 
 
 def unpack(files: DataFrame) -> DataFrame:
@@ -145,17 +196,69 @@ def unpack(files: DataFrame) -> DataFrame:
 
     A damaged archive adds a row that is not ``ok`` to what could be read of
     it; ``whole_lines`` leaves such archives out. A task passes lines on in
-    batches, so it never holds a whole unpacked archive.
+    batches, so it never holds a whole unpacked archive. For archives in files
+    ``archive_lines`` holds no packed one either.
     """
-    return files.select("path", "content").mapInPandas(
-        _unpack, "zip_filename string, member string, line string, ok boolean"
-    )
+    return files.select("path", "content").mapInPandas(_unpack, _LINES)
+
 
+def archive_members(
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*.zip",
+    opener: Callable[[str], BinaryIO] = open_file,
+) -> DataFrame:
+    """``path``, ``member`` and unpacked ``size`` of all members of the archives in a folder.
 
-def archive_lines(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
-    """Lines of the archives in a folder."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return unpack(files)
+    Tasks read the tables of contents at the ends of the files. An archive
+    without a readable one has a row with a null member.
+    """
+
+    def contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for path in (path for batch in batches for path in batch["path"]):
+            try:
+                with opener(path) as file, zipfile.ZipFile(file) as archive:
+                    found = [(i.filename, i.file_size) for i in archive.infolist()]
+            except _DAMAGE:
+                found = [(None, None)]
+            if found:
+                names, sizes = zip(*found)
+                sizes = pd.array(sizes, dtype="Int64")
+                yield pd.DataFrame({"path": path, "member": names, "size": sizes})
+
+    files = _listed(spark, folder, pattern).select("path")
+    return files.mapInPandas(contents, "path string, member string, size long")
+
+
+def archive_lines(
+    spark: SparkSession,
+    path: str,
+    pattern: str = "*.zip",
+    opener: Callable[[str], BinaryIO] = open_file,
+) -> DataFrame:
+    """Lines of the archives in a folder, as ``unpack`` gives them.
+
+    Members are dealt to tasks of their own and read from their place in the
+    file, so no task holds an archive or a member, whatever their size. Runs a
+    job.
+    """
+    members = stage(archive_members(spark, path, pattern, opener), "members")
+    tasks = max(1, min(members.count(), MEMBER_TASKS))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, name in zip(batch["path"], batch["member"]):
+                if name is None:
+                    yield _lines(path, None, [None], False)
+                    continue
+                try:
+                    with opener(path) as file, zipfile.ZipFile(file) as archive:
+                        for lines in _member_lines(archive, name):
+                            yield _lines(path, name, lines, True)
+                except _DAMAGE:
+                    yield _lines(path, name, [None], False)
+
+    return members.select("path", "member").repartition(tasks).mapInPandas(read, _LINES)
 
 
 def extraction_status(lines: DataFrame) -> DataFrame:

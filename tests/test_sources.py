@@ -1,4 +1,5 @@
 import hashlib
+import io
 import zipfile
 from datetime import date
 from pathlib import Path
@@ -86,6 +87,46 @@ def test_archives(spark, landing):
         ("a.zip", True), ("bad.zip", False)]
 
 
+def test_members_are_read_by_tasks_of_their_own(spark, landing, monkeypatch):
+    with zipfile.ZipFile(landing / "b.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for i in range(12):
+            z.writestr(f"in/b{i}.csv", "x\n" * i)
+    content = bytearray((landing / "b.zip").read_bytes())
+    content[content.index(b"PK\x01\x02") + 16] ^= 0xFF  # the stored checksum of b0
+    (landing / "c d.zip").write_bytes(bytes(content))
+    with zipfile.ZipFile(landing / "nothing.zip", "w"):
+        pass
+    members = archives.archive_members(spark, str(landing))
+    assert members.where("member IS NULL").count() == 1
+    assert members.where("path LIKE '%b.zip'").agg(F.sum("size")).first()[0] == 2 * 66
+    lines = archives.archive_lines(spark, str(landing))
+    assert lines.rdd.getNumPartitions() == members.count()
+    assert rows_of(archives.extraction_status(lines), "zip_filename", "extract_ok") == [
+        ("a.zip", True), ("b.zip", True), ("bad.zip", False), ("c d.zip", False)]
+    whole = archives.whole_lines(lines, archives.extraction_status(lines))
+    assert whole.where("zip_filename = 'b.zip'").groupBy("member").count().count() == 11
+    monkeypatch.setattr(archives, "MEMBER_TASKS", 2)
+    fewer = archives.archive_lines(spark, str(landing))
+    assert fewer.rdd.getNumPartitions() == 2
+    assert rows_of(fewer, *lines.columns) == rows_of(lines, *lines.columns)
+
+
+def test_archives_that_no_row_can_hold(spark, tmp_path):
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        z.writestr("a.csv", "1\n2\n")
+    with open(tmp_path / "large.zip", "wb") as file:
+        file.truncate(2**31 + 5)  # a hole on disk; archives may begin with other bytes
+        file.seek(0, 2)
+        file.write(packed.getvalue())
+    lines = archives.archive_lines(spark, str(tmp_path))
+    assert rows_of(lines, "member", "line", "ok") == [("a.csv", "1", True), ("a.csv", "2", True)]
+    row = archives.landed_files(spark, str(tmp_path)).first()
+    with open(tmp_path / "large.zip", "rb") as file:
+        assert row.actual_hash == hashlib.file_digest(file, "sha256").hexdigest()
+    assert row.zip_size_bytes == 2**31 + 5 + len(packed.getvalue())
+
+
 def test_checksums_and_gate(spark, frame, landing, tmp_path):
     files = archives.landed_files(spark, str(landing))
     digest = hashlib.sha256((landing / "a.zip").read_bytes()).hexdigest()
