@@ -5,9 +5,16 @@ marks count as blank; wrapped notices are whole in them. Their lines are looked
 at alone too, for notices inside other text. Features are the word n-grams (one
 to three words) that occur in licence notices; a sparse multinomial logistic regression, fitted
 on notices, on texts that only talk about licences, and on ordinary lines,
-gives each family and the unknown class a probability, whose sharpness is
-calibrated on notices with missing words. A predicted family stands only if the
-paragraph holds most word pairs of one of its notices.
+gives each family and the unknown class a score, whose sharpness is calibrated
+on notices that were held out of a first fit.
+
+A paragraph can hold several notices, so each family likelier than the unknown
+class is a prediction. It stands only if the paragraph holds most word pairs of
+one of its notices and most of those that few families have, all its numbers
+with the words before them, and half of what tells the notice from each similar
+one of another family: Apache 1.1 is not 2.0, and a GPL is neither an AGPL nor
+an LGPL. Where a grant is denied ("is not licensed under"), the sentences of the
+paragraph are judged alone, and those that deny grant nothing.
 
 Only paragraphs with one of a few words of the notices are scored. The words are
 chosen so that what holds none of them cannot hold enough word pairs of any
@@ -20,16 +27,17 @@ tables joined by broadcast come from the fixed notices.
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm.licence_templates import CUES, TEMPLATES, UNKNOWN
+from candlemill.llm.licence_templates import CUES, DENIALS, GRANTS, TEMPLATES, UNKNOWN
 from candlemill.session import stage
 
 UNKNOWN_CLASS = "unknown"
@@ -42,6 +50,10 @@ _WORD = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 _BREAK = r"\n[^\p{L}\p{N}]*\n"
 # Marks of comments that look like words.
 _MARKS = r"(?m)^[ \t]*(?:@?REM|@?rem|dnl|C)[ \t]"
+# Ends of sentences; dots inside numbers are none.
+_SENTENCE = r"[.!?](?=\s|$)"
+# Each notice of this many is held out of the fit that calibration uses.
+_FOLDS = 3
 _TEMPERATURES = (0.125, 0.25, 0.5, 1.0, 2.0)
 
 
@@ -179,7 +191,7 @@ def fit(
     spark = df.sparkSession
     classes = (UNKNOWN_CLASS, *sorted(TEMPLATES))
     notices = [(t, float(classes.index(f))) for f, texts in TEMPLATES.items() for t in texts]
-    fixed = _table(spark, notices + [(t, 0.0) for t in UNKNOWN], ["line", "label"])
+    notices += [(t, 0.0) for t in UNKNOWN]
     texts = df.where(F.col(text).isNotNull()).select(
         F.col(key).alias("key"), F.col(text).alias("text")
     )
@@ -192,36 +204,61 @@ def fit(
         .distinct()
         .select("line", F.lit(0.0).alias("label"))
     )
+    training = stage(
+        sample.select("label", ngrams(words("line")).alias("grams")), "licence-lines"
+    )
+    model = _fitted(notices, training, classes)
+    taught = [x for i, x in enumerate(notices) if i % _FOLDS]
+    held = [x for i, x in enumerate(notices) if not i % _FOLDS]
+    return replace(model, temperature=_calibrated(spark, held, _fitted(taught, training, classes)))
+
+
+def _notice_grams(notices: Sequence[tuple[str, float]]) -> tuple[str, ...]:
+    """The n-grams of the notices that are of a family, in order."""
+    found = set()
+    for notice in (n for n, label in notices if label):
+        own = re.findall(_WORD, notice.lower())
+        found.update(" ".join(own[i : i + k]) for k in (1, 2, 3) for i in range(len(own) - k + 1))
+    return tuple(sorted(found))
+
+
+def _fitted(
+    notices: Sequence[tuple[str, float]], sample: DataFrame, classes: Sequence[str]
+) -> Model:
+    """A model from ``notices`` and ``sample``, the n-grams of ordinary lines."""
+    spark = sample.sparkSession
+    vocabulary = _notice_grams(notices)
     # A line that is long or has other words around the notice still counts.
-    framed = [("this project is {} thank you", 1), ("{}", 1)]
-    examples = [
-        fixed.select(F.replace(F.lit(f), F.lit("{}"), F.col("line")).alias("line"), "label")
-        for f, _ in framed
-    ]
-    rows = examples[0].union(examples[1]).union(sample)
-    # A bounded table, read many times by the fit: one part of it is enough.
-    train = stage(
-        rows.select("label", ngrams(words("line")).alias("grams")).coalesce(1), "licence-train"
+    framed = [(f.format(t), label) for t, label in notices for f in ("this project is {} thank you", "{}")]
+    examples = _table(spark, framed, ["line", "label"]).select(
+        "label", ngrams(words("line")).alias("grams")
+    )
+    known = F.split(F.lit("\n".join(vocabulary)), "\n")
+    # Rows that agree in all features are one, with their number as weight.
+    rows = (
+        examples.union(sample.select("label", "grams"))
+        .select("label", F.sort_array(F.array_intersect("grams", known)).alias("grams"))
+        .groupBy("label", "grams")
+        .agg(F.count(F.lit(1)).cast("double").alias("weight"))
     )
-    notice_grams = fixed.where("label > 0").select(ngrams(words("line")).alias("grams"))
-    counter = CountVectorizer(inputCol="grams", outputCol="features", binary=True).fit(notice_grams)
+    train = stage(rows, "licence-train")
+    counter = CountVectorizerModel.from_vocabulary(list(vocabulary), "grams", "features", binary=True)
     fitted = LogisticRegression(
-        family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60
-    ).fit(counter.transform(train).select("label", "features"))
+        family="multinomial", weightCol="weight", regParam=0.002, elasticNetParam=0.5, maxIter=60
+    ).fit(counter.transform(train).select("label", "features", "weight"))
     coefficients = fitted.coefficientMatrix.toArray()
     weights = {
         gram: tuple(float(x) for x in coefficients[:, i])
-        for i, gram in enumerate(counter.vocabulary)
+        for i, gram in enumerate(vocabulary)
         if any(abs(x) > 1e-9 for x in coefficients[:, i])
     }
-    model = Model(classes, tuple(float(x) for x in fitted.interceptVector), weights, 1.0)
-    return Model(classes, model.intercepts, weights, _calibrated(fixed, model))
+    return Model(tuple(classes), tuple(float(x) for x in fitted.interceptVector), weights, 1.0)
 
 
-def _calibrated(fixed: DataFrame, model: Model) -> float:
-    """The temperature with the least log loss on notices that lack every fifth word."""
-    kept = F.filter(words("line"), lambda w, i: i % 5 != 3)
-    scored = _scored(named(fixed.select(kept.alias("words"), "label").distinct()), model)
+def _calibrated(spark: SparkSession, held: Sequence[tuple[str, float]], model: Model) -> float:
+    """The temperature with the least log loss on notices that ``model`` has not seen."""
+    fixed = _table(spark, held, ["line", "label"])
+    scored = _scored(named(fixed.select(words("line").alias("words"), "label")), model)
     tried = scored.withColumn("t", F.explode(F.array(*map(F.lit, _TEMPERATURES))))
     own = F.get("p", F.col("label").cast("int"))
     losses = (
@@ -232,59 +269,117 @@ def _calibrated(fixed: DataFrame, model: Model) -> float:
     return losses.orderBy("loss", "t").first()["t"]
 
 
+@dataclass(frozen=True)
+class Demand:
+    """Word pairs of a notice of which a text has to hold ``least`` or more."""
+
+    pairs: frozenset[tuple[str, str]]
+    least: int
+
+
+def _has_digit(word: str) -> bool:
+    return any(c.isdigit() for c in word)
+
+
+def demands(templates: Mapping[str, Sequence[str]] = TEMPLATES) -> dict[tuple[str, str], list[Demand]]:
+    """What confirms each (family, notice): first most of its pairs, then what is its own.
+
+    That is more than half of the pairs that most families lack, all numbers,
+    and half of what a similar notice of another family lacks.
+    """
+    pairs = {(f, n): frozenset(pairs_of(n)) for f, texts in templates.items() for n in texts}
+    holders: dict[tuple[str, str], set[str]] = {}
+    for (family, _), own in pairs.items():
+        for pair in own:
+            holders.setdefault(pair, set()).add(family)
+    found = {}
+    for (family, notice), own in pairs.items():
+        wanted = [Demand(own, math.ceil(LEAST_SHARED * len(own)))]
+        named_by = frozenset(p for p in own if 2 * len(holders[p]) <= len(templates))
+        wanted.append(Demand(named_by, len(named_by) // 2 + 1))
+        numbers = frozenset(p for p in own if _has_digit(p[1]))
+        if numbers:
+            wanted.append(Demand(numbers, len(numbers)))
+        ours = {other for (f, _), other in pairs.items() if f == family}
+        alike = {
+            other
+            for other in set(pairs.values()) - ours
+            if len(own & other) >= LEAST_SHARED * max(len(own), len(other))
+        }
+        apart = {frozenset(p for p in own - other if not any(map(_has_digit, p))) for other in alike}
+        wanted += [Demand(d, -(-len(d) // 2)) for d in sorted(apart, key=sorted) if d]
+        found[family, notice] = wanted
+    return found
+
+
+def _demand_table(spark: SparkSession) -> DataFrame:
+    """``demands`` with a row per pair: guess, notice, n_demands, demand (0: most pairs), size,
+    least, gram."""
+    rows = [
+        (family, float(i), float(len(wanted)), float(d), float(len(demand.pairs)), float(demand.least),
+         " ".join(pair))
+        for i, ((family, _), wanted) in enumerate(sorted(demands().items()))
+        for d, demand in enumerate(wanted)
+        for pair in sorted(demand.pairs)
+    ]
+    return _table(spark, rows, ["guess", "notice", "n_demands", "demand", "size", "least", "gram"])
+
+
 def classify(paragraphs: DataFrame, model: Model) -> DataFrame:
-    """``id``, family, probability and shared (with the family's closest notice) per row.
+    """``id``, family, probability and shared (with the family's closest notice).
 
-    ``paragraphs`` has ``words`` and their distinct ``id``. A paragraph whose family is
-    not likely enough, or that no notice of it confirms, is ``unknown``.
+    ``paragraphs`` has ``words`` and their distinct ``id``. One row per family
+    that is likely enough and confirmed by a notice; ``probability`` is that of
+    the family if it is either that or the unknown class.
     """
-    spark = paragraphs.sparkSession
+    scored = _scored(paragraphs.select("id", "words"), model)
     names = F.array(*[F.lit(c) for c in model.classes])
-    likely = _with_probabilities(
-        _scored(paragraphs.select("id", "words"), model), F.lit(model.temperature)
-    )
-    best = (F.array_position("p", F.array_max("p")) - 1).cast("int")
-    guessed = likely.select(
-        "id", F.array_max("p").alias("probability"), F.get(names, best).alias("guess")
-    )
-    notices = _table(
-        spark,
-        [(f, f"{f}:{i}", t) for f, texts in sorted(TEMPLATES.items()) for i, t in enumerate(texts)],
-        ["guess", "notice", "line"],
-    )
-    pairs = notices.select(
-        "guess", "notice", F.explode(ngrams(words("line"), 1, 2)).alias("gram")
-    ).where(F.contains("gram", F.lit(" ")))
-    sizes = pairs.groupBy("notice").agg(F.count(F.lit(1)).alias("size"))
-    shared = (
-        guessed.where(F.col("guess") != UNKNOWN_CLASS)
-        .join(paragraphs, "id")
-        .select("id", "guess", F.explode(ngrams(F.col("words"), 2, 2)).alias("gram"))
-        .join(F.broadcast(pairs), ["guess", "gram"])
-        .groupBy("id", "notice")
-        .agg(F.count(F.lit(1)).alias("common"))
-        .join(F.broadcast(sizes), "notice")
-        .groupBy("id")
-        .agg(F.max(F.col("common") / F.col("size")).alias("shared"))
+    unknown = F.get("scores", F.lit(0))
+
+    def chance(score: Column, place: Column) -> Column:
+        odds = F.exp((unknown - score) / F.lit(model.temperature))
+        return F.struct(F.get(names, place).alias("guess"), (1 / (1 + odds)).alias("probability"))
+
+    likely = F.filter(
+        F.transform("scores", chance),
+        lambda c: (c["guess"] != UNKNOWN_CLASS) & (c["probability"] >= LEAST_PROBABILITY),
     )
-    sure = (F.col("probability") >= LEAST_PROBABILITY) & (F.col("shared") >= LEAST_SHARED)
-    return (
-        guessed.join(shared, "id", "left")
-        .withColumn("shared", F.coalesce("shared", F.lit(0.0)))
-        .select(
-            "id",
-            F.when(sure, F.col("guess")).otherwise(UNKNOWN_CLASS).alias("family"),
-            "probability",
-            "shared",
+    guessed = scored.select("id", likely.alias("guesses")).where(F.size("guesses") > 0)
+    held = (
+        guessed.join(paragraphs.select("id", "words"), "id")
+        .select("id", "guesses", F.explode(ngrams(F.col("words"), 2, 2)).alias("gram"))
+        .join(F.broadcast(_demand_table(paragraphs.sparkSession)), "gram")
+        .withColumn("own", F.filter("guesses", lambda c: c["guess"] == F.col("guess")))
+        .where(F.size("own") > 0)
+        .groupBy("id", "guess", "notice", "n_demands", "demand", "size", "least")
+        .agg(F.count(F.lit(1)).alias("n"), F.max(F.get("own", F.lit(0))["probability"]).alias("probability"))
+        .where(F.col("n") >= F.col("least"))
+        .groupBy("id", "guess", "notice", "n_demands")
+        .agg(
+            F.count(F.lit(1)).alias("met"),
+            F.max(F.when(F.col("demand") == 0, F.col("n") / F.col("size"))).alias("shared"),
+            F.max("probability").alias("probability"),
         )
+        .where(F.col("met") == F.col("n_demands"))
+    )
+    return held.groupBy("id", F.col("guess").alias("family")).agg(
+        F.max("probability").alias("probability"), F.max("shared").alias("shared")
     )
 
 
+def denies(words_: Column) -> Column:
+    """Whether a word that denies stands right before a verb of granting."""
+    denials = F.array(*[F.lit(f"{d} {g}") for d in DENIALS for g in GRANTS])
+    some = F.arrays_overlap(words_, F.array(*map(F.lit, DENIALS)))
+    return some & F.arrays_overlap(ngrams(words_, 2, 2), denials)
+
+
 def scan(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Paragraphs that may hold a notice, and their lines: key, row, paragraph (from 0),
     line, cue, family, probability, shared.
 
-    ``line`` is a whole paragraph or, in one of several lines, a line of it;
+    ``line`` is a whole paragraph or, in one of several lines, a line of it, or
+    a sentence of one that denies a grant; each family found in it has a row.
     ``row`` tells rows with equal keys apart; ``cue`` says whether the line has
     one of ``CUES``. Null and empty texts have no paragraphs; a paragraph of any
     length is read whole. An empty table gives an empty result.
@@ -306,20 +401,39 @@ def scan(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -
             "at",
             F.explode(F.when(F.size(lines) > 1, both).otherwise(F.array("body"))).alias("line"),
         )
+    )
+    found = _words_of(units).withColumn("denied", denies(F.col("words")))
+    # What denies grants nothing as a whole, but its sentences may.
+    sentences = F.concat(F.array("line"), F.split("line", _SENTENCE))
+    units = (
+        found.withColumn("line", F.explode(F.when(F.col("denied"), sentences).otherwise(F.array("line"))))
+        .transform(lambda rows: _words_of(rows.drop("words", "denied")))
+        .withColumn("words", F.when(denies(F.col("words")), F.array()).otherwise(F.col("words")))
         .select("*", has_cue("line").alias("cue"))
-        .withColumn("words", words(F.regexp_replace("line", _MARKS, " ")))
     )
-    units = stage(named(units), "licence-lines")
+    units = stage(named(units), "licence-units")
     # Distinct texts are few; each is scored once.
     families = stage(
         classify(units.select("id", "words").dropDuplicates(["id"]), model), "licence-families"
     )
-    return units.join(families, "id").select(
-        F.col("key").alias(key), "row", F.col("at").alias("paragraph"), "line", "cue", "family",
-        "probability", "shared",
+    none = F.lit(0.0)
+    return units.join(families, "id", "left").select(
+        F.col("key").alias(key),
+        "row",
+        F.col("at").alias("paragraph"),
+        "line",
+        "cue",
+        F.coalesce("family", F.lit(UNKNOWN_CLASS)).alias("family"),
+        F.coalesce("probability", none).alias("probability"),
+        F.coalesce("shared", none).alias("shared"),
     )
 
 
+def _words_of(units: DataFrame) -> DataFrame:
+    """Add ``words`` of ``line`` without marks of comments."""
+    return units.withColumn("words", words(F.regexp_replace("line", _MARKS, " ")))
+
+
 def licences(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per key: n_cues, n_unknown, licences (sorted, comma-joined), probability.
 

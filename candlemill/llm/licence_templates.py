@@ -1,79 +1,90 @@
 """Short licence notices by family, and texts about licences that grant nothing."""
 
-# Customary notices and names of public licences.
-TEMPLATES = {
-    "AGPL-3.0": (
-        "Licensed under the GNU Affero General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms "
-        "of the GNU Affero General Public License as published by the Free Software Foundation, "
-        "either version 3 of the License, or (at your option) any later version.",
-        "SPDX-License-Identifier: AGPL-3.0-only",
-    ),
+# Names of public licences that have versions.
+VERSIONED = {
+    "AGPL-3.0": ("GNU Affero General Public License", "3"),
+    "Apache-1.1": ("Apache License", "1.1"),
+    "Apache-2.0": ("Apache License", "2.0"),
+    "GPL-1.0": ("GNU General Public License", "1"),
+    "GPL-2.0": ("GNU General Public License", "2"),
+    "GPL-3.0": ("GNU General Public License", "3"),
+    "LGPL-2.1": ("GNU Lesser General Public License", "2.1"),
+    "LGPL-3.0": ("GNU Lesser General Public License", "3"),
+    "MPL-1.1": ("Mozilla Public License", "1.1"),
+    "MPL-2.0": ("Mozilla Public License", "2.0"),
+}
+# Customary short notices of them, and the headers of the GNU licences.
+SHORT_FORMS = (
+    "Licensed under the {name}, version {version}.",
+    "This work is licensed under the {name}, version {version}.",
+    "Released under the {name} {version}.",
+)
+GNU_FORMS = (
+    "This {thing} is free software: you can redistribute it and/or modify it under the terms "
+    "of the {name} as published by the Free Software Foundation, either version {version} of the "
+    "License, or (at your option) any later version.",
+    "This {thing} is free software; you can redistribute it and/or modify it under the terms "
+    "of the {name} version {version} as published by the Free Software Foundation.",
+)
+
+# The variants of a family of licences for works, by their short names.
+CREATIVE_COMMONS = {
+    "BY": "Attribution",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-SA": "Attribution-ShareAlike",
+}
+CC_FORMS = (
+    "Licensed under CC {short} 4.0.",
+    "This work is licensed under a Creative Commons {name} 4.0 International License.",
+)
+
+# Customary notices that offer two licences.
+_EITHER = (
+    "Licensed under either of Apache License, Version 2.0 or MIT license at your option.",
+    "Available under either of Apache License, Version 2.0 or MIT license.",
+    "Dual licensed under the Apache License, Version 2.0 or the MIT License.",
+)
+
+# Customary notices of public licences, beside those of the forms.
+OTHERS = {
     "Apache-2.0": (
-        "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file '
         "except in compliance with the License.",
-        "Released under the Apache License 2.0.",
-        "SPDX-License-Identifier: Apache-2.0",
+        "Licensed under the Apache 2.0 license.",
+        *_EITHER,
     ),
     "BSD": (
-        "Licensed under the 3-Clause BSD License.",
-        "Released under the BSD 2-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met",
         "Use of this source code is governed by a BSD-style license that can be found in the "
         "LICENSE file.",
-        "SPDX-License-Identifier: BSD-3-Clause",
+        "Released under the BSD License.",
     ),
-    "CC-BY-4.0": (
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        "SPDX-License-Identifier: CC-BY-4.0",
+    "BSD-2-Clause": (
+        "Licensed under the 2-Clause BSD License.",
+        "Released under the BSD 2-Clause License.",
     ),
-    "CC-BY-NC-4.0": (
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
-        "International License.",
-        "SPDX-License-Identifier: CC-BY-NC-4.0",
+    "BSD-3-Clause": (
+        "Licensed under the 3-Clause BSD License.",
+        "Released under the BSD 3-Clause License.",
     ),
-    "CC-BY-SA-4.0": (
-        "Licensed under CC BY-SA 4.0.",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International "
-        "License.",
-        "SPDX-License-Identifier: CC-BY-SA-4.0",
+    "BSD-4-Clause": (
+        "Licensed under the 4-Clause BSD License.",
+        "Released under the BSD 4-Clause License.",
     ),
     "CC0-1.0": (
         "Released into the public domain under CC0 1.0.",
         "This work is dedicated to the public domain under the Creative Commons CC0 1.0 Universal "
         "license.",
-        "SPDX-License-Identifier: CC0-1.0",
-    ),
-    "GPL-2.0": (
-        "This work is licensed under the GNU General Public License, version 2.",
-        "This program is free software; you can redistribute it and/or modify it under the terms "
-        "of the GNU General Public License as published by the Free Software Foundation; either "
-        "version 2 of the License, or (at your option) any later version.",
-        "SPDX-License-Identifier: GPL-2.0-only",
-    ),
-    "GPL-3.0": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms "
-        "of the GNU General Public License as published by the Free Software Foundation, either "
-        "version 3 of the License, or (at your option) any later version.",
-        "SPDX-License-Identifier: GPL-3.0-only",
     ),
     "ISC": (
         "Released under the ISC License.",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
         "without fee is hereby granted, provided that the above copyright notice and this "
         "permission notice appear in all copies.",
-        "SPDX-License-Identifier: ISC",
-    ),
-    "LGPL-3.0": (
-        "Licensed under the GNU Lesser General Public License, version 3.",
-        "This library is free software; you can redistribute it and/or modify it under the terms "
-        "of the GNU Lesser General Public License as published by the Free Software Foundation.",
-        "SPDX-License-Identifier: LGPL-3.0-only",
     ),
     "MIT": (
         "Released under the MIT License.",
@@ -83,20 +94,44 @@ TEMPLATES = {
         'software and associated documentation files (the "Software"), to deal in the Software '
         "without restriction, including without limitation the rights to use, copy, modify, merge, "
         "publish, distribute, sublicense, and/or sell copies of the Software",
-        "SPDX-License-Identifier: MIT",
+        *_EITHER,
     ),
     "MPL-2.0": (
-        "Licensed under the Mozilla Public License, version 2.0.",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-        "SPDX-License-Identifier: MPL-2.0",
     ),
     "Unlicense": (
         "Released under the Unlicense.",
         "This is free and unencumbered software released into the public domain.",
-        "SPDX-License-Identifier: Unlicense",
     ),
 }
 
+
+def _templates() -> dict[str, tuple[str, ...]]:
+    """All notices by family, with the identifiers that stand in file headers."""
+    found: dict[str, list[str]] = {}
+    for family, (name, version) in VERSIONED.items():
+        gnu = name.startswith("GNU")
+        written = [version] + ([version + ".0"] if "." not in version else [])
+        own = [f.format(name=name, version=v) for f in SHORT_FORMS for v in written]
+        thing = "library" if "Lesser" in name else "program"
+        if gnu:
+            own += [f.format(thing=thing, name=name, version=version) for f in GNU_FORMS]
+        found[family] = own
+    for short, name in CREATIVE_COMMONS.items():
+        found[f"CC-{short}-4.0"] = [f.format(short=short, name=name) for f in CC_FORMS]
+    for family, notices in OTHERS.items():
+        found.setdefault(family, []).extend(notices)
+    for family, notices in found.items():
+        if family == "BSD":
+            continue
+        gnu = VERSIONED.get(family, ("",))[0].startswith("GNU")
+        ends = ("", "-only", "-or-later") if gnu else ("",)
+        notices += [f"SPDX-License-Identifier: {family}{end}" for end in ends]
+    return {family: tuple(notices) for family, notices in sorted(found.items())}
+
+
+TEMPLATES = _templates()
+
 # Texts with the same words that are no licence grant.
 UNKNOWN = (
     "All rights reserved. No license is granted.",
@@ -123,3 +158,10 @@ CUES = (
     "licen", "redistribut", "permission", "copyright", "public domain", "unencumbered", "spdx",
     "cc0", "cc by", "cc-by",
 )
+
+# Words that deny a grant when they stand before one of its verbs.
+DENIALS = ("not", "never", "longer", "t", "nor")
+GRANTS = (
+    "licensed", "released", "available", "distributed", "covered", "governed", "subject", "under",
+    "dedicated", "offered",
+)
