@@ -65,7 +65,46 @@ def test_repeated_and_null_keys_and_empty_table(spark):
     assert P.mix(df.limit(0), F.col("n")).count() == 0
 
 
-def test_too_many_sources(spark, monkeypatch):
-    monkeypatch.setattr(P, "MAX_SOURCES", 2)
+def plain_schedule(weights):
+    """Earliest deadline first, slot by slot over all sources."""
+    whole, done, slots = sum(weights), [0] * len(weights), []
+    for slot in range(whole):
+        ready = [
+            (-(-(done[i] + 1) * whole // w), i)
+            for i, w in enumerate(weights)
+            if done[i] < w and done[i] * whole // w <= slot
+        ]
+        deadline, i = min(ready)
+        slots.append((i, done[i], done[i] * whole // weights[i], deadline))
+        done[i] += 1
+    return slots
+
+
+@pytest.mark.parametrize("run_slots", [2, 65_536])
+def test_runs_of_light_sources_equal_plain_schedules(monkeypatch, run_slots):
+    monkeypatch.setattr(P, "RUN_SLOTS", run_slots)
+    rng = random.Random(run_slots)
+    for _ in range(200):
+        weights = [rng.choice([1, 1, 1, 2, 3, rng.randint(1, 40)]) for _ in range(rng.randint(1, 25))]
+        assert P.schedule(weights) == plain_schedule(weights)
+
+
+def test_very_many_sources(spark):
+    n = 50_000
+    rows = spark.range(n + 30_000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") < n, F.concat(F.lit("host"), "id")).otherwise("large").alias("source"),
+        F.lit(10).alias("n"),
+    )
+    mixed = P.mix(rows, F.col("n"), block_size=10)
+    slots = [r["slot"] for r in mixed.select("slot").collect()]
+    assert len(set(slots)) == len(slots) == n + 30_000
+    large = {r["weight"] for r in mixed.where("source = 'large'").select("weight").distinct().collect()}
+    assert large == {1 + int(1000 * 300_000**0.5 / (300_000**0.5 + n * 10**0.5))}
+    assert mixed.where("slot < release OR slot >= deadline").isEmpty()
+
+
+def test_given_weights_may_not_be_too_fine(spark):
+    df = documents(spark, ["a"] * 9)
     with pytest.raises(ValueError):
-        P.mix(documents(spark, ["a"] * 9), F.length("text"))
+        P.mix(df, F.length("text"), weights={"s0": P.MAX_TURNS + 1})
