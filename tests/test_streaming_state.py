@@ -3,11 +3,13 @@
 import random
 from datetime import timedelta
 
+import pyarrow as pa
 import pytest
 from helpers import START, rows_of
 from pyspark.sql import functions as F
 
 from candlemill.operators import clean, features, resample
+from candlemill.streaming import features as S
 from candlemill.streaming.bars import stream_bars
 from candlemill.streaming.clean import stream_keep_first, stream_silver
 from candlemill.streaming.features import (
@@ -166,3 +168,68 @@ def test_bar_features(spark, tmp_path):
 def test_lookback_adds_up():
     assert lookback(BAR_STEPS) == 167 and lookback(MINUTE_STEPS) == 60
     assert lookback([Step("a", "absolute", "x")]) == 0 and lookback([]) == 0
+
+
+def test_a_first_batch_of_many_rows_is_merged_in_blocks(spark, tmp_path, monkeypatch):
+    for name, rows in (("BLOCK_ROWS", 16), ("RUN_ROWS", 60), ("RUNS_OF_A_SIZE", 3), ("_ROWS_AT_ONCE", 50)):
+        monkeypatch.setattr(S, name, rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 25)
+    rng = random.Random(4)
+    ddl = DDL + ", `_odd name` long"
+    rows = [(*r, i) for i, r in enumerate(batches(rng, 700))]
+    rng.shuffle(rows)  # nothing is late in the first batch
+    try:
+        land(spark, tmp_path, rows, ddl)
+        stream = stream_minute_features(source(spark, tmp_path, ddl), ["symbol"], ["event_id"], "20 minutes")
+        finished(stream, tmp_path)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = spark.read.parquet(str(tmp_path / "out"))
+    columns = ["symbol", "open_ts", "event_id", "close", "_odd name", *[s.name for s in MINUTE_STEPS]]
+    batch = features.minute_features(spark.createDataFrame(rows, ddl), ["symbol"], ["event_id"])
+    last = max(r[1] for r in rows) - timedelta(minutes=20)
+    wanted = batch.where(F.col("open_ts") <= last).withColumn("open_ts", F.col("open_ts").cast("timestamp"))
+    order = ["symbol", "open_ts", "event_id"]
+    got, wanted = ([[*r] for r in df.orderBy(*order).select(*[f"`{c}`" for c in columns]).collect()]
+                   for df in (got, wanted))
+    same(got, wanted, columns)
+    assert len(got) > 1000 and None in {r[0] for r in got}
+
+
+def test_waiting_rows_are_never_held_together(monkeypatch):
+    for name, rows in (("BLOCK_ROWS", 64), ("RUN_ROWS", 500), ("RUNS_OF_A_SIZE", 4)):
+        monkeypatch.setattr(S, name, rows)
+    sizes, plain = [], S._sorted
+    monkeypatch.setattr(S, "_sorted", lambda rows, order: (sizes.append(len(rows)), plain(rows, order))[1])
+
+    class Blocks(dict):
+        updateValue, removeKey = dict.__setitem__, dict.__delitem__
+        getValue = dict.__getitem__
+
+    for n in (8_000, 32_000):
+        times = [*range(n)]
+        random.Random(n).shuffle(times)
+        blocks = Blocks()
+        waiting = S._Waiting(blocks, {"next": 0, "runs": [], "timer": None}, ["t", "k"])
+        for a in range(0, n, S.RUN_ROWS):
+            part = times[a : a + S.RUN_ROWS]
+            waiting.add(pa.table({"t": pa.array([t // 3 for t in part], pa.timestamp("us")), "k": part}))
+        found = [k for table in waiting.closed(n // 6) for k in table["k"].to_pylist()]
+        assert found == [k for k in range(n) if k // 3 <= n // 6]
+        assert waiting.first() == n // 6 + 1
+        found += [k for table in waiting.closed(n) for k in table["k"].to_pylist()]
+        assert found == [*range(n)] and not blocks and waiting.first() is None
+    # Four times the rows, one more size of runs.
+    assert max(sizes) <= 3 * 4 * 2 * 64
+
+
+def test_a_timer_that_comes_with_the_watermark(spark, tmp_path):
+    rng = random.Random(5)
+    watermarks = [19 * 60_000 + 59_999, 20 * 60_000 + 1, 60 * 60_000]
+    land(spark, tmp_path, [candle(0, rng, "A", 1), candle(0, rng, "A", 2)])
+    for ms in watermarks:
+        land(spark, tmp_path, [candle(ms, rng, "B", ms, 0.001)])
+    stream = stream_minute_features(source(spark, tmp_path), ["symbol"], ["event_id"], "20 minutes")
+    finished(stream, tmp_path)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert rows_of(got, "symbol", "event_id") == [("A", 1), ("A", 2), *[("B", ms) for ms in watermarks[:2]]]

@@ -334,6 +334,8 @@ def archive_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _CARD = "concat(CAST(s_suppkey AS {text}), '|', s_name)"
+# Files that a task writes; a file takes some milliseconds, however small.
+_CARDS_PER_TASK = 100
 
 
 @run(
@@ -348,7 +350,9 @@ def landed_digests(spark: SparkSession, sf: str) -> DataFrame:
     """Sizes and SHA-256 digests of stored files, one per supplier, read as bytes."""
     folder = new_folder(spark, "landed")
     cards = T.table(spark, sf, "supplier").select(F.expr(_CARD.format(text="STRING")))
-    cards.write.option("maxRecordsPerFile", 1).text(folder)
+    # A number of its own, as adaptive execution would take so few bytes to one task.
+    tasks = min(cards.count() // _CARDS_PER_TASK + 1, archives.MEMBER_TASKS)
+    cards.repartition(tasks).write.option("maxRecordsPerFile", 1).text(folder)
     landed = archives.landed_files(spark, folder, "*.txt")
     # An empty partition may leave an empty file.
     return landed.where("zip_size_bytes > 0").select("actual_hash", "zip_size_bytes")
