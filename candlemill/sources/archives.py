@@ -69,11 +69,18 @@ def open_file(path: str) -> BinaryIO:
     Knows local paths and what Arrow's file systems know; pass another function
     where a store needs settings of its own.
     """
+    store, inside = file_system(path)
+    if isinstance(store, fs.LocalFileSystem):
+        return open(inside, "rb")
+    return store.open_input_file(inside)
+
+
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """Arrow's file system for a path as Spark gives it, and the path in it."""
     scheme, _, rest = path.partition(":")
     if scheme == "file" or not rest:
-        return open("/" + rest.lstrip("/") if rest else path, "rb")
-    store, inside = fs.FileSystem.from_uri("s3:" + rest if scheme in ("s3a", "s3n") else path)
-    return store.open_input_file(inside)
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/") if rest else path
+    return fs.FileSystem.from_uri("s3:" + rest if scheme in ("s3a", "s3n") else path)
 
 
 def _listed(spark: SparkSession, folder: str, pattern: str) -> DataFrame:

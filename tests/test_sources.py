@@ -285,3 +285,21 @@ def test_ingest_of_nothing(spark, frame, tmp_path):
         str(landing), texts, str(tmp_path / "bronze"), str(tmp_path / "log"))
     assert left.count() == 0
     assert spark.read.parquet(str(tmp_path / "log")).first().extract_ok is False
+
+
+def test_landed_digests_of_files_from_several_tasks(spark, tmp_path):
+    import duckdb
+
+    from workload.queries import QUERIES, SQL
+
+    rows = [(i, f"Supplier#{i} é") for i in range(2_300)] + [(7, "again"), (7, "again"), (None, "x"), (8, None)]
+    suppliers = spark.createDataFrame(rows, "s_suppkey long, s_name string")
+    suppliers.coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    known = {p for p in Path(spark.conf.get("spark.checkpoint.dir")).glob("*/landed-*")}
+    found = QUERIES["landed_digests"](spark, str(tmp_path))
+    got = sorted((r["actual_hash"], r["zip_size_bytes"]) for r in found.collect())
+    cards = [f"{key}|{name}\n".encode() if key is not None and name is not None else b"\n" for key, name in rows]
+    assert got == sorted((hashlib.sha256(c).hexdigest(), len(c)) for c in cards)
+    (folder,) = set(Path(spark.conf.get("spark.checkpoint.dir")).glob("*/landed-*")) - known
+    parts = {p.name.split("-")[1] for p in folder.glob("part-*.txt")}
+    assert len(parts) >= 3
