@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from candlemill.llm.common import kept_batch, keeping, release_memory, slices
+from candlemill.llm.common import kept_batch, keeping, map_lean, slices
 
 # Code points of one call to the library; longer texts are cut where the
 # pattern has to end a match anyway.
@@ -246,9 +246,8 @@ def encode(
             del tokenizer, letters
             memo.clear()
             places.clear()
-            release_memory()
 
-    return kept.source.mapInArrow(mapper, kept.schema)
+    return map_lean(kept.source, mapper, kept.schema)
 
 
 def decode(df: DataFrame, keep: Sequence[str], vocab_path: str, ids: str = "ids") -> DataFrame:

@@ -27,7 +27,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candlemill.llm.common import mix64, slices, span_hashes, text_buffer, word_hashes, word_spans
+from candlemill.llm.common import (
+    map_lean,
+    mix64,
+    slices,
+    span_hashes,
+    text_buffer,
+    word_hashes,
+    word_spans,
+)
 from candlemill.llm.graph import components
 from candlemill.session import stage
 
@@ -226,8 +234,10 @@ def _rare_pairs(apart: DataFrame, sets: DataFrame, percent: int, kind: str) -> D
     """
     nodes = stage(apart.select("id", "n", "component").distinct(), "apart")
     rows = stage(
-        sets.join(nodes.select("id"), "id", "left_semi").mapInArrow(
-            _member_mapper, f"id {kind}, shingle long"
+        map_lean(
+            sets.join(nodes.select("id"), "id", "left_semi"),
+            _member_mapper,
+            f"id {kind}, shingle long",
         ),
         "shingles",
     )
@@ -310,7 +320,8 @@ def near_duplicates(
     kind = df.schema[key].dataType.simpleString()
     docs = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
     sketch = stage(
-        docs.mapInArrow(
+        map_lean(
+            docs,
             _sketch_mapper(width, bands, rows),
             f"id {kind}, n long, h1 long, h2 long, bands array<long>",
         ),
@@ -330,8 +341,10 @@ def near_duplicates(
 
     # Full sets of the documents that met another, once for all rounds.
     sets = stage(
-        docs.join(degree.select("id"), "id", "left_semi").mapInArrow(
-            _set_mapper(width), f"id {kind}, members binary"
+        map_lean(
+            docs.join(degree.select("id"), "id", "left_semi"),
+            _set_mapper(width),
+            f"id {kind}, members binary",
         ).dropDuplicates(["id"]),
         "sets",
     )
@@ -340,8 +353,10 @@ def near_duplicates(
         left = sets.select(F.col("id").alias("a"), F.col("members").alias("left"))
         right = sets.select(F.col("id").alias("b"), F.col("members").alias("right"))
         return stage(
-            pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(
-                _confirm_mapper(percent), f"a {kind}, b {kind}, linked boolean"
+            map_lean(
+                pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right"),
+                _confirm_mapper(percent),
+                f"a {kind}, b {kind}, linked boolean",
             ),
             "compared",
         )

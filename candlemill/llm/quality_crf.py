@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from candlemill.llm.common import (
     kept_batch,
     keeping,
+    map_lean,
     mix64,
     slices,
     span_hashes,
@@ -313,9 +314,9 @@ def fit(
             )
 
     kind = df.schema[key].dataType.simpleString()
+    columns = f"key {kind}, label int, features binary, lengths binary"
     found = (
-        rows.select("key", "label", "text")
-        .mapInArrow(mapper, f"key {kind}, label int, features binary, lengths binary")
+        map_lean(rows.select("key", "label", "text"), mapper, columns)
         .toPandas()
         .sort_values("key", kind="stable")
     )
@@ -357,4 +358,4 @@ def score_documents(
                 new.append(pa.ListArray.from_arrays(ends, pa.array(good)))
             yield kept_batch(part, names, *new)
 
-    return kept.source.mapInArrow(mapper, kept.schema)
+    return map_lean(kept.source, mapper, kept.schema)

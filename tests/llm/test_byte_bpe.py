@@ -125,3 +125,32 @@ def test_a_task_gives_back_its_memory():
     del held
     release_memory()
     assert resident() < before + 60
+
+
+def test_tasks_get_small_batches_and_give_memory_back(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from candlemill.llm import common
+
+    texts = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("word "), 2000).alias("text"))
+    found = B.encode(texts, ["text"], VOCAB, PATTERN, outputs=["n_tokens"])  # sets the limit
+    assert found.agg(F.sum("n_tokens")).first()[0] == 3000 * found.first()["n_tokens"]
+
+    def measure(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    sizes = texts.mapInArrow(measure, "n long, bytes long").collect()
+    assert sum(r["n"] for r in sizes) == 3000 and max(r["bytes"] for r in sizes) < 1.1 * common.BATCH_BYTES
+    released = spark.sparkContext.accumulator(0)
+    plain = common.release_memory
+
+    def counted():
+        released.add(1)
+        plain()
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(common, "release_memory", counted)
+        common.map_lean(texts, measure, "n long, bytes long").collect()
+    assert released.value == 1
