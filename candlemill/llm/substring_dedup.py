@@ -26,7 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candlemill.llm.common import slices, span_hashes, text_buffer, word_hashes, word_spans
+from candlemill.llm.common import (
+    map_lean,
+    slices,
+    span_hashes,
+    text_buffer,
+    word_hashes,
+    word_spans,
+)
 from candlemill.session import small_table, stage
 
 WINDOW = 50
@@ -122,7 +129,7 @@ def _window_mapper(window: int, period: int, cover: tuple[int, ...], by: list[st
     """Full windows around the shared anchors of each document."""
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 1 << 20):
+        for part in slices(batches, "text"):
             hashes, first = _words(part.column("text"))
             begin, sizes = [], []
             for a, n, hits in zip(first, np.diff(first), part.column("hits")):
@@ -272,8 +279,11 @@ def shared_ranges(rows: DataFrame, keys: list[str], by: list[str], earlier: bool
         return ranges
     kind = rows.schema["id"].dataType.simpleString()
     ends = (
-        rows.select(*keys, "id")
-        .mapInArrow(_hot_extremes(keys, "id", hot), f"place long, least {kind}, most {kind}")
+        map_lean(
+            rows.select(*keys, "id"),
+            _hot_extremes(keys, "id", hot),
+            f"place long, least {kind}, most {kind}",
+        )
         .groupBy("place")
         .agg(F.min("least").alias("least"), F.max("most").alias("most"))
         .orderBy("place")
@@ -281,7 +291,8 @@ def shared_ranges(rows: DataFrame, keys: list[str], by: list[str], earlier: bool
     )
     least, most = ends["least"].to_numpy(), ends["most"].to_numpy()
     return ranges.union(
-        rows.select(*by, "at", *keys).mapInArrow(
+        map_lean(
+            rows.select(*by, "at", *keys),
             _hot_ranges(keys, by, earlier, hot, least, most),
             f"{_typed(rows, by)}, first int, last int",
         )
@@ -324,7 +335,8 @@ def remove_repeats(
         docs = docs.withColumn("row", F.xxhash64("text"))
     who = _typed(docs, by)
     sketch = stage(
-        docs.mapInArrow(
+        map_lean(
+            docs,
             _anchor_mapper(window, period, cover, by),
             f"{who}, n_words long, h1 long, h2 long, sha string, anchors array<long>",
         ),
@@ -354,8 +366,10 @@ def remove_repeats(
     )
     near = stage(docs.join(hits, by), "near")
     windows = stage(
-        near.mapInArrow(
-            _window_mapper(window, period, cover, by), f"{who}, at int, full long, check int"
+        map_lean(
+            near,
+            _window_mapper(window, period, cover, by),
+            f"{who}, at int, full long, check int",
         ),
         "windows",
     )
@@ -364,8 +378,10 @@ def remove_repeats(
         .groupBy(*by)
         .agg(_ranges("starts"))
     )
-    cut = near.select(*by, "text").join(repeated, by).mapInArrow(
-        _cut_mapper(window, by), f"{who}, n_removed long, kept string"
+    cut = map_lean(
+        near.select(*by, "text").join(repeated, by),
+        _cut_mapper(window, by),
+        f"{who}, n_removed long, kept string",
     )
     gone = copies.select(
         *by, F.lit(True).alias("copy"), F.lit(None).cast("long").alias("n_removed"),

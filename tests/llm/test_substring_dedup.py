@@ -113,3 +113,38 @@ def test_rows_that_share_a_key_are_judged_by_their_own_texts(spark, hot, monkeyp
     ]
     assert sorted(got, key=repr) == brute_rows(rows, 12)
     assert all(removed <= n for _, n, removed, _ in got)
+
+
+def test_tasks_get_small_batches_and_give_memory_back(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from candlemill.llm import common
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")  # other operators set it
+    small, large = (spark.sparkContext.accumulator(0) for _ in range(2))
+    released = spark.sparkContext.accumulator(0)
+    plain_slices, plain_release = S.slices, common.release_memory
+
+    def watched(batches, *given):
+        def counted():
+            for batch in batches:
+                (small if batch.nbytes < 1.1 * common.BATCH_BYTES else large).add(1)
+                yield batch
+
+        return plain_slices(counted(), *given)
+
+    def release():
+        released.add(1)
+        plain_release()
+
+    monkeypatch.setattr(S, "slices", watched)
+    monkeypatch.setattr(common, "release_memory", release)
+    shared = " ".join(f"v{i}" for i in range(80))
+    words = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(400)), lambda w: F.concat(w, F.lit("of"), F.col("id"))))
+    docs = spark.range(0, 3000, 1, 1).select(
+        F.col("id").alias("doc_id"), F.concat_ws(" ", words, F.lit(shared), F.col("id").cast("string")).alias("text")
+    )
+    got = S.remove_repeats(docs).groupBy("n_words", "n_removed").count().collect()
+    assert sorted(tuple(r) for r in got) == [(481, 0, 1), (481, 80, 2999)]
+    assert small.value > 3 and large.value == 0
+    assert released.value >= 3  # anchors, windows and cuts
